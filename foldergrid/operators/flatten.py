@@ -97,6 +97,10 @@ def encode_cell(value: Column, kind: T.DataType, options: SheetSinkOptions, time
     ).cast(CELL_DDL)
 
 
+def _encoder(kind: T.DataType, options: SheetSinkOptions, time_unit: str | None):
+    return lambda element: encode_cell(element, kind, options, time_unit)
+
+
 @dataclass(frozen=True)
 class Leaf:
     """A grid column: where its value comes from and, for arrays, which array it is."""
@@ -161,9 +165,7 @@ def with_cells(
         else:
             elements = F.when(F.size(value) > 0, value).otherwise(F.array(F.lit(None).cast(leaf.kind)))
             lengths.append(F.greatest(F.size(value), F.lit(1)).cast("bigint"))
-            cells.append(
-                F.transform(elements, lambda e, k=leaf.kind, u=unit: encode_cell(e, k, options, u))
-            )
+            cells.append(F.transform(elements, _encoder(leaf.kind, options, unit)))
     n_rows = F.lit(1).cast("bigint")
     for length in lengths:
         n_rows = n_rows * length

@@ -185,7 +185,7 @@ EVENT_GRID_ROWS = 1 + 1000 + 100  # title row, rows, blanks
 def event_grid(spark: SparkSession, sf_dir: str):
     """(sheets, cells) of the events: one title row, seven typed columns."""
     events = in_sheets(table(spark, sf_dir, "events"), "event_id", 1, EVENT_ROWS)
-    ts = F.col("ts").cast("timestamp")
+    ts = F.date_trunc("MILLISECOND", "ts")
     of_day = F.pmod(F.unix_micros(ts), F.lit(86_400_000_000))
     cells = long_cells(
         events,
