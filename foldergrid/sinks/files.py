@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +10,7 @@ from pyspark.sql import types as T
 
 from foldergrid.functions.text import random_name
 from foldergrid.session import shuffle_width
+from foldergrid.sources.folder import file_locator
 
 MANIFEST_DDL = "name string, mimeType string, size bigint, staged string"
 
@@ -86,33 +86,35 @@ def write_files(rows: DataFrame, folder: str) -> DataFrame:
     targets.write.parquet(f"{run}/targets")
     targets = spark.read.parquet(f"{run}/targets")
     published = targets.repartition(shuffle_width(spark), "staged").mapInArrow(
-        _publish, "name string, mimeType string, size bigint, path string"
+        _publisher(), "name string, mimeType string, size bigint, path string"
     )
     published.write.parquet(f"{run}/published")
     return spark.read.parquet(f"{run}/published")
 
 
 def _stager(root: str):
-    def stage(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-        from pyarrow import fs
+    """Writes each body of a task to a file of its own and gives out manifest rows."""
+    located = file_locator()
+
+    def stage(batches):
+        import uuid
 
-        from foldergrid.sources.folder import _as_uri
+        import pyarrow as pa
 
-        system, base = fs.FileSystem.from_uri(root if "://" in root else _as_uri(root))
+        system, base = located(root)
         system.create_dir(base, recursive=True)
         for batch in batches:
-            staged = []
+            tokens, sizes = [], []
             for body in batch.column("body"):
-                path = f"{base}/{uuid.uuid4().hex}"
-                with system.open_output_stream(path) as out:
-                    out.write(body.as_buffer())
-                staged.append(path)
+                content = body.as_buffer()
+                tokens.append(uuid.uuid4().hex)
+                sizes.append(len(content))
+                with system.open_output_stream(f"{base}/{tokens[-1]}") as out:
+                    out.write(content)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("name"), batch.column("mimeType"),
-                    pa.array([len(b.as_buffer()) for b in batch.column("body")], pa.int64()),
-                    pa.array([_uri_like(root, p) for p in staged], pa.string()),
+                    batch.column("name"), batch.column("mimeType"), pa.array(sizes, pa.int64()),
+                    pa.array([f"{root}/{token}" for token in tokens], pa.string()),
                 ],
                 names=["name", "mimeType", "size", "staged"],
             )
@@ -120,29 +122,25 @@ def _stager(root: str):
     return stage
 
 
-def _uri_like(root: str, path: str) -> str:
-    scheme, found, _ = root.partition("://")
-    return f"{scheme}://{path}" if found else path
-
-
-def _publish(batches: Iterator) -> Iterator:
-    import pyarrow as pa
-    from pyarrow import fs
+def _publisher():
+    """Moves staged files to their final path; a file already moved is left alone."""
+    located = file_locator()
 
-    from foldergrid.sources.folder import _as_uri
+    def publish(batches):
+        import pyarrow as pa
+        from pyarrow import fs
 
-    def located(path: str):
-        return fs.FileSystem.from_uri(path if "://" in path else _as_uri(path))
+        for batch in batches:
+            for staged, path in zip(batch.column("staged").to_pylist(), batch.column("path").to_pylist()):
+                system, source = located(staged)
+                _, target = located(path)
+                if system.get_file_info(source).type != fs.FileType.NotFound:
+                    system.move(source, target)
+                elif system.get_file_info(target).type == fs.FileType.NotFound:
+                    raise FileNotFoundError(f"Neither {staged} nor {path} exists.")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in ("name", "mimeType", "size", "path")],
+                names=["name", "mimeType", "size", "path"],
+            )
 
-    for batch in batches:
-        for staged, path in zip(batch.column("staged").to_pylist(), batch.column("path").to_pylist()):
-            system, source = located(staged)
-            _, target = located(path)
-            if system.get_file_info(source).type != fs.FileType.NotFound:
-                system.move(source, target)
-            elif system.get_file_info(target).type == fs.FileType.NotFound:
-                raise FileNotFoundError(f"Neither {staged} nor {path} exists.")
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(c) for c in ("name", "mimeType", "size", "path")],
-            names=["name", "mimeType", "size", "path"],
-        )
+    return publish

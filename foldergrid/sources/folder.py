@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import mimetypes
-from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,19 +18,24 @@ def _mime_of(name: Column) -> Column:
     return F.coalesce(F.try_element_at(table, extension), F.lit("application/octet-stream"))
 
 
-def list_folder(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
-    """Catalogue of a folder's files. Bodies are not read: only listing columns are selected,
-    and filters on size and modification time reach the file index."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+def catalogue_columns(folder: str) -> list[Column]:
+    """Listing columns of Spark's binaryFile rows under the catalogue's names."""
     name = F.regexp_extract("path", r"([^/]+)$", 1)
-    return reader.load(folder).select(
+    return [
         F.col("path").alias("id"),
         name.alias("name"),
         _mime_of(name).alias("mimeType"),
         F.col("length").alias("size"),
         F.array(F.lit(folder)).alias("parents"),
         F.col("modificationTime").alias("modifiedTime"),
-    )
+    ]
+
+
+def list_folder(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
+    """Catalogue of a folder's files. Bodies are not read: only listing columns are selected,
+    and filters on size and modification time reach the file index."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    return reader.load(folder).select(*catalogue_columns(folder))
 
 
 def read_parts(files: DataFrame, max_bytes: int = 0, tasks: int | None = None) -> DataFrame:
@@ -44,31 +48,51 @@ def read_parts(files: DataFrame, max_bytes: int = 0, tasks: int | None = None) -
     spark = files.sparkSession
     parts = plan_parts(files, max_bytes).repartition(tasks or 4 * shuffle_width(spark), "id", "bytes_from")
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields)
-    return parts.mapInArrow(_read_ranges, f"{out}, body binary, offset bigint")
-
-
-def _read_ranges(batches: Iterator) -> Iterator:
-    """Open each range's file, seek, and give out one record at a time."""
-    import pyarrow as pa
-    from pyarrow import fs
-
-    plan = ("bytes_from", "bytes_to", "is_partitioned")
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        kept = table.drop_columns([c for c in plan if c in table.column_names])
-        for i, (path, start, end) in enumerate(
-            zip(*(table[c].to_pylist() for c in ("id", "bytes_from", "bytes_to")))
-        ):
-            system, inner = fs.FileSystem.from_uri(path if "://" in path else _as_uri(path))
-            with system.open_input_file(inner) as source:
-                source.seek(start or 0)
-                body = source.read(None if end is None else end - start + 1)
-            record = kept.slice(i, 1)
-            record = record.append_column("body", pa.array([body], pa.binary()))
-            record = record.append_column("offset", pa.array([start or 0], pa.int64()))
-            yield from record.to_batches()
-
-
-def _as_uri(path: str) -> str:
-    """Hadoop writes local paths as file:/x; URIs want file:///x."""
-    return "file://" + path.removeprefix("file:")
+    return parts.mapInArrow(_range_reader(), f"{out}, body binary, offset bigint")
+
+
+def file_locator():
+    """A function path -> (pyarrow file system, path inside it), for use in tasks.
+
+    It is made here and not imported there, so that tasks need nothing but pyarrow. Only the
+    scheme and authority are parsed as a URI; names may hold any characters.
+    """
+
+    def located(path: str):
+        from pyarrow import fs
+
+        scheme, found, rest = path.partition("://")
+        if not found:
+            return fs.LocalFileSystem(), path.removeprefix("file:")
+        authority, _, inner = rest.partition("/")
+        if scheme == "file":
+            return fs.LocalFileSystem(), "/" + inner
+        system, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+        return system, f"{base.rstrip('/')}/{inner}"
+
+    return located
+
+
+def _range_reader():
+    """Opens each range's file, seeks, and gives out one record at a time."""
+    located = file_locator()
+
+    def read(batches):
+        import pyarrow as pa
+
+        plan = ("bytes_from", "bytes_to", "is_partitioned")
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            kept = table.drop_columns([c for c in plan if c in table.column_names])
+            ranges = zip(*(table[c].to_pylist() for c in ("id", "bytes_from", "bytes_to")))
+            for i, (path, start, end) in enumerate(ranges):
+                system, inner = located(path)
+                with system.open_input_file(inner) as source:
+                    source.seek(start or 0)
+                    body = source.read(None if end is None else end - start + 1)
+                record = kept.slice(i, 1)
+                record = record.append_column("body", pa.array([body], pa.binary()))
+                record = record.append_column("offset", pa.array([start or 0], pa.int64()))
+                yield from record.to_batches()
+
+    return read
