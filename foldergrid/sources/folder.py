@@ -11,31 +11,66 @@ from foldergrid.operators.bodies import plan_parts
 from foldergrid.session import shuffle_width
 
 
-def _mime_of(name: Column) -> Column:
+def mime_of(name: Column) -> Column:
     """MIME type by file extension, from the standard library's table."""
     table = F.create_map(*[F.lit(x) for pair in sorted(mimetypes.types_map.items()) for x in pair])
     extension = F.lower(F.regexp_extract(name, r"(\.[^.]+)$", 1))
     return F.coalesce(F.try_element_at(table, extension), F.lit("application/octet-stream"))
 
 
-def catalogue_columns(folder: str) -> list[Column]:
-    """Listing columns of Spark's binaryFile rows under the catalogue's names."""
+LISTING_DDL = "path string, length bigint, modified_ms bigint, is_folder boolean"
+
+
+def list_folder(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
+    """Catalogue of a folder's files, without reading any of them.
+
+    Listing runs in tasks and is never held by the driver; with `recursive` every folder
+    directly below is listed by a task of its own. Spark's own file index is not used here
+    because it leaves out empty files and names that begin with an underscore or a dot.
+    """
+    root = folder.rstrip("/")
+    listed = spark.createDataFrame([(root,)], "path string").mapInArrow(_lister(False), LISTING_DDL)
+    files = listed.where("NOT is_folder")
+    if recursive:
+        below = listed.where("is_folder").select("path").repartition(4 * shuffle_width(spark), "path")
+        files = files.unionByName(below.mapInArrow(_lister(True), LISTING_DDL).where("NOT is_folder"))
     name = F.regexp_extract("path", r"([^/]+)$", 1)
-    return [
+    return files.select(
         F.col("path").alias("id"),
         name.alias("name"),
-        _mime_of(name).alias("mimeType"),
+        mime_of(name).alias("mimeType"),
         F.col("length").alias("size"),
-        F.array(F.lit(folder)).alias("parents"),
-        F.col("modificationTime").alias("modifiedTime"),
-    ]
+        F.array(F.regexp_extract("path", r"^(.*)/[^/]*$", 1)).alias("parents"),
+        F.timestamp_millis("modified_ms").alias("modifiedTime"),
+    )
 
 
-def list_folder(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
-    """Catalogue of a folder's files. Bodies are not read: only listing columns are selected,
-    and filters on size and modification time reach the file index."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-    return reader.load(folder).select(*catalogue_columns(folder))
+def _lister(recursive: bool):
+    """Lists each folder of a task; the staging area of the file sink is skipped."""
+    located = file_locator()
+
+    def lists(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for batch in batches:
+            for folder in batch.column("path").to_pylist():
+                system, base = located(folder)
+                found = system.get_file_info(fs.FileSelector(base, recursive=recursive))
+                found = [info for info in found if "/_staging" not in info.path[len(base):]]
+                for start in range(0, len(found), 10_000):
+                    some = found[start:start + 10_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([folder + info.path[len(base):] for info in some], pa.string()),
+                            pa.array([info.size for info in some], pa.int64()),
+                            pa.array([(info.mtime_ns or 0) // 1_000_000 for info in some], pa.int64()),
+                            pa.array([info.type == fs.FileType.Directory for info in some], pa.bool_()),
+                        ],
+                        names=["path", "length", "modified_ms", "is_folder"],
+                    )
+
+    return lists
 
 
 def read_parts(files: DataFrame, max_bytes: int = 0, tasks: int | None = None) -> DataFrame:

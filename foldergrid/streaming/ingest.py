@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,30 +10,63 @@ from pyspark.sql.streaming import StreamingQuery
 from foldergrid.model import FileSourceOptions
 from foldergrid.operators.bodies import cut_bodies
 from foldergrid.operators.metadata import project_metadata
-from foldergrid.sources.folder import catalogue_columns
+from foldergrid.sources.folder import list_folder, mime_of, read_parts
 
-_BINARY_FILE_DDL = "path string, modificationTime timestamp, length bigint, content binary"
 
-
-def stream_folder(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
-    """A streaming catalogue of a folder, bodies included: each file comes once."""
-    reader = spark.readStream.format("binaryFile").schema(_BINARY_FILE_DDL)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(folder).select(*catalogue_columns(folder), F.col("content").alias("body"))
+def _table(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:  # not written yet
+        return None
 
 
 def ingest_new_files(
-    spark: SparkSession, folder: str, out: str, checkpoint: str, options: FileSourceOptions, files_per_trigger: int | None = None
-) -> StreamingQuery:
-    """One scheduled run: append the records of files that no earlier run has read, then stop.
+    spark: SparkSession, folder: str, out: str, options: FileSourceOptions, recursive: bool = False
+) -> int:
+    """One scheduled run: the records of files that no earlier run has read (or that have
+    changed since) are written under `out`/records; returns the number of the run.
 
-    The checkpoint remembers what was read; the file sink commits each run once.
+    A run writes its records and then the list of files they came from, both to a folder of
+    its own. A run that failed in between is repeated under the same number and overwrites
+    what it left, so every file is in the records once per version.
     """
-    files = stream_folder(spark, folder, files_per_trigger)
+    seen = _table(spark, f"{out}/seen")
+    run = 0 if seen is None else seen.agg(F.max("run")).first()[0] + 1
+    listing = list_folder(spark, folder, recursive)
+    if seen is not None:
+        listing = listing.join(seen.select("id", "modifiedTime"), ["id", "modifiedTime"], "left_anti")
+    batch = f"{out}/batch/run={run}"
+    listing.write.mode("overwrite").parquet(batch)  # what this run reads, fixed before it is read
+    files = spark.read.parquet(batch)
     records = project_metadata(
-        cut_bodies(files, options.max_part_bytes), options.properties, options.body_format
+        read_parts(files, options.max_part_bytes), options.properties, options.body_format
+    )
+    records.write.mode("overwrite").parquet(f"{out}/records/run={run}")
+    files.select("id", "modifiedTime").write.mode("overwrite").parquet(f"{out}/seen/run={run}")
+    return run
+
+
+def stream_folder(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The same folder as a stream of files with their bodies, each coming once.
+
+    This is Spark's file stream, which passes over empty files and hidden names; use
+    `ingest_new_files` where those count.
+    """
+    ddl = "path string, modificationTime timestamp, length bigint, content binary"
+    reader = spark.readStream.format("binaryFile").schema(ddl)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    return reader.load(folder).select(
+        F.col("path").alias("id"), name.alias("name"), mime_of(name).alias("mimeType"), F.col("length").alias("size"),
+        F.array(F.lit(folder)).alias("parents"), F.col("modificationTime").alias("modifiedTime"),
+        F.col("content").alias("body"),
     )
+
+
+def stream_records(files: DataFrame, options: FileSourceOptions, out: str, checkpoint: str) -> StreamingQuery:
+    """Append the records of a file stream to a table and stop when all is read."""
+    records = project_metadata(cut_bodies(files, options.max_part_bytes), options.properties, options.body_format)
     return (
         records.writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", checkpoint)
