@@ -64,55 +64,49 @@ def resolve_headers(cells: DataFrame, merges: DataFrame, options: SheetSourceOpt
     """Headers of every sheet at once.
 
     (sheet key, col_index, title, sub_index, sub_title, data_col, type); plain columns have
-    null sub_index and sub_title. Reads at most four rows per sheet, and every group below
-    is the columns of one sheet.
+    null sub_index and sub_title. Reads at most four rows per sheet, once: title, sub-title
+    and sample of a column and its place in a merge meet in one aggregation per (sheet,
+    column). The windows after it hold the columns of one sheet.
     """
     row = options.header_row - 1
     # the first data row depends on whether the sheet has a second header row
     plain_row, nested_row = options.first_data_row(1) - 1, options.first_data_row(2) - 1
-    few = cells.where(F.col("row_idx").isin(sorted({row, row + 1, plain_row, nested_row})))
+    text = F.when(F.length("formatted") > 0, F.col("formatted"))
+    kind = cell_type(options.formatting)
 
+    def at(index: int, value: Column) -> Column:
+        return F.when(F.col("row_idx") == index, value)
+
+    titles = cells.where(F.col("row_idx").isin(sorted({row, row + 1, plain_row, nested_row}))).select(
+        *SHEET_KEY, "col_idx", at(row, text).alias("_title"), at(row + 1, text).alias("_sub"),
+        at(plain_row, kind).alias("_plain"), at(nested_row, kind).alias("_nested"),
+        F.lit(None).cast("int").alias("_start"),
+    )
+    none = F.lit(None).cast("string")
     members = header_merges(merges, options).select(
-        *SHEET_KEY, "start_col", F.explode(F.sequence("start_col", F.col("end_col") - 1)).alias("col_idx"),
-        (F.col("end_col") - F.col("start_col")).alias("n_sub"),
+        *SHEET_KEY, F.explode(F.sequence("start_col", F.col("end_col") - 1)).alias("col_idx"),
+        none.alias("_title"), none.alias("_sub"), none.alias("_plain"), none.alias("_nested"),
+        F.col("start_col").alias("_start"),
     )
+    parts = ["_title", "_sub", "_plain", "_nested", "_start"]
+    columns = titles.unionByName(members).groupBy(*SHEET_KEY, "col_idx").agg(*[F.max(p).alias(p) for p in parts])
+
+    head = F.coalesce("_start", "col_idx")
+    group = Window.partitionBy(*SHEET_KEY, head)
     last = options.last_column or MAX_COLUMNS
-    titles = (
-        few.where((F.col("row_idx") == row) & (F.col("col_idx") < last))
-        .select(*SHEET_KEY, "col_idx", F.col("formatted").alias("_title"))
-        .join(members, [*SHEET_KEY, "col_idx"], "left")
-        .where(F.col("start_col").isNull() | (F.col("start_col") == F.col("col_idx")))
-        .where(F.length("_title") > 0)
-        .withColumn("nested", F.max(F.col("n_sub").isNotNull()).over(Window.partitionBy(*SHEET_KEY)))
-        .select(
-            *SHEET_KEY, "nested", F.col("col_idx").alias("col_index"),
-            usable_title(F.col("_title"), F.col("col_idx")).alias("title"),
-            F.explode(F.sequence(F.lit(0), F.coalesce("n_sub", F.lit(1)) - 1)).alias("_sub"),
-            F.col("n_sub").isNotNull().alias("_group"),
-        )
-        .withColumn("data_col", F.col("col_index") + F.col("_sub"))
-    )
-    sub_titles = few.where(F.col("row_idx") == row + 1).select(
-        *SHEET_KEY, F.col("col_idx").alias("data_col"), F.col("formatted").alias("_sub_title")
-    )
-    samples = few.where(F.col("row_idx").isin(sorted({plain_row, nested_row}))).select(
-        *SHEET_KEY, F.col("col_idx").alias("data_col"),
-        F.col("row_idx").alias("_row"), cell_type(options.formatting).alias("_type"),
-    )
-    sample_row = F.when(F.col("nested"), F.lit(nested_row)).otherwise(F.lit(plain_row)).cast("bigint")
-    return (
-        titles.withColumn("_row", sample_row)
-        .join(sub_titles, [*SHEET_KEY, "data_col"], "left")
-        .join(samples, [*SHEET_KEY, "data_col", "_row"], "left")
-        .select(
-            *SHEET_KEY, "col_index", "title",
-            F.when(F.col("_group"), F.col("_sub")).alias("sub_index"),
-            F.when(
-                F.col("_group"), usable_title(F.coalesce("_sub_title", F.lit("")), F.col("data_col"))
-            ).alias("sub_title"),
-            "data_col",
-            F.coalesce("_type", F.lit("string")).alias("type"),
-        )
+    titled = columns.select(
+        *SHEET_KEY, "col_idx", *parts, head.alias("col_index"),
+        F.max(F.when(F.col("col_idx") == head, F.col("_title"))).over(group).alias("_head_title"),
+    ).where(F.col("_head_title").isNotNull() & (F.col("col_index") < last))
+    is_group = F.col("_start").isNotNull()
+    has_groups = F.max(is_group).over(Window.partitionBy(*SHEET_KEY))
+    return titled.select(
+        *SHEET_KEY, "col_index",
+        usable_title(F.col("_head_title"), F.col("col_index")).alias("title"),
+        F.when(is_group, F.col("col_idx") - F.col("_start")).alias("sub_index"),
+        F.when(is_group, usable_title(F.coalesce("_sub", F.lit("")), F.col("col_idx"))).alias("sub_title"),
+        F.col("col_idx").alias("data_col"),
+        F.coalesce(F.when(has_groups, F.col("_nested")).otherwise(F.col("_plain")), F.lit("string")).alias("type"),
     )
 
 

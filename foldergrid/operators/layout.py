@@ -62,18 +62,25 @@ def range_number(df: DataFrame, keys: list[str], bounds: list) -> Column:
     """Number of bounds at or below the row's key, found by bisection over a literal array."""
     if not bounds:
         return F.lit(0)
-    kinds = [df.schema[k].dataType for k in keys]
+    kinds = [df.schema[k].dataType.simpleString() for k in keys]
+    # the literals get the type of the key here, so that no comparison converts a struct
+    key_type = "struct<" + ", ".join(f"k{i}: {kind}" for i, kind in enumerate(kinds)) + ">"
     table = F.array(
-        *[F.struct(*[F.lit(v).cast(t).alias(k) for v, t, k in zip(bound, kinds, keys)]) for bound in bounds]
-    )
-    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
-    key = F.struct(*keys)
-    # past the end `get` is null, which is not <= key
-    return F.aggregate(
-        F.lit(steps),
-        F.lit(0),
-        lambda low, step: F.when(F.get(table, low + step - 1) <= key, low + step).otherwise(low),
-    )
+        *[F.struct(*[F.lit(v).cast(t) for v, t in zip(bound, kinds)]).cast(key_type) for bound in bounds]
+    ).cast(f"array<{key_type}>")
+    steps = F.lit([1 << i for i in reversed(range(len(bounds).bit_length()))])
+
+    def bisect(key: Column) -> Column:
+        # past the end `get` is null, which is not <= key
+        return F.aggregate(
+            steps,
+            F.lit(0),
+            lambda low, step: F.when(F.get(table, low + step - 1) <= key, low + step).otherwise(low),
+        )
+
+    # the key is built once, as a lambda variable, and not once per comparison
+    key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    return F.transform(F.array(key), bisect)[0]
 
 
 def running_totals(
@@ -81,16 +88,16 @@ def running_totals(
 ) -> DataFrame:
     """`df` with one exclusive running total per entry of `totals`.
 
-    The groups must be nested (the coarsest leads the order) and `order_by` must be unique
-    within the coarsest group, otherwise ties are in no order. One shuffle of the rows, on
-    (range, coarsest group), serves every total.
+    The groups must be nested, the columns of a coarser one leading those of a finer, and
+    `order_by` must be unique within the coarsest group, otherwise ties are in no order. One
+    shuffle of the rows, on (range, coarsest group), serves every total.
     """
     if not order_by:
         raise ValueError("A running total needs an explicit order: name the columns in order_by.")
     totals = sorted(totals, key=lambda t: len(t.group))
     for coarse, fine in zip(totals, totals[1:]):
-        if not set(coarse.group) <= set(fine.group):
-            raise ValueError("The groups of the running totals must be nested.")
+        if fine.group[: len(coarse.group)] != coarse.group:
+            raise ValueError("The groups of the running totals must be nested, the coarser leading.")
     keys = [*totals[0].group, *[c for c in order_by if c not in totals[0].group]]
     ranges = min(n_ranges or 2 * shuffle_width(df.sparkSession), MAX_RANGES)
     ranged = df.withColumns(
@@ -103,26 +110,32 @@ def running_totals(
         }
     )
 
-    # (range, finest group) totals come from one pass; coarser ones are sums of them
+    # one pass gives the totals per range of every group: at most (groups + ranges) rows each
     finest = list(totals[-1].group)
-    sums = ranged.groupBy("_range", *finest).agg(*[F.sum(f"_v_{t.name}").alias(f"_v_{t.name}") for t in totals])
-    rows = ranged.withColumn("_row", F.lit(1))
-    for total in totals:
-        group, value = list(total.group), f"_v_{total.name}"
-        own = sums if group == finest else sums.groupBy("_range", *group).agg(F.sum(value).alias(value))
-        # at most one entry per range in a group
-        before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-        starts = own.select(
-            "_range", *group, F.coalesce(F.sum(value).over(before), F.lit(0)).alias(value), F.lit(0).alias("_row")
-        )
-        rows = rows.unionByName(starts, allowMissingColumns=True)
+    values = [f"_v_{t.name}" for t in totals]
+    levels = sorted({t.group for t in totals}, key=len)
+    sums = ranged.groupingSets([["_range", *group] for group in levels], "_range", *finest).agg(
+        F.grouping_id().alias("_level"), *[F.sum(v).alias(v) for v in values]
+    )
+    # what each range starts from: a window of at most one entry per range
+    before = Window.partitionBy("_level", *finest).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    level_of = {group: (1 << (len(finest) - len(group))) - 1 for group in levels}
+    starts = sums.select(
+        "_range", *finest,
+        *[
+            F.when(F.col("_level") == level_of[t.group], F.sum(v).over(before)).alias(v)
+            for t, v in zip(totals, values)
+        ],
+        F.lit(0).alias("_row"),
+    )
+    rows = ranged.withColumn("_row", F.lit(1)).unionByName(starts, allowMissingColumns=True)
     for total in totals:
         running = (
             Window.partitionBy("_range", *total.group).orderBy("_row", *order_by)
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         rows = rows.withColumn(total.name, F.sum(f"_v_{total.name}").over(running))
-    return rows.where("_row = 1").select(*df.columns, *[t.name for t in totals])
+    return rows.where("_row = 1").select(*df.columns, *[F.coalesce(t.name, F.lit(0)).alias(t.name) for t in totals])
 
 
 def place_records(

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foldergrid.functions.cells import parse_cell
 from foldergrid.functions.serial import serial_to_date, serial_to_millis, serial_to_timestamp
 from foldergrid.model import CELL_VALUES, ROW_KEY, SheetSourceOptions
 from foldergrid.operators.headers import Header
@@ -85,10 +89,9 @@ def build_rows(
 
 
 def _cell_aggregate(col: int, source: str, ranked: bool) -> Column:
-    here = F.col("col_idx") == F.lit(col)
-    if ranked:
-        return F.max(F.when(here, F.struct(F.col("_rank").alias("r"), F.col(source).alias("v"))))
-    return F.max(F.when(here, F.col(source)))
+    # one SQL text per column: a sheet may have many, and each Column call costs a round trip
+    value = f"named_struct('r', _rank, 'v', {source})" if ranked else source
+    return F.expr(f"max(CASE WHEN col_idx = {col} THEN {value} END)")
 
 
 def _wide_rows(union: DataFrame, values: list[str]) -> DataFrame:
@@ -131,26 +134,27 @@ def rows_from_arrays(
     fills: DataFrame | None = None,
     spine: DataFrame | None = None,
 ) -> DataFrame:
-    """Like `build_rows`, for rows that still hold their cells as an array in column order.
+    """Like `build_rows`, for rows that still hold the raw cells of a document as an array
+    in column order (`values`).
 
-    A row that arrives whole needs no shuffle at all; only when ranges are merged or empty
-    rows are wanted does one aggregation on the row key bring the pieces together.
+    A row that arrives whole needs no shuffle at all, and only the cells of resolved columns
+    are parsed. When ranges are merged or empty rows are wanted, the cells join the one
+    aggregation of `build_rows`.
     """
-    leaves = _leaves(headers)
-    values = ["non_empty", *dict.fromkeys(source for _, source in leaves)]
     columns = sorted({col for header in headers for col in header.columns})
-
-    def own(col: int) -> Column:
-        return F.get(F.col("cells"), F.lit(col))
-
     if fills is None and spine is None:
-        built = grid
-        pick = lambda col, source: own(col)[source]
-        filled = [F.coalesce(own(col)["non_empty"], F.lit(False)) for col in columns]
+        parsed = grid.select(
+            *ROW_KEY, *[parse_cell(F.get("values", F.lit(col))).alias(f"_{col}") for col in columns]
+        )
         if options.skip_empty:
-            built = built.where(F.exists(F.array(*filled), lambda f: f))
-        return built.select(*ROW_KEY, *_header_columns(headers, pick, options.day_micros))
-    long = grid.select(*ROW_KEY, F.posexplode("cells").alias("col_idx", "_cell")).select(
-        *ROW_KEY, "col_idx", *[F.col("_cell")[c].alias(c) for c in CELL_VALUES]
+            filled = [F.coalesce(F.col(f"_{col}")["non_empty"], F.lit(False)) for col in columns]
+            parsed = parsed.where(reduce(or_, filled))
+        pick = lambda col, source: F.col(f"_{col}")[source]
+        return parsed.select(*ROW_KEY, *_header_columns(headers, pick, options.day_micros))
+    long = (
+        grid.select(*ROW_KEY, F.posexplode("values").alias("col_idx", "_raw"))
+        .where(F.col("_raw").isNotNull() & F.col("col_idx").isin(columns))
+        .select(*ROW_KEY, "col_idx", parse_cell(F.col("_raw")).alias("_cell"))
+        .select(*ROW_KEY, "col_idx", *[F.col("_cell")[c].alias(c) for c in CELL_VALUES])
     )
-    return build_rows(long.where(F.col("col_idx").isin(columns)), headers, options, spine, fills)
+    return build_rows(long, headers, options, spine, fills)

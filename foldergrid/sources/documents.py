@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldergrid.model import CELL_STRUCT, CELL_VALUES, ROW_KEY
+from foldergrid.functions.cells import parse_cell
+from foldergrid.model import CELL_VALUES, ROW_KEY
 
 # Cells are declared as text, so that each keeps its raw JSON: an empty object is told apart
 # from a cell that has only a format.
@@ -20,13 +21,6 @@ sheets array<struct<
 >>
 """
 
-_CELL_DDL = """struct<
-  formattedValue: string,
-  effectiveValue: struct<numberValue: double, boolValue: boolean, stringValue: string>,
-  userEnteredValue: struct<numberValue: double, stringValue: string, boolValue: boolean, formulaValue: string>,
-  userEnteredFormat: struct<numberFormat: struct<type: string>>>"""
-
-
 def read_documents(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
     """Documents, one per line, or one per file."""
     return spark.read.schema(GRID_DDL).json(path, multiLine=whole_files)
@@ -81,37 +75,19 @@ def _grid_rows(documents: DataFrame) -> DataFrame:
     )
 
 
-def _parsed(raw: Column) -> Column:
-    cell = F.from_json(raw, _CELL_DDL)
-    return F.struct(
-        cell["formattedValue"].alias("formatted"),
-        cell["effectiveValue"]["numberValue"].alias("eff_num"),
-        cell["effectiveValue"]["boolValue"].alias("eff_bool"),
-        cell["userEnteredValue"]["numberValue"].alias("user_num"),
-        cell["userEnteredValue"]["stringValue"].alias("user_str"),
-        cell["userEnteredValue"]["boolValue"].alias("user_bool"),
-        cell["userEnteredValue"]["formulaValue"].alias("user_formula"),
-        cell["userEnteredFormat"]["numberFormat"]["type"].alias("num_format"),
-        (F.regexp_replace(raw, r"\s", "") != "{}").alias("non_empty"),
-    ).cast(CELL_STRUCT)
-
-
 def cells_of(documents: DataFrame) -> DataFrame:
     """The long cells table."""
     return (
         _grid_rows(documents)
         .select("spreadsheet_id", "sheet_id", "row_idx", "_col", F.posexplode("_values").alias("_pos", "_raw"))
         .where(F.col("_raw").isNotNull())
-        .select(*ROW_KEY, (F.col("_col") + F.col("_pos")).alias("col_idx"), _parsed(F.col("_raw")).alias("_cell"))
+        .select(*ROW_KEY, (F.col("_col") + F.col("_pos")).alias("col_idx"), parse_cell(F.col("_raw")).alias("_cell"))
         .select(*ROW_KEY, "col_idx", *[F.col("_cell")[c].alias(c) for c in CELL_VALUES])
     )
 
 
 def row_arrays_of(documents: DataFrame) -> DataFrame:
-    """One record per grid row with its cells in column order: the form in which rows arrive,
-    from which typed rows are built without a shuffle (`rows_from_arrays`). For blocks that
-    start at the first column."""
-    return _grid_rows(documents).select(
-        *ROW_KEY,
-        F.transform("_values", lambda raw: F.when(raw.isNotNull(), _parsed(raw))).alias("cells"),
-    )
+    """One record per grid row with the raw `values` of its cells in column order: the form in
+    which rows arrive, from which typed rows are built without a shuffle
+    (`rows_from_arrays`). For blocks that start at the first column."""
+    return _grid_rows(documents).select(*ROW_KEY, F.col("_values").alias("values"))

@@ -33,7 +33,7 @@ _KEY = ["spreadsheet_id", "sheet_id"]
 # ---------------------------------------------------------------- sheets
 def sheet_select(spark, sf_dir) -> DataFrame:
     sheets, cells = t.customer_grid(spark, sf_dir)
-    options = SheetSourceOptions(sheets_to_pull="titles", sheet_identifiers=("sheet 1", "sheet 2", "sheet 9"))
+    options = SheetSourceOptions(sheets_to_pull="titles", sheet_identifiers=("sheet 0", "sheet 2", "sheet 9"))
     wanted = select_sheets(sheets, options).select(*_KEY)
     return lookup_join(cells, wanted, _KEY, ["row_idx"], "left_semi").where("row_idx > 2").select(
         *_KEY, "row_idx", "col_idx", "formatted"
@@ -50,10 +50,10 @@ SHEET_SELECT = _CUSTOMER_SQL + f"""
 SELECT spreadsheet_id, sheet_id, row_idx, c::INT AS col_idx,
        CASE c WHEN 0 THEN c_custkey::VARCHAR WHEN 1 THEN c_name WHEN 2 THEN floor(c_acctbal)::BIGINT::VARCHAR
               ELSE c_mktsegment END AS formatted
-FROM placed, range(4) r(c) WHERE sheet_id IN (1, 2)
+FROM placed, range(4) r(c) WHERE sheet_id IN (0, 2)
 UNION ALL
 SELECT spreadsheet_id, sheet_id, {_LAST}, c, CASE c WHEN 0 THEN 'end' ELSE 'of sheet ' || sheet_id END
-FROM sheets, (VALUES (0), (3)) v(c) WHERE sheet_id IN (1, 2)
+FROM sheets, (VALUES (0), (3)) v(c) WHERE sheet_id IN (0, 2)
 """
 
 
@@ -164,10 +164,9 @@ def duplicate_headers(spark, sf_dir) -> DataFrame:
         (F.floor(F.col("p_partkey") / 20) % 4).alias("sheet_id"),
         F.col("p_partkey"), "p_type", "p_brand", "p_size",
     )
-    column = (F.col("p_partkey") % 20).cast("int")
-    title = F.when(F.col("p_size") > 10, F.col("p_brand")).otherwise(F.col("p_type"))
-    cells = parts.withColumn("row_idx", F.lit(0).cast("bigint")).select(
-        *_KEY, "row_idx", F.inline(F.array(t.cell(column, title)))
+    cells = t.long_cells(
+        parts.withColumn("row_idx", F.lit(0).cast("bigint")),
+        t.cell("p_partkey % 20", "CASE WHEN p_size > 10 THEN p_brand ELSE p_type END"),
     )
     merges = spark.createDataFrame([], "spreadsheet_id string, sheet_id bigint, start_row bigint, end_row bigint, start_col int, end_col int")
     headers = resolve_headers(cells, merges, SheetSourceOptions())
@@ -185,13 +184,11 @@ def schema_consistency(spark, sf_dir) -> DataFrame:
     """Sheets of orders whose second title names the status of their first order: those that
     differ from the first sheet of their book."""
     orders = t.in_sheets(table(spark, sf_dir, "orders"), "o_orderkey", 1, 100)
-    titles = orders.where(F.col("row_idx") == 1).select(
-        *_KEY, F.lit(0).cast("bigint").alias("row_idx"),
-        F.inline(F.array(t.cell(0, F.lit("key")), t.cell(1, F.concat(F.lit("status_"), "o_orderstatus")))),
+    titles = t.long_cells(
+        orders.where("row_idx = 1").withColumn("row_idx", F.lit(0).cast("bigint")),
+        t.cell(0, "'key'"), t.cell(1, "concat('status_', o_orderstatus)"),
     )
-    cells = t.long_cells(
-        orders, t.number_cell(0, F.col("o_orderkey")), t.cell(1, F.col("o_orderpriority"))
-    ).unionByName(titles)
+    cells = t.long_cells(orders, t.number_cell(0, "o_orderkey"), t.cell(1, "o_orderpriority")).unionByName(titles)
     merges = spark.createDataFrame([], "spreadsheet_id string, sheet_id bigint, start_row bigint, end_row bigint, start_col int, end_col int")
     return schema_mismatches(resolve_headers(cells, merges, SheetSourceOptions()))
 

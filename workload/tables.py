@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldergrid.functions import date_to_serial, timestamp_to_serial
-from foldergrid.model import CELL_STRUCT, FOLDER_MIME, NATIVE_MIMES
+from foldergrid.functions import date_to_serial, time_to_serial, timestamp_to_serial
+from foldergrid.model import CELL_FIELDS, FOLDER_MIME, NATIVE_MIMES
 from foldergrid.session import use_defaults
 
 # the moment every "now" stands for
@@ -100,33 +100,31 @@ files AS (
 
 # ---------------------------------------------------------------- cells
 def cell(
-    col: int | Column,
-    formatted: Column | None = None,
-    num: Column | None = None,
-    flag: Column | None = None,
+    col: int | str,
+    formatted: str = "NULL",
+    num: str = "NULL",
+    flag: str = "NULL",
     fmt: str | None = None,
-    non_empty: Column | None = None,
-) -> Column:
-    """One cell; text unless a number or a flag is given."""
-    null = lambda kind: F.lit(None).cast(kind)
-    text = formatted if num is None and flag is None and formatted is not None else null("string")
-    return F.struct(
-        (F.lit(col) if isinstance(col, int) else col).cast("int").alias("col_idx"),
-        (null("string") if formatted is None else formatted).alias("formatted"),
-        (null("double") if num is None else num).alias("eff_num"),
-        (null("boolean") if flag is None else flag).alias("eff_bool"),
-        (null("double") if num is None else num).alias("user_num"),
-        text.alias("user_str"),
-        (null("boolean") if flag is None else flag).alias("user_bool"),
-        null("string").alias("user_formula"),
-        F.lit(fmt).cast("string").alias("num_format"),
-        (F.lit(True) if non_empty is None else non_empty).alias("non_empty"),
-    ).cast(CELL_STRUCT.replace("struct<", "struct<col_idx: int, "))
-
-
-def number_cell(col: int, value: Column, fmt: str | None = None) -> Column:
-    value = value.cast("double")
-    return cell(col, F.floor(value).cast("string"), value, fmt=fmt)
+    non_empty: str = "true",
+) -> str:
+    """SQL of one cell; text unless a number or a flag is given."""
+    text = formatted if num == flag == "NULL" else "NULL"
+    values = {
+        "formatted": formatted, "eff_num": num, "eff_bool": flag, "user_num": num, "user_str": text,
+        "user_bool": flag, "user_formula": "NULL", "num_format": f"'{fmt}'" if fmt else "NULL", "non_empty": non_empty,
+    }
+    fields = [f"'{name}', CAST({values[name]} AS {kind})" for name, kind in CELL_FIELDS.items()]
+    return f"named_struct('col_idx', CAST({col} AS int), {', '.join(fields)})"
+
+
+def number_cell(col: int, value: str, fmt: str | None = None) -> str:
+    return cell(col, f"CAST(floor({value}) AS string)", value, fmt=fmt)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a scan with fewer splits than cores, dealt out; larger scans as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def in_sheets(df: DataFrame, key: str, first_row: int, rows_per_sheet: int, sheets_per_book: int = 4) -> DataFrame:
@@ -152,8 +150,8 @@ def place_sql(key: str, first_row: int, rows_per_sheet: int, sheets_per_book: in
     )
 
 
-def long_cells(df: DataFrame, *cells: Column) -> DataFrame:
-    return df.select("spreadsheet_id", "sheet_id", "row_idx", F.inline(F.array(*cells)))
+def long_cells(df: DataFrame, *cells: str) -> DataFrame:
+    return df.selectExpr("spreadsheet_id", "sheet_id", "row_idx", f"inline(array({', '.join(cells)}))")
 
 
 def sheet_list(placed: DataFrame, rows: int, columns: int) -> DataFrame:
@@ -171,10 +169,8 @@ def sheet_list(placed: DataFrame, rows: int, columns: int) -> DataFrame:
 
 def title_cells(sheets: DataFrame, row: int, titles: list[str | None]) -> DataFrame:
     """A row of titles in every sheet."""
-    cells = [cell(i, F.lit(t)) for i, t in enumerate(titles) if t is not None]
-    return sheets.select(
-        "spreadsheet_id", "sheet_id", F.lit(row).cast("bigint").alias("row_idx"), F.inline(F.array(*cells))
-    )
+    cells = [cell(i, f"'{t}'") for i, t in enumerate(titles) if t is not None]
+    return long_cells(sheets.withColumn("row_idx", F.lit(row).cast("bigint")), *cells)
 
 
 EVENT_TITLES = ["event_id", "ts", "clock", "user", "kind", "value", "high"]
@@ -184,20 +180,25 @@ EVENT_GRID_ROWS = 1 + 1000 + 100  # title row, rows, blanks
 
 def event_grid(spark: SparkSession, sf_dir: str):
     """(sheets, cells) of the events: one title row, seven typed columns."""
-    events = in_sheets(table(spark, sf_dir, "events"), "event_id", 1, EVENT_ROWS)
+    placed = in_sheets(table(spark, sf_dir, "events"), "event_id", 1, EVENT_ROWS)
     ts = F.date_trunc("MILLISECOND", "ts")
-    of_day = F.pmod(F.unix_micros(ts), F.lit(86_400_000_000))
+    events = spread(placed).withColumns(
+        {
+            "ts_serial": timestamp_to_serial(ts),
+            "time_serial": time_to_serial(F.pmod(F.unix_micros(ts), F.lit(86_400_000_000))),
+        }
+    )
     cells = long_cells(
         events,
-        number_cell(0, F.col("event_id")),
-        number_cell(1, timestamp_to_serial(ts), "DATE_TIME"),
-        number_cell(2, of_day.cast("double") / F.lit(86_400_000_000.0), "TIME"),
-        number_cell(3, F.col("user_id")),
-        cell(4, F.col("event_type")),
-        number_cell(5, F.col("value")),
-        cell(6, F.upper((F.col("value") > 50).cast("string")), flag=F.col("value") > 50),
+        number_cell(0, "event_id"),
+        number_cell(1, "ts_serial", "DATE_TIME"),
+        number_cell(2, "time_serial", "TIME"),
+        number_cell(3, "user_id"),
+        cell(4, "event_type"),
+        number_cell(5, "value"),
+        cell(6, "upper(CAST(value > 50 AS string))", flag="value > 50"),
     )
-    sheets = sheet_list(events, EVENT_GRID_ROWS, 7)
+    sheets = sheet_list(placed, EVENT_GRID_ROWS, 7)
     return sheets, cells.unionByName(title_cells(sheets, 0, EVENT_TITLES))
 
 
@@ -210,28 +211,26 @@ ORDER_MERGES = [(0, 1, 0, 2), (0, 1, 4, 6), (0, 2, 2, 3)]
 
 def order_grid(spark: SparkSession, sf_dir: str):
     """(sheets, cells, merges) of the orders: two title rows, two column groups."""
-    orders = in_sheets(table(spark, sf_dir, "orders"), "o_orderkey", 2, ORDER_ROWS)
+    placed = in_sheets(table(spark, sf_dir, "orders"), "o_orderkey", 2, ORDER_ROWS)
+    orders = spread(placed).withColumn("day_serial", date_to_serial(F.col("o_orderdate").cast("date")))
     cells = long_cells(
         orders,
-        number_cell(0, F.col("o_orderkey")),
-        number_cell(1, F.col("o_custkey")),
-        cell(2, F.col("o_orderstatus")),
-        number_cell(3, F.col("o_totalprice")),
-        number_cell(4, date_to_serial(F.col("o_orderdate").cast("date")), "DATE"),
-        cell(5, F.col("o_orderpriority")),
+        number_cell(0, "o_orderkey"),
+        number_cell(1, "o_custkey"),
+        cell(2, "o_orderstatus"),
+        number_cell(3, "o_totalprice"),
+        number_cell(4, "day_serial", "DATE"),
+        cell(5, "o_orderpriority"),
     )
-    sheets = sheet_list(orders, ORDER_GRID_ROWS, 6)
+    sheets = sheet_list(placed, ORDER_GRID_ROWS, 6)
     cells = cells.unionByName(title_cells(sheets, 0, ORDER_TITLES)).unionByName(
         title_cells(sheets, 1, ORDER_SUBTITLES)
     )
-    ranges = [
-        F.struct(
-            F.lit(a).cast("bigint").alias("start_row"), F.lit(b).cast("bigint").alias("end_row"),
-            F.lit(c).alias("start_col"), F.lit(d).alias("end_col"),
-        )
+    ranges = ", ".join(
+        f"named_struct('start_row', {a}L, 'end_row', {b}L, 'start_col', {c}, 'end_col', {d})"
         for a, b, c, d in ORDER_MERGES
-    ]
-    return sheets, cells, sheets.select("spreadsheet_id", "sheet_id", F.inline(F.array(*ranges)))
+    )
+    return sheets, cells, sheets.selectExpr("spreadsheet_id", "sheet_id", f"inline(array({ranges}))")
 
 
 CUSTOMER_ROWS = 500
@@ -244,29 +243,24 @@ def customer_grid(spark: SparkSession, sf_dir: str):
     customers = in_sheets(table(spark, sf_dir, "customer"), "c_custkey", 3, CUSTOMER_ROWS)
     cells = long_cells(
         customers,
-        number_cell(0, F.col("c_custkey")),
-        cell(1, F.col("c_name")),
-        number_cell(2, F.col("c_acctbal")),
-        cell(3, F.col("c_mktsegment")),
+        number_cell(0, "c_custkey"),
+        cell(1, "c_name"),
+        number_cell(2, "c_acctbal"),
+        cell(3, "c_mktsegment"),
     )
     sheets = sheet_list(customers, CUSTOMER_GRID_ROWS, 4)
     footer = CUSTOMER_GRID_ROWS - 2
-    meta = sheets.select(
-        "spreadsheet_id", "sheet_id",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(r).cast("bigint").alias("row_idx"), cell(c, text).alias("_c"))
-                    for r, c, text in (
-                        (0, 0, F.lit("book")), (0, 1, F.col("spreadsheet_name")),
-                        (1, 0, F.lit("sheet")), (1, 1, F.col("sheet_title")),
-                        (footer, 0, F.lit("end")), (footer, 3, F.concat(F.lit("of "), "sheet_title")),
-                    )
-                ]
-            )
-        ),
-    ).select("spreadsheet_id", "sheet_id", "row_idx", "_c.*")
-    return sheets, cells.unionByName(meta).unionByName(title_cells(sheets, 2, CUSTOMER_TITLES))
+    meta = [
+        f"named_struct('row_idx', {row}L, 'cell', {cell(col, text)})"
+        for row, col, text in (
+            (0, 0, "'book'"), (0, 1, "spreadsheet_name"), (1, 0, "'sheet'"), (1, 1, "sheet_title"),
+            (footer, 0, "'end'"), (footer, 3, "concat('of ', sheet_title)"),
+        )
+    ]
+    found = sheets.selectExpr("spreadsheet_id", "sheet_id", f"inline(array({', '.join(meta)}))").select(
+        "spreadsheet_id", "sheet_id", "row_idx", "cell.*"
+    )
+    return sheets, cells.unionByName(found).unionByName(title_cells(sheets, 2, CUSTOMER_TITLES))
 
 
 def conversation_grid(spark: SparkSession, sf_dir: str):
@@ -283,24 +277,17 @@ def conversation_grid(spark: SparkSession, sf_dir: str):
             "row_idx": F.col("conv_id") % 20 * 1_000_000_000 + F.col("turn"),
         }
     )
-    cells = long_cells(
-        rows,
-        cell(1, F.col("role")),
-        cell(2, F.col("role")),
-        cell(3, F.col("text")),
-    )
+    cells = long_cells(rows, cell(1, "role"), cell(2, "role"), cell(3, "text"))
     spans = rows.groupBy("spreadsheet_id", "sheet_id", "conv_id").agg(
         F.min("row_idx").alias("start_row"),
         (F.max("row_idx") + 1).alias("end_row"),
         F.max(F.col("role") == "system").alias("opened_by_system"),
     )
-    opened = F.col("opened_by_system")
-    heads = spans.select(
-        "spreadsheet_id", "sheet_id", F.col("start_row").alias("row_idx"),
-        F.inline(
-            F.array(
-                cell(0, F.when(~opened, F.concat(F.lit("conversation "), "conv_id")), non_empty=~opened)
-            )
+    heads = long_cells(
+        spans.withColumn("row_idx", F.col("start_row")),
+        cell(
+            0, "CASE WHEN NOT opened_by_system THEN concat('conversation ', conv_id) END",
+            non_empty="NOT opened_by_system",
         ),
     )
     merges = spans.select(
