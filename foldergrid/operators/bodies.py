@@ -85,7 +85,9 @@ def with_renditions(files: DataFrame, renditions: DataFrame, formats: dict[str,
         .when(F.col("content").isNotNull(), F.col("content"))
         .otherwise(missing.cast("binary"))
     )
-    joined = wanted.join(renditions, ["id", "export_mime"], "left")
+    asked = [(formats or {}).get(kind, mimes[0]) for kind, mimes in EXPORT_FORMATS.items()]
+    offered = renditions.where(F.col("export_mime").isin(sorted({*asked, SCRIPT_EXPORT_MIME})))
+    joined = wanted.join(offered, ["id", "export_mime"], "left")
     return joined.select(
         *[
             F.coalesce("export_mime", "mimeType").alias("mimeType")

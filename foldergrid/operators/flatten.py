@@ -134,48 +134,75 @@ def _named(path: tuple[str, ...]) -> Column:
     return F.col(".".join(f"`{part}`" for part in path))
 
 
-def route(records: DataFrame, options: SheetSinkOptions) -> DataFrame:
-    """Target spreadsheet and sheet of each record: its own fields, else the defaults."""
-
+def _targets(options: SheetSinkOptions) -> tuple[Column, Column]:
     def target(name: str | None, default: str) -> Column:
         return F.coalesce(F.col(f"`{name}`"), F.lit(default)) if name else F.lit(default)
 
-    return records.withColumns(
-        {
-            "spreadsheet_name": target(options.spreadsheet_field, options.spreadsheet_name),
-            "sheet_name": target(options.sheet_field, options.sheet_name),
-        }
+    return (
+        target(options.spreadsheet_field, options.spreadsheet_name).alias("spreadsheet_name"),
+        target(options.sheet_field, options.sheet_name).alias("sheet_name"),
     )
 
 
-def with_cells(
-    records: DataFrame, options: SheetSinkOptions, keep: tuple[str, ...] = ()
-) -> DataFrame:
-    """Records reduced to what the grid needs: target, `keep` columns, n_rows, the lengths of
-    the arrays, and per grid column its encoded cells (one, or one per array element)."""
-    schema = T.StructType([f for f in records.schema.fields])
-    check_schema(schema, options)
-    leaves = leaf_columns(schema, options)
+def route(records: DataFrame, options: SheetSinkOptions) -> DataFrame:
+    """Target spreadsheet and sheet of each record: its own fields, else the defaults."""
+    return records.select(*_targets(options), *[F.col(f"`{c}`") for c in records.columns if c not in TARGET])
+
+
+RECORD = "_record"
+_RESERVED = {*TARGET, RECORD, "n_rows", "lengths", "columns", "first_row", "is_first", "batch_no", "row_in_record"}
+
+
+def measure_records(records: DataFrame, options: SheetSinkOptions, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Target, `keep` columns, n_rows, and the record itself as one struct.
+
+    This is the compact form for anything that shuffles records; cells are several times
+    larger and are encoded afterwards (`encode_records`).
+    """
+    check_schema(records.schema, options)
+    taken = _RESERVED.intersection(keep)
+    if taken:
+        raise ValueError(f"Rename the columns {sorted(taken)}: the grid uses these names itself.")
+    n_rows = F.lit(1).cast("bigint")
+    for leaf in leaf_columns(records.schema, options):
+        if leaf.array is not None:
+            n_rows = n_rows * _length(_named(leaf.path))
+    record = F.struct(*[F.col(f"`{c}`") for c in records.columns]).alias(RECORD)
+    kept = [F.col(f"`{c}`") for c in keep]
+    book, sheet = _targets(options)
+    return records.select(book, sheet, *kept, n_rows.alias("n_rows"), record)
+
+
+def encode_records(measured: DataFrame, options: SheetSinkOptions) -> DataFrame:
+    """The record struct replaced by the lengths of its arrays and, per grid column, its
+    encoded cells (one, or one per array element)."""
     lengths, cells = [], []
-    for leaf in leaves:
-        value = _named(leaf.path)
+    for leaf in leaf_columns(measured.schema[RECORD].dataType, options):
+        value = _named((RECORD, *leaf.path))
         unit = options.time_fields.get(".".join(leaf.path))
         if leaf.array is None:
             cells.append(F.array(encode_cell(value, leaf.kind, options, unit)))
         else:
             elements = F.when(F.size(value) > 0, value).otherwise(F.array(F.lit(None).cast(leaf.kind)))
-            lengths.append(F.greatest(F.size(value), F.lit(1)).cast("bigint"))
+            lengths.append(_length(value))
             cells.append(F.transform(elements, _encoder(leaf.kind, options, unit)))
-    n_rows = F.lit(1).cast("bigint")
-    for length in lengths:
-        n_rows = n_rows * length
-    return route(records, options).select(
-        *TARGET, *keep, n_rows.alias("n_rows"),
+    return measured.select(
+        *[c for c in measured.columns if c != RECORD],
         F.array(*lengths).cast("array<bigint>").alias("lengths"),
         F.array(*cells).cast(f"array<array<{CELL_DDL}>>").alias("columns"),
     )
 
 
+def with_cells(records: DataFrame, options: SheetSinkOptions, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Records reduced to what the grid needs: target, `keep` columns, n_rows and cells."""
+    return encode_records(measure_records(records, options, keep), options)
+
+
+def _length(array: Column) -> Column:
+    """Rows an array makes: an empty or null one makes one."""
+    return F.greatest(F.size(array), F.lit(1)).cast("bigint")
+
+
 def _spans(leaves: list[Leaf]) -> dict[int, Column]:
     """S_k: how many consecutive rows an element of array k covers."""
     count = max((leaf.array + 1 for leaf in leaves if leaf.array is not None), default=0)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldergrid.model import CELL_VALUES, ROW_KEY, SHEET_KEY, SheetSourceOptions
+from foldergrid.operators.lookup import MAX_BROADCAST_ROWS, fits_broadcast
 from foldergrid.session import shuffle_width
 
 CHUNK_ROWS = 10_000
@@ -27,13 +28,21 @@ def clip_merges(merges: DataFrame, options: SheetSourceOptions, header_rows: int
     return clipped.where((F.col("start_row") < F.col("end_row")) & (F.col("start_col") < F.col("end_col")))
 
 
+def covered_cells(merges: DataFrame) -> int:
+    """How many cells the ranges cover, computed without expanding them."""
+    area = (F.col("end_row") - F.col("start_row")) * (F.col("end_col") - F.col("start_col"))
+    return merges.agg(F.sum(area)).first()[0] or 0
+
+
 def merge_fills(cells: DataFrame, merges: DataFrame, spread: bool = True) -> DataFrame:
     """One cell per covered position, carrying the head's values.
 
     The head is found before the range is expanded: the equi join is between heads and
-    ranges, whose keys are unique, so a range over a third of all rows is no hot key.
-    Ranges are expanded in chunks of rows that are dealt out first. Ranges with an empty
-    head leave their cells as they are. Output size is the number of covered cells.
+    ranges, whose keys are unique, so a range over a third of all rows is no hot key. Ranges
+    of a measured size are broadcast, and then the cells are only filtered; more of them
+    meet the cells in a shuffle. Ranges are expanded in chunks of rows that are dealt out
+    first. Ranges with an empty head leave their cells as they are. Output size is the
+    number of covered cells.
     """
     if "head_row" not in merges.columns:
         merges = merges.withColumn("head_row", F.col("start_row")).withColumn("head_col", F.col("start_col"))
@@ -41,7 +50,7 @@ def merge_fills(cells: DataFrame, merges: DataFrame, spread: bool = True) -> Dat
     heads = cells.where("non_empty").select(
         *SHEET_KEY, F.col("row_idx").alias("head_row"), F.col("col_idx").alias("head_col"), *CELL_VALUES
     )
-    ranges = merges.join(heads, keys, "inner")
+    ranges = heads.join(F.broadcast(merges) if fits_broadcast(merges) else merges, keys, "inner")
     step = F.lit(CHUNK_ROWS).cast("bigint")
     chunks = ranges.withColumn("_from", F.explode(F.sequence(F.col("start_row"), F.col("end_row") - 1, step)))
     if spread:
@@ -55,8 +64,15 @@ def merge_fills(cells: DataFrame, merges: DataFrame, spread: bool = True) -> Dat
 
 
 def fill_merged_cells(cells: DataFrame, merges: DataFrame, spread: bool = True) -> DataFrame:
-    """The cells table with merged ranges filled: covered cells are replaced, others kept."""
+    """The cells table with merged ranges filled: covered cells are replaced, others kept.
+
+    Few covered positions are broadcast to drop what they replace; many are matched by a
+    shuffle on the full cell key, which has no hot values.
+    """
     fills = merge_fills(cells, merges, spread)
     columns = [*CELL_KEY, *CELL_VALUES]
-    untouched = cells.select(*columns).join(fills.select(*CELL_KEY), CELL_KEY, "left_anti")
+    covered = fills.select(*CELL_KEY)
+    if covered_cells(merges) <= MAX_BROADCAST_ROWS:
+        covered = F.broadcast(covered)
+    untouched = cells.select(*columns).join(covered, CELL_KEY, "left_anti")
     return untouched.unionByName(fills.select(*columns))

@@ -14,10 +14,11 @@ from foldergrid.operators.flatten import (
     TARGET,
     Leaf,
     data_merges,
+    encode_records,
     grid_cells,
     grid_rows,
     leaf_columns,
-    with_cells,
+    measure_records,
     written_schema,
 )
 from foldergrid.operators.header_layout import (
@@ -47,10 +48,11 @@ class Layout:
 
 
 def place(records: DataFrame, options: SheetSinkOptions, order_by: list[str], n_ranges: int | None = None) -> DataFrame:
-    """Records with encoded cells, their first row and their batch."""
+    """Records with encoded cells, their first row and their batch. The records are shuffled
+    as they are; cells are encoded after it."""
     layout = Layout.of(records.schema, options)
-    flattened = with_cells(records, options, tuple(order_by))
-    return place_records(flattened, options, order_by, layout.depth, n_ranges)
+    measured = measure_records(records, options, tuple(order_by))
+    return encode_records(place_records(measured, options, order_by, layout.depth, n_ranges), options)
 
 
 def all_grid_rows(placed: DataFrame, layout: Layout) -> DataFrame:
