@@ -27,15 +27,24 @@ def column_number(letters: Column | str) -> Column:
 
 
 def column_letters(number: Column | str) -> Column:
-    """1 -> 'A', 27 -> 'AA', 46 -> 'AT'; null below 1."""
+    """1 -> 'A', 27 -> 'AA', 46 -> 'AT'; null below 1 and above six letters.
+
+    Names of one length are consecutive, so a name is the base-26 value of the number less
+    the first number of its length, with letters for digits.
+    """
     number = F.col(number) if isinstance(number, str) else number
-    rest = number.cast("bigint")
-    letters = []
-    for _ in range(_MAX_LETTERS):
-        previous = rest - F.lit(1)
-        letters.insert(0, F.when(rest > 0, F.char(F.lit(65) + previous % 26)).otherwise(""))
-        rest = F.floor(previous / 26)
-    return F.when(number >= 1, F.concat(*letters))
+    first, length, start = F.lit(None), F.lit(None), 1
+    starts = []
+    for size in range(1, _MAX_LETTERS + 1):
+        starts.append(start)
+        start += 26**size
+    for size, begin in enumerate(starts, 1):
+        first = F.when(number >= begin, F.lit(begin).cast("bigint")).otherwise(first)
+        length = F.when(number >= begin, F.lit(size)).otherwise(length)
+    digits = F.lpad(F.conv((number - first).cast("string"), 10, 26), length, "0")
+    return F.when(
+        number.between(1, start - 1), F.translate(digits, "0123456789ABCDEFGHIJKLMNOP", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    )
 
 
 def cell_row(address: Column | str) -> Column:

@@ -30,7 +30,7 @@ def plan_parts(files: DataFrame, max_bytes: int) -> DataFrame:
     """One row per part to read; native files are never split."""
     size = F.when(is_native(), F.lit(None)).otherwise(F.col("size")) if "mimeType" in files.columns else F.col("size")
     return (
-        files.withColumn("_range", F.explode(byte_ranges(size, max_bytes)))
+        files.withColumn("_range", F.explode_outer(byte_ranges(size, max_bytes)))
         .withColumn("bytes_from", F.col("_range.bytes_from"))
         .withColumn("bytes_to", F.col("_range.bytes_to"))
         .withColumn("is_partitioned", F.col("_range").isNotNull())
@@ -41,7 +41,9 @@ def plan_parts(files: DataFrame, max_bytes: int) -> DataFrame:
 def cut_bodies(files: DataFrame, max_bytes: int) -> DataFrame:
     """`body` whole or cut at `max_bytes`, with the `offset` of each part.
 
-    The slices are made before the explode, so the whole body is not copied per part.
+    The slices are made before the explode, so the whole body is not copied per part. The
+    array is never empty; `inline` proper would make Spark add a filter on its size, which
+    cuts every body a second time.
     """
     if max_bytes <= 0:
         return files.withColumn("offset", F.lit(0).cast("bigint"))
@@ -57,7 +59,7 @@ def cut_bodies(files: DataFrame, max_bytes: int) -> DataFrame:
     whole = F.array(F.struct(F.col("body").alias("body"), F.lit(0).cast("bigint").alias("offset")))
     others = [F.col(c) for c in files.columns if c != "body"]
     return files.select(
-        *others, F.inline(F.when(length > F.lit(max_bytes), parts).otherwise(whole)).alias("body", "offset")
+        *others, F.inline_outer(F.when(length > F.lit(max_bytes), parts).otherwise(whole)).alias("body", "offset")
     )
 
 

@@ -4,6 +4,9 @@ Arrays multiply rows. With array lengths n1..nk (an empty or null array counts o
 record has R = n1*…*nk rows and row r holds element floor(r / Sk) mod nk of array k, where
 Sk is the product of the lengths after k. Nothing is looped: rows, cells and merged ranges
 are all expressions of r.
+
+Arrays that are exploded here are never empty, and `_outer` says so: for a plain explode
+Spark adds a filter on the array's size, which would compute the array twice.
 """
 
 from __future__ import annotations
@@ -225,17 +228,20 @@ def grid_rows(placed: DataFrame, leaves: list[Leaf], spread: bool = False) -> Da
     for index, leaf in enumerate(leaves):
         element = F.lit(0)
         if leaf.array is not None:
-            element = (F.floor(row / spans[leaf.array]) % F.col("lengths")[leaf.array]).cast("int")
+            element = (F.call_function("div", row, spans[leaf.array]) % F.col("lengths")[leaf.array]).cast("int")
         cells.append(F.get(F.get(F.col("columns"), F.lit(index)), element))
     others = [c for c in placed.columns if c not in ("lengths", "columns")]
+    if not spans:  # without arrays a record is a row
+        return placed.select(*others, F.lit(0).cast("bigint").alias("row_in_record"), F.array(*cells).alias("cells"))
     step = F.lit(CHUNK_ROWS).cast("bigint")
     chunks = placed.withColumn(
-        "_from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_rows") - 1, step))
+        "_from", F.explode_outer(F.sequence(F.lit(0).cast("bigint"), F.col("n_rows") - 1, step))
     )
     if spread:
         chunks = chunks.repartition(shuffle_width(placed.sparkSession))
     rows = chunks.withColumn(
-        "row_in_record", F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + step, F.col("n_rows")) - 1))
+        "row_in_record",
+        F.explode_outer(F.sequence(F.col("_from"), F.least(F.col("_from") + step, F.col("n_rows")) - 1)),
     )
     return rows.select(*others, "row_in_record", F.array(*cells).alias("cells"))
 
@@ -248,7 +254,7 @@ def grid_cells(rows: DataFrame, keys: list[str]) -> DataFrame:
         | cell["user_bool"].isNotNull() | cell["num_format"].isNotNull()
     )
     return (
-        rows.select(*keys, F.posexplode("cells").alias("col_idx", "_cell"))
+        rows.select(*keys, F.posexplode_outer("cells").alias("col_idx", "_cell"))
         .where(kept)
         .select(*keys, "col_idx", "_cell.*")
     )
@@ -267,17 +273,17 @@ def data_merges(placed: DataFrame, leaves: list[Leaf], start: Column | None = No
         span = F.col("n_rows") if leaf.array is None else spans[leaf.array]
         ranges.append(
             F.struct(
-                F.lit(index).alias("col"), span.alias("span"), F.floor(F.col("n_rows") / span).alias("count")
+                F.lit(index).alias("col"), span.alias("span"), F.call_function("div", F.col("n_rows"), span).alias("count")
             )
         )
     first = F.lit(0).cast("bigint") if start is None else start
     others = [c for c in placed.columns if c not in ("lengths", "columns")]
     step = F.lit(CHUNK_ROWS).cast("bigint")
     listed = (
-        placed.select(*others, F.inline(F.array(*ranges)))
+        placed.select(*others, F.inline_outer(F.array(*ranges)))
         .where(F.col("span") > 1)
-        .withColumn("_from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("count") - 1, step)))
-        .withColumn("_b", F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + step, F.col("count")) - 1)))
+        .withColumn("_from", F.explode_outer(F.sequence(F.lit(0).cast("bigint"), F.col("count") - 1, step)))
+        .withColumn("_b", F.explode_outer(F.sequence(F.col("_from"), F.least(F.col("_from") + step, F.col("count")) - 1)))
     )
     top = first + F.col("_b") * F.col("span")
     return listed.select(

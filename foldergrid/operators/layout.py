@@ -41,33 +41,37 @@ class Running:
     value: str | int  # a column, or a constant
 
 
-def range_bounds(df: DataFrame, keys: list[str], n_ranges: int) -> list:
-    """n_ranges-1 keys that cut the rows into ranges of about equal size.
+def range_bounds(df: DataFrame, keys: list[str], n_ranges: int) -> list[str]:
+    """At most n_ranges-1 ascending keys, as JSON, that cut the rows into ranges of about
+    equal size.
 
     The sample is a top-n by a random number: every task keeps at most that many keys and
     the driver receives no more, whatever the size of the table.
     """
     size = SAMPLE_PER_RANGE * n_ranges
     sample = (
-        df.select(F.struct(*keys).alias("key"), F.rand(17).alias("r"))
-        .orderBy("r").limit(size).select("key")
-        .orderBy("key").collect()
+        df.select(_key(keys).alias("key"), F.rand(17).alias("r"))
+        .orderBy("r").limit(size)
+        .orderBy("key").select(F.to_json("key").alias("key")).collect()
     )
-    ordered = [row["key"] for row in sample]
-    cuts = [ordered[len(ordered) * i // n_ranges] for i in range(1, n_ranges)] if ordered else []
-    return [cut for i, cut in enumerate(cuts) if i == 0 or cut != cuts[i - 1]]
+    cuts = [sample[len(sample) * i // n_ranges]["key"] for i in range(1, n_ranges)] if sample else []
+    return list(dict.fromkeys(cuts))
 
 
-def range_number(df: DataFrame, keys: list[str], bounds: list) -> Column:
-    """Number of bounds at or below the row's key, found by bisection over a literal array."""
+def _key(keys: list[str]) -> Column:
+    return F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+
+
+def range_number(df: DataFrame, keys: list[str], bounds: list[str]) -> Column:
+    """Number of bounds at or below the row's key, found by bisection over a literal array.
+
+    JSON may round a bound (times to milliseconds); any ascending bounds give a right result.
+    """
     if not bounds:
         return F.lit(0)
-    kinds = [df.schema[k].dataType.simpleString() for k in keys]
-    # the literals get the type of the key here, so that no comparison converts a struct
-    key_type = "struct<" + ", ".join(f"k{i}: {kind}" for i, kind in enumerate(kinds)) + ">"
-    table = F.array(
-        *[F.struct(*[F.lit(v).cast(t) for v, t in zip(bound, kinds)]).cast(key_type) for bound in bounds]
-    ).cast(f"array<{key_type}>")
+    kinds = ", ".join(f"k{i}: {df.schema[k].dataType.simpleString()}" for i, k in enumerate(keys))
+    # constant: parsed once while the plan is made
+    table = F.from_json(F.lit(f"[{','.join(bounds)}]"), f"array<struct<{kinds}>>")
     steps = F.lit([1 << i for i in reversed(range(len(bounds).bit_length()))])
 
     def bisect(key: Column) -> Column:
@@ -79,8 +83,7 @@ def range_number(df: DataFrame, keys: list[str], bounds: list) -> Column:
         )
 
     # the key is built once, as a lambda variable, and not once per comparison
-    key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
-    return F.transform(F.array(key), bisect)[0]
+    return F.transform(F.array(_key(keys)), bisect)[0]
 
 
 def running_totals(

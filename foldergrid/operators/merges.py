@@ -50,16 +50,17 @@ def merge_fills(cells: DataFrame, merges: DataFrame, spread: bool = True) -> Dat
     heads = cells.where("non_empty").select(
         *SHEET_KEY, F.col("row_idx").alias("head_row"), F.col("col_idx").alias("head_col"), *CELL_VALUES
     )
+    merges = merges.where((F.col("start_row") < F.col("end_row")) & (F.col("start_col") < F.col("end_col")))
     ranges = heads.join(F.broadcast(merges) if fits_broadcast(merges) else merges, keys, "inner")
     step = F.lit(CHUNK_ROWS).cast("bigint")
-    chunks = ranges.withColumn("_from", F.explode(F.sequence(F.col("start_row"), F.col("end_row") - 1, step)))
+    chunks = ranges.withColumn("_from", F.explode_outer(F.sequence(F.col("start_row"), F.col("end_row") - 1, step)))
     if spread:
         chunks = chunks.repartition(shuffle_width(cells.sparkSession), *keys, "_from")
     rows = chunks.withColumn(
-        "row_idx", F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + step, F.col("end_row")) - 1))
+        "row_idx", F.explode_outer(F.sequence(F.col("_from"), F.least(F.col("_from") + step, F.col("end_row")) - 1))
     )
     return rows.select(
-        *ROW_KEY, F.explode(F.sequence(F.col("start_col"), F.col("end_col") - 1)).alias("col_idx"), *CELL_VALUES
+        *ROW_KEY, F.explode_outer(F.sequence(F.col("start_col"), F.col("end_col") - 1)).alias("col_idx"), *CELL_VALUES
     )
 
 

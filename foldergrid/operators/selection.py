@@ -82,7 +82,7 @@ def row_spine(sheets: DataFrame, options: SheetSourceOptions, header_rows: int,
     chunks = read_chunks(sheets, options, header_rows).select(*SHEET_KEY, "first_row", "n_rows")
     if spread:
         chunks = chunks.repartition(shuffle_width(sheets.sparkSession), *SHEET_KEY, "first_row")
-    rows = F.explode(F.sequence(F.col("first_row") - 1, F.col("first_row") + F.col("n_rows") - 2))
+    rows = F.explode_outer(F.sequence(F.col("first_row") - 1, F.col("first_row") + F.col("n_rows") - 2))
     return chunks.select(*SHEET_KEY, rows.alias("row_idx"))
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 # The codecs and the named date ranges follow the session time zone; adaptive
 # execution re-plans joins and splits skewed shuffle partitions at run time.
@@ -37,6 +40,24 @@ def use_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """`df` computed once, written as a table to the checkpoint folder the session names, and
+    read back from there. For results that several later jobs read.
+
+    Without a configured folder only a local session gets one of its own: on a cluster it
+    would not be shared.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
+        folder = tempfile.mkdtemp(prefix="foldergrid-")
+    path = f"{folder.rstrip('/')}/foldergrid-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """Partition count for repartitions whose rows are tiny but whose work is not.
 

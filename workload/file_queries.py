@@ -97,7 +97,7 @@ def modified_range_counts(spark, sf_dir) -> DataFrame:
         inside.append(F.when(hit, F.lit(kind)))
     files = text_files(spark, sf_dir)
     return (
-        files.select(F.explode(F.array_compact(F.array(*inside))).alias("kind"), "size")
+        files.select(F.explode_outer(F.array_compact(F.array(*inside))).alias("kind"), "size")
         .groupBy("kind")
         .agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
     )
@@ -183,7 +183,7 @@ def _renditions(spark, sf_dir) -> DataFrame:
     formats = F.array_compact(F.array("asked", F.lit("application/pdf")))
     return (
         wanted.where(F.col("asked").isNotNull()).join(texts, "doc_id")
-        .select("id", "text", F.explode(formats).alias("export_mime"))
+        .select("id", "text", F.explode_outer(formats).alias("export_mime"))
         .select("id", "export_mime", F.encode(F.concat("export_mime", F.lit("\n"), "text"), "UTF-8").alias("content"))
     )
 

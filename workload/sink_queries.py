@@ -20,8 +20,9 @@ from foldergrid.operators.flatten import (
 from foldergrid.operators.header_layout import header_merges_of, header_rows_of
 from foldergrid.operators.layout import Running, batch_sizes, running_totals, sheet_extents
 from foldergrid.plans.sheet_source import read_sheets
+from foldergrid.session import cut_lineage
 from foldergrid.sinks.sheets import Layout, all_cells, all_merges, place, update_documents
-from workload.tables import table
+from workload.tables import spread, table
 
 
 def _parts(spark, sf_dir) -> DataFrame:
@@ -124,7 +125,7 @@ FROM embeddings
 
 def cell_encoding(spark, sf_dir) -> DataFrame:
     """Line items with every kind of value; dates and flags are null for some."""
-    lines = table(spark, sf_dir, "lineitem").select(
+    lines = spread(table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         F.when(F.col("l_returnflag") != "R", F.col("l_shipdate").cast("date")).alias("day"),
         F.when(F.col("l_linestatus") == "O", F.col("l_shipdate").cast("timestamp")).alias("moment"),
@@ -248,7 +249,7 @@ SELECT p_partkey, type AS sheet_name, n_rows, before + 1 AS first_row, before =
 
 def line_offsets(spark, sf_dir) -> DataFrame:
     """Running quantity of the line items of each flag: three groups hold all rows."""
-    lines = table(spark, sf_dir, "lineitem").select(
+    lines = spread(table(spark, sf_dir, "lineitem")).select(
         "l_returnflag", "l_linestatus", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
         F.col("l_quantity").cast("bigint").alias("n_rows"),
     )
@@ -380,7 +381,7 @@ SELECT DISTINCT type, f + (i - 1) * n2, f + i * n2, 1, 2 FROM flat JOIN o USING
 
 def round_trip(spark, sf_dir) -> DataFrame:
     """Orders written as grids and read back with inferred headers."""
-    orders = table(spark, sf_dir, "orders").select(
+    orders = spread(table(spark, sf_dir, "orders")).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
         F.col("o_orderdate").cast("date").alias("day"), F.col("o_orderdate").cast("timestamp").alias("moment"),
         F.col("o_orderpriority").alias("priority"),
@@ -391,7 +392,8 @@ def round_trip(spark, sf_dir) -> DataFrame:
     sheets = sheet_extents(with_cells(orders, options), options, layout.depth, layout.width)
     index = F.substring("sheet_name", 1, 1).cast("int")
     written = all_cells(placed, layout, options, sheets)
-    cells = written.select(
+    # read back more than once: for the headers, then for the rows
+    cells = cut_lineage(written).select(
         F.col("spreadsheet_name").alias("spreadsheet_id"), index.cast("bigint").alias("sheet_id"), "row_idx", "col_idx",
         F.coalesce("user_str", F.col("user_num").cast("string")).alias("formatted"), F.col("user_num").alias("eff_num"),
         F.col("user_bool").alias("eff_bool"), "user_num", "user_str", "user_bool",

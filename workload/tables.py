@@ -151,7 +151,7 @@ def place_sql(key: str, first_row: int, rows_per_sheet: int, sheets_per_book: in
 
 
 def long_cells(df: DataFrame, *cells: str) -> DataFrame:
-    return df.selectExpr("spreadsheet_id", "sheet_id", "row_idx", f"inline(array({', '.join(cells)}))")
+    return df.selectExpr("spreadsheet_id", "sheet_id", "row_idx", f"inline_outer(array({', '.join(cells)}))")
 
 
 def sheet_list(placed: DataFrame, rows: int, columns: int) -> DataFrame:
