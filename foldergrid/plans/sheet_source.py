@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from dataclasses import replace
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from foldergrid.model import ROW_KEY, SHEET_KEY, SheetSourceOptions
+from foldergrid.model import MERGES_DDL, ROW_KEY, SHEET_KEY, FileSourceOptions, SheetSourceOptions
+from foldergrid.operators.catalogue import select_files
 from foldergrid.operators.headers import (
     Header,
     default_headers,
@@ -19,6 +22,7 @@ from foldergrid.operators.merges import clip_merges, merge_fills
 from foldergrid.operators.rows import build_rows
 from foldergrid.operators.selection import data_cells, row_spine, select_sheets
 from foldergrid.operators.sheetmeta import metadata_problems, section_problems, sheet_metadata
+from foldergrid.sources.documents import cells_of, merges_of, sheets_of
 
 
 def infer_headers(
@@ -90,6 +94,26 @@ def read_sheets(
     return rows.select(*keys, *names, *[f"`{h.title}`" for h in headers], *tail)
 
 
+def documents_in_folder(
+    documents: DataFrame, files: DataFrame, options: FileSourceOptions, now: Column | None = None
+) -> DataFrame:
+    """The spreadsheet documents whose files pass the catalogue's filters."""
+    chosen = select_files(files, replace(options, file_types=("spreadsheets",)), now)
+    ids = chosen.select(F.col("id").alias("spreadsheetId"))
+    return lookup_join(documents, ids, ["spreadsheetId"], ["spreadsheetId"], "left_semi")
+
+
+def read_documents_rows(
+    documents: DataFrame, options: SheetSourceOptions, headers: list[Header] | None = None
+) -> DataFrame:
+    """Typed rows of spreadsheet documents.
+
+    To read the same documents more than once, write their sheets, cells and merges as
+    tables first: each of them is a scan of the JSON text here.
+    """
+    return read_sheets(sheets_of(documents), cells_of(documents), options, merges_of(documents), headers)
+
+
 def add_sheet_fields(rows: DataFrame, sheets: DataFrame, cells: DataFrame, options: SheetSourceOptions) -> DataFrame:
     """Spreadsheet and sheet names and the metadata map, one lookup row per sheet."""
     if not options.add_names and not options.extract_metadata:
@@ -111,6 +135,4 @@ def add_sheet_fields(rows: DataFrame, sheets: DataFrame, cells: DataFrame, optio
 
 
 def _no_merges(cells: DataFrame) -> DataFrame:
-    from foldergrid.model import MERGES_DDL
-
     return cells.sparkSession.createDataFrame([], MERGES_DDL)

@@ -40,22 +40,26 @@ def use_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """`df` computed once, written as a table to the checkpoint folder the session names, and
-    read back from there. For results that several later jobs read.
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path under the checkpoint folder the session names (spark.checkpoint.dir).
 
     Without a configured folder only a local session gets one of its own: on a cluster it
     would not be shared.
     """
-    spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
         folder = tempfile.mkdtemp(prefix="foldergrid-")
-    path = f"{folder.rstrip('/')}/foldergrid-{uuid.uuid4().hex}"
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """`df` computed once, written as a table to the shared folder, and read back from there.
+    For results that several later jobs read."""
+    path = shared_folder(df.sparkSession, "foldergrid")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -30,6 +30,10 @@ from foldergrid.operators.header_layout import (
     width,
 )
 from foldergrid.operators.layout import place_records, sheet_extents
+from foldergrid.session import shuffle_width
+
+
+BATCHES_PER_FILE = 1000
 
 
 @dataclass(frozen=True)
@@ -197,7 +201,10 @@ def _batch_merges(placed: DataFrame, layout: Layout, options: SheetSinkOptions,
 def write_update_documents(documents: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Documents as JSON lines, one folder per spreadsheet.
 
-    Rows are spread by (spreadsheet, batch) within the target folder, so a spreadsheet with a
-    third of all batches is written by many tasks.
+    Runs of batches of a spreadsheet go to one task: a small spreadsheet is one file, and one
+    with a third of all batches is still written by many tasks.
     """
-    documents.write.mode(mode).partitionBy("spreadsheet_name").json(path)
+    spread = documents.repartition(
+        shuffle_width(documents.sparkSession), "spreadsheet_name", F.floor(F.col("batch_no") / BATCHES_PER_FILE)
+    )
+    spread.write.mode(mode).partitionBy("spreadsheet_name").json(path)

@@ -328,6 +328,22 @@ def test_documents(spark, tmp_path):
     assert [(r.row_idx, r.a, r.b) for r in rows] == [(2, 1.5, "x"), (3, None, "x")]
 
 
+def test_documents_of_a_folder(spark, tmp_path):
+    from foldergrid import FileSourceOptions, documents_in_folder, read_documents_rows
+
+    path = tmp_path / "books.json"
+    path.write_text("\n".join(json.dumps({**DOCUMENT, "spreadsheetId": i}) for i in ("a", "b", "c")))
+    sheet = "application/vnd.google-apps.spreadsheet"
+    files = spark.createDataFrame(
+        [("a", sheet, ["f"], "x"), ("b", sheet, ["f"], "y"), ("c", sheet, ["g"], "x"), ("d", "text/csv", ["f"], "x")],
+        "id string, mimeType string, parents array<string>, name string").withColumn("modifiedTime", F.current_timestamp())
+    chosen = documents_in_folder(read_documents(spark, str(path)), files, FileSourceOptions(folder="f", filter="name = 'x'"))
+    assert [r.spreadsheetId for r in chosen.collect()] == ["a"]
+    # the first data row is blank, so both columns are text
+    rows = read_documents_rows(chosen, SheetSourceOptions(skip_empty=True)).collect()
+    assert sorted((r.a or "", r.b) for r in rows) == [("", "x"), ("1.5", "x")]
+
+
 def test_rows_from_arrays_without_a_shuffle(spark, tmp_path):
     path = tmp_path / "book.json"
     path.write_text(json.dumps(DOCUMENT))

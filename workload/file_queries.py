@@ -12,8 +12,10 @@ from foldergrid.operators.bodies import cut_bodies, export_mime, plan_parts, rea
 from foldergrid.operators.catalogue import concat_listings, first_files, is_native, modified_within, select_files
 from foldergrid.operators.metadata import project_metadata
 from foldergrid.plans.file_source import read_files
-from foldergrid.sinks.files import file_rows
-from workload.tables import FILES_SQL, NOW, PART_BYTES, both_files, mixed_files, now, table, text_files
+from foldergrid.session import shared_folder
+from foldergrid.sinks.files import file_rows, write_files
+from foldergrid.sources.folder import list_folder, read_parts
+from workload.tables import FILES_SQL, NOW, PART_BYTES, both_files, mixed_files, now, page_files, table, text_files
 
 
 def file_catalog_filter(spark, sf_dir) -> DataFrame:
@@ -304,8 +306,6 @@ SELECT name, CASE WHEN name IS NULL THEN 16 END AS random_length, mime AS "mimeT
 
 def projected_pages(spark, sf_dir) -> DataFrame:
     """Pages cut at 1 KB with the default projection (no metadata requested)."""
-    from workload.tables import page_files
-
     parts = cut_bodies(page_files(spark, sf_dir), 1024)
     return project_metadata(parts, ()).groupBy("offset").agg(
         F.count(F.lit(1)).alias("parts"), F.sum(F.octet_length("body")).cast("bigint").alias("bytes")
@@ -318,7 +318,27 @@ q AS (SELECT size, unnest(range(0, size, 1024)) AS "offset" FROM p)
 SELECT "offset", count(*) AS parts, sum(least(1024, size - "offset"))::BIGINT AS bytes FROM q GROUP BY "offset"
 """
 
+def folder_round_trip(spark, sf_dir) -> DataFrame:
+    """Pages written as real files to a shared folder, listed, and read back in 4 KB ranges."""
+    pages = table(spark, sf_dir, "pages").select(
+        F.encode("html", "UTF-8").alias("body"), F.concat(F.lit("page "), "page_id", F.lit(".html")).alias("name")
+    )
+    folder = shared_folder(spark, "pages")
+    write_files(file_rows(pages), folder)
+    parts = read_parts(list_folder(spark, folder), PART_BYTES)
+    return parts.select("name", "mimeType", "size", "offset", F.md5("body").alias("part_md5"))
+
+
+FOLDER_ROUND_TRIP = f"""
+WITH p AS (SELECT 'page ' || page_id || '.html' AS name, encode(html) AS body FROM pages),
+q AS (SELECT name, octet_length(body)::BIGINT AS size, body FROM p)
+SELECT name, 'text/html' AS "mimeType", size, o AS "offset",
+       md5(unhex(substr(hex(body), 2 * o + 1, 2 * {PART_BYTES}))) AS part_md5
+FROM (SELECT *, unnest(range(0, size, {PART_BYTES})) AS o FROM q)
+"""
+
 QUERIES = {
+    "folder_round_trip": (folder_round_trip, FOLDER_ROUND_TRIP),
     "file_catalog_filter": (file_catalog_filter, FILE_CATALOG_FILTER),
     "single_file": (single_file, SINGLE_FILE),
     "first_files": (first_files_by_name, FIRST_FILES),

@@ -20,8 +20,9 @@ from foldergrid.operators.flatten import (
 from foldergrid.operators.header_layout import header_merges_of, header_rows_of
 from foldergrid.operators.layout import Running, batch_sizes, running_totals, sheet_extents
 from foldergrid.plans.sheet_source import read_sheets
-from foldergrid.session import cut_lineage
+from foldergrid.session import cut_lineage, shared_folder
 from foldergrid.sinks.sheets import Layout, all_cells, all_merges, place, update_documents
+from foldergrid.streaming.flush import flush_sheets
 from workload.tables import spread, table
 
 
@@ -417,7 +418,23 @@ SELECT o_orderpriority AS priority, o_orderkey, o_custkey, o_orderstatus, o_tota
        strftime(o_orderdate, '%Y-%m-%d') AS day, epoch_us(o_orderdate) // 1000 AS moment_ms FROM orders
 """
 
+def flushed_offsets(spark, sf_dir) -> DataFrame:
+    """The parts as a stream, flushed to sheets; where each record went."""
+    parts = _parts(spark, sf_dir)
+    source, out = shared_folder(spark, "parts"), shared_folder(spark, "sheets")
+    parts.write.parquet(source)
+    stream = spark.readStream.schema(parts.schema).parquet(source)
+    query = flush_sheets(stream, _ROUTED, ["p_partkey"], out, shared_folder(spark, "flush"), available_now=True)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return spark.read.parquet(f"{out}/grid_records").select(
+        "p_partkey", "sheet_name", "n_rows", "first_row", "is_first", "batch_no"
+    )
+
+
 QUERIES = {
+    "flushed_offsets": (flushed_offsets, SHEET_ROW_OFFSETS),
     "flatten_arrays": (flatten_arrays, FLATTEN_ARRAYS),
     "flatten_merges": (flatten_merges, FLATTEN_MERGES),
     "flatten_structs": (flatten_structs, FLATTEN_STRUCTS),
