@@ -110,16 +110,22 @@ def resolve_headers(cells: DataFrame, merges: DataFrame, options: SheetSourceOpt
     )
 
 
-def default_headers(cells: DataFrame, options: SheetSourceOptions) -> DataFrame:
-    """Headers A, B, … of every sheet without column names: as wide as its first data row."""
+def default_headers(cells: DataFrame, options: SheetSourceOptions, sheets: DataFrame | None = None) -> DataFrame:
+    """Headers A, B, … of every sheet without column names: as wide as its first data row.
+
+    A sheet of `sheets` whose first data row is empty has the configured number of columns.
+    """
     first = options.first_data_row(0) - 1
+    found = cells.where(F.col("row_idx") == first).select(*SHEET_KEY, "col_idx")
+    if sheets is not None:
+        found = found.unionByName(sheets.select(*SHEET_KEY, F.lit(None).cast("int").alias("col_idx")))
     width = F.max(F.col("col_idx") + 1)
     if options.last_column:
-        width = F.least(width, F.lit(options.last_column))
+        width = F.least(width, F.lit(options.last_column))  # least passes over a null
     return (
-        cells.where(F.col("row_idx") == first)
-        .groupBy(*SHEET_KEY)
+        found.groupBy(*SHEET_KEY)
         .agg(width.alias("_width"))
+        .where("_width > 0")
         .select(*SHEET_KEY, F.explode(F.sequence(F.lit(0), F.col("_width") - 1)).alias("col_index"))
         .select(
             *SHEET_KEY, "col_index", column_letters(F.col("col_index") + 1).alias("title"),

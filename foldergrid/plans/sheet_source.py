@@ -37,10 +37,13 @@ def infer_headers(
         return []
     here = (F.col("spreadsheet_id") == F.lit(sheet["spreadsheet_id"])) & (F.col("sheet_id") == F.lit(sheet["sheet_id"]))
     if not options.has_names:
-        return header_list(default_headers(cells.where(here), options), sheet)
+        return header_list(default_headers(cells.where(here), options, sheets.where(here)), sheet)
     if invalid_header_merges(merges.where(here), options).limit(1).collect():
         raise ValueError("The column row should not have merged cells from previous rows.")
-    return header_list(resolve_headers(cells.where(here), merges.where(here), options), sheet)
+    headers = header_list(resolve_headers(cells.where(here), merges.where(here), options), sheet)
+    if not headers:
+        raise ValueError(f"No headers found for row {options.header_row} of sheet {sheet}.")
+    return headers
 
 
 def read_sheets(

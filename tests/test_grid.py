@@ -116,6 +116,11 @@ def test_default_headers(spark):
     titles = [h.title for h in header_list(default_headers(cells, none), SHEET)]
     assert titles[:2] == ["A", "B"] and titles[-1] == "AB" and len(titles) == 28
     assert len(header_list(default_headers(cells, replace(none, last_column=3)), SHEET)) == 3
+    # nothing in the first data row: as many columns as configured
+    empty = cells_df(spark, [text(3, 0, "x")])
+    assert [h.title for h in infer_headers(sheets_df(spark), empty, merges_df(spark), replace(none, last_column=2))] == ["A", "B"]
+    with pytest.raises(ValueError, match="No headers found"):
+        infer_headers(sheets_df(spark), empty, merges_df(spark), SheetSourceOptions())
 
 
 def test_schema_mismatches(spark):

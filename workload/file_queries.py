@@ -90,19 +90,15 @@ _RANGES = {
 
 
 def modified_range_counts(spark, sf_dir) -> DataFrame:
-    """Every kind in one pass: each file names the ranges it falls into."""
+    """Every kind in one pass: two aggregates per kind, turned into rows at the end."""
     custom = [F.lit(t).cast("timestamp") for t in _RANGES["custom"]]
-    inside = []
+    totals, kinds = [], []
     for kind in RANGE_KINDS:
         start, end = named_range(kind, now(), *custom)
         hit = F.lit(True) if start is None else F.col("modifiedTime").between(start, end)
-        inside.append(F.when(hit, F.lit(kind)))
-    files = text_files(spark, sf_dir)
-    return (
-        files.select(F.explode_outer(F.array_compact(F.array(*inside))).alias("kind"), "size")
-        .groupBy("kind")
-        .agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
-    )
+        totals += [F.count(F.when(hit, 1)).alias(f"n_{kind}"), F.sum(F.when(hit, F.col("size"))).alias(f"b_{kind}")]
+        kinds.append(F.struct(F.lit(kind).alias("kind"), F.col(f"n_{kind}").alias("files"), F.col(f"b_{kind}").alias("bytes")))
+    return text_files(spark, sf_dir).agg(*totals).select(F.inline(F.array(*kinds))).where("files > 0")
 
 
 MODIFIED_RANGE_COUNTS = FILES_SQL + ", ranges(kind, a, b) AS (VALUES " + ", ".join(

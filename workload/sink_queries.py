@@ -309,7 +309,8 @@ def update_batches(spark, sf_dir) -> DataFrame:
     """Update documents of the parts: rows and merges per batch, and what is inside."""
     parts = _parts(spark, sf_dir)
     layout = Layout.of(parts.schema, _ROUTED)
-    documents = update_documents(place(parts, _ROUTED, ["p_partkey"]), layout, _ROUTED)
+    # the placed records are read three times: for rows, header rows and merges
+    documents = update_documents(cut_lineage(place(parts, _ROUTED, ["p_partkey"])), layout, _ROUTED)
     inside = F.from_json(
         "document", "struct<updates: array<struct<sheet_name: string, row_idx: bigint>>, merges: array<struct<end_row: bigint>>>"
     )
@@ -340,8 +341,8 @@ def written_cells(spark, sf_dir) -> DataFrame:
     """All cells of the books of parts, headers included, at their place in the sheet."""
     parts = _parts(spark, sf_dir)
     layout = Layout.of(parts.schema, _SKIPPED)
-    placed = place(parts, _SKIPPED, ["p_partkey"])
-    return all_cells(placed, layout, _SKIPPED, placed.select(*TARGET).distinct()).select(
+    placed = cut_lineage(place(parts, _SKIPPED, ["p_partkey"]))
+    return all_cells(placed, layout, _SKIPPED, placed.where("is_first").select(*TARGET)).select(
         "sheet_name", "row_idx", "col_idx", "user_num", "user_str"
     )
 
@@ -368,8 +369,8 @@ SELECT DISTINCT type, 0, c, NULL::DOUBLE, n FROM parts,
 def written_merges(spark, sf_dir) -> DataFrame:
     parts = _parts(spark, sf_dir)
     layout = Layout.of(parts.schema, _SKIPPED)
-    placed = place(parts, _SKIPPED, ["p_partkey"])
-    return all_merges(placed, layout, _SKIPPED, placed.select(*TARGET).distinct()).drop("spreadsheet_name")
+    placed = cut_lineage(place(parts, _SKIPPED, ["p_partkey"]))
+    return all_merges(placed, layout, _SKIPPED, placed.where("is_first").select(*TARGET)).drop("spreadsheet_name")
 
 
 WRITTEN_MERGES = _PLACED_SQL + """
