@@ -5,7 +5,8 @@ A window over a whole sheet would put a sheet that holds a third of all rows int
 Instead the order is cut into ranges of about equal size:
 
 1. a small uniform sample of the order keys gives the range boundaries;
-2. every row gets the number of its range, an expression of its own key;
+2. every row of a group that spans ranges gets the number of its range, an expression of
+   its own key (other groups are a range of their own);
 3. totals per (range, group) are aggregated and summed up over the ranges: what each range
    starts from;
 4. those starts join the rows as leading entries of their (range, group), and a window over
@@ -17,10 +18,12 @@ so a recomputed task makes the same ranges, and the result is that of the single
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from foldergrid.model import SheetSinkOptions
@@ -86,6 +89,23 @@ def range_number(df: DataFrame, keys: list[str], bounds: list[str]) -> Column:
     return F.transform(F.array(_key(keys)), bisect)[0]
 
 
+def spans_ranges(df: DataFrame, column: str, bounds: list[str]) -> Column:
+    """Whether a row's group has a bound inside it, judged by the leading group column.
+
+    The rows of every other group are in one range anyway: they need neither a bisection nor
+    totals per range. Types other than text and whole numbers count every group.
+    """
+    kind = df.schema[column].dataType
+    values = {json.loads(bound).get("k0") for bound in bounds} - {None}
+    if isinstance(kind, T.StringType):
+        texts = ["'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in sorted(values)]
+    elif isinstance(kind, (T.LongType, T.IntegerType)):
+        texts = [str(v) for v in sorted(values)]
+    else:
+        return F.lit(True)
+    return F.expr(f"coalesce(`{column}` IN ({', '.join(texts)}), false)") if texts else F.lit(False)
+
+
 def running_totals(
     df: DataFrame, totals: list[Running], order_by: list[str], n_ranges: int | None = None
 ) -> DataFrame:
@@ -103,9 +123,11 @@ def running_totals(
             raise ValueError("The groups of the running totals must be nested, the coarser leading.")
     keys = [*totals[0].group, *[c for c in order_by if c not in totals[0].group]]
     ranges = min(n_ranges or 2 * shuffle_width(df.sparkSession), MAX_RANGES)
+    bounds = range_bounds(df, keys, ranges)
+    large = spans_ranges(df, keys[0], bounds)
     ranged = df.withColumns(
         {
-            "_range": range_number(df, keys, range_bounds(df, keys, ranges)),
+            "_range": F.when(large, range_number(df, keys, bounds)).otherwise(0),
             **{
                 f"_v_{t.name}": (F.lit(t.value) if isinstance(t.value, int) else F.col(t.value)).cast("bigint")
                 for t in totals
@@ -113,11 +135,11 @@ def running_totals(
         }
     )
 
-    # one pass gives the totals per range of every group: at most (groups + ranges) rows each
+    # one pass over the groups that span ranges gives their totals per range
     finest = list(totals[-1].group)
     values = [f"_v_{t.name}" for t in totals]
     levels = sorted({t.group for t in totals}, key=len)
-    sums = ranged.groupingSets([["_range", *group] for group in levels], "_range", *finest).agg(
+    sums = ranged.where(large).groupingSets([["_range", *group] for group in levels], "_range", *finest).agg(
         F.grouping_id().alias("_level"), *[F.sum(v).alias(v) for v in values]
     )
     # what each range starts from: a window of at most one entry per range
