@@ -62,31 +62,32 @@ def range_bounds(df: DataFrame, keys: list[str], n_ranges: int) -> list[str]:
 
 
 def _key(keys: list[str]) -> Column:
-    return F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    """The key as a struct of nullable fields, the type of the parsed bounds: otherwise every
+    comparison would first cast the struct."""
+    return F.struct(*[F.when(F.lit(True), F.col(k)).alias(f"k{i}") for i, k in enumerate(keys)])
 
 
-def range_number(df: DataFrame, keys: list[str], bounds: list[str]) -> Column:
-    """Number of bounds at or below the row's key, found by bisection over a literal array.
+def with_range(df: DataFrame, keys: list[str], bounds: list[str]) -> DataFrame:
+    """`df` with `_range`, the number of bounds at or below the row's key, found by bisection.
 
-    JSON may round a bound (times to milliseconds); any ascending bounds give a right result.
+    Rows whose group has no bound inside it are in range 0: see `spans_ranges`. JSON may round
+    a bound (times to milliseconds); any ascending bounds give a right result.
+
+    Each step of the bisection is a projection of its own and stays in generated code; a
+    higher-order function would be interpreted and costs several times as much.
     """
     if not bounds:
-        return F.lit(0)
+        return df.withColumn("_range", F.lit(0))
     kinds = ", ".join(f"k{i}: {df.schema[k].dataType.simpleString()}" for i, k in enumerate(keys))
     # constant: parsed once while the plan is made
     table = F.from_json(F.lit(f"[{','.join(bounds)}]"), f"array<struct<{kinds}>>")
-    steps = F.lit([1 << i for i in reversed(range(len(bounds).bit_length()))])
-
-    def bisect(key: Column) -> Column:
-        # past the end `get` is null, which is not <= key
-        return F.aggregate(
-            steps,
-            F.lit(0),
-            lambda low, step: F.when(F.get(table, low + step - 1) <= key, low + step).otherwise(low),
-        )
-
-    # the key is built once, as a lambda variable, and not once per comparison
-    return F.transform(F.array(_key(keys)), bisect)[0]
+    large = spans_ranges(df, keys[0], bounds)
+    ranged = df.withColumns({"_key": F.when(large, _key(keys)), "_range": F.lit(0)})
+    for step in [1 << i for i in reversed(range(len(bounds).bit_length()))]:
+        # past the end `get` is null, which is not <= key; neither is anything <= a null key
+        passed = F.get(table, F.col("_range") + F.lit(step - 1)) <= F.col("_key")
+        ranged = ranged.withColumn("_range", F.col("_range") + F.when(passed, F.lit(step)).otherwise(F.lit(0)))
+    return ranged.drop("_key")
 
 
 def spans_ranges(df: DataFrame, column: str, bounds: list[str]) -> Column:
@@ -124,14 +125,10 @@ def running_totals(
     keys = [*totals[0].group, *[c for c in order_by if c not in totals[0].group]]
     ranges = min(n_ranges or 2 * shuffle_width(df.sparkSession), MAX_RANGES)
     bounds = range_bounds(df, keys, ranges)
-    large = spans_ranges(df, keys[0], bounds)
-    ranged = df.withColumns(
+    ranged = with_range(df, keys, bounds).withColumns(
         {
-            "_range": F.when(large, range_number(df, keys, bounds)).otherwise(0),
-            **{
-                f"_v_{t.name}": (F.lit(t.value) if isinstance(t.value, int) else F.col(t.value)).cast("bigint")
-                for t in totals
-            },
+            f"_v_{t.name}": (F.lit(t.value) if isinstance(t.value, int) else F.col(t.value)).cast("bigint")
+            for t in totals
         }
     )
 
@@ -139,8 +136,10 @@ def running_totals(
     finest = list(totals[-1].group)
     values = [f"_v_{t.name}" for t in totals]
     levels = sorted({t.group for t in totals}, key=len)
-    sums = ranged.where(large).groupingSets([["_range", *group] for group in levels], "_range", *finest).agg(
-        F.grouping_id().alias("_level"), *[F.sum(v).alias(v) for v in values]
+    sums = (
+        ranged.where(spans_ranges(df, keys[0], bounds))
+        .groupingSets([["_range", *group] for group in levels], "_range", *finest)
+        .agg(F.grouping_id().alias("_level"), *[F.sum(v).alias(v) for v in values])
     )
     # what each range starts from: a window of at most one entry per range
     before = Window.partitionBy("_level", *finest).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
