@@ -6,12 +6,23 @@ import math
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # characters of text that a task works on at once, whatever the size of the Arrow batch
 CHUNK_CHARS = 1 << 20
 
+# rows of an Arrow batch, which is whole in the memory of a Python worker: whole documents are long
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """The session, with Arrow batches of at most BATCH_ROWS rows from now on."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+    return spark
+
 
 def chunks(texts: Iterable[str | None], size: int = CHUNK_CHARS) -> Iterator[list[str]]:
     """Lists of texts of about `size` characters together (null reads as empty); a longer

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from foldergrid.llm import bpe, url_filter
+from foldergrid.llm import bpe, decontaminate, maxent, quality, simhash, topk, toxicity, url_filter
 from foldergrid.session import use_defaults
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -15,10 +16,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_defaults(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def toxicity_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
+TOP_K_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, x.vec_id, CAST(list_dot_product(q.v, x.v) AS BIGINT) AS score
+  FROM whole q JOIN whole x ON q.vec_id % 50 = 0 AND q.vec_id <> x.vec_id),
+placed AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 5
+"""
+
+
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score_documents(table(spark, sf_dir, "documents"))
+
+
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 URL_RULES = [
     ("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
     ("com/fr/", "allow"), ("com/de/", "block"),
@@ -56,8 +95,15 @@ FROM hosts h LEFT JOIN hits ON h.page_id = hits.page_id AND place = 1
 
 
 QUERIES = {
+    "op1_quality_classifier": (quality_classifier, None),
+    "op2_benchmark_decontamination": (benchmark_decontamination, None),
+    "op5_toxicity_segments": (toxicity_segments, None),
+    "op6_pivot_top_k": (pivot_top_k, TOP_K_SQL),
     "op7_byte_bpe": (byte_bpe, None),
+    "op8_simhash_near_dedup": (simhash_near_dedup, None),
+    "op9_lm_scores": (lm_scores, None),
     "op10_url_filters": (url_filters, URL_SQL),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
 
 
