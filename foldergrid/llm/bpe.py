@@ -24,7 +24,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldergrid.llm.common import chunks, texts_of
+from foldergrid.llm.common import chunks, small_batches, texts_of
 
 # classes of codepoints
 OTHER, LETTER, NUMBER, SPACE, QUOTE = range(5)
@@ -52,7 +52,7 @@ _STAYS = {
 }
 _SCAN_BLOCK = 64
 _HEAP_FROM = 64
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 250_000
 
 
 def codepoint_ranges() -> list[tuple[int, int, int]]:
@@ -254,8 +254,8 @@ class Codec:
         return out
 
     def offsets(self, ids: bytes) -> bytes:
-        """Where each token ends in the bytes of the text, as unsigned 64-bit integers."""
-        return np.cumsum(self.lengths[np.frombuffer(ids, "<u4")]).astype("<u8").tobytes()
+        """Where each token ends in the bytes of the text, as unsigned 32-bit integers."""
+        return np.cumsum(self.lengths[np.frombuffer(ids, "<u4")]).astype("<u4").tobytes()
 
     def decode(self, ids: bytes) -> bytes:
         numbers = np.frombuffer(ids, "<u4")
@@ -268,7 +268,7 @@ class Codec:
 
     def decode_slice(self, ids: bytes, offsets: bytes, start: int, stop: int) -> bytes:
         """Bytes [start, stop) of the text: only the tokens that cover them are decoded."""
-        ends = np.frombuffer(offsets, "<u8").astype(np.int64)
+        ends = np.frombuffer(offsets, "<u4").astype(np.int64)
         first, last = np.searchsorted(ends, [start, stop], side="right")
         base = int(ends[first - 1]) if first else 0
         part = self.decode(ids[4 * int(first) : 4 * (int(last) + 1)])
@@ -288,6 +288,7 @@ class Tokenizer:
     max_bytes: int = 64 << 20
 
     def _codec(self):
+        small_batches(self.spark)
         with open(self.path, "rb") as file:
             ranks = file.read(self.max_bytes + 1)
         if len(ranks) > self.max_bytes:
@@ -305,18 +306,18 @@ class Tokenizer:
 
     def encode(self, text: Column) -> Column:
         """struct<ids: binary, offsets: binary> of a text: ids as little-endian unsigned 32-bit
-        integers, the byte offset at which each token ends as 64-bit ones."""
+        integers, the byte offset at which each token ends likewise."""
         codec = self._codec()
         kind = pa.struct([("ids", pa.binary()), ("offsets", pa.binary())])
 
         @F.arrow_udf("ids binary, offsets binary")
         def encoded(column: pa.Array) -> pa.Array:
-            own = codec()
-            ids = [ids for part in chunks(texts_of(column)) for ids in own.encode(part)]
-            return pa.StructArray.from_arrays(
-                [pa.array(ids, pa.binary()), pa.array([own.offsets(i) for i in ids], pa.binary())],
-                fields=list(kind),
-            )
+            own, done = codec(), []
+            for part in chunks(texts_of(column)):
+                ids = own.encode(part)
+                arrays = [pa.array(ids, pa.binary()), pa.array([own.offsets(i) for i in ids], pa.binary())]
+                done.append(pa.StructArray.from_arrays(arrays, fields=list(kind)))
+            return pa.concat_arrays(done) if done else pa.array([], kind)
 
         return encoded(text)
 
