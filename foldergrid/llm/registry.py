@@ -5,8 +5,9 @@ from __future__ import annotations
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from foldergrid.llm import bpe, decontaminate, maxent, quality, simhash, topk, toxicity, url_filter
+from foldergrid.llm import bpe, chat, decontaminate, licenses, maxent, quality, simhash, topk, toxicity, url_filter
 from foldergrid.session import use_defaults
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -24,6 +25,52 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree source/lang/thousand/hundred; every tenth is the licence file
+    of its directory, of its language or of its source."""
+    number, hundred = F.col("doc_id"), F.floor(F.col("doc_id") / 100).cast("string")
+    folder = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 1000).cast("string"), hundred)
+    path = (
+        F.when(number % 1000 == 0, F.concat_ws("/", "source", "lang", F.lit("LICENSE")))
+        .when(number % 10 == 0, F.concat_ws("/", folder, F.lit("LICENSE.txt")))
+        .otherwise(F.concat_ws("/", folder, F.concat(F.lit("doc-"), "doc_id")))
+    )
+    files = table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
+    return licenses.scan(files)
+
+
+def chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views = chat.rotate(table(spark, sf_dir, "conversations"))
+    spans = F.array_join(F.transform("spans", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string"))), ",")
+    return views.select("conv_id", "perspective", "part", "n_turns", "n_own", "rendered", spans.alias("spans"))
+
+
+CHAT_SQL = f"""
+WITH said AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS x, length(coalesce(text, '')) + {chat.TURN_ALLOWANCE} AS size
+  FROM conversations),
+placed AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, x
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM said),
+people AS (SELECT DISTINCT conv_id, role AS perspective FROM said WHERE role IS NOT NULL AND role <> 'system'),
+views AS (
+  SELECT p.conv_id, perspective, CAST(floor(before / {chat.PART_CHARS}) AS INTEGER) AS part, before, x,
+         coalesce(role = perspective, false) AS own,
+         '<|im_start|>' || CASE WHEN role = perspective THEN 'assistant' WHEN role = 'system' THEN 'system'
+           WHEN role IS NULL THEN 'user' ELSE 'user name=' || role END || chr(10) AS head
+  FROM placed p JOIN people q ON p.conv_id IS NOT DISTINCT FROM q.conv_id),
+segments AS (SELECT *, head || x || '<|im_end|>' || chr(10) AS segment FROM views),
+ordered AS (
+  SELECT *, coalesce(sum(length(segment)) OVER (PARTITION BY conv_id, perspective, part ORDER BY before
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS start FROM segments)
+SELECT conv_id, perspective, part, count(*) AS n_turns, count(*) FILTER (WHERE own) AS n_own,
+       string_agg(segment, '' ORDER BY start) AS rendered,
+       coalesce(string_agg(CAST(CAST(start AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(start + length(x) + 10 AS BIGINT) AS VARCHAR), ',' ORDER BY start)
+         FILTER (WHERE own), '') AS spans
+FROM ordered GROUP BY conv_id, perspective, part
+"""
+
+
 def toxicity_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -97,6 +144,8 @@ FROM hosts h LEFT JOIN hits ON h.page_id = hits.page_id AND place = 1
 QUERIES = {
     "op1_quality_classifier": (quality_classifier, None),
     "op2_benchmark_decontamination": (benchmark_decontamination, None),
+    "op3_license_scans": (license_scans, None),
+    "op4_chat_rotation": (chat_rotation, CHAT_SQL),
     "op5_toxicity_segments": (toxicity_segments, None),
     "op6_pivot_top_k": (pivot_top_k, TOP_K_SQL),
     "op7_byte_bpe": (byte_bpe, None),

@@ -1,8 +1,8 @@
 """Toxicity: maximum-scoring segments of token log-odds.
 
 Words, and the first letters of words for those never seen, get log-odds between toxic and
-other documents under a Dirichlet prior, lowered by a multiple of their standard error; what
-stays above zero is the lexicon. All other words share a small negative score. One linear
+other documents under a Dirichlet prior of background shares. Those whose likelihood ratio
+leaves no room for chance, given how many are tried, are the lexicon. All other words share a small negative score. One linear
 scan finds every maximal segment. Under the scores of clean text the best segment of n words
 follows an extreme-value law; its parameters turn a segment's score into a p-value, and a
 logistic curve over the normalised score gives the document's.
@@ -29,12 +29,11 @@ from foldergrid.llm.common import bounded_sample, held_out, labelled, small_batc
 from foldergrid.session import cut_lineage
 
 # labelled documents of each class that training may take
-MAX_TRAIN_ROWS = 10_000
+MAX_TRAIN_ROWS = 15_000
 FOLDS = 5
 PREFIXES = (5, 4)
-PRIOR = 0.5           # pseudo documents of each class per word, beside its background share
-PRIOR_WEIGHT = 20.0   # pseudo documents dealt out by the background shares
-CERTAINTY = 1.64      # standard errors taken off
+PRIOR = 1000.0        # pseudo documents of either class that hold every word at its background share
+EVIDENCE = 14.0       # log-likelihood ratio asked for: the log of the number of terms that are tried
 MIN_DRIFT = -0.02     # of a word outside the lexicon, at most
 SIGNIFICANT = 0.01
 _CACHE = 300_000
@@ -223,21 +222,18 @@ def train(
 
 
 def _lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> dict[bytes, float]:
-    """Terms whose lowered log-odds stay above zero. Each is in several sampled documents, so
-    their number is bounded by the sample."""
+    """Log-odds, under the prior, of the terms that chance does not explain. Each is in several
+    sampled documents, so their number is bounded by the sample."""
     counted = (
         sample.select("_text", "_label").mapInArrow(_count_terms, "term binary, toxic bigint, clean bigint")
         .groupBy("term").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
     )
-    prior = F.lit(PRIOR) + F.lit(PRIOR_WEIGHT / (n_toxic + n_clean)) * (F.col("t") + F.col("c"))
-    weight = 2 * PRIOR + PRIOR_WEIGHT
-
-    def odds(count: str, size: int):
-        return F.log((F.col(count) + prior) / (F.lit(size + weight) - F.col(count) - prior))
-
-    error = F.sqrt(1 / (F.col("t") + prior) + 1 / (F.col("c") + prior))
-    scored = counted.where("t > 1").select("term", (odds("t", n_toxic) - odds("c", n_clean) - CERTAINTY * error).alias("score"))
-    return {bytes(r["term"]): r["score"] for r in scored.where("score > 0").collect()}
+    t, c = F.col("t").cast("double"), F.col("c").cast("double")
+    share = (t + c) / (n_toxic + n_clean)
+    odds = F.log((t + PRIOR * share) / (n_toxic + PRIOR)) - F.log((c + PRIOR * share) / (n_clean + PRIOR))
+    ratio = t * F.log(t / (n_toxic * share)) + F.when(c > 0, c * F.log(c / (n_clean * share))).otherwise(0.0)
+    scored = counted.where("t > 0").where((odds > 0) & (ratio >= EVIDENCE)).select("term", odds.alias("score"))
+    return {bytes(r["term"]): r["score"] for r in scored.collect()}
 
 
 def _calibrate(model: ToxicityModel, sample: DataFrame, share: float) -> ToxicityModel:
