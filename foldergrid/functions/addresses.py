@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: a cell address is capital letters followed by a row number.
-CELL_ADDRESS = r"^([A-Z]+)([0-9]+)$"
-
+# Columns are numbered by an int, which six letters do not pass: the one rule for options and data.
 _MAX_LETTERS = 6
 
+# Fixed value: a cell address is capital letters followed by a row number.
+CELL_ADDRESS = r"^([A-Z]{1,6})([0-9]+)\z"
+
 
 def column_number(letters: Column | str) -> Column:
     """'A' -> 1, 'Z' -> 26, 'AT' -> 46; null for more than six letters.
@@ -74,9 +75,9 @@ def parse_address(text: str) -> tuple[int, int]:
     """(row, column), both 1-based, of an address given as an option."""
     import re
 
-    match = re.fullmatch(r"([A-Z]+)([0-9]+)", text)
+    match = re.fullmatch(r"([A-Z]{1,6})([0-9]+)", text)
     if not match:
-        raise ValueError(f"Invalid cell address '{text}'.")
+        raise ValueError(f"'{text}' is no cell address: up to six capital letters and a row number.")
     column = 0
     for letter in match.group(1):
         column = column * 26 + ord(letter) - 64

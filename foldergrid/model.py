@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta
 
 # ---------------------------------------------------------------------------
 # MIME types of natively stored (not binary) files.
@@ -62,7 +64,7 @@ LOCATION_FIELDS = dict.fromkeys(("latitude", "longitude", "altitude"), "double")
 VIDEO_FIELDS = {"width": "int", "height": "int", "durationMillis": "bigint"}
 
 # Fixed value: a usable column title.
-COLUMN_TITLE = r"^[A-Za-z_][A-Za-z0-9_-]*$"
+COLUMN_TITLE = r"^[A-Za-z_][A-Za-z0-9_-]*\z"
 
 # ---------------------------------------------------------------------------
 # Tables. `cells` stays long and sparse until rows are built from it.
@@ -93,6 +95,31 @@ def _choice(label: str, value: str, allowed: tuple[str, ...]) -> None:
         raise ValueError(f"'{value}' is not a value of {label}. Allowed: {', '.join(allowed)}")
 
 
+def _moment(label: str, text: str | None) -> datetime:
+    """The moment a custom date names, for comparing two of them; zones left out read as UTC."""
+    from foldergrid.functions.dates import DATE_STRING  # that package imports this module
+
+    if text is None:
+        raise ValueError(f"A custom date range needs a {label} date.")
+    match = re.fullmatch(DATE_STRING.removesuffix(r"\z"), text)
+    try:
+        if not match:
+            raise ValueError
+        day, _, time = text.upper().partition("T")
+        year, month, date = day.split("-")
+        clock = re.fullmatch(r"(\d\d):(\d\d):(\d\d)(?:\.(\d+))?(Z|[+-]\d\d:\d\d)?", time) if time else None
+        if time and not clock:
+            raise ValueError
+        hour, minute, second, fraction, zone = clock.groups() if clock else (0, 0, 0, None, None)
+        shift = timedelta()
+        if zone and zone != "Z":
+            shift = timedelta(hours=int(zone[1:3]), minutes=int(zone[4:])) * (-1 if zone[0] == "-" else 1)
+        micros = int((fraction or "0")[:6].ljust(6, "0"))
+        return datetime(int(year), int(month), int(date), int(hour), int(minute), int(second), micros) - shift
+    except (ValueError, OverflowError):
+        raise ValueError(f"The {label} date '{text}' is no date, or not written as in 2019-09-19T19:52:13.456Z.") from None
+
+
 @dataclass(frozen=True)
 class FileSourceOptions:
     """How to read a folder of files."""
@@ -116,7 +143,11 @@ class FileSourceOptions:
             _choice("file types", kind, FILE_TYPES)
         _choice("body format", self.body_format.lower(), ("bytes", "string"))
         if self.max_part_bytes < 0:
-            raise ValueError("The maximum partition size cannot be negative.")
+            raise ValueError("A part cannot have fewer than 0 bytes.")
+        if self.file_id is None and self.date_range == "custom":
+            bounds = [_moment(label, text) for label, text in (("start", self.start_date), ("end", self.end_date))]
+            if bounds[0] > bounds[1]:
+                raise ValueError(f"The custom date range ends ({self.end_date}) before it starts ({self.start_date}).")
         for kind, mime in self.export_formats.items():
             _choice("export types", kind, tuple(EXPORT_FORMATS))
             _choice(f"{kind} export formats", mime, EXPORT_FORMATS[kind])
@@ -153,7 +184,7 @@ class SheetSourceOptions:
         _choice("column names", self.column_names, ("no_column_names", "first_row", "custom_row"))
         _choice("formatting", self.formatting, ("values_only", "formatted"))
         if self.sheets_to_pull != "all" and not self.sheet_identifiers:
-            raise ValueError("No required sheets present.")
+            raise ValueError("Name the sheets to pull, or pull all of them.")
         if not self.auto_detect and (self.last_column <= 0 or self.last_row <= 0):
             raise ValueError("The last data column and row should be greater than 0.")
         if self.add_names and not (self.spreadsheet_field and self.sheet_field):

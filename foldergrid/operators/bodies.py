@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from foldergrid.functions.text import utf8_text
 from foldergrid.model import EXPORT_FORMATS, NATIVE_MIMES, SCRIPT_EXPORT_MIME
 from foldergrid.operators.catalogue import is_native
+from foldergrid.operators.lookup import fits_broadcast
 
 _NO_RANGE = "CAST(NULL AS struct<bytes_from: bigint, bytes_to: bigint>)"
 
@@ -26,15 +27,28 @@ def byte_ranges(size: Column, max_bytes: int) -> Column:
     return F.when(size > F.lit(max_bytes), cut).otherwise(whole)
 
 
+# parts that are numbered in one array
+CHUNK_PARTS = 10_000
+
+
 def plan_parts(files: DataFrame, max_bytes: int) -> DataFrame:
-    """One row per part to read; native files are never split."""
+    """One row per part to read; native files are never split.
+
+    Parts are numbered in chunks, so no array is as long as a file has parts.
+    """
     size = F.when(is_native(), F.lit(None)).otherwise(F.col("size")) if "mimeType" in files.columns else F.col("size")
+    none = F.lit(None).cast("bigint")
+    if max_bytes <= 0:
+        return files.withColumns({"bytes_from": none, "bytes_to": none, "is_partitioned": F.lit(False)})
+    step, wide = F.lit(max_bytes).cast("bigint"), F.lit(max_bytes * CHUNK_PARTS).cast("bigint")
+    split = F.coalesce(size > step, F.lit(False))
     return (
-        files.withColumn("_range", F.explode_outer(byte_ranges(size, max_bytes)))
-        .withColumn("bytes_from", F.col("_range.bytes_from"))
-        .withColumn("bytes_to", F.col("_range.bytes_to"))
-        .withColumn("is_partitioned", F.col("_range").isNotNull())
-        .drop("_range")
+        files.withColumn("_size", F.when(split, size))
+        .withColumn("_from", F.explode_outer(F.sequence(F.lit(0).cast("bigint"), F.col("_size") - 1, wide)))
+        .withColumn("bytes_from", F.explode_outer(F.sequence("_from", F.least(F.col("_from") + wide, F.col("_size")) - 1, step)))
+        .withColumn("bytes_to", F.least(F.col("bytes_from") + step, F.col("_size")) - 1)
+        .withColumn("is_partitioned", F.col("bytes_from").isNotNull())
+        .drop("_size", "_from")
     )
 
 
@@ -89,6 +103,10 @@ def with_renditions(files: DataFrame, renditions: DataFrame, formats: dict[str,
     )
     asked = [(formats or {}).get(kind, mimes[0]) for kind, mimes in EXPORT_FORMATS.items()]
     offered = renditions.where(F.col("export_mime").isin(sorted({*asked, SCRIPT_EXPORT_MIME})))
+    # keys only: few enough are broadcast, and then no rendition of another file is shuffled
+    keys = wanted.where(F.col("export_mime").isNotNull()).select("id", "export_mime").distinct()
+    if fits_broadcast(keys):
+        offered = offered.join(F.broadcast(keys), ["id", "export_mime"], "left_semi")
     joined = wanted.join(offered, ["id", "export_mime"], "left")
     return joined.select(
         *[

@@ -42,26 +42,26 @@ def schema_problems(schema: T.StructType, options: SheetSinkOptions) -> list[str
         if not name:
             continue
         if name not in schema.names:
-            problems.append(f"Input schema doesn't contain '{name}' field.")
+            problems.append(f"{label}: there is no column '{name}' in the records.")
         elif not isinstance(schema[name].dataType, T.StringType):
             problems.append(
-                f"Field '{name}' must be of type 'STRING' but is of type '{schema[name].dataType.simpleString()}'."
+                f"{label}: column '{name}' holds {schema[name].dataType.simpleString()} and not text."
             )
     for field in schema.fields:
         kind = field.dataType
         if isinstance(kind, T.ArrayType):
             if not _is_leaf(kind.elementType):
                 problems.append(
-                    f"Array '{field.name}' has unsupported elements '{kind.elementType.simpleString()}'."
+                    f"A cell cannot hold the elements of '{field.name}': {kind.elementType.simpleString()}."
                 )
         elif isinstance(kind, T.StructType):
             problems += [
-                f"Record '{field.name}' has unsupported field '{sub.name}' of '{sub.dataType.simpleString()}'."
+                f"A cell cannot hold '{field.name}.{sub.name}': {sub.dataType.simpleString()}."
                 for sub in kind.fields
                 if not _is_leaf(sub.dataType)
             ]
         elif not _is_leaf(kind):
-            problems.append(f"Field '{field.name}' has unsupported type '{kind.simpleString()}'.")
+            problems.append(f"A cell cannot hold '{field.name}': {kind.simpleString()}.")
     return problems
 
 

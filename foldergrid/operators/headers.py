@@ -11,11 +11,6 @@ from pyspark.sql.window import Window
 from foldergrid.functions.addresses import column_letters
 from foldergrid.model import COLUMN_TITLE, SHEET_KEY, SheetSourceOptions
 
-# A sheet of this format has at most 18,278 columns ('ZZZ'), which bounds what one
-# sheet's headers may bring to the driver.
-MAX_COLUMNS = 18_278
-
-
 @dataclass(frozen=True)
 class Header:
     """A resolved column: a plain one, or a group of sub-columns."""
@@ -56,8 +51,9 @@ def header_merges(merges: DataFrame, options: SheetSourceOptions) -> DataFrame:
 
 
 def invalid_header_merges(merges: DataFrame, options: SheetSourceOptions) -> DataFrame:
-    """Ranges that start above the header row, which a readable sheet must not have."""
-    return merges.where(F.col("start_row") < options.header_row - 1)
+    """Ranges that reach into the header row from above, which a readable sheet must not have."""
+    row = options.header_row - 1
+    return merges.where((F.col("start_row") < row) & (F.col("end_row") > row))
 
 
 def resolve_headers(cells: DataFrame, merges: DataFrame, options: SheetSourceOptions) -> DataFrame:
@@ -93,11 +89,12 @@ def resolve_headers(cells: DataFrame, merges: DataFrame, options: SheetSourceOpt
 
     head = F.coalesce("_start", "col_idx")
     group = Window.partitionBy(*SHEET_KEY, head)
-    last = options.last_column or MAX_COLUMNS
     titled = columns.select(
         *SHEET_KEY, "col_idx", *parts, head.alias("col_index"),
         F.max(F.when(F.col("col_idx") == head, F.col("_title"))).over(group).alias("_head_title"),
-    ).where(F.col("_head_title").isNotNull() & (F.col("col_index") < last))
+    ).where(F.col("_head_title").isNotNull())
+    if options.last_column:
+        titled = titled.where(F.col("col_index") < options.last_column)
     is_group = F.col("_start").isNotNull()
     has_groups = F.max(is_group).over(Window.partitionBy(*SHEET_KEY))
     return titled.select(
@@ -173,12 +170,12 @@ def schema_mismatches(headers: DataFrame) -> DataFrame:
 
 
 def header_list(headers: DataFrame, sheet: dict) -> list[Header]:
-    """The headers of one sheet on the driver (bounded by its columns)."""
+    """The headers of one sheet on the driver: as many rows as the sheet has columns."""
     rows = (
         headers.where(
             (F.col("spreadsheet_id") == F.lit(sheet["spreadsheet_id"])) & (F.col("sheet_id") == F.lit(sheet["sheet_id"]))
         )
-        .drop(*SHEET_KEY).orderBy("col_index", "sub_index").limit(MAX_COLUMNS).collect()
+        .drop(*SHEET_KEY).orderBy("col_index", "sub_index").collect()
     )
     grouped: dict[int, list] = {}
     for row in rows:
@@ -199,10 +196,10 @@ def check_unique(headers: list[Header]) -> None:
     problems, seen = [], set()
     for header in headers:
         if header.title in seen:
-            problems.append(f"Duplicate column name '{header.title}'.")
+            problems.append(f"Two columns are called '{header.title}'.")
         seen.add(header.title)
         names = [name for _, name, _ in header.subs]
-        problems += [f"Duplicate sub-column name '{n}'." for n in sorted({n for n in names if names.count(n) > 1})]
+        problems += [f"Two parts of column '{header.title}' are called '{n}'." for n in sorted({n for n in names if names.count(n) > 1})]
     if problems:
         raise ValueError(" ".join(problems))
 

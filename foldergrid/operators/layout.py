@@ -31,7 +31,7 @@ from foldergrid.operators.flatten import TARGET
 from foldergrid.session import shuffle_width
 
 SAMPLE_PER_RANGE = 10
-MAX_RANGES = 20_000
+RANGE_ROWS = 4_000_000  # rows of a range, where that makes more ranges than there are tasks
 
 
 @dataclass(frozen=True)
@@ -44,19 +44,18 @@ class Running:
     value: str | int  # a column, or a constant
 
 
-def range_bounds(df: DataFrame, keys: list[str], n_ranges: int) -> list[str]:
-    """At most n_ranges-1 ascending keys, as JSON, that cut the rows into ranges of about
-    equal size.
+def range_bounds(df: DataFrame, keys: list[str], n_ranges: int | None = None) -> list[str]:
+    """Ascending keys, as JSON, that cut the rows into ranges of about equal size: n_ranges, or
+    as many as the rows ask for.
 
-    The sample is a top-n by a random number: every task keeps at most that many keys and
-    the driver receives no more, whatever the size of the table.
+    The rows are counted, then each task picks its share of the sample by itself. What the
+    driver receives is the sample, about SAMPLE_PER_RANGE keys a range.
     """
-    size = SAMPLE_PER_RANGE * n_ranges
-    sample = (
-        df.select(_key(keys).alias("key"), F.rand(17).alias("r"))
-        .orderBy("r").limit(size)
-        .orderBy("key").select(F.to_json("key").alias("key")).collect()
-    )
+    count = df.count()
+    n_ranges = n_ranges or max(2 * shuffle_width(df.sparkSession), -(-count // RANGE_ROWS))
+    share = min(1.0, 1.2 * SAMPLE_PER_RANGE * n_ranges / max(count, 1))
+    picked = df.where(F.rand(17) < share) if share < 1 else df
+    sample = picked.select(_key(keys).alias("key")).orderBy("key").select(F.to_json("key").alias("key")).collect()
     cuts = [sample[len(sample) * i // n_ranges]["key"] for i in range(1, n_ranges)] if sample else []
     return list(dict.fromkeys(cuts))
 
@@ -97,14 +96,16 @@ def spans_ranges(df: DataFrame, column: str, bounds: list[str]) -> Column:
     totals per range. Types other than text and whole numbers count every group.
     """
     kind = df.schema[column].dataType
-    values = {json.loads(bound).get("k0") for bound in bounds} - {None}
+    values = {json.loads(bound).get("k0") for bound in bounds}
+    null = f"`{column}` IS NULL" if None in values else "false"
+    values -= {None}
     if isinstance(kind, T.StringType):
         texts = ["'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in sorted(values)]
     elif isinstance(kind, (T.LongType, T.IntegerType)):
         texts = [str(v) for v in sorted(values)]
     else:
         return F.lit(True)
-    return F.expr(f"coalesce(`{column}` IN ({', '.join(texts)}), false)") if texts else F.lit(False)
+    return F.expr(f"{null} OR coalesce(`{column}` IN ({', '.join(texts)}), false)" if texts else null)
 
 
 def running_totals(
@@ -115,6 +116,9 @@ def running_totals(
     The groups must be nested, the columns of a coarser one leading those of a finer, and
     `order_by` must be unique within the coarsest group, otherwise ties are in no order. One
     shuffle of the rows, on (range, coarsest group), serves every total.
+
+    `df` is read three times: for the sample, for the totals and for the rows. If it is costly,
+    or does not give the same rows each time, cut its lineage first.
     """
     if not order_by:
         raise ValueError("A running total needs an explicit order: name the columns in order_by.")
@@ -123,8 +127,7 @@ def running_totals(
         if fine.group[: len(coarse.group)] != coarse.group:
             raise ValueError("The groups of the running totals must be nested, the coarser leading.")
     keys = [*totals[0].group, *[c for c in order_by if c not in totals[0].group]]
-    ranges = min(n_ranges or 2 * shuffle_width(df.sparkSession), MAX_RANGES)
-    bounds = range_bounds(df, keys, ranges)
+    bounds = range_bounds(df, keys, n_ranges)
     ranged = with_range(df, keys, bounds).withColumns(
         {
             f"_v_{t.name}": (F.lit(t.value) if isinstance(t.value, int) else F.col(t.value)).cast("bigint")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foldergrid.session import cut_lineage, shuffle_width
+
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
 
 
 def fits_broadcast(
@@ -30,14 +31,17 @@ def lookup_join(
 ) -> DataFrame:
     """`big` joined to `small` (one row per key, `how` left, inner or left_semi).
 
-    A measured small table is broadcast. Beyond the bound the keys are salted: each
-    lookup row is repeated per salt and the rows of one key spread over the salts by
-    `spread_by`, so that a key holding a third of `big` is no single task.
+    The lookup table is computed once, written, and measured there. A small one is broadcast.
+    Beyond the bound the keys are salted: each lookup row is repeated per salt and the rows of
+    one key spread over the salts by `spread_by`, as many as the shuffle has partitions, so
+    that a key holding a third of `big` is no single task.
     """
+    small = cut_lineage(small)
     if fits_broadcast(small, max_rows, max_bytes):
         return big.join(F.broadcast(small), on, how)
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)))
+    salts = shuffle_width(big.sparkSession)
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
     copies = small.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
+        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
     )
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")

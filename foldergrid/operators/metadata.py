@@ -23,7 +23,7 @@ def _struct(source: str, columns: list[Column]) -> Column:
 
 def _known(name: str, kinds: dict[str, str], label: str) -> str:
     if name not in kinds:
-        raise ValueError(f"Untreated value '{name}' for {label} field.")
+        raise ValueError(f"There is no {label} property '{name}'. Known: {', '.join(kinds)}")
     return kinds[name]
 
 

@@ -70,8 +70,9 @@ def build_rows(
     ranked = fills is not None
     leaves = _leaves(headers)
     if len(leaves) > wide_above:
-        built = _wide_rows(union, values)
-        pick = lambda col, source: F.col("_cells")[F.lit(col)][source]
+        place = {col: i for i, col in enumerate(sorted({col for col, _ in leaves}))}
+        built = _wide_rows(union, values, list(place))
+        pick = lambda col, source: F.get("_cells", F.lit(place[col]))[source]
     else:
         built = union.groupBy(*ROW_KEY).agg(
             *[
@@ -94,24 +95,30 @@ def _cell_aggregate(col: int, source: str, ranked: bool) -> Column:
     return F.expr(f"max(CASE WHEN col_idx = {col} THEN {value} END)")
 
 
-def _wide_rows(union: DataFrame, values: list[str]) -> DataFrame:
-    """A col_idx -> cell map per row; a row holds at most as many entries as the sheet has
-    columns, twice that where fills cover cells."""
+def _wide_rows(union: DataFrame, values: list[str], columns: list[int]) -> DataFrame:
+    """An array per row with the cell of each of `columns`, so that a column is read by its
+    position. A row holds at most as many entries as the sheet has columns, twice that where
+    fills cover cells.
+
+    Every column asked for gets an entry without a cell, of the lowest rank; of the entries of
+    a column, which the sort puts side by side, the last one stays.
+    """
+    kind = ", ".join(f"{v}: {union.schema[v].dataType.simpleString()}" for v in values)
     entry = F.struct("col_idx", "_rank", F.struct(*values).alias("cell"))
-    entries = F.array_sort(F.collect_list(F.when(F.col("col_idx") >= 0, entry)))
-    # sorted by column then rank: the last entry of a column is the one to keep
+    blank = F.transform(
+        F.lit(columns), lambda c: F.struct(c.alias("col_idx"), F.lit(-1).alias("_rank"), F.lit(None).cast(f"struct<{kind}>").alias("cell"))
+    )
+    wanted = F.col("col_idx").isin(columns) if len(columns) < max(columns) - min(columns) + 1 else F.col("col_idx").between(min(columns), max(columns))
+    entries = F.collect_list(F.when(wanted, entry))
     last = F.filter(
         F.col("_list"),
-        lambda e, i: (i + 1 >= F.size("_list"))
-        | (F.coalesce(F.get(F.col("_list"), i + 1)["col_idx"], F.lit(-1)) != e["col_idx"]),
+        lambda e, i: F.coalesce(F.get(F.col("_list"), i + 1)["col_idx"], F.lit(-1)) != e["col_idx"],
     )
     return (
         union.groupBy(*ROW_KEY)
-        .agg(entries.alias("_list"), F.count(F.when(F.col("non_empty"), True)).alias("_filled"))
-        .select(
-            *ROW_KEY, "_filled",
-            F.map_from_entries(F.transform(last, lambda e: F.struct(e["col_idx"], e["cell"]))).alias("_cells"),
-        )
+        .agg(entries.alias("_found"), F.count(F.when(F.col("non_empty"), True)).alias("_filled"))
+        .select(*ROW_KEY, "_filled", F.array_sort(F.concat("_found", blank)).alias("_list"))
+        .select(*ROW_KEY, "_filled", F.transform(last, lambda e: e["cell"]).alias("_cells"))
     )
 
 

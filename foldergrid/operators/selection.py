@@ -9,6 +9,9 @@ from foldergrid.model import SHEET_KEY, SheetSourceOptions
 from foldergrid.session import shuffle_width
 
 
+RUN_PAGES = 10_000
+
+
 def sheet_wanted(options: SheetSourceOptions) -> Column:
     """Selected by 0-based sheet index, by title, or all."""
     if options.sheets_to_pull == "numbers":
@@ -60,16 +63,19 @@ def data_cells(cells: DataFrame, options: SheetSourceOptions, header_rows: int,
 
 
 def read_chunks(sheets: DataFrame, options: SheetSourceOptions, header_rows: int) -> DataFrame:
-    """Paged row reads: (first_row, n_rows) per chunk of `read_buffer_rows`, 1-based."""
+    """Paged row reads: (first_row, n_rows) per chunk of `read_buffer_rows`, 1-based.
+
+    Pages are numbered in runs, so no array is as long as a sheet has pages.
+    """
     first = F.lit(options.first_data_row(header_rows)).cast("bigint")
-    last = last_data_row(options)
     step = F.lit(options.read_buffer_rows).cast("bigint")
-    starts = F.when(last >= first, F.sequence(first, last, step))
+    run = F.lit(options.read_buffer_rows * RUN_PAGES).cast("bigint")
     return (
-        sheets.withColumn("_last", last)
-        .withColumn("first_row", F.explode(starts))
+        sheets.withColumn("_last", last_data_row(options)).where(F.col("_last") >= first)
+        .withColumn("_run", F.explode_outer(F.sequence(first, F.col("_last"), run)))
+        .withColumn("first_row", F.explode_outer(F.sequence("_run", F.least(F.col("_run") + run - 1, F.col("_last")), step)))
         .withColumn("n_rows", F.least(step, F.col("_last") - F.col("first_row") + 1))
-        .drop("_last")
+        .drop("_last", "_run")
     )
 
 

@@ -21,7 +21,7 @@ def read_files(
     One lazy plan; nothing is collected, and a read of binary files only is not shuffled.
     """
     chosen = select_files(files, options, now)
-    if options.file_types == ("binary",):
+    if options.file_id is None and options.file_types == ("binary",):
         parts = cut_bodies(chosen, options.max_part_bytes)
     else:
         parts = read_bodies(chosen, options.max_part_bytes, renditions, options.export_formats)

@@ -19,10 +19,10 @@ from foldergrid.operators.headers import (
 )
 from foldergrid.operators.lookup import lookup_join
 from foldergrid.operators.merges import clip_merges, merge_fills
-from foldergrid.operators.rows import build_rows
+from foldergrid.operators.rows import build_rows, rows_from_arrays
 from foldergrid.operators.selection import data_cells, row_spine, select_sheets
 from foldergrid.operators.sheetmeta import metadata_problems, section_problems, sheet_metadata
-from foldergrid.sources.documents import cells_of, merges_of, sheets_of
+from foldergrid.sources.documents import cells_of, merges_of, row_arrays_of, sheets_of
 
 
 def infer_headers(
@@ -39,10 +39,10 @@ def infer_headers(
     if not options.has_names:
         return header_list(default_headers(cells.where(here), options, sheets.where(here)), sheet)
     if invalid_header_merges(merges.where(here), options).limit(1).collect():
-        raise ValueError("The column row should not have merged cells from previous rows.")
+        raise ValueError(f"A range that starts above row {options.header_row} reaches into the column names.")
     headers = header_list(resolve_headers(cells.where(here), merges.where(here), options), sheet)
     if not headers:
-        raise ValueError(f"No headers found for row {options.header_row} of sheet {sheet}.")
+        raise ValueError(f"Row {options.header_row} of sheet {sheet} has no column names.")
     return headers
 
 
@@ -68,7 +68,7 @@ def read_sheets(
     header_rows = 2 if any(h.subs for h in headers) else 1
     problems = section_problems(options, header_rows) if options.extract_metadata else []
     if options.extract_metadata and options.metadata_field in [h.title for h in headers]:
-        problems.append(f"Metadata record name '{options.metadata_field}' coincides with a column name.")
+        problems.append(f"The metadata column would be called '{options.metadata_field}' like a column of the sheet.")
     if problems:
         raise ValueError(" ".join(problems))
 
@@ -111,10 +111,23 @@ def read_documents_rows(
 ) -> DataFrame:
     """Typed rows of spreadsheet documents.
 
-    To read the same documents more than once, write their sheets, cells and merges as
-    tables first: each of them is a scan of the JSON text here.
+    Rows that need nothing but their own cells (no merged ranges, no empty rows, no lookup by
+    sheet) stay as they arrive: no shuffle, and only resolved columns are parsed. To read the
+    same documents more than once, write their sheets, cells and merges as tables first: each
+    of them is a scan of the JSON text here.
     """
-    return read_sheets(sheets_of(documents), cells_of(documents), options, merges_of(documents), headers)
+    sheets, merges = sheets_of(documents), merges_of(documents)
+    plain = options.skip_empty and not (options.add_names or options.extract_metadata) and options.sheets_to_pull == "all"
+    if not plain or not merges.isEmpty():
+        return read_sheets(sheets, cells_of(documents), options, merges, headers)
+    if headers is None:
+        headers = infer_headers(sheets, cells_of(documents), merges, options)
+    first = options.first_data_row(2 if any(h.subs for h in headers) else 1) - 1
+    several = documents.where(F.exists("sheets", lambda s: F.size(s["data"]) > 1))
+    grid = row_arrays_of(documents, one_block=several.isEmpty()).where(F.col("row_idx") >= first)
+    if options.fixed_last_row is not None:
+        grid = grid.where(F.col("row_idx") <= options.fixed_last_row - 1)
+    return rows_from_arrays(grid, headers, options).select(*[f"`{h.title}`" for h in headers])
 
 
 def add_sheet_fields(rows: DataFrame, sheets: DataFrame, cells: DataFrame, options: SheetSourceOptions) -> DataFrame:

@@ -43,12 +43,13 @@ def use_defaults(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path under the checkpoint folder the session names (spark.checkpoint.dir).
 
-    Without a configured folder only a local session gets one of its own: on a cluster it
-    would not be shared.
+    Without a configured folder only a session whose tasks run in the driver itself gets one
+    of its own: anywhere else it would not be shared.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
         folder = tempfile.mkdtemp(prefix="foldergrid-")
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -62,6 +63,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store the path names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate files and all it holds."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """Partition count for repartitions whose rows are tiny but whose work is not.
 

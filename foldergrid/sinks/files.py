@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foldergrid.functions.text import random_name
-from foldergrid.session import shuffle_width
-from foldergrid.sources.folder import file_locator
+from foldergrid.operators.lookup import lookup_join
+from foldergrid.session import cut_lineage, path_exists, remove_folder, shuffle_width
+from foldergrid.sources.folder import file_locator, list_names
 
 MANIFEST_DDL = "name string, mimeType string, size bigint, staged string"
 
@@ -25,11 +26,11 @@ def file_schema_problems(
         if not name:
             continue
         if name not in schema.names:
-            problems.append(f"Input schema doesn't contain '{name}' field.")
+            problems.append(f"There is no column '{name}' in the records.")
         elif not isinstance(schema[name].dataType, kind):
             problems.append(
-                f"Field '{name}' must be of type '{kind().simpleString()}' "
-                f"but is of type '{schema[name].dataType.simpleString()}'."
+                f"Column '{name}' holds {schema[name].dataType.simpleString()}, "
+                f"files need {kind().simpleString()} there."
             )
     return problems
 
@@ -57,39 +58,45 @@ def file_rows(
 def write_files(rows: DataFrame, folder: str) -> DataFrame:
     """Write file rows into `folder`; returns the manifest (name, mimeType, size, path).
 
-    Tasks write bodies under a staging folder, each attempt to names of its own, and the
-    manifest of committed attempts is saved as a table. A second job, which only moves
-    files, publishes from that table: bodies are never shuffled, nothing passes through the
-    driver, and files of lost or repeated attempts are never published. Moving is idempotent,
-    so publishing may be retried. Files that share a name all stay: they get a suffix.
+    Tasks write bodies to a staging folder beside the target, each attempt to names of its
+    own, and the manifest of committed attempts is saved as a table. A second job, which only
+    moves files, publishes from that table: bodies are never shuffled, nothing passes through
+    the driver, and files of lost or repeated attempts are never published. Moving is
+    idempotent, so publishing may be retried. Every record makes a new file: a file whose name
+    another one of the run or of the folder has gets a suffix. The staging folder is removed
+    in the end.
     """
     spark = rows.sparkSession
-    run = f"{folder.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    folder = folder.rstrip("/")
+    run = f"{folder}.staging-{uuid.uuid4().hex}"
     staged = rows.select("name", "mimeType", "body").mapInArrow(_stager(f"{run}/files"), MANIFEST_DDL)
-    staged.write.parquet(f"{run}/manifest")
-    manifest = spark.read.parquet(f"{run}/manifest")
+    manifest = cut_lineage(staged.withColumn("_file", file_name(F.col("name"))))
 
     # only names leave their rows here; a name on a third of all rows is one count per task
-    shared = manifest.groupBy("name").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(
-        "name", F.lit(True).alias("_shared")
-    )
+    taken = manifest.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_file")
+    if path_exists(spark, folder):
+        taken = taken.union(list_names(spark, folder)).distinct()
     token = F.regexp_extract("staged", r"([^/]+)$", 1)
-    stem = F.regexp_extract("name", r"^(.*?)(\.[^.]*)?$", 1)
-    ending = F.regexp_extract("name", r"^(.*?)(\.[^.]*)?$", 2)
-    safe = F.regexp_replace(
-        F.when(F.col("_shared"), F.concat(stem, F.lit(" ("), token, F.lit(")"), ending)).otherwise(F.col("name")),
-        "/", "_",
-    )
-    targets = manifest.join(shared, "name", "left").select(
-        "name", "mimeType", "size", "staged", F.concat(F.lit(folder.rstrip("/") + "/"), safe).alias("path")
-    )
-    targets.write.parquet(f"{run}/targets")
-    targets = spark.read.parquet(f"{run}/targets")
-    published = targets.repartition(shuffle_width(spark), "staged").mapInArrow(
-        _publisher(), "name string, mimeType string, size bigint, path string"
+    # the ending stays last; a name is cut nowhere else
+    suffixed = F.regexp_replace("_file", r"(?s)\A(.*?)((?<=.)\.[^.]*)?\z", F.concat(F.lit("$1 ("), token, F.lit(")$2")))
+    into = F.concat(F.lit(folder + "/"), F.col("_file"))
+    spare = F.concat(F.lit(folder + "/"), suffixed)
+    targets = cut_lineage(
+        lookup_join(manifest, taken.withColumn("_taken", F.lit(True)), ["_file"], ["staged"])
+        .select("name", "mimeType", "size", "staged", F.when(F.col("_taken"), spare).otherwise(into).alias("path"), spare.alias("spare"))
     )
-    published.write.parquet(f"{run}/published")
-    return spark.read.parquet(f"{run}/published")
+    published = cut_lineage(targets.repartition(shuffle_width(spark), "staged").mapInArrow(
+        _publisher(folder), "name string, mimeType string, size bigint, path string"
+    ))
+    remove_folder(spark, run)
+    return published
+
+
+def file_name(name: Column) -> Column:
+    """The name a file can have: no separator or control character, and neither empty nor a
+    name that stands for a folder."""
+    clean = F.regexp_replace(name, r"[/\x00-\x1f]", "_")
+    return F.when(clean.isin("", ".", ".."), F.concat(F.lit("unnamed"), clean)).otherwise(clean)
 
 
 def _stager(root: str):
@@ -122,8 +129,9 @@ def _stager(root: str):
     return stage
 
 
-def _publisher():
-    """Moves staged files to their final path; a file already moved is left alone."""
+def _publisher(folder: str):
+    """Moves staged files to their final path; a file already moved is left alone, and a path
+    that was taken meanwhile is passed over for the spare one, which only this file can have."""
     located = file_locator()
 
     def publish(batches):
@@ -131,15 +139,21 @@ def _publisher():
         from pyarrow import fs
 
         for batch in batches:
-            for staged, path in zip(batch.column("staged").to_pylist(), batch.column("path").to_pylist()):
+            paths = []
+            for staged, path, spare in zip(*(batch.column(c).to_pylist() for c in ("staged", "path", "spare"))):
                 system, source = located(staged)
-                _, target = located(path)
-                if system.get_file_info(source).type != fs.FileType.NotFound:
-                    system.move(source, target)
-                elif system.get_file_info(target).type == fs.FileType.NotFound:
-                    raise FileNotFoundError(f"Neither {staged} nor {path} exists.")
+                there = lambda name: system.get_file_info(located(name)[1]).type != fs.FileType.NotFound  # noqa: B023, E731
+                if there(staged):
+                    system.create_dir(located(folder)[1], recursive=True)
+                    path = spare if there(path) else path
+                    system.move(source, located(path)[1])
+                elif there(spare):
+                    path = spare
+                elif not there(path):
+                    raise FileNotFoundError(f"Neither {staged} nor {path} is there.")
+                paths.append(path)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("name", "mimeType", "size", "path")],
+                [*(batch.column(c) for c in ("name", "mimeType", "size")), pa.array(paths, pa.string())],
                 names=["name", "mimeType", "size", "path"],
             )
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from foldergrid.model import SheetSinkOptions
 from foldergrid.operators.flatten import (
@@ -113,19 +114,28 @@ def write_sheets(
 def update_documents(placed: DataFrame, layout: Layout, options: SheetSinkOptions) -> DataFrame:
     """One update document per batch: cell updates first, then merges.
 
-    A batch holds `max_buffer` records. A record may expand to any number of rows, so each
-    record gives at most `max_batch_rows / max_buffer` rows to one part of the batch: a
-    document has at most `max_batch_rows` data rows and no group grows with the data. Batches
-    of ordinary records are a single part. Header rows travel with the sheet's first record.
+    A batch holds `max_buffer` records, which may expand to any number of rows. The rows of a
+    batch are numbered through; one of at most `max_batch_rows` rows is a single document, a
+    larger one is cut every `max_batch_rows` rows, and its merges are in the last document,
+    after all contents. Merges of a batch that exceed a document's worth of ranges make further
+    documents. Header rows travel with the sheet's first record.
     """
-    per_part = F.lit(max(1, options.max_batch_rows // options.max_buffer))
     head = layout.depth if options.write_schema else 0
     key = ["spreadsheet_name", "batch_no", "part_no"]
+    limit = F.lit(options.max_batch_rows)
+    # a window over the records of a batch, of which there are max_buffer at most
+    batch = Window.partitionBy("spreadsheet_name", "batch_no")
+    taken = F.col("n_rows") + F.when(F.col("is_first"), F.lit(head)).otherwise(F.lit(0))
+    before = F.sum(taken).over(batch.orderBy("sheet_name", "first_row").rowsBetween(Window.unboundedPreceding, -1))
+    placed = placed.withColumns({
+        "_before": F.coalesce(before, F.lit(0)), "_last_part": F.floor((F.sum(taken).over(batch) - 1) / limit),
+        "_head": F.when(F.col("is_first"), F.lit(head)).otherwise(F.lit(0)),
+    })
     rows = all_grid_rows(placed, layout).select(
-        *TARGET, "batch_no", F.floor(F.col("row_in_record") / per_part).alias("part_no"), "row_idx", "cells"
+        *TARGET, "batch_no", F.floor((F.col("_before") + F.col("_head") + F.col("row_in_record")) / limit).alias("part_no"), "row_idx", "cells"
     )
     if head:
-        header = _header_rows(placed, layout)
+        header = _header_rows(placed, layout, limit)
         rows = rows.unionByName(header)
     updates = rows.groupBy(*key).agg(
         F.array_sort(F.collect_list(F.struct("sheet_name", "row_idx", "cells"))).alias("updates"),
@@ -141,21 +151,21 @@ def update_documents(placed: DataFrame, layout: Layout, options: SheetSinkOption
             ),
         )
     else:
-        grouped = merges.groupBy(
-            "spreadsheet_name", "batch_no", F.floor(F.col("_from_first") / per_part).alias("part_no")
-        ).agg(
+        # ranges of one record are dealt evenly over the documents that its batch needs for them
+        grouped = merges.groupBy("spreadsheet_name", "batch_no", "part_no").agg(
             F.array_sort(
                 F.collect_list(F.struct("sheet_name", "start_row", "end_row", "start_col", "end_col"))
             ).alias("merges")
         )
-        joined = updates.join(grouped, key, "left")
+        joined = updates.join(grouped, key, "full")
     return joined.select(
-        *key, "n_rows", F.coalesce(F.size("merges"), F.lit(0)).alias("n_merges"),
+        *key, F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.coalesce(F.size("merges"), F.lit(0)).alias("n_merges"),
         F.to_json(F.struct("updates", "merges")).alias("document"),
     )
 
 
-def _header_rows(placed: DataFrame, layout: Layout) -> DataFrame:
+def _header_rows(placed: DataFrame, layout: Layout, limit: Column) -> DataFrame:
+    """Header rows, numbered before the rows of the record that they travel with."""
     names = {(r, c): name for r, c, name in header_cells(layout.schema)}
     structs = []
     for r in range(layout.depth):
@@ -167,19 +177,25 @@ def _header_rows(placed: DataFrame, layout: Layout) -> DataFrame:
             for c in range(layout.width)
         ]
         structs.append(
-            F.struct(F.lit(r).cast("bigint").alias("row_idx"), F.array(*cells).cast(f"array<{CELL_DDL}>").alias("cells"))
+            F.struct((F.col("_before") + F.lit(r)).alias("_at"), F.lit(r).cast("bigint").alias("row_idx"), F.array(*cells).cast(f"array<{CELL_DDL}>").alias("cells"))
         )
-    return placed.where("is_first").select(
-        *TARGET, "batch_no", F.lit(0).cast("bigint").alias("part_no"), F.inline(F.array(*structs))
-    )
+    first = placed.where("is_first").select(*TARGET, "batch_no", F.inline_outer(F.array(*structs)))
+    return first.select(*TARGET, "batch_no", F.floor(F.col("_at") / limit).alias("part_no"), "row_idx", "cells")
 
 
 def _batch_merges(placed: DataFrame, layout: Layout, options: SheetSinkOptions, head: int) -> DataFrame | None:
     columns = [*TARGET, "batch_no", "start_row", "end_row", "start_col", "end_col"]
     parts = []
+    last = F.col("_last_part")
     if options.merge_data_cells:
+        # a record of many rows has many ranges: those past the first document's worth of its rows
+        # go to documents after the last one
+        per_part = F.lit(max(1, options.max_batch_rows // options.max_buffer))
         merges = data_merges(placed, layout.leaves, F.col("first_row"))
-        parts.append(merges.select(*columns, (F.col("start_row") - F.col("first_row")).alias("_from_first")))
+        beyond = F.when(
+            F.col("n_rows") > F.lit(options.max_batch_rows), F.floor((F.col("start_row") - F.col("first_row")) / per_part)
+        ).otherwise(F.lit(0))
+        parts.append(merges.select(*columns, (last + beyond).alias("part_no")))
     if head > 1:
         ranges = [
             F.struct(
@@ -188,8 +204,8 @@ def _batch_merges(placed: DataFrame, layout: Layout, options: SheetSinkOptions,
             )
             for a, b, c, d in header_ranges(layout.schema)
         ]
-        first = placed.where("is_first").select(*TARGET, "batch_no", F.inline(F.array(*ranges)))
-        parts.append(first.select(*columns, F.lit(0).cast("bigint").alias("_from_first")))
+        first = placed.where("is_first").select(*TARGET, "batch_no", last.alias("part_no"), F.inline(F.array(*ranges)))
+        parts.append(first.select(*columns, "part_no"))
     if not parts:
         return None
     merges = parts[0]

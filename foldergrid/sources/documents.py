@@ -62,15 +62,15 @@ def merges_of(documents: DataFrame) -> DataFrame:
 
 
 def _grid_rows(documents: DataFrame) -> DataFrame:
-    blocks = _sheets(documents, F.explode("_s.data").alias("_b"))
+    blocks = _sheets(documents, F.size("_s.data").alias("_blocks"), F.explode("_s.data").alias("_b"))
     rows = blocks.select(
         "spreadsheet_id", "sheet_id",
         F.coalesce("_b.startRow", F.lit(0).cast("bigint")).alias("_row"),
         F.coalesce("_b.startColumn", F.lit(0)).alias("_col"),
-        F.posexplode("_b.rowData").alias("_pos", "_r"),
+        F.posexplode("_b.rowData").alias("_pos", "_r"), "_blocks",
     )
     return rows.select(
-        "spreadsheet_id", "sheet_id", (F.col("_row") + F.col("_pos")).alias("row_idx"), "_col",
+        "spreadsheet_id", "sheet_id", (F.col("_row") + F.col("_pos")).alias("row_idx"), "_col", "_blocks",
         F.col("_r.values").alias("_values"),
     )
 
@@ -86,8 +86,30 @@ def cells_of(documents: DataFrame) -> DataFrame:
     )
 
 
-def row_arrays_of(documents: DataFrame) -> DataFrame:
+def row_arrays_of(documents: DataFrame, one_block: bool = False) -> DataFrame:
     """One record per grid row with the raw `values` of its cells in column order: the form in
     which rows arrive, from which typed rows are built without a shuffle
-    (`rows_from_arrays`). For blocks that start at the first column."""
-    return _grid_rows(documents).select(*ROW_KEY, F.col("_values").alias("values"))
+    (`rows_from_arrays`).
+
+    A block that starts further right is filled up with nulls. Only the sheets that come in
+    several blocks are shuffled, to put the parts of a row together; with `one_block` there are
+    none by the caller's word, and one found all the same fails the job.
+    """
+    rows = _grid_rows(documents)
+    blank = F.array_repeat(F.lit(None).cast("string"), F.col("_col"))
+    if one_block:
+        several = F.raise_error(F.concat(F.lit("Several blocks in sheet "), "sheet_id", F.lit(" of "), "spreadsheet_id"))
+        values = F.when(F.col("_blocks") == 1, F.concat(blank, "_values")).otherwise(several.cast("array<string>"))
+        return rows.select(*ROW_KEY, values.alias("values"))
+    whole = rows.where("_blocks = 1").select(*ROW_KEY, F.concat(blank, "_values").alias("values"))
+    parts = rows.where("_blocks > 1").groupBy(*ROW_KEY).agg(F.array_sort(F.collect_list(F.struct("_col", "_values"))).alias("_parts"))
+    empty = F.array().cast("array<string>")
+    joined = F.aggregate(
+        "_parts", empty,
+        lambda done, part: F.concat(
+            F.slice(done, 1, part["_col"]),
+            F.array_repeat(F.lit(None).cast("string"), F.greatest(part["_col"] - F.size(done), F.lit(0))),
+            F.coalesce(part["_values"], empty),
+        ),
+    )
+    return whole.unionByName(parts.select(*ROW_KEY, joined.alias("values")))

@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 import mimetypes
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldergrid.operators.bodies import plan_parts
-from foldergrid.session import shuffle_width
+from foldergrid.session import cut_lineage, shuffle_width
+
+TASK_BYTES = 1 << 30  # that one task reads, one part after the other
 
 
 def mime_of(name: Column) -> Column:
-    """MIME type by file extension, from the standard library's table."""
-    table = F.create_map(*[F.lit(x) for pair in sorted(mimetypes.types_map.items()) for x in pair])
+    """MIME type by file extension, from the standard library's own table: a fresh instance
+    without files, so that it is the same on every machine."""
+    known = mimetypes.MimeTypes(filenames=()).types_map[True]
+    table = F.create_map(*[F.lit(x) for pair in sorted(known.items()) for x in pair])
     extension = F.lower(F.regexp_extract(name, r"(\.[^.]+)$", 1))
     return F.coalesce(F.try_element_at(table, extension), F.lit("application/octet-stream"))
 
@@ -24,48 +29,74 @@ LISTING_DDL = "path string, length bigint, modified_ms bigint, is_folder boolean
 def list_folder(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
     """Catalogue of a folder's files, without reading any of them.
 
-    Listing runs in tasks and is never held by the driver; with `recursive` every folder
-    directly below is listed by a task of its own. Spark's own file index is not used here
-    because it leaves out empty files and names that begin with an underscore or a dot.
+    Listing runs in tasks and is never held by the driver. With `recursive` the tree is listed
+    level by level: the folders of a level are dealt over the tasks, and what they hold is
+    written to the shared folder before the next level starts. Spark's own file index is not
+    used here because it leaves out empty files and names that begin with an underscore or a
+    dot.
     """
     root = folder.rstrip("/")
-    listed = spark.createDataFrame([(root,)], "path string").mapInArrow(_lister(False), LISTING_DDL)
-    files = listed.where("NOT is_folder")
+    listed = spark.createDataFrame([(root,)], "path string").mapInArrow(_lister(), LISTING_DDL)
     if recursive:
-        below = listed.where("is_folder").select("path").repartition(4 * shuffle_width(spark), "path")
-        files = files.unionByName(below.mapInArrow(_lister(True), LISTING_DDL).where("NOT is_folder"))
-    name = F.regexp_extract("path", r"([^/]+)$", 1)
+        level = cut_lineage(listed)
+        levels = [level]
+        while not level.where("is_folder").isEmpty():
+            below = level.where("is_folder").select("path").repartition(4 * shuffle_width(spark), "path")
+            level = cut_lineage(below.mapInArrow(_lister(), LISTING_DDL))
+            levels.append(level)
+        listed = reduce(DataFrame.unionByName, levels)
+    files = listed.where("NOT is_folder")
+    name = F.regexp_extract("path", r"(?s)([^/]+)\z", 1)
     return files.select(
         F.col("path").alias("id"),
         name.alias("name"),
         mime_of(name).alias("mimeType"),
         F.col("length").alias("size"),
-        F.array(F.regexp_extract("path", r"^(.*)/[^/]*$", 1)).alias("parents"),
+        F.array(F.regexp_extract("path", r"(?s)^(.*)/[^/]*\z", 1)).alias("parents"),
         F.timestamp_millis("modified_ms").alias("modifiedTime"),
     )
 
 
-def _lister(recursive: bool):
-    """Lists each folder of a task; the staging area of the file sink is skipped."""
+def list_names(spark: SparkSession, folder: str) -> DataFrame:
+    """The names a folder holds, of files and of folders."""
+    listed = spark.createDataFrame([(folder.rstrip("/"),)], "path string").mapInArrow(_lister(), LISTING_DDL)
+    return listed.select(F.regexp_extract("path", r"(?s)([^/]+)\z", 1).alias("name"))
+
+
+def _lister():
+    """Lists each folder of a task, a page at a time. Every name counts."""
     located = file_locator()
 
+    def entries(folder):
+        """(name, size, modification time in ms, is a folder)"""
+        import os
+
+        from pyarrow import fs
+
+        system, base = located(folder)
+        if isinstance(system, fs.LocalFileSystem):  # this one can be read as a stream
+            with os.scandir(base or "/") as found:
+                for entry in found:
+                    info = entry.stat()
+                    yield entry.name, info.st_size, info.st_mtime_ns // 1_000_000, entry.is_dir()
+        else:
+            for info in system.get_file_info(fs.FileSelector(base)):
+                yield info.base_name, info.size, (info.mtime_ns or 0) // 1_000_000, info.type == fs.FileType.Directory
+
     def lists(batches):
+        from itertools import batched
+
         import pyarrow as pa
-        from pyarrow import fs
 
         for batch in batches:
             for folder in batch.column("path").to_pylist():
-                system, base = located(folder)
-                found = system.get_file_info(fs.FileSelector(base, recursive=recursive))
-                found = [info for info in found if "/_staging" not in info.path[len(base):]]
-                for start in range(0, len(found), 10_000):
-                    some = found[start:start + 10_000]
+                for page in batched(entries(folder), 10_000):
+                    names, sizes, times, folders = zip(*page)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([folder + info.path[len(base):] for info in some], pa.string()),
-                            pa.array([info.size for info in some], pa.int64()),
-                            pa.array([(info.mtime_ns or 0) // 1_000_000 for info in some], pa.int64()),
-                            pa.array([info.type == fs.FileType.Directory for info in some], pa.bool_()),
+                            pa.array([f"{folder}/{name}" for name in names], pa.string()),
+                            pa.array([None if d else n for n, d in zip(sizes, folders)], pa.int64()),
+                            pa.array(times, pa.int64()), pa.array(folders, pa.bool_()),
                         ],
                         names=["path", "length", "modified_ms", "is_folder"],
                     )
@@ -78,10 +109,13 @@ def read_parts(files: DataFrame, max_bytes: int = 0, tasks: int | None = None) -
 
     The ranges are planned as rows and dealt over tasks, so one huge file is read by many of
     them and each task holds one part at a time. Ranges are tiny and reads are not, so the
-    number of tasks is explicit.
+    number of tasks is explicit: by the bytes to be read, which one aggregate adds up.
     """
     spark = files.sparkSession
-    parts = plan_parts(files, max_bytes).repartition(tasks or 4 * shuffle_width(spark), "id", "bytes_from")
+    if tasks is None:
+        total = files.agg(F.sum("size")).first()[0] or 0
+        tasks = max(4 * shuffle_width(spark), -(-total // TASK_BYTES))
+    parts = plan_parts(files, max_bytes).repartition(tasks, "id", "bytes_from")
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields)
     return parts.mapInArrow(_range_reader(), f"{out}, body binary, offset bigint")
 

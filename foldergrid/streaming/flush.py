@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,16 +9,15 @@ from pyspark.sql.streaming import StreamingQuery
 from foldergrid.model import SheetSinkOptions
 from foldergrid.operators.flatten import TARGET
 from foldergrid.operators.lookup import lookup_join
+from foldergrid.session import path_exists
 from foldergrid.sinks.sheets import Layout, all_cells, all_merges, place, update_documents
 
 
 def _written_before(spark: SparkSession, path: str, flush_id: int) -> DataFrame | None:
-    """Data rows each sheet got from earlier flushes; those of a repeated flush do not count."""
-    try:
-        earlier = spark.read.parquet(f"{path}/grid_sheets").where(F.col("flush_id") < flush_id)
-    except AnalysisException:  # nothing written yet
-        return None
-    return earlier.groupBy(*TARGET).agg(F.sum("rows_written").alias("_before"))
+    """Data rows each sheet got from all earlier flushes: the totals that the flush before this
+    one left. Flushes are numbered without gaps, and a repeated flush overwrites its own."""
+    totals = f"{path}/grid_totals/flush_id={flush_id - 1}"
+    return spark.read.parquet(totals) if path_exists(spark, totals) else None
 
 
 def write_flush(
@@ -48,7 +46,11 @@ def write_flush(
         return target
 
     placed = spark.read.parquet(save(placed, "grid_records"))
-    save(placed.groupBy(*TARGET).agg(F.sum("n_rows").alias("rows_written")), "grid_sheets")
+    added = spark.read.parquet(save(placed.groupBy(*TARGET).agg(F.sum("n_rows").alias("rows_written")), "grid_sheets"))
+    totals = added.withColumnRenamed("rows_written", "_before")
+    if before is not None:
+        totals = totals.unionByName(before).groupBy(*TARGET).agg(F.sum("_before").alias("_before"))
+    save(totals, "grid_totals")
     new_sheets = placed.where("is_first").select(*TARGET)
     save(all_cells(placed, layout, options, new_sheets), "grid_cells")
     save(all_merges(placed, layout, options, new_sheets), "grid_merges")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,16 +9,10 @@ from pyspark.sql.streaming import StreamingQuery
 from foldergrid.model import FileSourceOptions
 from foldergrid.operators.bodies import cut_bodies
 from foldergrid.operators.metadata import project_metadata
+from foldergrid.session import path_exists
 from foldergrid.sources.folder import list_folder, mime_of, read_parts
 
 
-def _table(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:  # not written yet
-        return None
-
-
 def ingest_new_files(
     spark: SparkSession, folder: str, out: str, options: FileSourceOptions, recursive: bool = False
 ) -> int:
@@ -28,13 +21,15 @@ def ingest_new_files(
 
     A run writes its records and then the list of files they came from, both to a folder of
     its own. A run that failed in between is repeated under the same number and overwrites
-    what it left, so every file is in the records once per version.
+    what it left, so every file is in the records once per version. A run counts once its row
+    is in `out`/runs, whether it found files or not.
     """
-    seen = _table(spark, f"{out}/seen")
-    run = 0 if seen is None else seen.agg(F.max("run")).first()[0] + 1
+    seen, runs = f"{out}/seen", f"{out}/runs"
+    run = spark.read.parquet(runs).agg(F.max("run")).first()[0] + 1 if path_exists(spark, runs) else 0
     listing = list_folder(spark, folder, recursive)
-    if seen is not None:
-        listing = listing.join(seen.select("id", "modifiedTime"), ["id", "modifiedTime"], "left_anti")
+    if run:
+        earlier = spark.read.parquet(seen).where(F.col("run") < run)
+        listing = listing.join(earlier.select("id", "modifiedTime"), ["id", "modifiedTime"], "left_anti")
     batch = f"{out}/batch/run={run}"
     listing.write.mode("overwrite").parquet(batch)  # what this run reads, fixed before it is read
     files = spark.read.parquet(batch)
@@ -42,7 +37,8 @@ def ingest_new_files(
         read_parts(files, options.max_part_bytes), options.properties, options.body_format
     )
     records.write.mode("overwrite").parquet(f"{out}/records/run={run}")
-    files.select("id", "modifiedTime").write.mode("overwrite").parquet(f"{out}/seen/run={run}")
+    files.select("id", "modifiedTime").write.mode("overwrite").parquet(f"{seen}/run={run}")
+    spark.range(1).select(F.current_timestamp().alias("ended")).write.mode("overwrite").parquet(f"{runs}/run={run}")
     return run
 
 

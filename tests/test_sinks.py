@@ -30,7 +30,7 @@ def test_schema_contract(spark):
     assert schema_problems(good, SheetSinkOptions()) == []
     bad = schema("a struct<b: struct<c: string>>, b array<struct<c: string>>, c map<string, string>, d interval day to second, ok date")
     problems = schema_problems(bad, SheetSinkOptions())
-    assert len(problems) == 4 and ["'a'" in problems[0], "'b'" in problems[1], "'c'" in problems[2]] == [True] * 3
+    assert len(problems) == 4 and ["'a.b'" in problems[0], "'b'" in problems[1], "'c'" in problems[2]] == [True] * 3
     routed = schema_problems(schema("a int"), SheetSinkOptions(spreadsheet_field="x", sheet_field="a"))
     assert len(routed) == 2
     with pytest.raises(ValueError):

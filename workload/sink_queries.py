@@ -390,8 +390,9 @@ def round_trip(spark, sf_dir) -> DataFrame:
     )
     options = SheetSinkOptions(sheet_field="priority", skip_name_fields=True)
     layout = Layout.of(orders.schema, options)
-    placed = place(orders, options, ["o_orderkey"])
-    sheets = sheet_extents(with_cells(orders, options), options, layout.depth, layout.width)
+    # read for the extents and for the cells
+    placed = cut_lineage(place(orders, options, ["o_orderkey"]))
+    sheets = cut_lineage(sheet_extents(placed, options, layout.depth, layout.width))
     index = F.substring("sheet_name", 1, 1).cast("int")
     written = all_cells(placed, layout, options, sheets)
     # read back more than once: for the headers, then for the rows
