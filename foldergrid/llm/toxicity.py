@@ -32,8 +32,7 @@ from foldergrid.session import cut_lineage
 MAX_TRAIN_ROWS = 15_000
 FOLDS = 5
 PREFIXES = (5, 4)
-PRIOR = 1000.0        # pseudo documents of either class that hold every word at its background share
-EVIDENCE = 14.0       # log-likelihood ratio asked for: the log of the number of terms that are tried
+PRIOR_SHARE = 0.05    # of the sample: pseudo documents of either class that hold words at their background share
 MIN_DRIFT = -0.02     # of a word outside the lexicon, at most
 SIGNIFICANT = 0.01
 _CACHE = 300_000
@@ -222,17 +221,20 @@ def train(
 
 
 def _lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> dict[bytes, float]:
-    """Log-odds, under the prior, of the terms that chance does not explain. Each is in several
-    sampled documents, so their number is bounded by the sample."""
-    counted = (
+    """Log-odds, under the prior, of the terms that chance does not explain: those whose
+    log-likelihood ratio reaches the log of the number of terms that are tried. Each is in
+    several sampled documents, so their number is bounded by the sample."""
+    counted = cut_lineage(
         sample.select("_text", "_label").mapInArrow(_count_terms, "term binary, toxic bigint, clean bigint")
         .groupBy("term").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
     )
+    evidence = float(np.log(max(counted.count(), 2)))
     t, c = F.col("t").cast("double"), F.col("c").cast("double")
     share = (t + c) / (n_toxic + n_clean)
-    odds = F.log((t + PRIOR * share) / (n_toxic + PRIOR)) - F.log((c + PRIOR * share) / (n_clean + PRIOR))
+    prior = PRIOR_SHARE * (n_toxic + n_clean)
+    odds = F.log((t + prior * share) / (n_toxic + prior)) - F.log((c + prior * share) / (n_clean + prior))
     ratio = t * F.log(t / (n_toxic * share)) + F.when(c > 0, c * F.log(c / (n_clean * share))).otherwise(0.0)
-    scored = counted.where("t > 0").where((odds > 0) & (ratio >= EVIDENCE)).select("term", odds.alias("score"))
+    scored = counted.where("t > 0").where((odds > 0) & (ratio >= evidence)).select("term", odds.alias("score"))
     return {bytes(r["term"]): r["score"] for r in scored.collect()}
 
 
