@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -19,7 +20,11 @@ RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 
 def main() -> None:
-    spark = local_session(CPUS, int(CPUS) if CPUS.isdigit() else 8)
+    with tempfile.TemporaryDirectory(prefix="foldergrid-") as shared:
+        run(local_session(CPUS, int(CPUS) if CPUS.isdigit() else 8, **{"spark.checkpoint.dir": shared}))
+
+
+def run(spark) -> None:
     queries = workload.queries()
     names = sys.argv[1:] or list(queries)
     # start the JVM's code paths and the file cache before anything is timed

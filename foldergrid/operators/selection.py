@@ -93,7 +93,12 @@ def row_spine(sheets: DataFrame, options: SheetSourceOptions, header_rows: int,
 
 
 def sample_rows(cells: DataFrame, sheet: dict, rows: list[int]) -> DataFrame:
-    """Cells of single rows (1-based) of one sheet."""
+    """Cells of single rows (1-based) of one sheet: `sheet` has the two key columns."""
+    lacking = [key for key in SHEET_KEY if sheet.get(key) is None]
+    if lacking:
+        raise ValueError(f"Which sheet? {', '.join(lacking)} is not given.")
+    if not rows or any(row < 1 for row in rows):
+        raise ValueError(f"Rows are numbered from 1, and at least one is needed: {rows}.")
     return cells.where(
         (F.col("spreadsheet_id") == F.lit(sheet["spreadsheet_id"]))
         & (F.col("sheet_id") == F.lit(sheet["sheet_id"]))

@@ -8,10 +8,11 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from foldergrid.session import local_session
 
-    session = local_session(8, 4)
+    shared = tmp_path_factory.mktemp("shared")  # removed by pytest
+    session = local_session(8, 4, **{"spark.checkpoint.dir": str(shared), "spark.sql.warehouse.dir": str(shared / "warehouse")})
     yield session
     session.stop()
 

@@ -12,7 +12,7 @@ from foldergrid.model import NATIVE_MIMES, FileSourceOptions, SheetSinkOptions,
 from foldergrid.operators.bodies import plan_parts
 from foldergrid.operators.headers import header_list, invalid_header_merges, resolve_headers, usable_title
 from foldergrid.operators.layout import Running, range_bounds, running_totals, with_range
-from foldergrid.operators.selection import read_chunks
+from foldergrid.operators.selection import read_chunks, sample_rows
 from foldergrid.plans.file_source import read_files
 from foldergrid.session import path_exists
 from foldergrid.sinks.files import write_files
@@ -172,3 +172,12 @@ def test_plans_without_long_arrays(spark):
 
 def test_paths(spark, tmp_path):
     assert path_exists(spark, str(tmp_path)) and not path_exists(spark, str(tmp_path / "none"))
+
+
+def test_single_rows(spark):
+    cells = spark.createDataFrame([("s", 0, 0, 0), ("s", 0, 4, 1), ("s", 1, 0, 0), ("t", 0, 0, 0)], "spreadsheet_id string, sheet_id bigint, row_idx bigint, col_idx int")
+    sheet = {"spreadsheet_id": "s", "sheet_id": 0}
+    assert sorted(r.row_idx for r in sample_rows(cells, sheet, [1, 5, 9]).collect()) == [0, 4]
+    for where, rows in ((sheet, []), (sheet, [0]), ({"spreadsheet_id": "s"}, [1]), ({"spreadsheet_id": "s", "sheet_id": None}, [1])):
+        with pytest.raises(ValueError):
+            sample_rows(cells, where, rows)
