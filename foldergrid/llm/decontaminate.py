@@ -4,10 +4,10 @@ The items are the index, every passage of every document is a query. Impacts are
 the score an item has for its own text, so one threshold between 0 and 1 holds for all items:
 the weighted share of an item's words that a passage holds. Passages overlap by half and are
 twice as long as the longest item, so an item that stands in a text in one piece stands in
-some passage whole. A cheap bound over all passages of a batch comes first: words in many
-items can add up to a known sum at most, so a passage needs enough of the others. Passages
-that pass are searched with block-max WAND, which retrieves every item above the threshold.
-Then question and answer are verified: the share of their word n-grams that occur in the
+some passage whole. The block maxima come first, for all passages of a batch at once: the
+largest impacts that a passage's words have in a block of items add up to a bound for all of
+them, in two steps, wide blocks and then, where those pass, narrow ones. What is left is
+searched with block-max WAND, which retrieves every item above the threshold. Then question and answer are verified: the share of their word n-grams that occur in the
 passage must reach the overlap asked for, in both.
 
 Edge cases: null and empty texts hold nothing; items without a word are never found; repeated
@@ -19,8 +19,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,15 +31,17 @@ from pyspark.sql import functions as F
 
 from foldergrid.llm.common import small_batches, texts_of
 
-RETRIEVE = 0.5       # weighted share of an item's words
+RETRIEVE = 0.6       # weighted share of an item's words
 OVERLAP = 0.8        # share of the n-grams of question and answer
 NGRAM = 5
 K1, B = 1.2, 0.75
 MIN_PASSAGE = 64     # words that passages advance by, at least
 ITEMS_PER_BLOCK = 8
-MAX_INDEX_CHARS = 32 << 20   # text of the items in one broadcast index; more items make more indexes
+ITEMS_PER_CELL = 2           # of a narrow block
+MAX_INDEX_CHARS = 1 << 18    # text of the items in one broadcast index; more items make more indexes
+_SLACK = 1e-4                # of bounds in single precision
 _BLANK = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
-_BATCH_CHARS = 1 << 20
+_BATCH_CHARS = 1 << 19
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -64,14 +68,13 @@ class ItemIndex:
     ids: list
     grams: list = field(default_factory=list)      # (n-grams of the question, of the answer, of both)
     terms: dict = field(default_factory=dict)      # word -> number
-    postings: list = field(default_factory=list)   # per word: [(item, impact), …]
+    postings: list = field(default_factory=list)   # per word: ([item, …], [impact, …])
     peaks: list = field(default_factory=list)      # per word: the largest impact
     blocks: list = field(default_factory=list)     # per word: {block: the largest impact in it}
-    bound: float = 0.0                             # that the rarer words of a passage must reach
     stride: int = MIN_PASSAGE
 
     @staticmethod
-    def build(items: list[tuple], threshold: float = RETRIEVE, size: int = NGRAM) -> ItemIndex:
+    def build(items: list[tuple], size: int = NGRAM) -> ItemIndex:
         """`items`: (id, question, answer). Items are put in the order of their rarest words, so
         that blocks hold items that share words."""
         split = [(key, words_of(q), words_of(a)) for key, q, a in items]
@@ -94,33 +97,60 @@ class ItemIndex:
             index.grams.append((ngrams(q, size), ngrams(a, size)))
         for word, entries in postings.items():
             index.terms[word] = len(index.postings)
-            index.postings.append(entries)
+            index.postings.append(([i for i, _ in entries], [value for _, value in entries]))
             index.peaks.append(max(value for _, value in entries))
             maxima: dict[int, float] = {}
             for i, value in entries:
                 maxima[i // ITEMS_PER_BLOCK] = max(maxima.get(i // ITEMS_PER_BLOCK, 0.0), value)
             index.blocks.append(maxima)
         index.stride = max([MIN_PASSAGE, *lengths])
-        index._split_common(threshold)
+        index._fill_maxima()
         return index
 
-    def _split_common(self, threshold: float) -> None:
-        """Leave words in the most items out of the first bound, while every item keeps more
-        than half the threshold for the others."""
-        mass, common = [0.0] * len(self.ids), []
-        for term in sorted(range(len(self.postings)), key=lambda t: (-len(self.postings[t]), t)):
-            if len(self.postings[term]) < 2 or any(mass[i] + value > threshold / 2 for i, value in self.postings[term]):
-                break
-            for i, value in self.postings[term]:
-                mass[i] += value
-            common.append(term)
-        self.bound = threshold - max(mass, default=0.0) - 1e-9
-        self.weights = np.array(self.peaks + [0.0])  # the last entry: words in no item
-        self.weights[common] = 0.0
+    def _fill_maxima(self) -> None:
+        """Tables word x block of the largest impacts, for wide and for narrow blocks; the last
+        row is that of words in no item."""
+        wide = -(-len(self.ids) // ITEMS_PER_BLOCK) or 1
+        self.narrow = np.zeros((len(self.postings) + 1, wide * (ITEMS_PER_BLOCK // ITEMS_PER_CELL)), np.float32)
+        for term, (items, values) in enumerate(self.postings):
+            np.maximum.at(self.narrow[term], np.array(items) // ITEMS_PER_CELL, np.array(values, np.float32))
+        self.wide = self.narrow.reshape(len(self.postings) + 1, wide, -1).max(2, initial=0)
+
+    def promising(self, terms: np.ndarray, starts: np.ndarray, ends: np.ndarray, threshold: float) -> np.ndarray:
+        """Passages (spans of the word numbers `terms`) that may hold an item: those with a
+        narrow block whose bound reaches the threshold."""
+        none, lengths = len(self.postings), ends - starts
+        if not self.ids or not lengths.sum():
+            return np.zeros(0, np.int64)
+        passage = np.repeat(np.arange(len(starts)), lengths)
+        place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(starts, lengths)
+        word = terms[place]
+        known = word < none
+        pairs = np.sort(passage[known] * (none + 1) + word[known])
+        distinct = pairs[np.concatenate((np.ones(min(len(pairs), 1), bool), pairs[1:] != pairs[:-1]))]
+        if not len(distinct):
+            return np.zeros(0, np.int64)
+        passage, word = np.divmod(distinct, none + 1)
+        first = np.flatnonzero(np.concatenate(([True], passage[1:] != passage[:-1])))
+        count = np.diff(np.append(first, len(passage)))
+        row, block = np.nonzero(np.add.reduceat(self.wide[word], first, axis=0) >= threshold - _SLACK)
+        if not len(row):
+            return np.zeros(0, np.int64)
+        cells = ITEMS_PER_BLOCK // ITEMS_PER_CELL
+        table = self.narrow.reshape(none + 1, -1, cells)
+        kept = []
+        for at in range(0, len(row), 4096):  # (passage, block) pairs, each with all words of the passage
+            own, where = row[at : at + 4096], block[at : at + 4096]
+            size = count[own]
+            begin = np.cumsum(size) - size
+            each = np.arange(size.sum()) - np.repeat(begin, size) + np.repeat(first[own], size)
+            sums = np.add.reduceat(table[word[each], np.repeat(where, size)], begin, axis=0)
+            kept.append(passage[first[own[sums.max(1) >= threshold - _SLACK]]])
+        return np.unique(np.concatenate(kept))
 
     def search(self, terms: set[int], threshold: float) -> list[tuple[int, float]]:
         """Block-max WAND: (item, score) of every item that scores the threshold or more."""
-        cursors = [[self.postings[t][0][0], 0, t] for t in terms]
+        cursors = [[self.postings[t][0][0], 0, t] for t in terms]  # item, position, word
         found, limit = [], threshold - 1e-9
         while True:
             cursors.sort()
@@ -144,7 +174,7 @@ class ItemIndex:
                     target = min(target, cursors[pivot + 1][0])
                 self._advance(cursors, pivot + 1, target)
             elif cursors[0][0] == item:
-                score = sum(self.postings[t][at][1] for _, at, t in cursors[: pivot + 1])
+                score = sum(self.postings[t][1][at] for _, at, t in cursors[: pivot + 1])
                 if score >= limit:
                     found.append((item, score))
                 self._advance(cursors, pivot + 1, item + 1)
@@ -154,11 +184,9 @@ class ItemIndex:
     def _advance(self, cursors: list, count: int, target: int) -> None:
         """Move the first cursors to the first posting at or after the target."""
         for cursor in cursors[:count]:
-            entries, at = self.postings[cursor[2]], cursor[1]
-            while at < len(entries) and entries[at][0] < target:
-                at += 1
-            cursor[1] = at
-            cursor[0] = entries[at][0] if at < len(entries) else len(self.ids)
+            items = self.postings[cursor[2]][0]
+            cursor[1] = at = bisect_left(items, target, cursor[1])
+            cursor[0] = items[at] if at < len(items) else len(self.ids)
         cursors[:] = [c for c in cursors if c[0] < len(self.ids)]
 
     def match(self, texts: list[str | None], threshold: float, overlap: float, size: int) -> list[list[dict]]:
@@ -166,28 +194,23 @@ class ItemIndex:
         split = [words_of(text) for text in texts]
         flat = [word for words in split for word in words]
         none = len(self.postings)
-        get = self.terms.get
-        terms = np.fromiter((get(word, none) for word in flat), np.int64, len(flat))
-        sums = np.concatenate(([0.0], np.cumsum(self.weights[terms])))
-        out, base = [], 0
-        for words in split:
-            n = len(words)
-            starts = np.arange(0, max(n - self.stride, 1), self.stride)
-            ends = np.minimum(starts + 2 * self.stride, n)
-            reached = np.flatnonzero(sums[base + ends] - sums[base + starts] >= self.bound)
-            best: dict[int, dict] = {}
-            for k in reached.tolist():
-                a, b = int(starts[k]), int(ends[k])
-                present = set(terms[base + a : base + b].tolist()) - {none}
-                hits = self.search(present, threshold) if present else []
-                for hit in self._verified(hits, words[a:b], overlap, size):
-                    hit["word"] = a
-                    old = best.get(hit["item"])
-                    if old is None or (hit["overlap"], hit["score"]) > (old["overlap"], old["score"]):
-                        best[hit["item"]] = hit
-            out.append([{**best[i], "item": self.ids[i]} for i in sorted(best)])
-            base += n
-        return out
+        terms = np.fromiter(map(self.terms.get, flat, repeat(none)), np.int64, len(flat))
+        sizes = np.array([len(words) for words in split], np.int64)
+        bases = np.cumsum(sizes) - sizes
+        spans = [np.arange(0, max(n - self.stride, 1), self.stride) for n in sizes.tolist()]
+        owner = np.repeat(np.arange(len(split)), [len(own) for own in spans])
+        starts = np.concatenate(spans) if spans else np.zeros(0, np.int64)
+        ends = np.minimum(starts + 2 * self.stride, sizes[owner])
+        best: list[dict[int, dict]] = [{} for _ in split]
+        for k in self.promising(terms, bases[owner] + starts, bases[owner] + ends, threshold).tolist():
+            text, a, b = int(owner[k]), int(starts[k]), int(ends[k])
+            present = set(terms[bases[text] + a : bases[text] + b].tolist()) - {none}
+            for hit in self._verified(self.search(present, threshold), split[text][a:b], overlap, size):
+                hit["word"] = a
+                old = best[text].get(hit["item"])
+                if old is None or (hit["overlap"], hit["score"]) > (old["overlap"], old["score"]):
+                    best[text][hit["item"]] = hit
+        return [[{**found[i], "item": self.ids[i]} for i in sorted(found)] for found in best]
 
     def _verified(self, hits: list[tuple[int, float]], words: list[bytes], overlap: float, size: int):
         if not hits:
@@ -204,7 +227,7 @@ class ItemIndex:
                 yield {"item": item, "score": score, "question": shares[0], "answer": shares[1], "overlap": min(shares)}
 
 
-def _indexes(items: DataFrame, item_id: str, question: str, answer: str | None, threshold: float, size: int) -> list:
+def _indexes(items: DataFrame, item_id: str, question: str, answer: str | None, size: int) -> list:
     """Broadcast indexes of all items, each of a measured size: a long list of items makes
     several, collected one after the other."""
     spark = small_batches(items.sparkSession)
@@ -218,7 +241,7 @@ def _indexes(items: DataFrame, item_id: str, question: str, answer: str | None,
         own = chosen.where(F.pmod(F.xxhash64("_item", "_q"), F.lit(parts)) == part).collect()
         rows = [(r["_item"], r["_q"], r["_a"]) if answer else (r["_item"], *question_and_answer(r["_q"])) for r in own]
         rows.sort(key=lambda r: (r[0] is None, str(r[0]), str(r[1])))
-        shares.append(spark.sparkContext.broadcast(ItemIndex.build(rows, threshold, size)))
+        shares.append(spark.sparkContext.broadcast(ItemIndex.build(rows, size)))
     return shares
 
 
@@ -231,7 +254,7 @@ def matches(
     kind = items.schema[item_id].dataType.simpleString()
     found = [
         _matcher(shared, kind, threshold, overlap, size)(text)
-        for shared in _indexes(items, item_id, question, answer, threshold, size)
+        for shared in _indexes(items, item_id, question, answer, size)
     ]
     return F.concat(*found) if len(found) > 1 else found[0]
 
