@@ -60,7 +60,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     For results that several later jobs read."""
     path = shared_folder(df.sparkSession, "foldergrid")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._cut_at = path
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove what `cut_lineage` has written for tables that nothing reads any more."""
+    for table in tables:
+        remove_folder(table.sparkSession, table._cut_at)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

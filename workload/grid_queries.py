@@ -35,7 +35,7 @@ def sheet_select(spark, sf_dir) -> DataFrame:
     sheets, cells = t.customer_grid(spark, sf_dir)
     options = SheetSourceOptions(sheets_to_pull="titles", sheet_identifiers=("sheet 0", "sheet 2", "sheet 9"))
     wanted = select_sheets(sheets, options).select(*_KEY)
-    return lookup_join(cells, wanted, _KEY, ["row_idx"], "left_semi").where("row_idx > 2").select(
+    return lookup_join(cells, wanted, _KEY, ["row_idx"], "left_semi").select(
         *_KEY, "row_idx", "col_idx", "formatted"
     )
 
@@ -52,6 +52,10 @@ SELECT spreadsheet_id, sheet_id, row_idx, c::INT AS col_idx,
               ELSE c_mktsegment END AS formatted
 FROM placed, range(4) r(c) WHERE sheet_id IN (0, 2)
 UNION ALL
+SELECT spreadsheet_id, sheet_id, r, c, coalesce(v, CASE r WHEN 0 THEN 'Book ' || substr(spreadsheet_id, 6) ELSE 'sheet ' || sheet_id END)
+FROM sheets, (VALUES (0, 0, 'book'), (0, 1, NULL), (1, 0, 'sheet'), (1, 1, NULL), {', '.join(f"(2, {i}, '{x}')" for i, x in enumerate(t.CUSTOMER_TITLES))}) h(r, c, v)
+WHERE sheet_id IN (0, 2)
+UNION ALL
 SELECT spreadsheet_id, sheet_id, {_LAST}, c, CASE c WHEN 0 THEN 'end' ELSE 'of sheet ' || sheet_id END
 FROM sheets, (VALUES (0), (3)) v(c) WHERE sheet_id IN (0, 2)
 """
