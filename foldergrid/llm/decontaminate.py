@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from foldergrid.llm.common import small_batches, texts_of
 
 RETRIEVE = 0.6       # weighted share of an item's words
-OVERLAP = 0.8        # share of the n-grams of question and answer
-NGRAM = 5
+OVERLAP = 0.5        # share of the n-grams of question and answer: a few changed words hide no item
+NGRAM, ANSWER_NGRAM = 5, 3   # words; answers are short
 K1, B = 1.2, 0.75
 MIN_PASSAGE = 64     # words that passages advance by, at least
 ITEMS_PER_BLOCK = 8
@@ -94,7 +94,7 @@ class ItemIndex:
             own = sum(impact.values())
             for w, value in impact.items():
                 postings[w].append((i, value / own))
-            index.grams.append((ngrams(q, size), ngrams(a, size)))
+            index.grams.append((ngrams(q, size), ngrams(a, min(size, ANSWER_NGRAM))))
         for word, entries in postings.items():
             index.terms[word] = len(index.postings)
             index.postings.append(([i for i, _ in entries], [value for _, value in entries]))

@@ -322,14 +322,14 @@ def test_leak_edges(spark, monkeypatch):
     filler = "entirely other words that say nothing at all " * 400
     rows = [
         *ODD, (10, f"{filler}{question.upper()}?! {answer}. {filler}"), (11, f"{filler}{question} {filler}{filler}"),
-        (12, f"{question}, and {answer}"), (13, "what colour is the tall lighthouse on the western cape of the island"),
+        (12, f"{question}, and {answer}"), (14, f"{filler}{question.replace('river', 'stream')} {answer.replace('wet', 'dry')} {filler}"), (13, "what colour is the tall lighthouse on the western cape of the island"),
     ]
     find = lambda: sorted(
         (r["doc_id"], r["m"]["item"]) for r in docs(spark, rows)
         .select("doc_id", F.explode(decontaminate.matches(F.col("text"), items, answer="answer")).alias("m")).where("doc_id > 6").collect()
     )
     found = [r for r in find() if r[1] is not None]
-    assert found == [(10, 1), (10, 1), (12, 1), (12, 1)]  # 11 has the question only
+    assert found == [(10, 1), (10, 1), (12, 1), (12, 1), (14, 1), (14, 1)]  # 11 has the question only
     monkeypatch.setattr(decontaminate, "MAX_INDEX_CHARS", 60)
     assert [r for r in find() if r[1] is not None] == found
     assert decontaminate.drop_leaks(docs(spark, rows), items.drop("answer").limit(0)).count() == len(rows)
