@@ -351,7 +351,9 @@ def test_documents_of_a_folder(spark, tmp_path):
 
 def test_rows_from_arrays_without_a_shuffle(spark, tmp_path):
     path = tmp_path / "book.json"
-    path.write_text(json.dumps(DOCUMENT))
+    [sheet] = DOCUMENT["sheets"]
+    block = {"rowData": [row for part in sheet["data"] for row in part["rowData"]]}
+    path.write_text(json.dumps({**DOCUMENT, "sheets": [{**sheet, "data": [block]}]}))
     documents = read_documents(spark, str(path))
     grid = row_arrays_of(documents, one_block=True).where("row_idx >= 2")
     headers = [Header(0, "a", "double"), Header(1, "b", "string")]
