@@ -6,7 +6,6 @@ from pathlib import Path
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import corpus_pipeline  # noqa: E402
-from compare import difference  # noqa: E402
 from foldergrid.llm import bpe, components, decontaminate, maxent, quality, registry, simhash, toxicity  # noqa: E402
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -371,20 +370,32 @@ def test_class_model_is_a_distribution_and_pieces_agree(monkeypatch):
     rng = np.random.default_rng(2)
     endings, starts = rng.integers(0, maxent.ENDINGS, 500), np.zeros(500, bool)
     starts[[0, 3, 4, 250]] = True
-    table, bias = rng.normal(size=(maxent.ROWS, maxent.CLASSES)).astype(np.float32), np.zeros(maxent.CLASSES, np.float32)
+    table, bias = rng.normal(size=(maxent.CLASSES, maxent.ROWS)).astype(np.float32), np.zeros(maxent.CLASSES, np.float32)
     whole = maxent.features(endings, starts)
-    assert np.allclose(np.exp(maxent.log_classes(whole, table, bias)).sum(1), 1, atol=1e-5)
+    logs = maxent.log_classes(whole, table, bias)
+    assert np.allclose(np.exp(logs).sum(0), 1, atol=1e-5)
+    plain = table[:, whole].sum(1)
+    assert np.allclose(logs, plain - np.log(np.exp(plain).sum(0)), atol=1e-3)
     for i in (0, 3, 4, 5, 250, 251, 499):  # one token at a time
         first = max(j for j in np.flatnonzero(starts) if j <= i)
         back = [int(endings[i - k]) if i - k >= first else maxent.END_NUMBER for k in (1, 2, 3)]
         pair = (back[0] * 40503 + back[1] * 9973) % maxent.PAIRS
-        assert whole[i].tolist() == [back[0], maxent.ENDINGS + back[1], 2 * maxent.ENDINGS + back[2], 3 * maxent.ENDINGS + pair]
+        assert whole[:, i].tolist() == [back[0], maxent.ENDINGS + back[1], 2 * maxent.ENDINGS + back[2], 3 * maxent.ENDINGS + pair]
     monkeypatch.setattr(maxent, "_TOKENS", 64)
-    parts = np.concatenate([maxent.features(e, s)[new] for e, s, new in maxent._pieces(endings, starts)])
+    parts = np.concatenate([maxent.features(e, s)[:, new] for e, s, new in maxent._pieces(endings, starts)], axis=1)
     # only a start further back than the repeated tokens may be unseen, and that changes nothing
     assert (parts == whole).all()
 
 
+def test_endings():
+    words = [b"", b"a", b"abcd", b"xabcd", b"zabcd", b"bcd", "ción".encode(), b""]
+    got = maxent.endings_of(words).tolist()
+    assert got[0] == got[-1] == maxent.END_NUMBER and got[2] == got[3] == got[4] != got[5]
+    for word, number in zip(words, got):
+        assert number == (int.from_bytes(word[-4:][::-1], "little") * 2654435761 % 2**32) >> 19
+    assert maxent.endings_of([]).tolist() == []
+
+
 # ------------------------------------------------------------- the pipeline
 def test_pipeline_stages(spark, tables, sf_dir):
     at = "/root/testdata/sf0.01"
