@@ -14,7 +14,7 @@ from foldergrid.operators.flatten import (
 )
 from foldergrid.operators.header_layout import depth, header_cells, header_ranges, width
 from foldergrid.operators.layout import Running, batch_sizes, extension, place_records, range_bounds, running_totals, sheet_extents
-from foldergrid.sinks.sheets import Layout, all_cells, place, update_documents, write_sheets, write_update_documents
+from foldergrid.sinks.sheets import Layout, place, update_documents, write_sheets, write_update_documents
 from foldergrid.streaming.flush import flush_sheets, write_flush
 from foldergrid.streaming.ingest import ingest_new_files, stream_folder, stream_records
 
