@@ -179,16 +179,30 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return cells.groupBy("range", "key", "x", "y").applyInArrow(stars, "a bigint, b bigint")
 
 
-def classes(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """`rows`, which have a `fingerprint`, with `root`: the fingerprint that stands for the
-    row's component."""
-    found = connected_components(links(rows.select("fingerprint").distinct(), radius))
+def classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """`prints` (one row per distinct `fingerprint`) with `root`: the fingerprint that stands
+    for the component."""
+    found = connected_components(links(prints.select("fingerprint"), radius))
     named = found.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-    return rows.join(named, F.col("fingerprint") == F.col("_node"), "left").withColumn(
+    return prints.join(named, F.col("fingerprint") == F.col("_node"), "left").withColumn(
         "root", F.coalesce("_root", "fingerprint")
     ).drop("_node", "_root")
 
 
+def least_of_components(rows: DataFrame, value: Column, radius: int = RADIUS) -> DataFrame:
+    """(fingerprint, least) for every distinct fingerprint of `rows`: the least `value` of all
+    rows of its component.
+
+    Copies are aggregated before anything is joined. What a join meets is a table, so both of
+    its sides are plain shuffles, and adaptive execution splits a component or a fingerprint
+    that holds a large share of the rows.
+    """
+    prints = cut_lineage(rows.groupBy("fingerprint").agg(F.min(value).alias("_own")))
+    named = cut_lineage(classes(prints, radius))
+    of_root = cut_lineage(named.groupBy("root").agg(F.min("_own").alias("least")))
+    return cut_lineage(named.select("fingerprint", "root").join(of_root, "root").select("fingerprint", "least"))
+
+
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS,
 ) -> DataFrame:
@@ -196,10 +210,9 @@ def near_duplicates(
     of at most `radius` differing bits reach."""
     small_batches(docs.sparkSession)
     rows = cut_lineage(docs.select(F.col(id_column).alias("_id"), fingerprint_column(F.col(text), shingle).alias("fingerprint")))
-    whole = classes(rows, radius)
-    smallest = whole.groupBy("root").agg(F.min("_id").alias("component_id")).withColumnRenamed("root", "_root")
-    return whole.join(smallest, F.col("root") == F.col("_root")).select(
-        F.col("_id").alias(id_column), F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
+    return rows.join(least_of_components(rows, F.col("_id"), radius), "fingerprint").select(
+        F.col("_id").alias(id_column), F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
+        F.col("least").alias("component_id"),
     )
 
 
@@ -213,8 +226,7 @@ def keep_one(
     numbered = cut_lineage(docs.withColumns({
         "_row_number": F.monotonically_increasing_id(), "_fingerprint": fingerprint_column(F.col(text), shingle),
     }))
-    whole = classes(numbered.select("_row_number", F.col(id_column).alias("_id"), F.col("_fingerprint").alias("fingerprint")), radius)
-    first = whole.groupBy("root").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row_number")).alias("_first"))
-    return numbered.join(first.select(F.col("_first._row_number").alias("_row_number")), "_row_number", "left_semi").select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+    rows = numbered.select("_row_number", F.col(id_column).alias("_id"), F.col("_fingerprint").alias("fingerprint"))
+    order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row_number")
+    first = least_of_components(rows, order, radius).select(F.col("least._row_number").alias("_row_number")).distinct()
+    return numbered.join(first, "_row_number", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
