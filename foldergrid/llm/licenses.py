@@ -39,6 +39,10 @@ TEMPLATES = [
     ("CC-BY-4.0", "Licensed under CC BY 4.0"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
+# function words, which stand in every text: anchors only where nothing else is left
+FUNCTION_WORDS = frozenset(
+    b"a all an and any are as at be by can for from have i if in is it its may no not of on or that the this to was with you your".split()
+)
 LICENSE_NAMES = ("license", "licence", "copying", "notice", "unlicense")
 THRESHOLD = 0.85
 _BLANK = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -62,16 +66,17 @@ class Matcher:
         for name, words in split:
             vector = {w: c * self.idf[w] for w, c in Counter(words).items()}
             norm = math.sqrt(sum(v * v for v in vector.values()))
-            self.items.append((name, len(words), {w: v / norm for w, v in vector.items()}))
-        # words of the most templates are no anchors as long as they stay below the threshold in every one
-        mass, common = [0.0] * len(self.items), set()
-        for word in sorted(df, key=lambda w: (-df[w], w)):
-            grown = [m + v.get(word, 0.0) ** 2 for m, (_, _, v) in zip(mass, self.items)]
-            if max(grown) >= threshold**2:
-                break
-            mass = grown
-            common.add(word)
-        self.anchors = set(df) - common
+            unit = {w: v / norm for w, v in vector.items()}
+            # a template's anchors: words of weight, of equal ones the longest, until the others stay
+            # below the threshold together
+            anchors, rest = set(), 1.0
+            for word in sorted(unit, key=lambda w: (w in FUNCTION_WORDS, -unit[w], -len(w), w)):
+                if rest < threshold**2 - 1e-9:
+                    break
+                anchors.add(word)
+                rest -= unit[word] ** 2
+            self.items.append((name, len(words), unit, anchors))
+        self.anchors = set().union(*(anchors for *_, anchors in self.items))
 
     def cosine(self, words: list[bytes], vector: dict[bytes, float]) -> float:
         dot, square = 0.0, 0.0
@@ -88,8 +93,8 @@ class Matcher:
         hits = [i for i, w in enumerate(words) if w in self.anchors] if not self.anchors.isdisjoint(words) else []
         if not hits:
             return None
-        for name, size, vector in self.items:
-            starts = sorted({s for i in hits if words[i] in vector for s in range(max(i - size + 1, 0), i + 1)})
+        for name, size, vector, anchors in self.items:
+            starts = sorted({s for i in hits if words[i] in anchors for s in range(max(i - size + 1, 0), i + 1)})
             for start in starts:
                 run = words[start : start + size]
                 if len(run) < size and start:

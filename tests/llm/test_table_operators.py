@@ -95,7 +95,7 @@ def test_urls(spark, monkeypatch, bound):
 # ------------------------------------------------------------- licences
 def plain_best(matcher, text):
     words, best = licenses.words_of(text), 0.0
-    for _, size, vector in matcher.items:
+    for _, size, vector, _ in matcher.items:
         for start in range(max(len(words) - size, 0) + 1):
             best = max(best, matcher.cosine(words[start : start + size], vector))
     return best
