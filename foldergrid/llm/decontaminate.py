@@ -8,11 +8,13 @@ some passage whole. The block maxima come first, for all passages of a batch at
 largest impacts that a passage's words have in a block of items add up to a bound for all of
 them, in two steps, wide blocks and then, where those pass, narrow ones. What is left is
 searched with block-max WAND, which retrieves every item above the threshold. Then question and answer are verified: the share of their word n-grams that occur in the
-passage must reach the overlap asked for, in both.
+passage must reach the overlap asked for, in both. A part so short that one changed word may
+take it below the overlap counts the words that stand in the passage in its order as well.
 
 Edge cases: null and empty texts hold nothing; items without a word are never found; repeated
 items and repeated rows are found as often as they occur. An item without an answer of its own
-is split: its last sentence, if it has several, is the answer.
+is split: its last sentence, if it has several, is the answer; as that is a guess, the overlap
+of the undivided item will do. An answer of one word must be there itself.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from foldergrid.llm.common import small_batches, texts_of
 
 RETRIEVE = 0.6       # weighted share of an item's words
-OVERLAP = 0.5        # share of the n-grams of question and answer: a few changed words hide no item
+OVERLAP = 0.5        # share of the n-grams of question and answer, or of the words in order of a short one
 NGRAM, ANSWER_NGRAM = 5, 3   # words; answers are short
 K1, B = 1.2, 0.75
 MIN_PASSAGE = 64     # words that passages advance by, at least
@@ -61,12 +63,24 @@ def ngrams(words: list[bytes], size: int) -> set[tuple[bytes, ...]]:
     return {tuple(words[i : i + size]) for i in range(max(len(words) - size, 0) + 1)}
 
 
+def aligned(part: list[bytes], places: dict[bytes, list[int]], least: int) -> float:
+    """Largest share of a part's words that stand in the passage at the same distances, give or
+    take one word put in or left out; fewer than `least` words count as none."""
+    offsets: dict[int, set[int]] = defaultdict(set)
+    for i, word in enumerate(part):
+        for j in places.get(word, ()):
+            offsets[j - i].add(i)
+            offsets[j - i + 1].add(i)
+    most = max(map(len, offsets.values()), default=0)
+    return most / len(part) if most >= min(least, len(part)) else 0.0
+
+
 @dataclass
 class ItemIndex:
     """Postings of normalised impacts, sorted by item and cut into blocks with their maxima."""
 
     ids: list
-    grams: list = field(default_factory=list)      # (n-grams of the question, of the answer, of both)
+    parts: list = field(default_factory=list)      # [(words, their n-grams)] of question, answer and, if split by guess, both
     terms: dict = field(default_factory=dict)      # word -> number
     postings: list = field(default_factory=list)   # per word: ([item, …], [impact, …])
     peaks: list = field(default_factory=list)      # per word: the largest impact
@@ -74,9 +88,9 @@ class ItemIndex:
     stride: int = MIN_PASSAGE
 
     @staticmethod
-    def build(items: list[tuple], size: int = NGRAM) -> ItemIndex:
-        """`items`: (id, question, answer). Items are put in the order of their rarest words, so
-        that blocks hold items that share words."""
+    def build(items: list[tuple], size: int = NGRAM, guessed: bool = False) -> ItemIndex:
+        """`items`: (id, question, answer); `guessed` if answers are last sentences. Items are put
+        in the order of their rarest words, so that blocks hold items that share words."""
         split = [(key, words_of(q), words_of(a)) for key, q, a in items]
         split = [(key, q, a) for key, q, a in split if q or a]
         df = Counter(word for _, q, a in split for word in {*q, *a})
@@ -94,7 +108,8 @@ class ItemIndex:
             own = sum(impact.values())
             for w, value in impact.items():
                 postings[w].append((i, value / own))
-            index.grams.append((ngrams(q, size), ngrams(a, min(size, ANSWER_NGRAM))))
+            parts = [(q, ngrams(q, size)), (a, ngrams(a, min(size, ANSWER_NGRAM)))]
+            index.parts.append(parts + [(q + a, ngrams(q + a, size))] if guessed else parts)
         for word, entries in postings.items():
             index.terms[word] = len(index.postings)
             index.postings.append(([i for i, _ in entries], [value for _, value in entries]))
@@ -216,15 +231,22 @@ class ItemIndex:
         if not hits:
             return
         seen: dict[int, set] = {}
+        places: dict[bytes, list[int]] = defaultdict(list)
+        for i, word in enumerate(words):
+            places[word].append(i)
         for item, score in hits:
             shares = []
-            for grams in self.grams[item]:
+            for at, (part, grams) in enumerate(self.parts[item]):
                 length = len(next(iter(grams), ()))
                 if length not in seen:
                     seen[length] = ngrams(words, length) if length else set()
-                shares.append(len(grams & seen[length]) / len(grams) if grams else 1.0)
-            if min(shares) >= overlap:
-                yield {"item": item, "score": score, "question": shares[0], "answer": shares[1], "overlap": min(shares)}
+                share = len(grams & seen[length]) / len(grams) if grams else 1.0
+                if share < overlap and length > (1 - overlap) * len(grams):  # one changed word may be in so many n-grams
+                    share = max(share, aligned(part, places, 1 if at == 1 else 2))
+                shares.append(share)
+            reached = max(min(shares[:2]), *shares[2:]) if len(shares) > 2 else min(shares)
+            if reached >= overlap:
+                yield {"item": item, "score": score, "question": shares[0], "answer": shares[1], "overlap": reached}
 
 
 def _indexes(items: DataFrame, item_id: str, question: str, answer: str | None, size: int) -> list:
@@ -241,7 +263,7 @@ def _indexes(items: DataFrame, item_id: str, question: str, answer: str | None,
         own = chosen.where(F.pmod(F.xxhash64("_item", "_q"), F.lit(parts)) == part).collect()
         rows = [(r["_item"], r["_q"], r["_a"]) if answer else (r["_item"], *question_and_answer(r["_q"])) for r in own]
         rows.sort(key=lambda r: (r[0] is None, str(r[0]), str(r[1])))
-        shares.append(spark.sparkContext.broadcast(ItemIndex.build(rows, size)))
+        shares.append(spark.sparkContext.broadcast(ItemIndex.build(rows, size, answer is None)))
     return shares
 
 

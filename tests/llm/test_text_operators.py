@@ -336,6 +336,28 @@ def test_leak_edges(spark, monkeypatch):
     assert decontaminate.leaks(docs(spark, []), items).count() == 0
 
 
+def test_one_changed_word_hides_no_item(spark, tables):
+    items = tables["benchmark"].collect()
+    index = decontaminate.ItemIndex.build([(i["item_id"], *decontaminate.question_and_answer(i["text"])) for i in items], guessed=True)
+    for item in items:
+        words = item["text"].split()
+        texts = [" ".join([*words[:i], "zzz", *words[i + 1 :]]) for i in range(len(words))]
+        found = index.match(texts, decontaminate.RETRIEVE, decontaminate.OVERLAP, decontaminate.NGRAM)
+        assert all(item["item_id"] in {hit["item"] for hit in row} for row in found), item
+    # answers of their own: each part may have a changed word, none may be missing
+    question = "which of the seven bridges over the wide river was first to be built of stone and iron"
+    for answer, said, there in [
+        ("the long one", "the short one", True), ("stone gate", "iron gate", True), ("eastgate", "westgate", False),
+        ("the one at the mill below town", "the one at the inn below town", True), ("the long one", "nobody knows", False),
+    ]:
+        index = decontaminate.ItemIndex.build([(1, question, answer)] + [(n, f"item {n} about thing{n} and matter{n}", f"it is word{n}") for n in range(2, 9)])
+        text = f"it was said: {question.replace('wide', 'broad')}? {said}"
+        assert bool(index.match([text], decontaminate.RETRIEVE, decontaminate.OVERLAP, decontaminate.NGRAM)[0]) == there, answer
+    # the same words in no order are no item
+    short = decontaminate.ItemIndex.build([(1, "what colour is the tall lighthouse on the western cape", "")], guessed=True)
+    assert short.match(["cape western the on lighthouse tall the is colour what"], 0.6, 0.5, 5) == [[]]
+
+
 # ------------------------------------------------------------- LM scores
 def test_lm_base_scores_and_gain(spark, tables):
     got = {r["doc_id"]: r for r in maxent.score_documents(tables["documents"]).collect()}
