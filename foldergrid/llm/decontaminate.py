@@ -6,7 +6,9 @@ the weighted share of an item's words that a passage holds. Passages overlap by
 twice as long as the longest item, so an item that stands in a text in one piece stands in
 some passage whole. The block maxima come first, for all passages of a batch at once: the
 largest impacts that a passage's words have in a block of items add up to a bound for all of
-them, in two steps, wide blocks and then, where those pass, narrow ones. What is left is
+them, in two steps, wide blocks and then, where those pass, narrow ones. A long list of items
+makes several indexes under the statistics of all items, so scores and passages do not depend
+on how the list is cut. What is left is
 searched with block-max WAND, which retrieves every item above the threshold. Then question and answer are verified: the share of their word n-grams that occur in the
 passage must reach the overlap asked for, in both. A part so short that one changed word may
 take it below the overlap counts the words that stand in the passage in its order as well.
@@ -32,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldergrid.llm.common import small_batches, texts_of
+from foldergrid.session import cut_lineage
 
 RETRIEVE = 0.6       # weighted share of an item's words
 OVERLAP = 0.5        # share of the n-grams of question and answer, or of the words in order of a short one
@@ -75,6 +78,16 @@ def aligned(part: list[bytes], places: dict[bytes, list[int]], least: int) -> fl
     return most / len(part) if most >= min(least, len(part)) else 0.0
 
 
+@dataclass
+class Statistics:
+    """Of all items that have a word."""
+
+    items: int
+    words: int
+    longest: int   # words
+    df: dict       # word -> items that have it; of a part's words at least
+
+
 @dataclass
 class ItemIndex:
     """Postings of normalised impacts, sorted by item and cut into blocks with their maxima."""
@@ -88,16 +101,19 @@ class ItemIndex:
     stride: int = MIN_PASSAGE
 
     @staticmethod
-    def build(items: list[tuple], size: int = NGRAM, guessed: bool = False) -> ItemIndex:
-        """`items`: (id, question, answer); `guessed` if answers are last sentences. Items are put
-        in the order of their rarest words, so that blocks hold items that share words."""
+    def build(items: list[tuple], size: int = NGRAM, guessed: bool = False, whole: Statistics | None = None) -> ItemIndex:
+        """`items`: (id, question, answer); `guessed` if answers are last sentences; `whole` holds
+        the statistics of a list of which these are a part. Items are put in the order of their
+        rarest words, so that blocks hold items that share words."""
         split = [(key, words_of(q), words_of(a)) for key, q, a in items]
         split = [(key, q, a) for key, q, a in split if q or a]
-        df = Counter(word for _, q, a in split for word in {*q, *a})
+        lengths = [len(q) + len(a) for _, q, a in split]
+        whole = whole or Statistics(len(split), sum(lengths), max(lengths, default=0), Counter(word for _, q, a in split for word in {*q, *a}))
+        df, n = whole.df, whole.items
         split.sort(key=lambda item: (max({*item[1], *item[2]}, key=lambda w: (df[w], w)), min({*item[1], *item[2]}, key=lambda w: (df[w], w))))
-        index, n = ItemIndex([key for key, _, _ in split]), len(split)
+        index = ItemIndex([key for key, _, _ in split])
         lengths = [len(q) + len(a) for _, q, a in split]
-        mean = sum(lengths) / n if n else 1.0
+        mean = whole.words / n if n else 1.0
         postings: dict[bytes, list] = defaultdict(list)
         for i, (_, q, a) in enumerate(split):
             counts = Counter(q + a)
@@ -118,7 +134,7 @@ class ItemIndex:
             for i, value in entries:
                 maxima[i // ITEMS_PER_BLOCK] = max(maxima.get(i // ITEMS_PER_BLOCK, 0.0), value)
             index.blocks.append(maxima)
-        index.stride = max([MIN_PASSAGE, *lengths])
+        index.stride = max(MIN_PASSAGE, whole.longest)
         index._fill_maxima()
         return index
 
@@ -249,6 +265,17 @@ class ItemIndex:
                 yield {"item": item, "score": score, "question": shares[0], "answer": shares[1], "overlap": reached}
 
 
+def _words(question: str, answer: str) -> Column:
+    """struct<n, words>: the number of an item's words, and the distinct ones."""
+    @F.arrow_udf("struct<n: bigint, words: array<binary>>")
+    def counted(questions: pa.Array, answers: pa.Array) -> pa.Array:
+        split = [words_of(q) + words_of(a) for q, a in zip(texts_of(questions), texts_of(answers))]
+        kind = pa.struct([("n", pa.int64()), ("words", pa.list_(pa.binary()))])
+        return pa.array([{"n": len(words), "words": list(dict.fromkeys(words))} for words in split], kind)
+
+    return counted(F.col(question), F.col(answer))
+
+
 def _indexes(items: DataFrame, item_id: str, question: str, answer: str | None, size: int) -> list:
     """Broadcast indexes of all items, each of a measured size: a long list of items makes
     several, collected one after the other."""
@@ -258,12 +285,20 @@ def _indexes(items: DataFrame, item_id: str, question: str, answer: str | None,
     size_of = F.coalesce(F.octet_length("_q"), F.lit(0)) + F.coalesce(F.octet_length("_a"), F.lit(0))
     chars = chosen.agg(F.sum(size_of.cast("bigint"))).first()[0] or 0
     parts = -(-chars // MAX_INDEX_CHARS) or 1
-    shares = []
+    shares, whole = [], None
+    if parts > 1:
+        dealt = cut_lineage(chosen.select("*", F.pmod(F.xxhash64("_item", "_q"), F.lit(parts)).alias("_part"), _words("_q", "_a").alias("_w")))
+        total = dealt.where("_w.n > 0").agg(F.count(F.lit(1)).alias("items"), F.sum("_w.n").alias("words"), F.max("_w.n").alias("longest")).first()
+        each = dealt.select("_part", F.explode("_w.words").alias("word"))
+        df = cut_lineage(each.groupBy("word").agg(F.count(F.lit(1)).alias("df")))
     for part in range(parts):
-        own = chosen.where(F.pmod(F.xxhash64("_item", "_q"), F.lit(parts)) == part).collect()
+        own = (dealt.where(F.col("_part") == part) if parts > 1 else chosen).select("_item", "_q", "_a").collect()
+        if parts > 1:
+            known = df.join(each.where(F.col("_part") == part), "word", "left_semi").collect()
+            whole = Statistics(total["items"], total["words"] or 0, total["longest"] or 0, {bytes(r["word"]): r["df"] for r in known})
         rows = [(r["_item"], r["_q"], r["_a"]) if answer else (r["_item"], *question_and_answer(r["_q"])) for r in own]
         rows.sort(key=lambda r: (r[0] is None, str(r[0]), str(r[1])))
-        shares.append(spark.sparkContext.broadcast(ItemIndex.build(rows, size, answer is None)))
+        shares.append(spark.sparkContext.broadcast(ItemIndex.build(rows, size, answer is None, whole)))
     return shares
 
 

@@ -358,6 +358,22 @@ def test_one_changed_word_hides_no_item(spark, tables):
     assert short.match(["cape western the on lighthouse tall the is colour what"], 0.6, 0.5, 5) == [[]]
 
 
+def test_scores_do_not_depend_on_the_number_of_indexes(spark, tables, monkeypatch):
+    items = tables["benchmark"].collect()
+    rng, texts = random.Random(5), []
+    for i, item in enumerate(items):  # edited copies, around the threshold
+        words = item["text"].split()
+        texts.append((i, " ".join(w if rng.random() < 0.55 + 0.4 * (i % 10) / 10 else f"other{rng.randrange(99)}" for w in words)))
+    find = lambda: {
+        (r["doc_id"], r["item_id"]): (r["score"], r["question_overlap"], r["answer_overlap"], r["first_word"])
+        for r in decontaminate.leaks(docs(spark, texts + [(10_000 + i, t["text"]) for i, t in enumerate(items)]), tables["benchmark"]).collect()
+    }
+    one = find()
+    assert any(score < 0.9 for score, *_ in one.values())
+    monkeypatch.setattr(decontaminate, "MAX_INDEX_CHARS", sum(len(i["text"]) for i in items) // 5)
+    assert find() == one
+
+
 # ------------------------------------------------------------- LM scores
 def test_lm_base_scores_and_gain(spark, tables):
     got = {r["doc_id"]: r for r in maxent.score_documents(tables["documents"]).collect()}
