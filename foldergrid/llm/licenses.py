@@ -1,7 +1,8 @@
 """License scan: TF-IDF cosine to templates, and inheritance from the nearest directory.
 
 Headers: every run of as many words as a template has is a candidate; its sparse TF-IDF
-vector is compared to the template's. Only runs around words that a template cannot do
+vector is compared to the template's. Words that tell licences of a family apart and version
+numbers weigh little in a cosine, so they must be the same. Only runs around words that a template cannot do
 without are looked at: the other words together cannot reach the threshold (Cauchy-Schwarz).
 A file with a licence file's name is compared as a whole as well.
 
@@ -25,20 +26,51 @@ from pyspark.sql import functions as F
 
 from foldergrid.llm.common import small_batches, texts_of
 
-# fixed values: SPDX identifiers and the notices that stand for them
+# fixed values: SPDX identifiers and the notices that stand for them, versions and members of a family side by side; of
+# full texts the openings or the sections that tell them apart
+GNU = [
+    ("GPL-2.0", "General Public License", "2", "June 1991"), ("GPL-3.0", "General Public License", "3", "29 June 2007"),
+    ("LGPL-2.0", "Library General Public License", "2", "June 1991"), ("LGPL-2.1", "Lesser General Public License", "2.1", "February 1999"),
+    ("LGPL-3.0", "Lesser General Public License", "3", "29 June 2007"), ("AGPL-3.0", "Affero General Public License", "3", "19 November 2007"),
+]
+_GNU_HEADER = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation, "
+CREATIVE_COMMONS = {
+    "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_BSD_NAMES = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+_BSD_END = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES"
+_ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
 TEMPLATES = [
+    *[(f"{name}-or-later", _GNU_HEADER.format(family) + f"either version {version} of the License, or (at your option) any later version.") for name, family, version, _ in GNU],
+    *[(f"{name}-only", _GNU_HEADER.format(family) + f"version {version} of the License.") for name, family, version, _ in GNU],
+    *[(f"{name}-only", f"This work is licensed under the GNU {family}, version {version}") for name, family, version, _ in GNU],
+    *[(f"{name}-or-later", f"This work is licensed under the GNU {family}, version {version} or later") for name, family, version, _ in GNU],
+    *[(f"{name}-only", f"GNU {family} Version {version}, {date} Copyright (C) Free Software Foundation, Inc.") for name, family, version, date in GNU],
+    *[(f"CC-{kind}-{version}", f"Licensed under CC {kind} {version}") for kind in CREATIVE_COMMONS for version in ("4.0", "3.0")],
+    *[(f"CC-{kind}-4.0", f"This work is licensed under a Creative Commons {name} 4.0 International License") for kind, name in CREATIVE_COMMONS.items()],
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
-    ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3"),
-    ("GPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("GPL-2.0-only", "This work is licensed under the GNU General Public License, version 2"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION"),
     ("MIT", "Released under the MIT License"),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0"),
+    ("BSD-2-Clause", _BSD + _BSD_END),
+    ("BSD-3-Clause", _BSD + _BSD_NAMES + _BSD_END),
+    ("ISC", _ISC + ", provided that the above copyright notice and this permission notice appear in all copies."),
+    ("0BSD", _ISC + ". THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may not use this file except in compliance with the License."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
 ]
+# what tells the members of a family apart: words, and version numbers after a word that names a version or a licence
+MARKS = frozenset(b"affero appear endorse later lesser nc nd noncommercial noderivatives sa sharealike".split())
+VERSION_AFTER = frozenset(b"version v license licence by nc nd sa attribution noncommercial noderivatives sharealike".split())
 # function words, which stand in every text: anchors only where nothing else is left
 FUNCTION_WORDS = frozenset(
     b"a all an and any are as at be by can for from have i if in is it its may no not of on or that the this to was with you your".split()
@@ -52,6 +84,24 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().translate(_BLANK).split()
 
 
+def marks_of(words: list[bytes]) -> set[bytes]:
+    """The distinguishing words of a run, and its version numbers without zeros after the point."""
+    marks = set(MARKS.intersection(words))
+    for i, word in enumerate(words[1:], 1):
+        if word == b"general" and words[i - 1] == b"library":
+            marks.add(b"library general")
+        elif len(word) == 1 and word.isdigit() and words[i - 1] in VERSION_AFTER:
+            minor = words[i + 1] if i + 1 < len(words) else b"0"
+            marks.add(word + b"." + minor if len(minor) == 1 and minor.isdigit() and minor != b"0" else word)
+    return marks
+
+
+class Vector(dict):
+    """word -> weight, and the marks that a run must share."""
+
+    marks: set[bytes] = set()
+
+
 class Matcher:
     """Sparse unit vectors of the templates."""
 
@@ -66,7 +116,8 @@ class Matcher:
         for name, words in split:
             vector = {w: c * self.idf[w] for w, c in Counter(words).items()}
             norm = math.sqrt(sum(v * v for v in vector.values()))
-            unit = {w: v / norm for w, v in vector.items()}
+            unit = Vector({w: v / norm for w, v in vector.items()})
+            unit.marks = marks_of(words)
             # a template's anchors: words of weight, of equal ones the longest, until the others stay
             # below the threshold together
             anchors, rest = set(), 1.0
@@ -78,7 +129,10 @@ class Matcher:
             self.items.append((name, len(words), unit, anchors))
         self.anchors = set().union(*(anchors for *_, anchors in self.items))
 
-    def cosine(self, words: list[bytes], vector: dict[bytes, float]) -> float:
+    def cosine(self, words: list[bytes], vector: Vector) -> float:
+        """0 if the marks differ: another version or another member of the family."""
+        if marks_of(words) != vector.marks:
+            return 0.0
         dot, square = 0.0, 0.0
         for word, count in Counter(words).items():
             value = count * self.idf.get(word, self.unseen)
@@ -93,7 +147,11 @@ class Matcher:
         hits = [i for i, w in enumerate(words) if w in self.anchors] if not self.anchors.isdisjoint(words) else []
         if not hits:
             return None
+        present = set(words)
         for name, size, vector, anchors in self.items:
+            # the words of the whole text bound what any run can reach
+            if sum(vector[w] ** 2 for w in vector.keys() & present) < self.threshold**2 - 1e-9:
+                continue
             starts = sorted({s for i in hits if words[i] in anchors for s in range(max(i - size + 1, 0), i + 1)})
             for start in starts:
                 run = words[start : start + size]

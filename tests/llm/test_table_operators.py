@@ -152,6 +152,26 @@ def test_license_edges(spark):
     assert licenses.scan(frame.limit(0)).count() == 0
 
 
+def test_members_of_a_family_are_told_apart():
+    matcher = licenses.Matcher(licenses.TEMPLATES)
+    for name, text in licenses.TEMPLATES:
+        assert matcher.best(f"/* {text} */ int main")[0] == name
+    header = (
+        "This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {} as published by the "
+        "Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    )
+    for thing, family, version, name in [
+        ("program", "General Public License", "2", "GPL-2.0"), ("program", "General Public License", "3", "GPL-3.0"),
+        ("library", "Lesser General Public License", "2.1", "LGPL-2.1"), ("library", "Lesser General Public License", "3", "LGPL-3.0"),
+        ("program", "Affero General Public License", "3", "AGPL-3.0"), ("library", "Library General Public License", "2", "LGPL-2.0"),
+    ]:
+        assert matcher.best(header.format(thing, family, version))[0] == f"{name}-or-later"
+    bsd = next(text for name, text in licenses.TEMPLATES if name == "BSD-3-Clause")
+    assert matcher.best(bsd.replace("the copyright holder nor", "Example Company nor").replace("1.", "*").replace("3.", "*"))[0] == "BSD-3-Clause"
+    assert matcher.best("Licensed under CC BY-NC-SA 4.0")[0] == "CC-BY-NC-SA-4.0"
+    assert matcher.best("Licensed under the Apache License, Version 1.1") is None
+
+
 # ------------------------------------------------------------- chat
 def plain_views(turns, part_chars):
     out = {}
