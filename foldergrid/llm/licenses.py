@@ -187,8 +187,14 @@ def directory_of(path: Column) -> Column:
 
 
 def is_license_file(path: Column) -> Column:
-    name = F.lower(F.regexp_replace(F.regexp_extract(path, r"[^/]*\z", 0), r"\..*\z", ""))
-    return F.coalesce(name.isin(*LICENSE_NAMES), F.lit(False))
+    """A name that is one of the words before its first dot, or starts or ends with one of them at
+    - _ . (LICENSE-MIT, MIT-LICENSE.txt) and has no other extension than a text's."""
+    name = F.lower(F.regexp_extract(path, r"[^/]*\z", 0))
+    words, stem = "|".join(LICENSE_NAMES), r"\.(txt|text|md|rst|html?)\z"
+    bare = F.regexp_replace(name, stem, "")
+    code = bare.rlike(r"\.[a-z]+\z") & ~bare.rlike(rf"\.({words})\z")
+    part = bare.rlike(rf"\A({words})([-_.]|\z)") | bare.rlike(rf"[-_.]({words})\z")
+    return F.coalesce(name.rlike(rf"\A({words})(\.|\z)") | (part & ~code), F.lit(False))
 
 
 def scan(

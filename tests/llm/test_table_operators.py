@@ -172,6 +172,17 @@ def test_members_of_a_family_are_told_apart():
     assert matcher.best("Licensed under the Apache License, Version 1.1") is None
 
 
+def test_license_file_names(spark):
+    mit, apache = "Released under the MIT License", "Licensed under the Apache License, Version 2.0"
+    rows = [("a/LICENSE-MIT", mit), ("a/LICENSE-APACHE", apache), ("a/b/x.py", "x"), ("c/MIT-LICENSE.txt", mit), ("c/x.py", "x"), ("d/LICENSE_1_0.txt", apache),
+            ("d/x.py", "x"), ("e/license_checker.py", mit), ("e/licensee", mit), ("e/x.py", "x"), ("f/LICENSE.Apache", apache), ("f/x.py", "x")]
+    got = {r["path"]: r["license"] for r in licenses.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    # of two in one directory the higher score, then the smaller name
+    assert {p: got[p] for p in got if p.endswith("x.py")} == {
+        "a/b/x.py": "Apache-2.0", "c/x.py": "MIT", "d/x.py": "Apache-2.0", "e/x.py": None, "f/x.py": "Apache-2.0",
+    }
+
+
 # ------------------------------------------------------------- chat
 def plain_views(turns, part_chars):
     out = {}
