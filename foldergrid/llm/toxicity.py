@@ -7,7 +7,8 @@ scan finds every maximal segment. Under the scores of clean text the best segmen
 follows an extreme-value law; its parameters turn a segment's score into a p-value, and a
 logistic curve over the normalised score gives the document's.
 
-Edge cases: null and empty texts have no words and the lowest score. Labels without id or
+Edge cases: a text without any segment, null and empty ones included, has the lowest score that
+the calibration saw, whatever its length. Labels without id or
 value, and ids of the held-out fold, are never learned from; without labels of both classes
 the lexicon is empty and the score is the smoothed share of label 1. Texts are never cut.
 Repeated rows get equal scores.
@@ -116,6 +117,7 @@ class ToxicityModel:
     log_scale: float = 0.0   # log of its factor to the number of words
     bias: float = 0.0
     slope: float = 0.0
+    lowest: float = np.inf   # normalised score that calibration saw, which a text without a segment gets
 
     def _scores(self) -> _Scores:
         if "_cache" not in self.__dict__:
@@ -140,7 +142,8 @@ class ToxicityModel:
         words = words_of(text)
         found = segments(self.token_scores(words))
         best = max((s for _, _, s in found), default=0.0)
-        score = float(1 / (1 + np.exp(-(self.bias + self.slope * self.normalised(best, len(words))))))
+        value = self.normalised(best, len(words)) if found or np.isinf(self.lowest) else self.lowest
+        score = float(1 / (1 + np.exp(-(self.bias + self.slope * value))))
         hits = [(a, b, s, p) for a, b, s in found if (p := self.p_value(s, len(words))) <= SIGNIFICANT]
         if not hits:
             return score, []
@@ -288,6 +291,8 @@ def _calibrate(model: ToxicityModel, sample: DataFrame, share: float) -> Toxicit
     model.log_scale = float(-np.log(np.mean(words[null] * np.exp(-model.rate * score[null]))))
     value = model.rate * score - model.log_scale - np.log(words)
     weight = np.where(null, (1 - share) / max(null.mean(), 1e-9), share / max(1 - null.mean(), 1e-9))
+    model.lowest = float(value.min())
+    value = np.where(score > 0, value, model.lowest)
     model.bias, model.slope = _logistic(value, label, weight)
     return model
 

@@ -172,6 +172,14 @@ def test_toxicity_on_held_out_documents(larger):
     assert sum(r["predicted"] for r in got if r["toxic"] == 0) <= 2
 
 
+def test_texts_without_a_segment_score_lowest(larger):
+    model = toxicity.train(larger["documents"], larger["labels"])
+    assert model.lexicon and model.slope > 0
+    clean = [model.document(text)[0] for text in (None, "", "zzqq", "zzqq " * 30, "zzqq " * 5000)]
+    word = next(w for w in model.lexicon if not w.endswith(b"*")).decode()
+    assert clean[0] < 0.5 and clean[0] < model.document(word)[0] and clean[0] == clean[1] == clean[2] == clean[3] == clean[4]
+
+
 def test_toxicity_passages_and_edges(spark, tables):
     model = toxicity.ToxicityModel({b"vile": 5.0, b"rotte*": 4.0}, -0.1, 2.0, 0.0, 0.0, 1.0)
     text = "Ä Some, good words here " * 8 + "VILE and rotten things. " + "good words " * 80 + "vile"
