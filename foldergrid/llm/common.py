@@ -74,3 +74,12 @@ def bounded_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
         return df
     share = math.floor(limit / count * (1 << 40))
     return df.where(F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1 << 40)) < share)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """`name` behind as many underscores as make it the name of no column."""
+    taken = {column.lower() for column in df.columns}
+    name = "_" + name
+    while name.lower() in taken:
+        name = "_" + name
+    return name

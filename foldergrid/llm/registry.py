@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldergrid.llm import bpe, chat, decontaminate, licenses, maxent, quality, simhash, topk, toxicity, url_filter
+from foldergrid.llm import bpe, centroids, chat, decontaminate, licenses, maxent, quality, repair, rules, simhash, topk, toxicity, url_filter
 from foldergrid.session import use_defaults
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -141,6 +141,123 @@ FROM hosts h LEFT JOIN hits ON h.page_id = hits.page_id AND place = 1
 """
 
 
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents"))
+
+
+def _code_sql(value: str) -> str:
+    shift = f"greatest(length(bin({value})) - {rules.EXACT_BITS}, 0)"
+    return f"{shift} * {1 << rules.EXACT_BITS - 1} + ({value} >> {shift})"
+
+
+def _least_sql(code: str) -> str:
+    half = 1 << rules.EXACT_BITS - 1
+    shift = f"greatest({code} // {half} - 1, 0)"
+    return f"(({code} - {shift} * {half}) << {shift})"
+
+
+def _rules_sql() -> str:
+    """Words, windows and sketches in plain SQL: windows by their words, quantiles by running sums."""
+    values = " UNION ALL ".join(
+        f"SELECT doc_id, g1, g2, '{m}' AS measure, 1000 * {a} // {b} AS v, {flat} AS flat, {percent} AS percent, {str(both).lower()} AS both_sides"
+        f" FROM counts WHERE NOT base_failed"
+        for m, (a, b, flat, percent, both) in rules.MEASURES.items()
+    )
+    levels = "".join(
+        f"""
+q{depth} AS (
+  SELECT {keys} measure, max(total) AS total, min(code) FILTER (WHERE 10 * upto >= total) AS low, min(code) FILTER (WHERE 2 * upto >= total) AS mid
+  FROM (SELECT *, sum(n) OVER (PARTITION BY {keys} measure ORDER BY code) AS upto, sum(n) OVER (PARTITION BY {keys} measure) AS total
+        FROM (SELECT {keys} measure, code, sum(n) AS n FROM sketch GROUP BY ALL))
+  GROUP BY {keys} measure),"""
+        for depth, keys in enumerate(("", "g1,", "g1, g2,"))
+    )
+    return rf"""
+WITH words AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS x, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents),
+said AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words),
+windows AS (
+  SELECT doc_id, i, word AS a, lead(word) OVER (PARTITION BY doc_id ORDER BY i) AS b, lead(word, 2) OVER (PARTITION BY doc_id ORDER BY i) AS c FROM said),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM windows WHERE c IS NOT NULL) WHERE n > 1),
+repeated AS (SELECT doc_id, count(DISTINCT i + d) AS n_repeat_words FROM twice, range(3) AS t(d) GROUP BY doc_id),
+lines AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(x, chr(10))) AS line FROM words) WHERE regexp_matches(line, '[^ 	-]') GROUP BY doc_id),
+counts AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS g1, coalesce('=' || source, '') AS g2, len(w) AS n_words,
+         length(array_to_string(w, '')) AS word_chars, length(x) - length(regexp_replace(x, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_lines, 0) AS n_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         len(w) < {rules.MIN_WORDS} OR 100 * coalesce(n_repeat_words, 0) > {rules.MAX_REPEATED} * len(w) AS base_failed
+  FROM words LEFT JOIN lines USING (doc_id) LEFT JOIN repeated USING (doc_id)),
+vals AS ({values}),
+sketch AS (SELECT g1, g2, measure, {_code_sql('v')} AS code, count(*) AS n FROM vals GROUP BY ALL),{levels}
+chosen AS (
+  SELECT q2.g1, q2.g2, q2.measure,
+         CASE WHEN q2.total >= {rules.MIN_ROWS} THEN q2.low WHEN q1.total >= {rules.MIN_ROWS} THEN q1.low ELSE q0.low END AS low,
+         CASE WHEN q2.total >= {rules.MIN_ROWS} THEN q2.mid WHEN q1.total >= {rules.MIN_ROWS} THEN q1.mid ELSE q0.mid END AS mid
+  FROM q2 JOIN q1 ON q2.g1 = q1.g1 AND q2.measure = q1.measure JOIN q0 ON q2.measure = q0.measure),
+bounds AS (SELECT g1, g2, measure, {_least_sql('low')} AS low, {_least_sql('mid')} AS mid FROM chosen),
+beyond AS (
+  SELECT doc_id FROM (
+    SELECT doc_id, v, mid, both_sides, greatest({rules.SPREADS} * (mid - low), flat, percent * mid // 100) AS reach
+    FROM vals JOIN bounds USING (g1, g2, measure))
+  WHERE v > mid + reach OR (both_sides AND v < mid - reach))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM beyond) AS kept
+FROM counts
+"""
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with damage that depends on the turn alone: some turns dropped, emptied, without
+    marks, said twice, or given to the user. Dropped ones stay as rows that are not `present`."""
+    told = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(told("conv_id"), F.lit(":"), told("turn")).cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.translate(told("text"), ".!?", "")).otherwise(told("text"))
+    return turns.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(told("role")).alias("role"), text.alias("text"),
+        (kind != 0).alias("present"), F.explode(F.sequence(F.lit(1), F.when(kind == 3, 2).otherwise(1))).alias("copy"),
+    )
+
+
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.audits(damaged(table(spark, sf_dir, "conversations")), present="present")
+
+
+def centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_digests(*centroids.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def _centroids_sql(rounds: int = 10) -> str:
+    """Every round is two common tables: distances to all centroids, and floors of the means."""
+    mean = "(sum(p.v) - ((sum(p.v) % count(*)) + count(*)) % count(*)) // count(*)"
+    steps = ["c0 AS (SELECT CAST(place - 1 AS INTEGER) AS cluster, dim, v FROM points JOIN first USING (vec_id))"]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, cluster, distance FROM (
+    SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) AS place FROM (
+      SELECT p.vec_id, c.cluster, sum((p.v - c.v) * (p.v - c.v)) AS distance FROM points p JOIN c{r} c USING (dim) GROUP BY p.vec_id, c.cluster))
+  WHERE place = 1)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT c.cluster, c.dim, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN (
+    SELECT a.cluster, p.dim, CAST({mean} AS BIGINT) AS v FROM a{r} a JOIN points p USING (vec_id) GROUP BY a.cluster, p.dim) m
+  ON c.cluster = m.cluster AND c.dim = m.dim)""")
+    return f"""
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+points AS MATERIALIZED (SELECT vec_id, unnest(v) AS v, generate_subscripts(v, 1) AS dim FROM whole),
+first AS (
+  SELECT vec_id, place FROM (SELECT vec_id, row_number() OVER (ORDER BY sha256('3:' || vec_id)) AS place FROM whole) WHERE place <= 8),
+{", ".join(steps)},
+named AS (SELECT cluster, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY dim)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster)
+SELECT vec_id, cluster, CAST(distance AS BIGINT) AS distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN named USING (cluster)
+"""
+
+
 QUERIES = {
     "op1_quality_classifier": (quality_classifier, None),
     "op2_benchmark_decontamination": (benchmark_decontamination, None),
@@ -152,6 +269,9 @@ QUERIES = {
     "op8_simhash_near_dedup": (simhash_near_dedup, None),
     "op9_lm_scores": (lm_scores, None),
     "op10_url_filters": (url_filters, URL_SQL),
+    "op11_quality_rules": (quality_rules, _rules_sql()),
+    "op12_conversation_repair": (conversation_repair, None),
+    "op13_centroid_clustering": (centroid_clustering, _centroids_sql()),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
 
