@@ -10,9 +10,8 @@ difference to the observed counts, scaled by their size, is the gradient step. W
 words have add-0.1 relative frequencies, with one unknown word per class, so the model is
 a distribution over all words.
 
-Word counts cover the whole corpus and are never collected: a word with more than a fixed
-share of all tokens is in a broadcast table (at most 1 / share words), every other word is
-joined by itself.
+Word counts cover the whole corpus and are never collected: the most frequent words, at most
+FREQUENT of them, are in a broadcast table, every other word is joined by itself.
 
 Edge cases: a null or empty text is its end token alone. Rows without an id count as training
 rows. Without training documents all counts are zero and the model is the unknown word's.
@@ -44,7 +43,8 @@ ROWS = 3 * ENDINGS + PAIRS   # of the weight table
 ROUNDS = 2
 RATE = 0.5
 SMOOTH = 4.0
-FREQUENT = 1 / 50_000        # share of all tokens from which a word is in the broadcast table
+FREQUENT = 200_000           # words at most in the broadcast table, the most frequent ones
+FREQUENT_BYTES = 8 << 20     # and bytes of them
 END = b""                    # no word is empty
 _HELD = 300_000              # words counted before they are passed on
 _TOKENS = 1 << 16            # tokens that arrays are made for at a time
@@ -286,6 +286,23 @@ def _word_counts(own: DataFrame) -> DataFrame:
     return cut_lineage(partial.groupBy("word").agg(F.sum("c").alias("c"), F.sum("a").alias("a")))
 
 
+def _least_count(counts: DataFrame) -> int:
+    """How often a word must occur to be among at most FREQUENT words and FREQUENT_BYTES bytes:
+    words are counted per eighth of a power of two of their count, which is some 500 rows."""
+    step = F.floor(8 * F.log2("a")).cast("int")
+    bins = counts.groupBy(step.alias("step")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("word")).alias("size"), F.min("a").alias("least")
+    ).orderBy(F.desc("step")).collect()
+    words = size = 0
+    least = 1 << 62
+    for row in bins:
+        words, size = words + row["n"], size + row["size"]
+        if words > FREQUENT or size > FREQUENT_BYTES:
+            break
+        least = row["least"]
+    return least
+
+
 def _train(training: DataFrame, class_of: np.ndarray, bias: np.ndarray, rounds: int) -> np.ndarray:
     """The weight table (classes, rows) after `rounds` passes over all training documents."""
     spark = training.sparkSession
@@ -335,9 +352,8 @@ def _local_scores(
     """What a document's score needs besides the counts of its rare words: a row number, the
     part of its frequent words, the gain of the class model, and the rare words themselves."""
     spark = own.sparkSession
-    every = counts.agg(F.sum("a")).first()[0] or 0
-    limit = max(every * FREQUENT, 1.0)
-    frequent = {bytes(r["word"]): r["c"] for r in counts.where(F.col("a") >= limit).select("word", "c").collect()}  # 1 / FREQUENT words at most
+    limit = _least_count(counts)
+    frequent = {bytes(r["word"]): r["c"] for r in counts.where(F.col("a") >= limit).select("word", "c").collect()}
     shared = spark.sparkContext.broadcast((
         {w: float(np.log10(c + PSEUDO)) for w, c in frequent.items()}, {w for w, c in frequent.items() if c == 0},
         class_of, weights, np.log10(mass),
