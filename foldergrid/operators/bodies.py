@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from foldergrid.functions.text import utf8_text
 from foldergrid.model import EXPORT_FORMATS, NATIVE_MIMES, SCRIPT_EXPORT_MIME
-from foldergrid.operators.catalogue import is_native
+from foldergrid.operators.catalogue import is_binary, is_native
 from foldergrid.operators.lookup import fits_broadcast
 
 _NO_RANGE = "CAST(NULL AS struct<bytes_from: bigint, bytes_to: bigint>)"
@@ -132,7 +132,7 @@ def read_bodies(
 
     Only the native rows meet the rendition table; binary rows stay in a narrow plan.
     """
-    binary = cut_bodies(files.where(~is_native()), max_bytes)
+    binary = cut_bodies(files.where(is_binary()), max_bytes)
     if renditions is None:
         renditions = files.sparkSession.createDataFrame([], "id string, export_mime string, content binary")
     native = with_renditions(files.where(is_native()), renditions, formats)

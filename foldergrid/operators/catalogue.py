@@ -13,7 +13,13 @@ from foldergrid.model import FOLDER_MIME, NATIVE_MIMES, NATIVE_PREFIX, FileSourc
 
 
 def is_native(mime: Column | None = None) -> Column:
-    return (F.col("mimeType") if mime is None else mime).startswith(NATIVE_PREFIX)
+    """Whether a type is one of the service's own. A file without a type is not: its body is read as it is."""
+    mime = F.col("mimeType") if mime is None else mime
+    return mime.isNotNull() & mime.startswith(NATIVE_PREFIX)
+
+
+def is_binary() -> Column:
+    return F.col("mimeType").isNull() | ~F.col("mimeType").startswith(NATIVE_PREFIX)
 
 
 def in_folder(folder: str) -> Column:
@@ -21,13 +27,13 @@ def in_folder(folder: str) -> Column:
 
 
 def not_a_folder() -> Column:
-    return F.col("mimeType") != F.lit(FOLDER_MIME)
+    return F.col("mimeType").isNull() | (F.col("mimeType") != F.lit(FOLDER_MIME))
 
 
 def of_types(types: tuple[str, ...] | list[str]) -> Column:
     """Any of the selected types; no selection keeps every type."""
     wanted = [
-        ~is_native() if kind == "binary" else F.col("mimeType") == F.lit(NATIVE_MIMES[kind])
+        is_binary() if kind == "binary" else F.col("mimeType") == F.lit(NATIVE_MIMES[kind])
         for kind in types
     ]
     return reduce(or_, wanted) if wanted else F.lit(True)

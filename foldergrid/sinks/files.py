@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldergrid.functions.text import random_name
+from foldergrid.functions.text import clean_name, marked_name, random_name
 from foldergrid.operators.lookup import lookup_join
-from foldergrid.session import cut_lineage, path_exists, remove_folder, shuffle_width
-from foldergrid.sources.folder import file_locator, list_names
+from foldergrid.session import cut_lineage, forget, path_exists, remove_folder, shuffle_width
+from foldergrid.sources.folder import list_names
+from foldergrid.sources.listing import file_locator, move_new, there
 
 MANIFEST_DDL = "name string, mimeType string, size bigint, staged string"
 
@@ -63,22 +64,29 @@ def write_files(rows: DataFrame, folder: str) -> DataFrame:
     moves files, publishes from that table: bodies are never shuffled, nothing passes through
     the driver, and files of lost or repeated attempts are never published. Moving is
     idempotent, so publishing may be retried. Every record makes a new file: a file whose name
-    another one of the run or of the folder has gets a suffix. The staging folder is removed
-    in the end.
+    another one of the run or of the folder has gets a suffix, before which a name that gets too long is cut.
+    The staging folder is removed in the end, also when the run fails; files published by then stay.
     """
     spark = rows.sparkSession
     folder = folder.rstrip("/")
     run = f"{folder}.staging-{uuid.uuid4().hex}"
     staged = rows.select("name", "mimeType", "body").mapInArrow(_stager(f"{run}/files"), MANIFEST_DDL)
-    manifest = cut_lineage(staged.withColumn("_file", file_name(F.col("name"))))
+    try:
+        return _published(staged, folder)
+    finally:
+        remove_folder(spark, run)
+
+
+def _published(staged: DataFrame, folder: str) -> DataFrame:
+    spark = staged.sparkSession
+    manifest = cut_lineage(staged.withColumn("_file", clean_name(F.col("name"))))
 
     # only names leave their rows here; a name on a third of all rows is one count per task
     taken = manifest.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_file")
     if path_exists(spark, folder):
         taken = taken.union(list_names(spark, folder)).distinct()
     token = F.regexp_extract("staged", r"([^/]+)$", 1)
-    # the ending stays last; a name is cut nowhere else
-    suffixed = F.regexp_replace("_file", r"(?s)\A(.*?)((?<=.)\.[^.]*)?\z", F.concat(F.lit("$1 ("), token, F.lit(")$2")))
+    suffixed = marked_name(F.col("_file"), F.concat(F.lit(" ("), token, F.lit(")")))
     into = F.concat(F.lit(folder + "/"), F.col("_file"))
     spare = F.concat(F.lit(folder + "/"), suffixed)
     targets = cut_lineage(
@@ -88,17 +96,10 @@ def write_files(rows: DataFrame, folder: str) -> DataFrame:
     published = cut_lineage(targets.repartition(shuffle_width(spark), "staged").mapInArrow(
         _publisher(folder), "name string, mimeType string, size bigint, path string"
     ))
-    remove_folder(spark, run)
+    forget(manifest, targets)
     return published
 
 
-def file_name(name: Column) -> Column:
-    """The name a file can have: no separator or control character, and neither empty nor a
-    name that stands for a folder."""
-    clean = F.regexp_replace(name, r"[/\x00-\x1f]", "_")
-    return F.when(clean.isin("", ".", ".."), F.concat(F.lit("unnamed"), clean)).otherwise(clean)
-
-
 def _stager(root: str):
     """Writes each body of a task to a file of its own and gives out manifest rows."""
     located = file_locator()
@@ -136,20 +137,20 @@ def _publisher(folder: str):
 
     def publish(batches):
         import pyarrow as pa
-        from pyarrow import fs
 
         for batch in batches:
             paths = []
             for staged, path, spare in zip(*(batch.column(c).to_pylist() for c in ("staged", "path", "spare"))):
                 system, source = located(staged)
-                there = lambda name: system.get_file_info(located(name)[1]).type != fs.FileType.NotFound  # noqa: B023, E731
-                if there(staged):
+                if there(system, source):
                     system.create_dir(located(folder)[1], recursive=True)
-                    path = spare if there(path) else path
-                    system.move(source, located(path)[1])
-                elif there(spare):
+                    if not move_new(system, source, located(path)[1]):
+                        path = spare
+                        if not move_new(system, source, located(spare)[1]):
+                            raise FileExistsError(f"{spare} is there already.")
+                elif there(system, located(spare)[1]):
                     path = spare
-                elif not there(path):
+                elif not there(system, located(path)[1]):
                     raise FileNotFoundError(f"Neither {staged} nor {path} is there.")
                 paths.append(path)
             yield pa.RecordBatch.from_arrays(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from foldergrid.operators.bodies import plan_parts
 from foldergrid.session import cut_lineage, shuffle_width
+from foldergrid.sources.listing import PAGE, entries, file_locator, shares_of
 
 TASK_BYTES = 1 << 30  # that one task reads, one part after the other
 
@@ -23,26 +24,38 @@ def mime_of(name: Column) -> Column:
     return F.coalesce(F.try_element_at(table, extension), F.lit("application/octet-stream"))
 
 
-LISTING_DDL = "path string, length bigint, modified_ms bigint, is_folder boolean"
+LISTING_DDL = "path string, length bigint, modified_ms bigint, is_folder boolean, shares int"
 
 
 def list_folder(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
     """Catalogue of a folder's files, without reading any of them.
 
-    Listing runs in tasks and is never held by the driver. With `recursive` the tree is listed
-    level by level: the folders of a level are dealt over the tasks, and what they hold is
-    written to the shared folder before the next level starts. Spark's own file index is not
-    used here because it leaves out empty files and names that begin with an underscore or a
-    dot.
+    Listing runs in tasks and is never held by the driver. A folder of more than PAGE names is dealt to
+    SHARES tasks by a hash of the name: each passes over all names, which is cheap, and looks at the
+    files of its own share only. With `recursive` the tree is listed level by level: the folders
+    of a level are dealt over the tasks, and what they hold is written to the shared folder
+    before the next level starts. Spark's own file index is not used here because it leaves out
+    empty files and names that begin with an underscore or a dot. Links to files are listed, links to
+    folders and dangling ones are passed over.
     """
     root = folder.rstrip("/")
-    listed = spark.createDataFrame([(root,)], "path string").mapInArrow(_lister(), LISTING_DDL)
+    shares = shares_of(root)
+    listed = _listed(_dealt(spark.createDataFrame([(root, shares)], "path string, shares int"))) if shares > 1 else (
+        spark.createDataFrame([(root,)], "path string").mapInArrow(_lister(split=False), LISTING_DDL)
+    )
     if recursive:
         level = cut_lineage(listed)
         levels = [level]
-        while not level.where("is_folder").isEmpty():
-            below = level.where("is_folder").select("path").repartition(4 * shuffle_width(spark), "path")
-            level = cut_lineage(below.mapInArrow(_lister(), LISTING_DDL))
+        while True:
+            folders, split = level.agg(F.max(F.col("is_folder") & F.isnull("shares")), F.max("shares")).first()
+            if split:
+                # the same level: folders that were too large for one task
+                level = cut_lineage(_listed(_dealt(level.where("shares > 1"))))
+            elif folders:
+                below = level.where("is_folder AND shares IS NULL").select("path").repartition(4 * shuffle_width(spark), "path")
+                level = cut_lineage(below.mapInArrow(_lister(split=True), LISTING_DDL))
+            else:
+                break
             levels.append(level)
         listed = reduce(DataFrame.unionByName, levels)
     files = listed.where("NOT is_folder")
@@ -59,29 +72,36 @@ def list_folder(spark: SparkSession, folder: str, recursive: bool = False) -> Da
 
 def list_names(spark: SparkSession, folder: str) -> DataFrame:
     """The names a folder holds, of files and of folders."""
-    listed = spark.createDataFrame([(folder.rstrip("/"),)], "path string").mapInArrow(_lister(), LISTING_DDL)
+    listed = spark.createDataFrame([(folder.rstrip("/"),)], "path string").mapInArrow(_lister(split=False), LISTING_DDL)
     return listed.select(F.regexp_extract("path", r"(?s)([^/]+)\z", 1).alias("name"))
 
 
-def _lister():
-    """Lists each folder of a task, a page at a time. Every name counts."""
-    located = file_locator()
+def _dealt(folders: DataFrame) -> DataFrame:
+    """A row for each share of each folder (path, shares), in a partition of its own."""
+    shares = folders.select("path", "shares", F.explode(F.expr("sequence(0, shares - 1)")).alias("share"))
+    return shares.repartition(4 * shuffle_width(folders.sparkSession), "path", "share")
 
-    def entries(folder):
-        """(name, size, modification time in ms, is a folder)"""
-        import os
 
-        from pyarrow import fs
+def _listed(shares: DataFrame) -> DataFrame:
+    return shares.mapInArrow(_lister(split=False), LISTING_DDL)
 
-        system, base = located(folder)
-        if isinstance(system, fs.LocalFileSystem):  # this one can be read as a stream
-            with os.scandir(base or "/") as found:
-                for entry in found:
-                    info = entry.stat()
-                    yield entry.name, info.st_size, info.st_mtime_ns // 1_000_000, entry.is_dir()
-        else:
-            for info in system.get_file_info(fs.FileSelector(base)):
-                yield info.base_name, info.size, (info.mtime_ns or 0) // 1_000_000, info.type == fs.FileType.Directory
+
+def _lister(split: bool):
+    """Lists each folder, or share of a folder, of a task, a page at a time. With `split` a folder
+    that is too large for one task comes back as a row that says into how many shares to deal it."""
+
+    def page_of(folder, found):
+        import pyarrow as pa
+
+        names, sizes, times, folders = zip(*found)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([f"{folder}/{name}" for name in names], pa.string()),
+                pa.array([None if d else n for n, d in zip(sizes, folders)], pa.int64()),
+                pa.array(times, pa.int64()), pa.array(folders, pa.bool_()), pa.nulls(len(names), pa.int32()),
+            ],
+            names=["path", "length", "modified_ms", "is_folder", "shares"],
+        )
 
     def lists(batches):
         from itertools import batched
@@ -89,17 +109,19 @@ def _lister():
         import pyarrow as pa
 
         for batch in batches:
-            for folder in batch.column("path").to_pylist():
-                for page in batched(entries(folder), 10_000):
-                    names, sizes, times, folders = zip(*page)
+            dealt = "share" in batch.schema.names
+            for row in batch.to_pylist():
+                folder, shares = row["path"], 1 if dealt or not split else shares_of(row["path"])
+                if shares > 1:
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([f"{folder}/{name}" for name in names], pa.string()),
-                            pa.array([None if d else n for n, d in zip(sizes, folders)], pa.int64()),
-                            pa.array(times, pa.int64()), pa.array(folders, pa.bool_()),
-                        ],
-                        names=["path", "length", "modified_ms", "is_folder"],
+                        [pa.array([folder], pa.string()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([True]), pa.array([shares], pa.int32())],
+                        names=["path", "length", "modified_ms", "is_folder", "shares"],
                     )
+                    continue
+                share, of = (row["share"], row["shares"]) if dealt else (0, 1)
+                # folders below are looked at by the first share alone
+                for found in batched(entries(folder, share, of, folders=share == 0), PAGE):
+                    yield page_of(folder, found)
 
     return lists
 
@@ -120,28 +142,6 @@ def read_parts(files: DataFrame, max_bytes: int = 0, tasks: int | None = None) -
     return parts.mapInArrow(_range_reader(), f"{out}, body binary, offset bigint")
 
 
-def file_locator():
-    """A function path -> (pyarrow file system, path inside it), for use in tasks.
-
-    It is made here and not imported there, so that tasks need nothing but pyarrow. Only the
-    scheme and authority are parsed as a URI; names may hold any characters.
-    """
-
-    def located(path: str):
-        from pyarrow import fs
-
-        scheme, found, rest = path.partition("://")
-        if not found:
-            return fs.LocalFileSystem(), path.removeprefix("file:")
-        authority, _, inner = rest.partition("/")
-        if scheme == "file":
-            return fs.LocalFileSystem(), "/" + inner
-        system, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
-        return system, f"{base.rstrip('/')}/{inner}"
-
-    return located
-
-
 def _range_reader():
     """Opens each range's file, seeks, and gives out one record at a time."""
     located = file_locator()
