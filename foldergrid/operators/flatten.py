@@ -137,7 +137,7 @@ def _named(path: tuple[str, ...]) -> Column:
     return F.col(".".join(f"`{part}`" for part in path))
 
 
-def _targets(options: SheetSinkOptions) -> tuple[Column, Column]:
+def targets(options: SheetSinkOptions) -> tuple[Column, Column]:
     def target(name: str | None, default: str) -> Column:
         return F.coalesce(F.col(f"`{name}`"), F.lit(default)) if name else F.lit(default)
 
@@ -149,7 +149,7 @@ def _targets(options: SheetSinkOptions) -> tuple[Column, Column]:
 
 def route(records: DataFrame, options: SheetSinkOptions) -> DataFrame:
     """Target spreadsheet and sheet of each record: its own fields, else the defaults."""
-    return records.select(*_targets(options), *[F.col(f"`{c}`") for c in records.columns if c not in TARGET])
+    return records.select(*targets(options), *[F.col(f"`{c}`") for c in records.columns if c not in TARGET])
 
 
 RECORD = "_record"
@@ -172,7 +172,7 @@ def measure_records(records: DataFrame, options: SheetSinkOptions, keep: tuple[s
             n_rows = n_rows * _length(_named(leaf.path))
     record = F.struct(*[F.col(f"`{c}`") for c in records.columns]).alias(RECORD)
     kept = [F.col(f"`{c}`") for c in keep]
-    book, sheet = _targets(options)
+    book, sheet = targets(options)
     return records.select(book, sheet, *kept, n_rows.alias("n_rows"), record)
 
 

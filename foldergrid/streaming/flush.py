@@ -1,37 +1,49 @@
-"""Writing a stream of records to sheets at an interval."""
+"""Writing a stream of records to sheets at an interval, or when enough records have come."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from foldergrid.model import SheetSinkOptions
-from foldergrid.operators.flatten import TARGET
+from foldergrid.operators.flatten import RECORD, TARGET
 from foldergrid.operators.lookup import lookup_join
-from foldergrid.session import path_exists
+from foldergrid.session import cut_lineage, forget
 from foldergrid.sinks.sheets import Layout, all_cells, all_merges, place, update_documents
+from foldergrid.streaming.buffer import REASON, Buffering, buffered
+from foldergrid.streaming.runs import RunLog
 
+FLUSH = "flush_id"
+TABLES = ("grid_records", "grid_sheets", "grid_totals", "grid_cells", "grid_merges", "documents", "grid_flushes")
+TOTALS_DDL = "spreadsheet_name string, sheet_name string, _before bigint"
+FLUSHES_DDL = "spreadsheet_name string, sheet_name string, reason string, records bigint"
 
-def _written_before(spark: SparkSession, path: str, flush_id: int) -> DataFrame | None:
-    """Data rows each sheet got from all earlier flushes: the totals that the flush before this
-    one left. Flushes are numbered without gaps, and a repeated flush overwrites its own."""
-    totals = f"{path}/grid_totals/flush_id={flush_id - 1}"
-    return spark.read.parquet(totals) if path_exists(spark, totals) else None
+
+def save(df: DataFrame, target: str, kind: str = "parquet") -> str:
+    df.write.mode("overwrite").format(kind).save(target)
+    return target
 
 
 def write_flush(
-    records: DataFrame, flush_id: int, options: SheetSinkOptions, order_by: list[str], path: str
+    records: DataFrame, flush_id: int, options: SheetSinkOptions, order_by: list[str], path: str, reasons: DataFrame | None = None
 ) -> None:
     """Place one flush after everything earlier flushes wrote.
 
-    Every table is written to a folder of the flush's own, which a repeated flush overwrites:
-    a flush counts once however often it is tried.
+    Every table is written to a folder of the flush's own and the flush counts once its entry is written
+    (`RunLog`, read with `read_runs`): a flush that was cut short is repeated and overwrites what it left, one that has its entry is
+    not written again, and one that does not follow the last raises, since the rows before it are not known.
+    `reasons` (target, reason, records) says why buffers were flushed.
     """
     spark = records.sparkSession
+    log = RunLog(spark, path, FLUSH)
+    if not log.start(flush_id):
+        return
+    put = lambda df, table, kind="parquet": save(df, log.folder(table, flush_id), kind)
     layout = Layout.of(records.schema, options)
     placed = place(records, options, order_by)
-    before = _written_before(spark, path, flush_id)
+    # the totals that the flush before this one left
+    before = spark.read.parquet(log.folder("grid_totals", flush_id - 1)) if flush_id else None
     if before is not None:
         shift = F.coalesce("_before", F.lit(0).cast("bigint"))
         placed = (
@@ -39,22 +51,18 @@ def write_flush(
             .withColumns({"first_row": F.col("first_row") + shift, "is_first": F.col("is_first") & (shift == 0)})
             .drop("_before")
         )
-
-    def save(df: DataFrame, name: str, kind: str = "parquet") -> str:
-        target = f"{path}/{name}/flush_id={flush_id}"
-        df.write.mode("overwrite").format(kind).save(target)
-        return target
-
-    placed = spark.read.parquet(save(placed, "grid_records"))
-    added = spark.read.parquet(save(placed.groupBy(*TARGET).agg(F.sum("n_rows").alias("rows_written")), "grid_sheets"))
+    placed = spark.read.parquet(put(placed, "grid_records"))
+    added = spark.read.parquet(put(placed.groupBy(*TARGET).agg(F.sum("n_rows").alias("rows_written")), "grid_sheets"))
     totals = added.withColumnRenamed("rows_written", "_before")
     if before is not None:
         totals = totals.unionByName(before).groupBy(*TARGET).agg(F.sum("_before").alias("_before"))
-    save(totals, "grid_totals")
+    put(totals, "grid_totals")
     new_sheets = placed.where("is_first").select(*TARGET)
-    save(all_cells(placed, layout, options, new_sheets), "grid_cells")
-    save(all_merges(placed, layout, options, new_sheets), "grid_merges")
-    save(update_documents(placed, layout, options), "documents", "json")
+    put(all_cells(placed, layout, options, new_sheets), "grid_cells")
+    put(all_merges(placed, layout, options, new_sheets), "grid_merges")
+    put(update_documents(placed, layout, options), "documents", "json")
+    put(spark.createDataFrame([], FLUSHES_DDL) if reasons is None else reasons, "grid_flushes")
+    log.end(flush_id, list(TABLES))
 
 
 def flush_sheets(
@@ -65,15 +73,29 @@ def flush_sheets(
     checkpoint: str,
     interval_seconds: int = 10,
     available_now: bool = False,
+    max_records: int | None = None,
+    lane: Column | None = None,
 ) -> StreamingQuery:
-    """Flush a stream every `interval_seconds`. How many records a flush may take is set at
-    the source (for files, `maxFilesPerTrigger`)."""
-    trigger = {"availableNow": True} if available_now else {"processingTime": f"{interval_seconds} seconds"}
-    return (
-        records.writeStream.foreachBatch(
-            lambda batch, flush_id: write_flush(batch, flush_id, options, order_by, path)
-        )
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    """Flush a stream to sheets.
+
+    Without `max_records` everything that has come is flushed every `interval_seconds`. With it
+    records wait in buffers of their sheet, and a buffer is flushed when it has `max_records`, or `interval_seconds`
+    after its first record; a sheet has several buffers (`lane`), so that one sheet of most records is no single task.
+    """
+    if max_records is None:
+        trigger = {"availableNow": True} if available_now else {"processingTime": f"{interval_seconds} seconds"}
+        flush = lambda batch, flush_id: write_flush(batch, flush_id, options, order_by, path)
+    else:
+        if available_now:
+            raise ValueError("Buffers wait for more records: a run that stops by itself would leave them unwritten.")
+        records = buffered(records, options, Buffering(max_records, interval_seconds), order_by, lane)
+        trigger = {"processingTime": "1 second"}
+
+        def flush(batch: DataFrame, flush_id: int) -> None:
+            # the buffers are read once, whatever is done with what they gave out
+            given = cut_lineage(batch)
+            reasons = given.groupBy(*TARGET, F.col(REASON).alias("reason")).agg(F.count(F.lit(1)).alias("records"))
+            write_flush(given.select(f"{RECORD}.*"), flush_id, options, order_by, path, reasons)
+            forget(given)
+
+    return records.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint).trigger(**trigger).start()

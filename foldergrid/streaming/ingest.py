@@ -9,8 +9,18 @@ from pyspark.sql.streaming import StreamingQuery
 from foldergrid.model import FileSourceOptions
 from foldergrid.operators.bodies import cut_bodies
 from foldergrid.operators.metadata import project_metadata
-from foldergrid.session import path_exists
 from foldergrid.sources.folder import list_folder, mime_of, read_parts
+from foldergrid.sources.folder_files import FORMAT, use_folder_files
+from foldergrid.streaming.runs import RunLog, read_runs
+
+
+SEEN_DDL = "id string, modifiedTime timestamp"
+RUN = "run"
+
+
+def save(df: DataFrame, target: str) -> str:
+    df.write.mode("overwrite").parquet(target)
+    return target
 
 
 def ingest_new_files(
@@ -19,34 +29,47 @@ def ingest_new_files(
     """One scheduled run: the records of files that no earlier run has read (or that have
     changed since) are written under `out`/records; returns the number of the run.
 
-    A run writes its records and then the list of files they came from, both to a folder of
-    its own. A run that failed in between is repeated under the same number and overwrites
-    what it left, so every file is in the records once per version. A run counts once its row
-    is in `out`/runs, whether it found files or not.
+    A run writes what it reads, its records and the list of files they came from, each to a folder of
+    its own, and counts once its entry is written (`RunLog`), whether it found files or not. A
+    run that failed before is repeated under the same number and overwrites what it left, so every file is in the
+    records of `read_ingested` once per version.
     """
-    seen, runs = f"{out}/seen", f"{out}/runs"
-    run = spark.read.parquet(runs).agg(F.max("run")).first()[0] + 1 if path_exists(spark, runs) else 0
+    log = RunLog(spark, out, RUN)
+    run = log.last() + 1
     listing = list_folder(spark, folder, recursive)
     if run:
-        earlier = spark.read.parquet(seen).where(F.col("run") < run)
-        listing = listing.join(earlier.select("id", "modifiedTime"), ["id", "modifiedTime"], "left_anti")
-    batch = f"{out}/batch/run={run}"
-    listing.write.mode("overwrite").parquet(batch)  # what this run reads, fixed before it is read
-    files = spark.read.parquet(batch)
+        listing = listing.join(log.read("seen", SEEN_DDL).select("id", "modifiedTime"), ["id", "modifiedTime"], "left_anti")
+    # what this run reads is fixed before it is read
+    files = spark.read.parquet(save(listing, log.folder("batch", run)))
     records = project_metadata(
         read_parts(files, options.max_part_bytes), options.properties, options.body_format
     )
-    records.write.mode("overwrite").parquet(f"{out}/records/run={run}")
-    files.select("id", "modifiedTime").write.mode("overwrite").parquet(f"{seen}/run={run}")
-    spark.range(1).select(F.current_timestamp().alias("ended")).write.mode("overwrite").parquet(f"{runs}/run={run}")
+    save(records, log.folder("records", run))
+    save(files.select("id", "modifiedTime"), log.folder("seen", run))
+    log.end(run, ["batch", "records", "seen"])
     return run
 
 
+def read_ingested(spark: SparkSession, out: str) -> DataFrame:
+    """The records of all runs that count, with the number of their run."""
+    return read_runs(spark, out, "records", RUN)
+
+
+def stream_versions(
+    spark: SparkSession, folder: str, recursive: bool = False, max_part_bytes: int = 0, settle_ms: int = 1000
+) -> DataFrame:
+    """A folder as a stream of its files, in parts: every version of a file comes once, also empty files and hidden names.
+    What has been read is kept in the query's checkpoint, as a modification time."""
+    use_folder_files(spark)
+    reader = spark.readStream.format(FORMAT).option("recursive", recursive).option("maxPartBytes", max_part_bytes)
+    return reader.option("settleMillis", settle_ms).load(folder)
+
+
 def stream_folder(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
     """The same folder as a stream of files with their bodies, each coming once.
 
     This is Spark's file stream, which passes over empty files and hidden names; use
-    `ingest_new_files` where those count.
+    `stream_versions` or `ingest_new_files` where those count.
     """
     ddl = "path string, modificationTime timestamp, length bigint, content binary"
     reader = spark.readStream.format("binaryFile").schema(ddl)
