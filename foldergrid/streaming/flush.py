@@ -33,7 +33,7 @@ def write_flush(
     Every table is written to a folder of the flush's own and the flush counts once its entry is written
     (`RunLog`, read with `read_runs`): a flush that was cut short is repeated and overwrites what it left, one that has its entry is
     not written again, and one that does not follow the last raises, since the rows before it are not known.
-    `reasons` (target, reason, records) says why buffers were flushed.
+    A flush without records is an entry only. `reasons` (target, reason, records) says why buffers were flushed.
     """
     spark = records.sparkSession
     log = RunLog(spark, path, FLUSH)
@@ -42,8 +42,9 @@ def write_flush(
     put = lambda df, table, kind="parquet": save(df, log.folder(table, flush_id), kind)
     layout = Layout.of(records.schema, options)
     placed = place(records, options, order_by)
-    # the totals that the flush before this one left
-    before = spark.read.parquet(log.folder("grid_totals", flush_id - 1)) if flush_id else None
+    # the totals that the last flush with records left
+    last = log.full(flush_id - 1)
+    before = spark.read.parquet(log.folder("grid_totals", last)) if last >= 0 else None
     if before is not None:
         shift = F.coalesce("_before", F.lit(0).cast("bigint"))
         placed = (
@@ -52,6 +53,9 @@ def write_flush(
             .drop("_before")
         )
     placed = spark.read.parquet(put(placed, "grid_records"))
+    if placed.isEmpty():
+        log.end(flush_id, [])
+        return
     added = spark.read.parquet(put(placed.groupBy(*TARGET).agg(F.sum("n_rows").alias("rows_written")), "grid_sheets"))
     totals = added.withColumnRenamed("rows_written", "_before")
     if before is not None:
@@ -89,11 +93,17 @@ def flush_sheets(
         if available_now:
             raise ValueError("Buffers wait for more records: a run that stops by itself would leave them unwritten.")
         records = buffered(records, options, Buffering(max_records, interval_seconds), order_by, lane)
-        trigger = {"processingTime": "1 second"}
+        trigger = {"processingTime": f"{max(interval_seconds // 4, 1)} seconds"}  # how exactly the interval is kept
 
         def flush(batch: DataFrame, flush_id: int) -> None:
             # the buffers are read once, whatever is done with what they gave out
             given = cut_lineage(batch)
+            if given.isEmpty():
+                log = RunLog(given.sparkSession, path, FLUSH)
+                if log.start(flush_id):
+                    log.end(flush_id, [])
+                forget(given)
+                return
             reasons = given.groupBy(*TARGET, F.col(REASON).alias("reason")).agg(F.count(F.lit(1)).alias("records"))
             write_flush(given.select(f"{RECORD}.*"), flush_id, options, order_by, path, reasons)
             forget(given)

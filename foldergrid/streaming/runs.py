@@ -44,12 +44,24 @@ class RunLog:
             raise MissingRun(f"{self.key} {number} cannot follow {self.key} {last}: those between were never written to {self.path}.")
         return number == last + 1
 
+    def full(self, upto: int) -> int:
+        """The last run up to a number that has written tables, -1 without any. A run that had nothing to write is an entry only."""
+        return self._entry(upto)["full"] if upto >= 0 else -1
+
+    def _entry(self, number: int) -> dict:
+        source = self._store.open(self._path(f"{self._folder}/{number:012d}"))
+        try:
+            return json.loads(bytes(source.readAllBytes()))
+        finally:
+            source.close()
+
     def end(self, number: int, tables: list[str]) -> None:
         """Let the run count. Until here nothing of it does."""
+        full = number if tables else self.full(number - 1)
         entry = self._path(f"{self._folder}/{number:012d}")
         draft = self._path(f"{self._folder}/.{number}-{uuid.uuid4().hex}")
         out = self._store.create(draft, True)
-        out.write(bytearray(json.dumps({self.key: number, "tables": tables}).encode()))
+        out.write(bytearray(json.dumps({self.key: number, "tables": tables, "full": full}).encode()))
         out.close()
         if not self._store.rename(draft, entry):
             raise OSError(f"The entry {entry} could not be written.")
@@ -63,7 +75,7 @@ class RunLog:
         whole = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         if self.key not in whole.names:
             whole = T.StructType([*whole.fields, T.StructField(self.key, T.IntegerType())])
-        if last < 0:
+        if self.full(last) < 0:
             return self.spark.createDataFrame([], whole)
         return self.spark.read.schema(whole).parquet(f"{self.path}/{table}").where(F.col(self.key) <= last)
 
@@ -72,8 +84,9 @@ def read_runs(spark: SparkSession, path: str, table: str, key: str = "flush_id",
     """A table as all runs that count have left it."""
     log = RunLog(spark, path, key)
     last = log.last()
-    if last < 0:
+    full = log.full(last)
+    if full < 0:
         raise ValueError(f"No {key} has been written to {path}.")
-    schema = spark.read.format(kind).load(log.folder(table, last)).schema
+    schema = spark.read.format(kind).load(log.folder(table, full)).schema
     whole = T.StructType([*schema.fields, T.StructField(key, T.IntegerType())])
     return spark.read.format(kind).schema(whole).load(f"{path}/{table}").where(F.col(key) <= last)

@@ -1,5 +1,6 @@
 """Runs of several tables that are cut short, repeated or missing; buffers by count and by time."""
 
+import shutil
 import time
 
 import pytest
@@ -66,20 +67,26 @@ def test_a_flush_cut_short_anywhere(spark, tmp_path, monkeypatch):
     for n, (low, high) in enumerate(((0, 20), (20, 50))):
         write_flush(records(spark, low, high), n, OPTIONS, ["id"], want)
     expected = contents(spark, want)
-    for step in range(len(TABLES)):
-        out = str(tmp_path / f"out{step}")
-        write_flush(records(spark, 0, 20), 0, OPTIONS, ["id"], out)
+    first = str(tmp_path / "first")
+    write_flush(records(spark, 0, 20), 0, OPTIONS, ["id"], first)
+    for step in (0, 2, 4, len(TABLES) - 1):
+        out = shutil.copytree(first, str(tmp_path / f"out{step}"))
         with monkeypatch.context() as patch, pytest.raises(Lost):
             fail_at(patch, flush, step)
             write_flush(records(spark, 20, 50), 1, OPTIONS, ["id"], out)
-        assert contents(spark, out).keys() == expected.keys() and len(contents(spark, out)["grid_records"]) == 20
+        assert read_runs(spark, out, "grid_records").count() == 20
         write_flush(records(spark, 20, 50), 1, OPTIONS, ["id"], out)
         assert contents(spark, out) == expected
     write_flush(records(spark, 20, 50), 1, OPTIONS, ["id"], out)  # done already
-    assert contents(spark, out) == expected
+    write_flush(records(spark, 0, 0), 2, OPTIONS, ["id"], out)  # nothing to write
+    write_flush(records(spark, 0, 0), 3, OPTIONS, ["id"], out)
+    assert contents(spark, out) == expected and RunLog(spark, out, "flush_id").full(3) == 1
+    write_flush(records(spark, 50, 60), 4, OPTIONS, ["id"], out)
+    later = read_runs(spark, out, "grid_records")
+    assert not later.where("id >= 50 AND is_first").count() and later.select("sheet_name", "first_row").distinct().count() == 60
     with pytest.raises(MissingRun):
-        write_flush(records(spark, 50, 60), 3, OPTIONS, ["id"], out)
-    assert contents(spark, out) == expected
+        write_flush(records(spark, 60, 70), 6, OPTIONS, ["id"], out)
+    assert read_runs(spark, out, "grid_records").count() == 60
 
 
 def test_a_first_run_cut_short(spark, tmp_path, monkeypatch):
@@ -125,6 +132,8 @@ def wait_for(query, done, seconds=90):
             assert time.time() < end, "the records did not come"
             time.sleep(0.5)
     finally:
+        while query.isActive and query.status["isTriggerActive"]:
+            time.sleep(0.05)
         query.stop()
 
 
@@ -137,7 +146,8 @@ def test_both_triggers_and_a_restart(spark, tmp_path):
         return flush_sheets(stream, OPTIONS, ["id"], out, checkpoint, interval_seconds=seconds, max_records=7, lane=F.lit(0))
 
     def written():
-        return read_runs(spark, out, "grid_records").count() if RunLog(spark, out, "flush_id").last() >= 0 else 0
+        log = RunLog(spark, out, "flush_id")
+        return read_runs(spark, out, "grid_records").count() if log.full(log.last()) >= 0 else 0
 
     # 34, 33 and 33 records of three sheets: full buffers come at once, the rest would wait for an hour
     wait_for(start(3600), lambda: written() == 28 + 28 + 28)
@@ -160,7 +170,7 @@ def test_a_record_waits_no_longer(spark, tmp_path):
     stream = spark.readStream.schema(records(spark, 0, 1).schema).parquet(source)
     query = flush_sheets(stream, OPTIONS, ["id"], out, str(tmp_path / "cp"), interval_seconds=2, max_records=1000)
     log = RunLog(spark, out, "flush_id")
-    wait_for(query, lambda: log.last() >= 0 and read_runs(spark, out, "grid_records").count() == 10)
+    wait_for(query, lambda: log.full(log.last()) >= 0 and read_runs(spark, out, "grid_records").count() == 10)
     assert {r["reason"] for r in read_runs(spark, out, "grid_flushes").collect()} == {"time"}
     assert sorted(r["id"] for r in read_runs(spark, out, "grid_records").collect()) == list(range(10))
 

@@ -1,8 +1,8 @@
 """Queries over the driver's tables, each with its SQL counterpart."""
 
-from workload import file_queries, function_queries, grid_queries, round_trip_queries, sink_queries
+from workload import file_queries, folder_queries, function_queries, grid_queries, round_trip_queries, sink_queries
 
-_PARTS = (file_queries, function_queries, grid_queries, sink_queries, round_trip_queries)
+_PARTS = (file_queries, folder_queries, function_queries, grid_queries, sink_queries, round_trip_queries)
 
 
 def queries() -> dict:

@@ -13,7 +13,8 @@ from foldergrid.sinks.files import write_files
 from foldergrid.sinks.sheets import Layout, place, update_documents, write_sheets
 from foldergrid.sources.folder import list_folder, read_parts
 from foldergrid.streaming.flush import flush_sheets
-from foldergrid.streaming.ingest import ingest_new_files
+from foldergrid.streaming.ingest import ingest_new_files, read_ingested
+from foldergrid.streaming.runs import read_runs
 from workload.sink_queries import _ROUTED, _SKIPPED, SHEET_ROW_OFFSETS, WRITTEN_CELLS, _parts
 from workload.tables import table
 
@@ -76,7 +77,7 @@ def ingested_runs(spark, sf_dir) -> DataFrame:
         ), folder)
         for _ in range(2):
             ingest_new_files(spark, folder, out, options)
-    return spark.read.parquet(f"{out}/records").select("name", F.md5("body").alias("body_md5"), F.col("run").cast("int").alias("run"))
+    return read_ingested(spark, out).select("name", F.md5("body").alias("body_md5"), F.col("run").cast("int").alias("run"))
 
 
 INGESTED_RUNS = """
@@ -96,7 +97,7 @@ def flushed_twice(spark, sf_dir) -> DataFrame:
         query.awaitTermination()
         if query.exception() is not None:
             raise query.exception()
-    return spark.read.parquet(f"{out}/grid_records").select("p_partkey", "sheet_name", "n_rows", "first_row", "is_first")
+    return read_runs(spark, out, "grid_records").select("p_partkey", "sheet_name", "n_rows", "first_row", "is_first")
 
 
 FLUSHED_TWICE = f"SELECT p_partkey, sheet_name, n_rows, first_row, is_first FROM ({SHEET_ROW_OFFSETS})"

@@ -23,6 +23,7 @@ from foldergrid.plans.sheet_source import read_sheets
 from foldergrid.session import cut_lineage, shared_folder
 from foldergrid.sinks.sheets import Layout, all_cells, all_merges, place, update_documents
 from foldergrid.streaming.flush import flush_sheets
+from foldergrid.streaming.runs import read_runs
 from workload.tables import spread, table
 
 
@@ -430,7 +431,7 @@ def flushed_offsets(spark, sf_dir) -> DataFrame:
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return spark.read.parquet(f"{out}/grid_records").select(
+    return read_runs(spark, out, "grid_records").select(
         "p_partkey", "sheet_name", "n_rows", "first_row", "is_first", "batch_no"
     )
 
