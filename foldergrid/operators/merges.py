@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldergrid.model import CELL_VALUES, ROW_KEY, SHEET_KEY, SheetSourceOptions
-from foldergrid.operators.lookup import MAX_BROADCAST_ROWS, fits_broadcast
+from foldergrid.operators.lookup import fits_broadcast
 from foldergrid.session import shuffle_width
 
-CHUNK_ROWS = 10_000
+BUCKET_ROWS = 1024  # rows of a block
 CELL_KEY = [*ROW_KEY, "col_idx"]
 
 
@@ -28,21 +31,28 @@ def clip_merges(merges: DataFrame, options: SheetSourceOptions, header_rows: int
     return clipped.where((F.col("start_row") < F.col("end_row")) & (F.col("start_col") < F.col("end_col")))
 
 
-def covered_cells(merges: DataFrame) -> int:
-    """How many cells the ranges cover, computed without expanding them."""
-    area = (F.col("end_row") - F.col("start_row")) * (F.col("end_col") - F.col("start_col"))
-    return merges.agg(F.sum(area)).first()[0] or 0
+def bucket_of(row: Column) -> Column:
+    """The block of rows that a row is in."""
+    return F.floor(row / F.lit(BUCKET_ROWS)).cast("bigint")
 
 
-def merge_fills(cells: DataFrame, merges: DataFrame, spread: bool = True) -> DataFrame:
-    """One cell per covered position, carrying the head's values.
-
-    The head is found before the range is expanded: the equi join is between heads and
-    ranges, whose keys are unique, so a range over a third of all rows is no hot key. Ranges
-    of a measured size are broadcast, and then the cells are only filtered; more of them
-    meet the cells in a shuffle. Ranges are expanded in chunks of rows that are dealt out
-    first. Ranges with an empty head leave their cells as they are. Output size is the
-    number of covered cells.
+def bucketed(ranges: DataFrame) -> DataFrame:
+    """A row for each block of rows that a range touches: `_bucket`, and the rows of the range in it from
+    `start_row` to `end_row`. Blocks are numbered in two steps, so no array is long."""
+    blocks = ranges.withColumns({"_first": bucket_of(F.col("start_row")), "_last": bucket_of(F.col("end_row") - 1)})
+    step = F.lit(BUCKET_ROWS).cast("bigint")
+    blocks = blocks.withColumn("_from", F.explode_outer(F.sequence(F.col("_first"), F.col("_last"), step)))
+    blocks = blocks.withColumn("_bucket", F.explode_outer(F.sequence(F.col("_from"), F.least(F.col("_last"), F.col("_from") + step - 1))))
+    low, high = F.col("_bucket") * BUCKET_ROWS, (F.col("_bucket") + 1) * BUCKET_ROWS
+    return blocks.withColumns({"start_row": F.greatest("start_row", low), "end_row": F.least("end_row", high)}).drop("_first", "_last", "_from")
+
+
+def _headed(cells: DataFrame, merges: DataFrame) -> DataFrame:
+    """Ranges with the values of their head; those with an empty head are left out.
+
+    The equi join is between heads and ranges, whose keys are unique, so a range over a third
+    of all rows is no hot key. Ranges of a measured size are broadcast, and then the cells are
+    only filtered; more of them meet the cells in a shuffle.
     """
     if "head_row" not in merges.columns:
         merges = merges.withColumn("head_row", F.col("start_row")).withColumn("head_col", F.col("start_col"))
@@ -51,29 +61,53 @@ def merge_fills(cells: DataFrame, merges: DataFrame, spread: bool = True) -> Dat
         *SHEET_KEY, F.col("row_idx").alias("head_row"), F.col("col_idx").alias("head_col"), *CELL_VALUES
     )
     merges = merges.where((F.col("start_row") < F.col("end_row")) & (F.col("start_col") < F.col("end_col")))
-    ranges = heads.join(F.broadcast(merges) if fits_broadcast(merges) else merges, keys, "inner")
-    step = F.lit(CHUNK_ROWS).cast("bigint")
-    chunks = ranges.withColumn("_from", F.explode_outer(F.sequence(F.col("start_row"), F.col("end_row") - 1, step)))
-    if spread:
-        chunks = chunks.repartition(shuffle_width(cells.sparkSession), *keys, "_from")
-    rows = chunks.withColumn(
-        "row_idx", F.explode_outer(F.sequence(F.col("_from"), F.least(F.col("_from") + step, F.col("end_row")) - 1))
-    )
-    return rows.select(
-        *ROW_KEY, F.explode_outer(F.sequence(F.col("start_col"), F.col("end_col") - 1)).alias("col_idx"), *CELL_VALUES
+    return heads.join(F.broadcast(merges) if fits_broadcast(merges) else merges, keys, "inner")
+
+
+def fill_blocks(cells: DataFrame, merges: DataFrame) -> DataFrame:
+    """Merge fills as blocks: one row per range and block of rows it touches, with the head's values, the
+    first row and column, and how many rows and columns from there. As many rows as ranges and
+    blocks, not as covered cells; `expanded` makes cells of them where they are needed."""
+    blocks = bucketed(_headed(cells, merges))
+    return blocks.select(
+        *SHEET_KEY, "_bucket", F.col("start_row").alias("row_idx"), (F.col("end_row") - F.col("start_row")).alias("n_rows"),
+        F.col("start_col").alias("col_idx"), (F.col("end_col") - F.col("start_col")).alias("n_cols"), *CELL_VALUES,
     )
 
 
+def expanded(blocks: DataFrame) -> DataFrame:
+    """A row for every covered cell; rows of one cell (n_rows and n_cols 1) stay as they are."""
+    others = [c for c in blocks.columns if c not in ("row_idx", "n_rows", "col_idx", "n_cols")]
+    along = lambda first, n: F.explode_outer(F.when(F.col(n) > 1, F.sequence(F.col(first), F.col(first) + F.col(n) - 1)).otherwise(F.array(first)))
+    rows = blocks.select(*others, "col_idx", "n_cols", along("row_idx", "n_rows").alias("row_idx"))
+    return rows.select(*others, "row_idx", along("col_idx", "n_cols").alias("col_idx"))
+
+
+def merge_fills(cells: DataFrame, merges: DataFrame, spread: bool = True) -> DataFrame:
+    """One cell per covered position, carrying the head's values. Blocks are dealt out before they
+    are expanded. Output size is the number of covered cells."""
+    blocks = fill_blocks(cells, merges)
+    if spread:
+        blocks = blocks.repartition(shuffle_width(cells.sparkSession), *SHEET_KEY, "_bucket", "col_idx")
+    return expanded(blocks).select(*CELL_KEY, *CELL_VALUES)
+
+
 def fill_merged_cells(cells: DataFrame, merges: DataFrame, spread: bool = True) -> DataFrame:
     """The cells table with merged ranges filled: covered cells are replaced, others kept.
 
-    Few covered positions are broadcast to drop what they replace; many are matched by a
-    shuffle on the full cell key, which has no hot values.
+    A cell meets the ranges of its block of rows only, and is dropped where one of them covers
+    it; neither what is dropped nor what is filled in is shuffled cell by cell.
     """
-    fills = merge_fills(cells, merges, spread)
     columns = [*CELL_KEY, *CELL_VALUES]
-    covered = fills.select(*CELL_KEY)
-    if covered_cells(merges) <= MAX_BROADCAST_ROWS:
-        covered = F.broadcast(covered)
-    untouched = cells.select(*columns).join(covered, CELL_KEY, "left_anti")
-    return untouched.unionByName(fills.select(*columns))
+    headed = _headed(cells, merges).select(*SHEET_KEY, "start_row", "end_row", "start_col", "end_col")
+    blocks = bucketed(headed)
+    if fits_broadcast(blocks):
+        blocks = F.broadcast(blocks)
+    inside = (
+        reduce(and_, [F.col(f"c.{k}") == F.col(f"m.{k}") for k in (*SHEET_KEY, "_bucket")])
+        & (F.col("c.row_idx") >= F.col("m.start_row")) & (F.col("c.row_idx") < F.col("m.end_row"))
+        & (F.col("c.col_idx") >= F.col("m.start_col")) & (F.col("c.col_idx") < F.col("m.end_col"))
+    )
+    keyed = cells.select(*columns).withColumn("_bucket", bucket_of(F.col("row_idx")))
+    untouched = keyed.alias("c").join(blocks.alias("m"), inside, "left_anti").select(*columns)
+    return untouched.unionByName(merge_fills(cells, merges, spread).select(*columns))

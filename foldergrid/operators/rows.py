@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from foldergrid.functions.cells import parse_cell
 from foldergrid.functions.serial import serial_to_date, serial_to_millis, serial_to_timestamp
-from foldergrid.model import CELL_VALUES, ROW_KEY, SheetSourceOptions
+from foldergrid.model import CELL_VALUES, ROW_KEY, SHEET_KEY, SheetSourceOptions
 from foldergrid.operators.headers import Header
+from foldergrid.operators.merges import bucket_of, expanded
 
 # Above this many columns one map per row replaces one aggregate per column: thousands of
 # aggregate expressions would not compile into one method.
@@ -53,11 +54,14 @@ def build_rows(
 
     Cells, merge fills and the row spine are unioned and meet in a single aggregation on
     the row key, so there is one shuffle, no join per input, and rows without cells still
-    come out when a spine is given. A fill outranks the cell it covers.
+    come out when a spine is given. A fill outranks the cell it covers. Fills that come as
+    blocks (`fill_blocks`) are shuffled as blocks, by the block of rows, and expanded
+    in the task that builds those rows.
     """
     values = ["non_empty", *dict.fromkeys(source for _, source in _leaves(headers))]
     parts = [cells.select(*ROW_KEY, "col_idx", *values, F.lit(0).alias("_rank"))]
-    if fills is not None:
+    blocks = fills if fills is not None and "n_rows" in fills.columns else None
+    if fills is not None and blocks is None:
         parts.append(fills.select(*ROW_KEY, "col_idx", *values, F.lit(1).alias("_rank")))
     if spine is not None:
         kinds = dict(cells.dtypes)
@@ -69,12 +73,22 @@ def build_rows(
 
     ranked = fills is not None
     leaves = _leaves(headers)
+    keys = [*ROW_KEY]
+    if blocks is not None:
+        one = F.lit(1).cast("bigint")
+        union = union.withColumns({"_bucket": bucket_of(F.col("row_idx")), "n_rows": one, "n_cols": F.lit(1)})
+        union = union.unionByName(blocks.select(*ROW_KEY, "_bucket", "n_rows", "col_idx", "n_cols", *values, F.lit(1).alias("_rank")))
+        # this shuffle serves the aggregation: a row key lies in one block
+        union = expanded(union.repartition(*SHEET_KEY, "_bucket"))
+        wanted = sorted({col for col, _ in leaves})
+        union = union.where(F.col("col_idx").isin([-1, *wanted]) | (F.col("_rank") == 0))
+        keys = [*SHEET_KEY, "_bucket", "row_idx"]
     if len(leaves) > wide_above:
         place = {col: i for i, col in enumerate(sorted({col for col, _ in leaves}))}
-        built = _wide_rows(union, values, list(place))
+        built = _wide_rows(union, values, list(place), keys)
         pick = lambda col, source: F.get("_cells", F.lit(place[col]))[source]
     else:
-        built = union.groupBy(*ROW_KEY).agg(
+        built = union.groupBy(*keys).agg(
             *[
                 _cell_aggregate(col, source, ranked).alias(f"_{col}_{source}")
                 for col, source in leaves
@@ -95,7 +109,7 @@ def _cell_aggregate(col: int, source: str, ranked: bool) -> Column:
     return F.expr(f"max(CASE WHEN col_idx = {col} THEN {value} END)")
 
 
-def _wide_rows(union: DataFrame, values: list[str], columns: list[int]) -> DataFrame:
+def _wide_rows(union: DataFrame, values: list[str], columns: list[int], keys: list[str]) -> DataFrame:
     """An array per row with the cell of each of `columns`, so that a column is read by its
     position. A row holds at most as many entries as the sheet has columns, twice that where
     fills cover cells.
@@ -115,7 +129,7 @@ def _wide_rows(union: DataFrame, values: list[str], columns: list[int]) -> DataF
         lambda e, i: F.coalesce(F.get(F.col("_list"), i + 1)["col_idx"], F.lit(-1)) != e["col_idx"],
     )
     return (
-        union.groupBy(*ROW_KEY)
+        union.groupBy(*keys)
         .agg(entries.alias("_found"), F.count(F.when(F.col("non_empty"), True)).alias("_filled"))
         .select(*ROW_KEY, "_filled", F.array_sort(F.concat("_found", blank)).alias("_list"))
         .select(*ROW_KEY, "_filled", F.transform(last, lambda e: e["cell"]).alias("_cells"))

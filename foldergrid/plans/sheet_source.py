@@ -18,7 +18,7 @@ from foldergrid.operators.headers import (
     resolve_headers,
 )
 from foldergrid.operators.lookup import lookup_join
-from foldergrid.operators.merges import clip_merges, merge_fills
+from foldergrid.operators.merges import clip_merges, fill_blocks
 from foldergrid.operators.rows import build_rows, rows_from_arrays
 from foldergrid.operators.selection import data_cells, row_spine, select_sheets
 from foldergrid.operators.sheetmeta import metadata_problems, section_problems, sheet_metadata
@@ -83,9 +83,7 @@ def read_sheets(
         clipped = clip_merges(merges, options, header_rows, columns)
         if options.sheets_to_pull != "all":
             clipped = clipped.join(wanted.select(*SHEET_KEY), SHEET_KEY, "left_semi")
-        fills = merge_fills(source, clipped)
-        if len(columns) != (max(columns) - min(columns) + 1 if columns else 0):
-            fills = fills.where(F.col("col_idx").isin(columns))
+        fills = fill_blocks(source, clipped)
     spine = None if options.skip_empty else row_spine(wanted, options, header_rows)
     rows = build_rows(data, headers, options, spine, fills)
     rows = add_sheet_fields(rows, wanted, cells, options)

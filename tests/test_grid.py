@@ -10,7 +10,7 @@ from foldergrid.operators.headers import (
     schema_mismatches,
 )
 from foldergrid.operators.lookup import fits_broadcast, lookup_join
-from foldergrid.operators.merges import clip_merges, fill_merged_cells
+from foldergrid.operators.merges import BUCKET_ROWS, bucketed, clip_merges, fill_blocks, fill_merged_cells
 from foldergrid.operators.rows import build_rows, rows_from_arrays
 from foldergrid.operators.selection import missing_sheets, read_chunks, row_spine, sample_rows, select_sheets
 from foldergrid.operators.sheetmeta import address_pairs, address_table, metadata_problems, pair_problems, sheet_metadata
@@ -181,6 +181,27 @@ def test_tall_merge_is_expanded_in_chunks(spark):
     assert got.agg(F.count("*"), F.countDistinct("row_idx"), F.max("row_idx")).first()[:] == (25_001, 25_001, 25_000)
 
 
+def test_a_merge_over_a_whole_column_is_shuffled_in_blocks(spark):
+    rows, head = 3_000_000, text(0, 0, "A")
+    merges = merges_df(spark, (0, rows, 0, 1))
+    cells = cells_df(spark, [head, text(5, 1, "x"), text(rows - 1, 1, "y")])
+    assert fill_blocks(cells, merges).count() == -(-rows // BUCKET_ROWS)
+    headers = [Header(0, "a", "string"), Header(1, "b", "string")]
+    built = build_rows(cells, headers, SheetSourceOptions(skip_empty=True), fills=fill_blocks(cells, merges))
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "_bucket" in plan
+    assert built.agg(F.count("a"), F.count("b"), F.max("row_idx")).first()[:] == (rows, 2, rows - 1)
+    # nothing but the block's own ranges is looked at for a cell
+    kept = fill_merged_cells(cells, merges)
+    assert kept.count() == rows + 2
+
+
+def test_blocks_cover_what_ranges_cover(spark):
+    ranges = merges_df(spark, (0, 1, 0, 1), (1023, 1025, 0, 2), (5000, 5_000_000, 3, 4), (1024, 2048, 7, 9))
+    got = bucketed(ranges).groupBy("start_col").agg(F.min("start_row"), F.max("end_row"), F.sum(F.col("end_row") - F.col("start_row")), F.count("*")).collect()
+    assert {tuple(r) for r in got} == {(0, 0, 1025, 3, 3), (3, 5000, 5_000_000, 4_995_000, 4879), (7, 1024, 2048, 1024, 1)}
+
+
 def test_fill_from_a_head_above_the_data(spark):
     # the head stands in the title row; only data rows are filled, and fills outrank cells
     cells = cells_df(spark, [text(0, 0, "a"), text(0, 1, "b"), text(1, 1, "old"), text(2, 1, "y")])
