@@ -107,7 +107,8 @@ def with_renditions(files: DataFrame, renditions: DataFrame, formats: dict[str,
     keys = wanted.where(F.col("export_mime").isNotNull()).select("id", "export_mime").distinct()
     if fits_broadcast(keys):
         offered = offered.join(F.broadcast(keys), ["id", "export_mime"], "left_semi")
-    joined = wanted.join(offered, ["id", "export_mime"], "left")
+    # contents are never broadcast, however few files are asked for
+    joined = wanted.join(offered.hint("merge"), ["id", "export_mime"], "left")
     return joined.select(
         *[
             F.coalesce("export_mime", "mimeType").alias("mimeType")

@@ -109,13 +109,15 @@ def spans_ranges(df: DataFrame, column: str, bounds: list[str]) -> Column:
 
 
 def running_totals(
-    df: DataFrame, totals: list[Running], order_by: list[str], n_ranges: int | None = None
+    df: DataFrame, totals: list[Running], order_by: list[str], n_ranges: int | None = None, range_by: list[str] | None = None
 ) -> DataFrame:
     """`df` with one exclusive running total per entry of `totals`.
 
     The groups must be nested, the columns of a coarser one leading those of a finer, and
     `order_by` must be unique within the coarsest group, otherwise ties are in no order. One
-    shuffle of the rows, on (range, coarsest group), serves every total.
+    shuffle of the rows, on (range, coarsest group), serves every total. `range_by` names the leading
+    columns of the order that ranges are cut by, where the others are too long to be sampled: sampled
+    keys reach the driver and are literals of the plan.
 
     `df` is read three times: for the sample, for the totals and for the rows. If it is costly,
     or does not give the same rows each time, cut its lineage first.
@@ -126,7 +128,10 @@ def running_totals(
     for coarse, fine in zip(totals, totals[1:]):
         if fine.group[: len(coarse.group)] != coarse.group:
             raise ValueError("The groups of the running totals must be nested, the coarser leading.")
-    keys = [*totals[0].group, *[c for c in order_by if c not in totals[0].group]]
+    range_by = order_by if range_by is None else range_by
+    if list(range_by) != list(order_by[: len(range_by)]):
+        raise ValueError("Ranges are cut by the leading columns of the order.")
+    keys = [*totals[0].group, *[c for c in range_by if c not in totals[0].group]]
     bounds = range_bounds(df, keys, n_ranges)
     ranged = with_range(df, keys, bounds).withColumns(
         {

@@ -28,15 +28,18 @@ def lookup_join(
     how: str = "left",
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
+    written: bool = True,
 ) -> DataFrame:
     """`big` joined to `small` (one row per key, `how` left, inner or left_semi).
 
-    The lookup table is computed once, written, and measured there. A small one is broadcast.
+    The lookup table is computed once, written, and measured there; one that is cheap to compute twice, like the
+    columns of a table, need not be `written`. A small one is broadcast.
     Beyond the bound the keys are salted: each lookup row is repeated per salt and the rows of
     one key spread over the salts by `spread_by`, as many as the shuffle has partitions, so
     that a key holding a third of `big` is no single task.
     """
-    small = cut_lineage(small)
+    if written:
+        small = cut_lineage(small)
     if fits_broadcast(small, max_rows, max_bytes):
         return big.join(F.broadcast(small), on, how)
     salts = shuffle_width(big.sparkSession)

@@ -76,7 +76,7 @@ def read_sheets(
     wanted = select_sheets(sheets, options)
     source = cells
     if options.sheets_to_pull != "all":
-        source = lookup_join(cells, wanted.select(*SHEET_KEY), SHEET_KEY, ["row_idx"], "left_semi")
+        source = lookup_join(cells, wanted.select(*SHEET_KEY), SHEET_KEY, ["row_idx"], "left_semi", written=False)
     data = data_cells(source, options, header_rows, columns)
     fills = None
     if merges is not None:
@@ -145,7 +145,8 @@ def add_sheet_fields(rows: DataFrame, sheets: DataFrame, cells: DataFrame, optio
         info = info.join(found, SHEET_KEY, "left").withColumn(
             options.metadata_field, F.coalesce("_metadata", empty)
         ).drop("_metadata")
-    return lookup_join(rows, info, SHEET_KEY, ["row_idx"])
+    # names are columns of the listing; metadata is an aggregation over cells
+    return lookup_join(rows, info, SHEET_KEY, ["row_idx"], written=options.extract_metadata)
 
 
 def _no_merges(cells: DataFrame) -> DataFrame:

@@ -52,6 +52,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         if master != "local" and not master.startswith("local["):
             raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
         folder = tempfile.mkdtemp(prefix="foldergrid-")
+        spark.conf.set("spark.checkpoint.dir", folder)  # one folder a session
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

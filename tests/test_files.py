@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foldergrid.model import FOLDER_MIME, NATIVE_MIMES, FileSourceOptions
-from foldergrid.operators.bodies import cut_bodies, plan_parts, read_bodies
+from foldergrid.operators.bodies import cut_bodies, plan_parts, read_bodies, with_renditions
 from foldergrid.operators.catalogue import select_files
 from foldergrid.operators.metadata import project_metadata
 from foldergrid.plans.file_source import read_files
@@ -137,6 +137,26 @@ def test_renditions(spark):
         read_bodies(files, 0, renditions, {"documents": "application/pdf"}).collect()
 
 
+def test_contents_are_not_broadcast(spark):
+    files = spark.createDataFrame([("d", NATIVE_MIMES["documents"], None, ["f"])], "id string, mimeType string, size bigint, parents array<string>")
+    renditions = spark.createDataFrame([("d", "text/plain", b"text")], "id string, export_mime string, content binary")
+    plan = with_renditions(files, renditions)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+    for line in plan.splitlines():
+        assert "BroadcastExchange" not in line or "content" not in line
+
+
+def test_files_without_a_type_are_binary(spark):
+    files = spark.createDataFrame(
+        [("a", None, 3, ["f"], b"abc"), ("b", "text/plain", 2, ["f"], b"de"), ("d", NATIVE_MIMES["documents"], None, ["f"], None)],
+        "id string, mimeType string, size bigint, parents array<string>, body binary")
+    renditions = spark.createDataFrame([("d", "text/plain", b"text")], "id string, export_mime string, content binary")
+    read = lambda **o: sorted((r["id"], r["offset"], bytes(r["body"])) for r in read_files(files, FileSourceOptions(properties=("id",), max_part_bytes=2, **o), renditions).select("id", "offset", "body").collect())
+    assert read(folder="f") == [("a", 0, b"ab"), ("a", 2, b"c"), ("b", 0, b"de"), ("d", 0, b"text")]
+    assert read(folder="f", file_types=("binary",)) == [("a", 0, b"ab"), ("a", 2, b"c"), ("b", 0, b"de")]
+    assert read(file_id="a") == [("a", 0, b"ab"), ("a", 2, b"c")]
+
+
 def test_file_sink_rows(spark):
     df = spark.createDataFrame([(b"abc", None, None), (None, None, None), (b"abc", "testName", "text/plane")],
                                "body binary, name string, mimeType string")
