@@ -24,7 +24,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldergrid.llm.common import chunks, small_batches, texts_of
+from foldergrid.llm.common import chunks, free_name, small_batches, texts_of
 
 # classes of codepoints
 OTHER, LETTER, NUMBER, SPACE, QUOTE = range(5)
@@ -349,10 +349,11 @@ def encode_and_decode(docs: DataFrame, text: str, path: str) -> DataFrame:
     """`docs` with `ids`, `offsets` and `decoded`: the round trip of every whole text.
     Columns of these names are replaced."""
     tokenizer = Tokenizer(docs.sparkSession, path)
-    kept = docs.drop("ids", "offsets", "decoded", "_encoded") if text not in ("ids", "offsets", "decoded") else docs
+    kept = docs.drop("ids", "offsets", "decoded") if text not in ("ids", "offsets", "decoded") else docs
+    encoded = free_name(kept, "encoded")
     return (
-        kept.withColumn("_encoded", tokenizer.encode(F.col(text)))
-        .withColumns({"ids": F.col("_encoded.ids"), "offsets": F.col("_encoded.offsets")}).drop("_encoded")
+        kept.withColumn(encoded, tokenizer.encode(F.col(f"`{text}`")))
+        .withColumns({"ids": F.col(f"{encoded}.ids"), "offsets": F.col(f"{encoded}.offsets")}).drop(encoded)
         .withColumn("decoded", tokenizer.decode(F.col("ids")))
     )
 

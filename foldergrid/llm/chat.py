@@ -9,12 +9,14 @@ A rendering is one row. A dialogue of more than `part_chars` characters is sever
 part starts with the turn at which the turns so far (text and a fixed allowance) pass the
 next multiple of it, at the same turns for every speaker, and spans count from the start of
 their part. So no row and no group is larger than a part and one turn, whatever the length
-of a conversation. The running length that places the turns spans tasks (`running_totals`).
+of a conversation. The running length that places the turns spans tasks (`running_totals`); ranges are
+cut by turn and speaker, so no text reaches the driver.
 
 Edge cases: a null text is empty. A turn without a speaker is a nameless user's, and its
 speaker is no participant; neither is the system, so a conversation without any other speaker
 has no rendering. Turns without a conversation id form one conversation. Turns come in the
-order of their number (null first), speaker and text; repeated rows are repeated turns.
+order of their number (null first), speaker and text; repeated rows are repeated turns. Other columns are
+not read and may have any names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ def rotate(
         F.col(conversation).alias("_c"), F.col(turn).alias("_t"), F.col(speaker).alias("_s"), F.coalesce(text, F.lit("")).alias("_x")
     ).withColumn("_size", F.length("_x") + F.lit(TURN_ALLOWANCE))
     order = ["_t", "_s", "_x"]
-    placed = running_totals(said, [Running("_before", ("_c",), "_size")], order_by=order).withColumn(
+    placed = running_totals(said, [Running("_before", ("_c",), "_size")], order, range_by=order[:2]).withColumn(
         "part", F.floor(F.col("_before") / F.lit(part_chars)).cast("int")
     )
     people = said.where(F.col("_s").isNotNull() & (F.col("_s") != SYSTEM)).select(

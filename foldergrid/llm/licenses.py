@@ -1,6 +1,6 @@
 """License scan: TF-IDF cosine to templates, and inheritance from the nearest directory.
 
-Headers: every run of as many words as a template has is a candidate; its sparse TF-IDF
+A header line with an SPDX identifier says what the licence is. Headers: every run of as many words as a template has is a candidate; its sparse TF-IDF
 vector is compared to the template's. Words that tell licences of a family apart and version
 numbers weigh little in a cosine, so they must be the same. Only runs around words that a template cannot do
 without are looked at: the other words together cannot reach the threshold (Cauchy-Schwarz).
@@ -12,12 +12,14 @@ without a header of their own take their directory's.
 
 Edge cases: null and empty texts match nothing and still inherit. A file without a path is in
 no directory. Several licence files in one directory: the highest score, then the smallest
-name of a licence. Repeated rows give repeated rows; paths may repeat.
+name of a licence. Repeated rows give repeated rows; paths may repeat. An empty table gives an empty result. Other columns
+are kept whatever their names, but for those of the result, which are replaced. Very long texts are read whole.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 
 import pyarrow as pa
@@ -25,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldergrid.llm.common import small_batches, texts_of
+from foldergrid.session import cut_lineage
 
 # fixed values: SPDX identifiers and the notices that stand for them, versions and members of a family side by side; of
 # full texts the openings or the sections that tell them apart
@@ -77,6 +80,10 @@ FUNCTION_WORDS = frozenset(
 )
 LICENSE_NAMES = ("license", "licence", "copying", "notice", "unlicense")
 THRESHOLD = 0.85
+# a line of the kind `SPDX-License-Identifier: MIT`: identifiers, joined by operators, maybe in parentheses
+TAG = "SPDX-License-Identifier:"
+_NAME = r"\(?[A-Za-z0-9][A-Za-z0-9.+-]*\)?"
+_EXPRESSION = re.compile(rf"[ \t]*({_NAME}(?:[ \t]+(?:AND|OR|WITH)[ \t]+{_NAME})*)")
 _BLANK = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 
@@ -84,6 +91,19 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().translate(_BLANK).split()
 
 
+def tag_of(text: str | None) -> tuple[str, float, int, int] | None:
+    """The licence that a header line names by its identifier, as `best` gives it. The first such line
+    counts, and the expression as it stands there (MIT OR Apache-2.0)."""
+    at = (text or "").find(TAG)
+    if at < 0:
+        return None
+    found = _EXPRESSION.match(text, at + len(TAG))
+    if found is None:
+        return None
+    first = len(words_of(text[:at]))
+    return " ".join(found[1].split()), 1.0, first, first + len(words_of(text[at : found.end(1)]))
+
+
 def marks_of(words: list[bytes]) -> set[bytes]:
     """The distinguishing words of a run, and its version numbers without zeros after the point."""
     marks = set(MARKS.intersection(words))
@@ -143,6 +163,9 @@ class Matcher:
     def best(self, text: str | None, whole: bool = False) -> tuple[str, float, int, int] | None:
         """(license, score, first word, end) of the best match at or above the threshold; of
         equal scores the longer template, then the earlier place."""
+        tagged = tag_of(text)
+        if tagged is not None:
+            return tagged
         words, found = words_of(text), None
         hits = [i for i, w in enumerate(words) if w in self.anchors] if not self.anchors.isdisjoint(words) else []
         if not hits:
@@ -205,10 +228,13 @@ def scan(
     small_batches(files.sparkSession)
     matcher = Matcher(templates or TEMPLATES, threshold)
     names = [c for c in files.columns if c not in (text, "own_license", "own_score", "license", "license_from")]
-    judged = files.select(
-        *[F.col(f"`{c}`") for c in names], F.col(path).alias("_path"),
-        match(F.col(text), is_license_file(F.col(path)), matcher).alias("_m"),
-    ).withColumn("_dir", directory_of(F.col("_path")))
+    own_path = F.col(f"`{path}`")
+    # the input's own columns travel in one struct, so none of their names matters; texts are read once
+    judged = cut_lineage(files.select(
+        F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]).alias("_file"),
+        own_path.alias("_path"), directory_of(own_path).alias("_dir"),
+        match(F.col(f"`{text}`"), is_license_file(own_path), matcher).alias("_m"),
+    ))
     given = (
         judged.where(is_license_file(F.col("_path")) & F.col("_m").isNotNull())
         .groupBy("_dir").agg(F.min(F.struct((-F.col("_m.score")).alias("s"), F.col("_m.license").alias("license"))).alias("_best"))
@@ -225,7 +251,7 @@ def scan(
         .select("_of", F.col("_near._from").alias("_from"), F.col("_near._inherited").alias("_inherited"))
     )
     return judged.join(nearest, F.col("_dir") == F.col("_of"), "left").select(
-        *[F.col(f"`{c}`") for c in names],
+        *[F.col(f"_file.c{i}").alias(c) for i, c in enumerate(names)],
         F.col("_m.license").alias("own_license"), F.col("_m.score").alias("own_score"),
         F.coalesce("_m.license", "_inherited").alias("license"),
         F.when(F.col("_m").isNull(), F.col("_from")).alias("license_from"),

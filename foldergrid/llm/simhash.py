@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldergrid.llm.common import small_batches, texts_of
+from foldergrid.llm.common import free_name, small_batches, texts_of
 from foldergrid.llm.components import connected_components
 from foldergrid.session import cut_lineage
 
@@ -223,10 +223,11 @@ def keep_one(
     last, of equal ids the first one read). The rows are written with a number of their own, so
     that numbers mean the same rows in every later job."""
     small_batches(docs.sparkSession)
+    number, print_ = free_name(docs, "row_number"), free_name(docs, "fingerprint")
     numbered = cut_lineage(docs.withColumns({
-        "_row_number": F.monotonically_increasing_id(), "_fingerprint": fingerprint_column(F.col(text), shingle),
+        number: F.monotonically_increasing_id(), print_: fingerprint_column(F.col(f"`{text}`"), shingle),
     }))
-    rows = numbered.select("_row_number", F.col(id_column).alias("_id"), F.col("_fingerprint").alias("fingerprint"))
-    order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row_number")
-    first = least_of_components(rows, order, radius).select(F.col("least._row_number").alias("_row_number")).distinct()
-    return numbered.join(first, "_row_number", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = numbered.select(F.col(number).alias("_number"), F.col(f"`{id_column}`").alias("_id"), F.col(print_).alias("fingerprint"))
+    order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_number")
+    first = least_of_components(rows, order, radius).select(F.col("least._number").alias(number)).distinct()
+    return numbered.join(first, number, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

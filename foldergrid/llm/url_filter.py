@@ -112,17 +112,18 @@ def judge_urls(pages: DataFrame, url: str, rules: DataFrame, default: str = ALLO
     """
     rules = rules.select("entry", "verdict").where("entry IS NOT NULL AND verdict IN ('allow', 'block')")
     count, chars = rules.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("entry")), F.lit(0))).first()
-    url_column = F.col(url)
-    named = pages.withColumns({"_host": host_of(url_column), "_path": path_of(url_column)})
+    url_column = F.col(f"`{url}`")
+    # the input's own columns travel in one struct, so none of their names matters
+    page = F.struct(*[F.col(f"`{c}`") for c in pages.columns])
+    named = pages.select(page.alias("_page"), host_of(url_column).alias("_host"), path_of(url_column).alias("_path"))
     if count <= MAX_ENTRIES and chars <= MAX_CHARS:
         judged = _by_trie(named, [tuple(r) for r in rules.collect()])
     else:
         judged = _by_join(named, rules)
-    return (
-        judged.drop(*[c for c in ("host", "path", "rule", "verdict") if c != url])
-        .withColumns({"host": F.col("_host"), "path": F.col("_path"), "rule": F.col("_found.entry"),
-                      "verdict": F.coalesce("_found.verdict", F.lit(default))})
-        .drop("_host", "_path", "_found")
+    return judged.select(
+        *[F.col("_page").getField(c).alias(c) for c in pages.columns if c not in ("host", "path", "rule", "verdict")],
+        F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_found.entry").alias("rule"),
+        F.coalesce("_found.verdict", F.lit(default)).alias("verdict"),
     )
 
 

@@ -6,11 +6,13 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from compare import difference  # noqa: E402
-from foldergrid.llm import chat, licenses, registry, topk, url_filter  # noqa: E402
+from foldergrid.llm import bpe, chat, licenses, registry, simhash, topk, url_filter  # noqa: E402
+from foldergrid.llm import rules as rules_  # noqa: E402
 
 
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
@@ -220,3 +222,33 @@ def test_chat(spark, part_chars):
 def test_chat_is_native(spark, sf_dir):
     plan = registry.chat_rotation(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+# ------------------------------------------------------------- names that operators use themselves
+def test_columns_may_have_any_names(spark):
+    """Columns named like those that an operator works with come back as they were."""
+    own = ["_row_number", "_fingerprint", "_host", "_found", "_path", "_encoded", "_dir", "_m", "_page", "_file", "_id", "_row", "_of", "_from", "c0"]
+    rows = [(i, f"some words of text number {i % 2}", f"a/{i}.txt", "http://x.org/a", *[100 * i + n for n in range(len(own))]) for i in range(4)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string, path string, url string, " + ", ".join(f"`{c}` int" for c in own))
+    want = {r[0]: r[4:] for r in rows}
+    rules = spark.createDataFrame([("x.org/", "block")], "entry string, verdict string")
+    results = {
+        "simhash": simhash.keep_one(frame), "licenses": licenses.scan(frame), "urls": url_filter.judge_urls(frame, "url", rules),
+        "bpe": bpe.encode_and_decode(frame, "text", registry.VOCABULARY), "rules": rules_.keep(frame.withColumns({"lang": F.lit("x"), "source": F.lit("y")})),
+    }
+    for name, result in results.items():
+        got = {r["doc_id"]: tuple(r[c] for c in own) for r in result.collect()}
+        assert all(got[i] == want[i] for i in got) and (got or name == "rules"), name
+
+
+def test_license_identifier_lines():
+    matcher = licenses.Matcher(licenses.TEMPLATES)
+    for text, name in (
+        ("# SPDX-License-Identifier: MIT\n", "MIT"), ("/* SPDX-License-Identifier: GPL-2.0-only */ int x;", "GPL-2.0-only"),
+        ("// SPDX-License-Identifier: (MIT OR Apache-2.0) AND BSD-3-Clause\ncode", "(MIT OR Apache-2.0) AND BSD-3-Clause"),
+        ("a b\nSPDX-License-Identifier:  Apache-2.0   WITH  LLVM-exception", "Apache-2.0 WITH LLVM-exception"),
+    ):
+        found = matcher.best(text)
+        assert found[0] == name and found[1] == 1.0 and licenses.words_of(text)[found[2]] == b"spdx"
+        assert licenses.words_of(text)[found[2] : found[3]][3:] == licenses.words_of(name)
+    assert matcher.best("SPDX-License-Identifier: ") is None and matcher.best("SPDX-License-Identifier") is None and matcher.best(None) is None
