@@ -9,16 +9,22 @@ counters, a block of comparisons is left as soon as all its distances exceed the
 cell gives the links of a spanning star for each of its groups, never all pairs; the links of
 all cells make the components.
 
+The more fingerprints there are, the more of the ranges a key takes together (`key_ranges`).
+
 Crowded cells are cut into parts, one task for every pair of parts, so the largest cell of a
 crowd of m grows with the square root of m only.
 
 Edge cases: null and empty texts have fingerprint zero, linked like any other. A text shorter
 than a shingle is one shingle. Rows with a null id take part; a component without any id has
-none. Repeated rows are copies of each other.
+none. Repeated rows are copies of each other. Very long texts are read whole; an empty table gives an
+empty result. Other columns may have any names: `keep_one` returns them as they are, `near_duplicates` leaves them out.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -144,16 +150,29 @@ def cell_groups(prints: np.ndarray, radius: int) -> np.ndarray:
     return group
 
 
+def key_ranges(count: int, radius: int) -> tuple[list[tuple[int, ...]], int, int]:
+    """(the ranges of bits that each key is made of, leading bits taken of a range, number of ranges).
+
+    With one range more than the radius, two linked fingerprints are equal in one of them at least; with m - 1
+    more they are equal in m. Keys are made of as many ranges as it takes to keep cells at about
+    CELL_ROWS fingerprints, so the work on a fingerprint does not grow with their number.
+    """
+    needed = int(count // CELL_ROWS).bit_length()
+    m = 1
+    while needed > m * (BITS // (radius + m)) and radius + m < BITS // 2:
+        m += 1
+    ranges = radius + m
+    return list(combinations(range(ranges), m)), min(-(-needed // m), BITS // ranges), ranges
+
+
 def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, b) fingerprints: links whose components are those of all pairs within the radius.
     `prints` has one row per distinct `fingerprint`."""
-    count = prints.count()
-    ranges = radius + 1
+    chosen, leading, ranges = key_ranges(prints.count(), radius)
     width = BITS // ranges
-    leading = min(max((count // CELL_ROWS).bit_length(), 0), width)
+    bits = lambda i: F.shiftrightunsigned("fingerprint", BITS - width * i - leading).bitwiseAND(F.lit((1 << leading) - 1))
     keys = F.array(*[
-        F.shiftrightunsigned("fingerprint", BITS - width * i - leading).bitwiseAND(F.lit((1 << leading) - 1)).cast("int")
-        for i in range(ranges)
+        reduce(lambda key, i: F.shiftleft(key, leading).bitwiseOR(bits(i)), own[1:], bits(own[0])) for own in chosen
     ])
     rows = prints.select("fingerprint", F.posexplode(keys).alias("range", "key"))
     crowds = rows.groupBy("range", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD_ROWS)

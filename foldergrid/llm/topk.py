@@ -15,7 +15,8 @@ go in blocks, and a task joins one part to one block.
 Edge cases: vectors that are null, or hold null or non-finite components, and rows without an
 id take no part. Missing components of shorter vectors are zero. A query's own id is no
 candidate; other repeated rows count as often as they occur, and of several query rows with
-one id the largest vector asks. With fewer than k candidates all are returned.
+one id the largest vector asks. With fewer than k candidates all are returned; without vectors or
+queries there are no rows. Other columns are not read and may have any names. Products of 2^63 and more raise.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from foldergrid.llm.common import bounded_sample
+from foldergrid.llm.common import bounded_sample, small_batches
 from foldergrid.session import cut_lineage
 
 PIVOTS = 48
@@ -75,6 +76,8 @@ def best_of_cell(queries, query_ids, vectors, ids, k: int) -> tuple[np.ndarray,
     ids, vectors = ids[order], vectors[order]
     top = max(int(np.abs(queries).max(initial=0)), 1) * max(int(np.abs(vectors).max(initial=0)), 1)
     exact = top * max(vectors.shape[1], 1) < _EXACT  # else whole numbers, at a lower speed
+    if top * max(vectors.shape[1], 1) >= 1 << 63:
+        raise OverflowError("Scores of these vectors do not fit a long.")
     turned = (vectors.astype(np.float64) if exact else vectors).T
     found = [], [], []
     for at in range(0, len(queries), 256):
@@ -99,12 +102,12 @@ def best_of_cell(queries, query_ids, vectors, ids, k: int) -> tuple[np.ndarray,
 class Directory:
     """The annuli of every pivot: (pivot, nearest and farthest distance, rows, parts)."""
 
-    def __init__(self, counts: list[tuple[int, int, int, float, float]]):
-        """`counts`: (pivot, step, rows, nearest, farthest), in order."""
+    def __init__(self, counts: list[tuple[int, int, int, float, float]], size: int):
+        """`counts`: (pivot, step, rows, nearest, farthest), in order; `size`: rows of an annulus, and of a part."""
         self.of_step: dict[tuple[int, int], int] = {}
         rings: list[list] = []
         for pivot, step, rows, near, far in counts:
-            if rings and rings[-1][0] == pivot and rings[-1][3] + rows <= PART_ROWS:
+            if rings and rings[-1][0] == pivot and rings[-1][3] + rows <= size:
                 rings[-1][2], rings[-1][3] = far, rings[-1][3] + rows
             else:
                 rings.append([pivot, near, far, rows])
@@ -113,7 +116,7 @@ class Directory:
         self.near = np.array([r[1] for r in rings])
         self.far = np.array([r[2] for r in rings])
         self.rows = np.array([r[3] for r in rings], np.int64)
-        self.parts = -(-self.rows // PART_ROWS)
+        self.parts = -(-self.rows // size)
 
     def bounds(self, to_pivots: np.ndarray) -> np.ndarray:
         """For every query and annulus the least distance that a vector of it can have."""
@@ -126,8 +129,8 @@ def top_k(
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the k best vectors for every row of `queries`, which
     has the same columns. The queries are not assumed to fit anywhere."""
-    spark = vectors.sparkSession
-    pick = lambda df: df.select(F.col(id_column).cast("bigint").alias("id"), quantise(F.col(vector)).alias("v")).where("id IS NOT NULL AND v IS NOT NULL")
+    spark = small_batches(vectors.sparkSession)
+    pick = lambda df: df.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), quantise(F.col(f"`{vector}`")).alias("v")).where("id IS NOT NULL AND v IS NOT NULL")
     rows, asked = pick(vectors), pick(queries).groupBy("id").agg(F.max("v").alias("v"))
     norm = F.aggregate("v", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
     width, largest = rows.agg(F.max(F.size("v")), F.max(norm)).first()
@@ -141,26 +144,24 @@ def top_k(
     anchors = spark.sparkContext.broadcast(choose_pivots(points, pivots))
     reach = 2 * float(np.sqrt(largest)) or 1.0
 
-    @F.arrow_udf("struct<pivot: int, distance: double, step: int>")
-    def keyed(column: pa.Array) -> pa.Array:
-        distances = _distances(_lifted(_matrix(column, width), largest), anchors.value)
-        nearest = distances.argmin(1)
-        own = distances[np.arange(len(distances)), nearest]
-        step = np.minimum((own * (BUCKETS / reach)).astype(np.int32), BUCKETS - 1)
-        return pa.StructArray.from_arrays([pa.array(nearest.astype(np.int32)), pa.array(own), pa.array(step)], ["pivot", "distance", "step"])
+    def keyed(place):
+        @F.arrow_udf("struct<pivot: int, distance: double, step: int>")
+        def key(column: pa.Array) -> pa.Array:
+            distances = _distances(place(_matrix(column, width)), anchors.value)
+            nearest = distances.argmin(1)
+            own = distances[np.arange(len(distances)), nearest]
+            step = np.minimum((own * (BUCKETS / reach)).astype(np.int32), BUCKETS - 1)
+            return pa.StructArray.from_arrays([pa.array(nearest.astype(np.int32)), pa.array(own), pa.array(step)], ["pivot", "distance", "step"])
 
-    index = cut_lineage(rows.withColumn("k", keyed("v")).select("id", "v", "k.*"))
-    counted = index.groupBy("pivot", "step").agg(F.count(F.lit(1)).alias("n"), F.min("distance").alias("near"), F.max("distance").alias("far"))
-    directory = Directory([tuple(r) for r in counted.orderBy("pivot", "step").collect()])  # PIVOTS * BUCKETS rows at most
-    ring_of = spark.createDataFrame(
-        [(p, s, r, int(directory.parts[r])) for (p, s), r in directory.of_step.items()], "pivot int, step int, ring int, parts int"
-    )
-    placed = index.join(F.broadcast(ring_of), ["pivot", "step"]).select(
-        "id", "v", "ring", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part")
-    )
+        return key("v")
+
+    index = cut_lineage(rows.withColumn("k", keyed(lambda v: _lifted(v, largest))).select("id", "v", "k.*"))
+    directory, placed = _ringed(index, PART_ROWS)
     shared = spark.sparkContext.broadcast(directory)
-    blocks = -(-n_queries // BLOCK_QUERIES)
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    # queries of a block lie near the same pivot at a like distance, so together they ask for few annuli
+    places = cut_lineage(asked.withColumn("k", keyed(_query)).select("id", "v", "k.*"))
+    _, blocked = _ringed(places, BLOCK_QUERIES)
+    asked = blocked.select("id", "v", F.struct("ring", "part").alias("block"))
 
     @F.arrow_udf("array<int>")
     def first_rings(column: pa.Array) -> pa.Array:
@@ -190,6 +191,19 @@ def top_k(
     return every.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def _ringed(index: DataFrame, size: int) -> tuple[Directory, DataFrame]:
+    """The directory of an index (id, v, pivot, distance, step) and its rows with their annulus and part.
+    What is collected and broadcast is a row per pivot and distance step, PIVOTS * BUCKETS at most."""
+    counted = index.groupBy("pivot", "step").agg(F.count(F.lit(1)).alias("n"), F.min("distance").alias("near"), F.max("distance").alias("far"))
+    directory = Directory([tuple(r) for r in counted.orderBy("pivot", "step").collect()], size)
+    ring_of = index.sparkSession.createDataFrame(
+        [(p, s, r, int(directory.parts[r])) for (p, s), r in directory.of_step.items()], "pivot int, step int, ring int, parts int"
+    )
+    return directory, index.join(F.broadcast(ring_of), ["pivot", "step"]).select(
+        "id", "v", "ring", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part")
+    )
+
+
 def _kth(near: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k).select(

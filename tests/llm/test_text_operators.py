@@ -248,6 +248,21 @@ def test_links_of_crowds_lose_none(spark):
     assert len(set(roots.values())) == len(roots)
 
 
+@pytest.mark.parametrize("cell_rows", [512, 1 / 64, 1 / 4096])
+def test_keys_of_several_ranges_lose_no_link(spark, monkeypatch, cell_rows):
+    monkeypatch.setattr(simhash, "CELL_ROWS", cell_rows)
+    rng = np.random.default_rng(8)
+    prints = np.unique(np.array([*crowd(rng, rng.integers(0, 2**64, 30, dtype=np.uint64), 20, 4), *rng.integers(0, 2**64, 300, dtype=np.uint64)], np.uint64))
+    chosen, leading, ranges = simhash.key_ranges(len(prints), 4)
+    assert ranges == 4 + len(chosen[0]) and leading * ranges <= 64
+    frame = spark.createDataFrame([(int(p),) for p in prints.view(np.int64)], "fingerprint bigint")
+    got = {r["fingerprint"]: r["root"] for r in simhash.classes(frame).collect()}
+    label, roots = plain_components(prints, 4), {}
+    for p, group in zip(prints.view(np.int64).tolist(), label.tolist()):
+        assert roots.setdefault(group, got[p]) == got[p]
+    assert len(set(roots.values())) == len(roots) and len(roots) < len(prints)
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), max_size=40))
 def test_components(spark, edges):
