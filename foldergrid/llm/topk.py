@@ -102,12 +102,12 @@ def best_of_cell(queries, query_ids, vectors, ids, k: int) -> tuple[np.ndarray,
 class Directory:
     """The annuli of every pivot: (pivot, nearest and farthest distance, rows, parts)."""
 
-    def __init__(self, counts: list[tuple[int, int, int, float, float]], size: int):
-        """`counts`: (pivot, step, rows, nearest, farthest), in order; `size`: rows of an annulus, and of a part."""
+    def __init__(self, counts: list[tuple[int, int, int, float, float]]):
+        """`counts`: (pivot, step, rows, nearest, farthest), in order."""
         self.of_step: dict[tuple[int, int], int] = {}
         rings: list[list] = []
         for pivot, step, rows, near, far in counts:
-            if rings and rings[-1][0] == pivot and rings[-1][3] + rows <= size:
+            if rings and rings[-1][0] == pivot and rings[-1][3] + rows <= PART_ROWS:
                 rings[-1][2], rings[-1][3] = far, rings[-1][3] + rows
             else:
                 rings.append([pivot, near, far, rows])
@@ -116,7 +116,7 @@ class Directory:
         self.near = np.array([r[1] for r in rings])
         self.far = np.array([r[2] for r in rings])
         self.rows = np.array([r[3] for r in rings], np.int64)
-        self.parts = -(-self.rows // size)
+        self.parts = -(-self.rows // PART_ROWS)
 
     def bounds(self, to_pivots: np.ndarray) -> np.ndarray:
         """For every query and annulus the least distance that a vector of it can have."""
@@ -156,12 +156,12 @@ def top_k(
         return key("v")
 
     index = cut_lineage(rows.withColumn("k", keyed(lambda v: _lifted(v, largest))).select("id", "v", "k.*"))
-    directory, placed = _ringed(index, PART_ROWS)
+    directory = Directory(_counts(index))
+    placed = _dealt(index, [(p, s, r, int(directory.parts[r])) for (p, s), r in directory.of_step.items()], "ring")
     shared = spark.sparkContext.broadcast(directory)
-    # queries of a block lie near the same pivot at a like distance, so together they ask for few annuli
+    # queries of a block lie near the same pivots at like distances: the more queries, the fewer annuli a block asks for
     places = cut_lineage(asked.withColumn("k", keyed(_query)).select("id", "v", "k.*"))
-    _, blocked = _ringed(places, BLOCK_QUERIES)
-    asked = blocked.select("id", "v", F.struct("ring", "part").alias("block"))
+    asked = _dealt(places, _blocks(_counts(places)), "number").select("id", "v", F.struct("number", "part").alias("block"))
 
     @F.arrow_udf("array<int>")
     def first_rings(column: pa.Array) -> pa.Array:
@@ -191,19 +191,31 @@ def top_k(
     return every.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _ringed(index: DataFrame, size: int) -> tuple[Directory, DataFrame]:
-    """The directory of an index (id, v, pivot, distance, step) and its rows with their annulus and part.
-    What is collected and broadcast is a row per pivot and distance step, PIVOTS * BUCKETS at most."""
+def _counts(index: DataFrame) -> list[tuple]:
+    """(pivot, step, rows, nearest, farthest) in order: a row per pivot and distance step, PIVOTS * BUCKETS at most."""
     counted = index.groupBy("pivot", "step").agg(F.count(F.lit(1)).alias("n"), F.min("distance").alias("near"), F.max("distance").alias("far"))
-    directory = Directory([tuple(r) for r in counted.orderBy("pivot", "step").collect()], size)
-    ring_of = index.sparkSession.createDataFrame(
-        [(p, s, r, int(directory.parts[r])) for (p, s), r in directory.of_step.items()], "pivot int, step int, ring int, parts int"
-    )
-    return directory, index.join(F.broadcast(ring_of), ["pivot", "step"]).select(
-        "id", "v", "ring", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part")
+    return [tuple(r) for r in counted.orderBy("pivot", "step").collect()]
+
+
+def _dealt(index: DataFrame, of_step: list[tuple[int, int, int, int]], name: str) -> DataFrame:
+    """The rows of an index with their number in `of_step` (pivot, step, number, parts), and their part of it."""
+    numbers = index.sparkSession.createDataFrame(of_step, f"pivot int, step int, {name} int, parts int")
+    return index.join(F.broadcast(numbers), ["pivot", "step"]).select(
+        "id", "v", name, F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part")
     )
 
 
+def _blocks(counts: list[tuple]) -> list[tuple[int, int, int, int]]:
+    """(pivot, step, block, parts): steps in order, as many to a block as hold BLOCK_QUERIES queries."""
+    found, number, held = [], 0, 0
+    for pivot, step, rows, *_ in counts:
+        if held and held + rows > BLOCK_QUERIES:
+            number, held = number + 1, 0
+        held += rows
+        found.append((pivot, step, number, -(-rows // BLOCK_QUERIES)))
+    return found
+
+
 def _kth(near: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k).select(
