@@ -104,3 +104,23 @@ def sample_rows(cells: DataFrame, sheet: dict, rows: list[int]) -> DataFrame:
         & (F.col("sheet_id") == F.lit(sheet["sheet_id"]))
         & F.col("row_idx").isin([row - 1 for row in rows])
     )
+
+
+def sheet_totals(sheets: DataFrame, options: SheetSourceOptions, header_rows: int) -> DataFrame:
+    """How many data rows there are to read in each selected sheet (`total`), from the pages of the listing alone."""
+    pages = read_chunks(select_sheets(sheets, options), options, header_rows)
+    return pages.groupBy(*SHEET_KEY).agg(F.sum("n_rows").alias("total"))
+
+
+def read_progress(rows: DataFrame, sheets: DataFrame, options: SheetSourceOptions, header_rows: int) -> DataFrame:
+    """Per sheet the rows read so far (`rows` holds their row keys), the rows there are, and the share
+    from 0 to 1. A sheet of which nothing is read yet is there with 0."""
+    read = rows.groupBy(*SHEET_KEY).agg(F.count(F.lit(1)).alias("rows"))
+    shares = sheet_totals(sheets, options, header_rows).join(read, SHEET_KEY, "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+    return shares.withColumn("share", F.least(F.lit(1.0), F.col("rows") / F.col("total")))
+
+
+def progress_share(observed_rows: int, sheets: DataFrame, options: SheetSourceOptions, header_rows: int) -> float:
+    """The share of all rows that a read has given out, by what its `progress` has observed; 1 where there are none."""
+    total = sheet_totals(sheets, options, header_rows).agg(F.sum("total")).first()[0]
+    return min(1.0, observed_rows / total) if total else 1.0

@@ -31,10 +31,11 @@ from foldergrid.operators.header_layout import (
     width,
 )
 from foldergrid.operators.layout import place_records, sheet_extents
-from foldergrid.session import shuffle_width
+from foldergrid.session import cut_lineage, forget, shuffle_width
 
 
 BATCHES_PER_FILE = 1000
+CLUSTER_BYTES = 8 << 20  # row groups of clustered tables, so that a page is a small read
 
 
 @dataclass(frozen=True)
@@ -91,24 +92,49 @@ def all_merges(placed: DataFrame, layout: Layout, options: SheetSinkOptions, she
 
 
 def write_sheets(
-    records: DataFrame, options: SheetSinkOptions, order_by: list[str], path: str, mode: str = "errorifexists"
+    records: DataFrame, options: SheetSinkOptions, order_by: list[str], path: str, mode: str = "errorifexists",
+    clustered: bool = False,
 ) -> None:
     """Write grid_records, grid_cells, grid_merges and grid_sheets under `path`.
 
     Placing the records is the one shuffle. Its result is written first and the other tables
     are derived from it by narrow steps, so no plan repeats the shuffle and a lost executor
-    costs no more than its own tasks. Tables are partitioned by nothing and sorted by
-    nothing: partitioning by spreadsheet would make one small file per name and task.
+    costs no more than its own tasks. Partitioning by spreadsheet would make one small file per
+    name and task.
+
+    `clustered` tables are in the order of spreadsheet, sheet and row, over files as within them, at the
+    price of one more shuffle of the placed records (not of their cells): a page of a sheet is then in the row
+    groups of CLUSTER_BYTES that its rows are in, and a filter on sheet and row (`page_cells`) reads no other.
     """
     spark = records.sparkSession
     layout = Layout.of(records.schema, options)
-    place(records, options, order_by).write.mode(mode).parquet(f"{path}/grid_records")
+    placed = place(records, options, order_by)
+    if clustered:
+        # the rows that ranges are sampled from and the rows themselves are those of one table
+        unsorted = cut_lineage(placed)
+        placed = unsorted.repartitionByRange(*TARGET, "first_row").sortWithinPartitions(*TARGET, "first_row")
+
+    def put(df: DataFrame, name: str) -> None:
+        writer = df.write.mode(mode)
+        if clustered:
+            writer = writer.option("parquet.block.size", CLUSTER_BYTES)
+        writer.parquet(f"{path}/{name}")
+
+    put(placed, "grid_records")
+    if clustered:
+        forget(unsorted)
     placed = spark.read.parquet(f"{path}/grid_records")
-    extents = sheet_extents(placed, options, layout.depth, layout.width)
-    extents.write.mode(mode).parquet(f"{path}/grid_sheets")
+    put(sheet_extents(placed, options, layout.depth, layout.width), "grid_sheets")
     sheets = spark.read.parquet(f"{path}/grid_sheets")
-    all_cells(placed, layout, options, sheets).write.mode(mode).parquet(f"{path}/grid_cells")
-    all_merges(placed, layout, options, sheets).write.mode(mode).parquet(f"{path}/grid_merges")
+    put(all_cells(placed, layout, options, sheets), "grid_cells")
+    put(all_merges(placed, layout, options, sheets), "grid_merges")
+
+
+def page_cells(cells: DataFrame, spreadsheet: str, sheet: str, first_row: int, n_rows: int) -> DataFrame:
+    """The cells of some rows (from 1) of a written sheet, by filters that reach the scan."""
+    return cells.where(
+        (F.col("spreadsheet_name") == spreadsheet) & (F.col("sheet_name") == sheet) & F.col("row_idx").between(first_row - 1, first_row + n_rows - 2)
+    )
 
 
 def update_documents(placed: DataFrame, layout: Layout, options: SheetSinkOptions) -> DataFrame:

@@ -385,3 +385,19 @@ def test_rows_from_arrays_without_a_shuffle(spark, tmp_path):
 
     filled = rows_from_arrays(grid, headers, SheetSourceOptions(skip_empty=True), fills=merge_fills(cells_of(documents), merges_of(documents)))
     assert [(r.row_idx, r.a, r.b) for r in filled.orderBy("row_idx").collect()] == [(2, 1.5, "x"), (3, None, "x")]
+
+
+def test_the_share_read(spark):
+    from pyspark.sql import Observation
+
+    from foldergrid.operators.selection import progress_share, read_progress
+
+    cells = cells_df(spark, [text(0, 0, "a"), text(1, 0, "x"), text(3, 0, "y")])
+    options = SheetSourceOptions(skip_empty=True)
+    sheets, seen = sheets_df(spark, rows=5), Observation()
+    rows = read_sheets(sheets, cells, options, headers=[Header(0, "a", "string")], keep_keys=True, progress=seen)
+    assert [(r["rows"], r["total"], r["share"]) for r in read_progress(rows, sheets, options, 1).collect()] == [(2, 4, 0.5)]
+    rows.collect()
+    assert progress_share(seen.get["rows"], sheets, options, 1) == 0.5
+    assert progress_share(0, sheets.limit(0), options, 1) == 1.0
+    assert [r["share"] for r in read_progress(rows.limit(0), sheets, options, 1).collect()] == [0.0]

@@ -259,6 +259,31 @@ def test_update_documents(spark, tmp_path):
     assert spark.read.json(path).count() == len(got)
 
 
+def test_a_page_of_a_clustered_sheet_is_a_small_read(spark, tmp_path, monkeypatch):
+    import pyarrow.parquet as pq
+
+    from foldergrid.sinks import sheets as module
+
+    monkeypatch.setattr(module, "CLUSTER_BYTES", 64 << 10)
+    rows = spark.range(120_000).select("id", F.concat(F.lit("k"), F.col("id") % 3).alias("kind"), F.hash("id").alias("v"))
+    options = SheetSinkOptions(sheet_field="kind", skip_name_fields=True)
+    for clustered in (False, True):
+        module.write_sheets(rows, options, ["id"], str(tmp_path / str(clustered)), clustered=clustered)
+    cells = {c: spark.read.parquet(str(tmp_path / str(c) / "grid_cells")) for c in (False, True)}
+    pages = {c: module.page_cells(df, "Spreadsheet", "k1", 20_001, 100) for c, df in cells.items()}
+    assert sorted(pages[True].collect(), key=str) == sorted(pages[False].collect(), key=str) and pages[True].count() == 200
+    assert "PushedFilters: [IsNotNull(" in pages[True]._jdf.queryExecution().executedPlan().toString()
+    met = every = 0
+    for file in (tmp_path / "True" / "grid_cells").glob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        at = {meta.schema.column(i).name: i for i in range(meta.num_columns)}
+        for g in range(meta.num_row_groups):
+            stats = [meta.row_group(g).column(at[c]).statistics for c in ("sheet_name", "row_idx")]
+            every += 1
+            met += stats[0].min <= "k1" <= stats[0].max and stats[1].min <= 20_099 and stats[1].max >= 20_000
+    assert every >= 8 and met <= 4, (met, every)
+
+
 # ---------------------------------------------------------------- streaming
 def test_flushes_continue_where_the_last_one_ended(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")

@@ -159,27 +159,26 @@ SELECT id, "offset", (length(part) // 2)::BIGINT AS bytes, md5(unhex(part)) AS p
 
 
 def body_text(spark, sf_dir) -> DataFrame:
-    """Whole bodies as text."""
-    options = FileSourceOptions(folder="de", file_types=("binary",), properties=("id",), body_format="string")
-    records = read_files(text_files(spark, sf_dir), options, now=now())
+    """Whole bodies as text, of all folders."""
+    records = project_metadata(cut_bodies(text_files(spark, sf_dir), 0), ("id",), "string")
     return records.select("id", "offset", F.char_length("body").cast("bigint").alias("chars"), F.md5("body").alias("md5"))
 
 
 BODY_TEXT = """
 SELECT 'doc-' || doc_id AS id, 0::BIGINT AS "offset", length(text)::BIGINT AS chars, md5(text) AS md5
-FROM documents WHERE lang = 'de'
+FROM documents
 """
 
 
 def body_text_parts(spark, sf_dir) -> DataFrame:
     """Parts of 500 bytes as text; a character that a cut divides counts on both sides."""
-    options = FileSourceOptions(folder="fr", file_types=("binary",), properties=("id",), body_format="string", max_part_bytes=500)
-    return read_files(text_files(spark, sf_dir), options, now=now()).select("id", "offset", F.char_length("body").cast("bigint").alias("chars"))
+    records = project_metadata(cut_bodies(text_files(spark, sf_dir), 500), ("id",), "string")
+    return records.select("id", "offset", F.char_length("body").cast("bigint").alias("chars"))
 
 
 # of a character of two bytes a cut leaves one byte on either side, and each reads as U+FFFD
 BODY_TEXT_PARTS = """
-WITH f AS (SELECT 'doc-' || doc_id AS id, hex(encode(text)) AS h FROM documents WHERE lang = 'fr'),
+WITH f AS (SELECT 'doc-' || doc_id AS id, hex(encode(text)) AS h FROM documents),
 p AS (SELECT id, o AS "offset", substr(h, 2 * o + 1, 1000) AS h FROM (SELECT *, unnest(range(0, greatest(length(h) // 2, 1), 500)) AS o FROM f)),
 n AS (SELECT *, [substr(h, 2 * i + 1, 1) IN ('8', '9', 'A', 'B') for i in range(length(h) // 2)] AS inner_byte FROM p)
 SELECT id, "offset", (len(list_filter(inner_byte, lambda b: NOT b)) + coalesce(inner_byte[1], false)::INT)::BIGINT AS chars FROM n

@@ -20,7 +20,7 @@ from foldergrid.operators.headers import (
 from foldergrid.operators.lookup import lookup_join
 from foldergrid.operators.merges import fill_merged_cells
 from foldergrid.operators.rows import build_rows, rows_from_arrays
-from foldergrid.operators.selection import missing_sheets, read_chunks, select_sheets
+from foldergrid.operators.selection import missing_sheets, read_chunks, read_progress, sample_rows, select_sheets
 from foldergrid.operators.sheetmeta import address_table, sheet_metadata
 from foldergrid.plans.sheet_source import read_sheets
 from foldergrid.sources.documents import cells_of, documents_from_text, merges_of, row_arrays_of, sheets_of
@@ -469,7 +469,7 @@ _DOCUMENT_HEADERS = [
 
 def document_rows(spark, sf_dir) -> DataFrame:
     """Rows straight from documents: they arrive whole, so nothing is shuffled to build them."""
-    grid = row_arrays_of(_documents(spark, sf_dir)).where("row_idx > 0")
+    grid = row_arrays_of(_documents(spark, sf_dir))
     options = SheetSourceOptions(skip_empty=True)
     rows = rows_from_arrays(grid, _DOCUMENT_HEADERS, options)
     return rows.select(
@@ -481,24 +481,26 @@ DOCUMENT_ROWS = f"""
 SELECT spreadsheet_id, row_idx, c_custkey AS id, c_name AS name, c_acctbal AS balance,
        CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS segment
 FROM (SELECT *, {place_sql('c_custkey', 1, 100, 1)} FROM customer)
+UNION ALL SELECT DISTINCT spreadsheet_id, 0, NULL::BIGINT, 'name', NULL::DOUBLE, NULL FROM (SELECT {place_sql('c_custkey', 1, 100, 1)} FROM customer)
 """
 
 
 def document_cells(spark, sf_dir) -> DataFrame:
     """The long cells of documents, per column and emptiness."""
-    cells = cells_of(_documents(spark, sf_dir)).where("row_idx > 0")
+    cells = cells_of(_documents(spark, sf_dir))
     return cells.groupBy("spreadsheet_id", "col_idx", "non_empty").agg(
         F.count(F.lit(1)).alias("cells"), F.count("eff_num").alias("numbers"), F.count("user_str").alias("texts")
     )
 
 
 DOCUMENT_CELLS = f"""
+WITH placed AS (SELECT *, {place_sql('c_custkey', 1, 100, 1)} FROM customer),
+cells AS (
+  SELECT spreadsheet_id, c, c <> 3 OR c_mktsegment <> 'BUILDING' AS non_empty, c IN (0, 2) AS number, c IN (1, 3) AS text FROM placed, range(4) r(c)
+  UNION ALL SELECT DISTINCT spreadsheet_id, c, c <> 3, false, false FROM placed, range(4) r(c))
 SELECT spreadsheet_id, c::INT AS col_idx, non_empty, count(*) AS cells,
-       count(CASE WHEN c IN (0, 2) THEN 1 END) AS numbers,
-       count(CASE WHEN c IN (1, 3) AND non_empty THEN 1 END) AS texts
-FROM (SELECT *, c <> 3 OR c_mktsegment <> 'BUILDING' AS non_empty
-      FROM (SELECT *, {place_sql('c_custkey', 1, 100, 1)} FROM customer), range(4) r(c))
-GROUP BY ALL
+       count(*) FILTER (WHERE number) AS numbers, count(*) FILTER (WHERE text AND non_empty) AS texts
+FROM cells GROUP BY ALL
 """
 
 
@@ -518,6 +520,37 @@ SELECT DISTINCT spreadsheet_id, 'T ' || spreadsheet_id AS spreadsheet_name, 0 AS
 FROM (SELECT {place_sql('c_custkey', 1, 100, 1)} FROM customer)
 """
 
+def reading_progress(spark, sf_dir) -> DataFrame:
+    """How far a read of the filled rows of every event sheet has come: rows, all rows, and their share."""
+    sheets, cells = t.event_grid(spark, sf_dir)
+    options = SheetSourceOptions(skip_empty=True)
+    rows = read_sheets(sheets, cells, options, headers=[Header(0, "event_id", "double")], keep_keys=True)
+    return read_progress(rows, sheets, options, 1)
+
+
+READING_PROGRESS = f"""
+WITH placed AS (SELECT *, {place_sql('event_id', 1, t.EVENT_ROWS)} FROM events),
+n AS (SELECT spreadsheet_id, sheet_id, count(*) AS rows, {t.EVENT_GRID_ROWS - 1}::BIGINT AS total FROM placed GROUP BY ALL)
+SELECT *, rows / total AS share FROM n
+"""
+
+
+def single_rows(spark, sf_dir) -> DataFrame:
+    """The title row and two data rows of one sheet, fetched by their numbers."""
+    _, cells = t.event_grid(spark, sf_dir)
+    rows = sample_rows(cells, {"spreadsheet_id": "book-0", "sheet_id": 0}, [1, 2, 13])
+    return rows.groupBy("row_idx").agg(
+        F.count(F.lit(1)).alias("cells"), F.max(F.when(F.col("col_idx") == 0, F.col("eff_num"))).alias("number"),
+        F.max(F.when(F.col("col_idx") == 4, F.col("formatted"))).alias("kind"),
+    )
+
+
+SINGLE_ROWS = f"""
+SELECT row_idx, 7::BIGINT AS cells, event_id::DOUBLE AS number, event_type AS kind
+FROM (SELECT *, {place_sql('event_id', 1, t.EVENT_ROWS)} FROM events) WHERE spreadsheet_id = 'book-0' AND sheet_id = 0 AND row_idx IN (1, 12)
+UNION ALL SELECT 0, {sum(title is not None for title in t.EVENT_TITLES)}, NULL, '{t.EVENT_TITLES[4]}'
+"""
+
 QUERIES = {
     "sheet_select": (sheet_select, SHEET_SELECT),
     "sheet_numbers": (sheet_numbers, SHEET_NUMBERS),
@@ -538,6 +571,8 @@ QUERIES = {
     "sheet_metadata_map": (sheet_metadata_map, SHEET_METADATA_MAP),
     "add_name_fields": (add_name_fields, ADD_NAME_FIELDS),
     "metadata_addresses": (metadata_addresses, METADATA_ADDRESSES),
+    "reading_progress": (reading_progress, READING_PROGRESS),
+    "single_rows": (single_rows, SINGLE_ROWS),
     "document_rows": (document_rows, DOCUMENT_ROWS),
     "document_cells": (document_cells, DOCUMENT_CELLS),
     "document_sheets": (document_sheets, DOCUMENT_SHEETS),

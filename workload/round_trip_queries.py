@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from foldergrid.operators.flatten import non_trivial_merges
 from foldergrid.operators.layout import Running, running_totals
 from foldergrid.session import cut_lineage, shared_folder
 from foldergrid.sinks.files import write_files
-from foldergrid.sinks.sheets import Layout, place, update_documents, write_sheets
+from foldergrid.sinks.sheets import Layout, page_cells, place, update_documents, write_sheets
 from foldergrid.sources.folder import list_folder, read_parts
 from foldergrid.streaming.flush import flush_sheets
 from foldergrid.streaming.ingest import ingest_new_files, read_ingested
@@ -110,6 +112,26 @@ def sheets_read_back(spark, sf_dir) -> DataFrame:
     return spark.read.parquet(f"{path}/grid_cells").select("sheet_name", "row_idx", "col_idx", "user_num", "user_str")
 
 
+def clustered_pages(spark, sf_dir) -> DataFrame:
+    """Orders written as clustered sheets, and the pages that their rows are in by the filter of a page."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderpriority").alias("priority"))
+    options = SheetSinkOptions(spreadsheet_name="orders", sheet_field="priority", skip_name_fields=True)
+    path = shared_folder(spark, "clustered")
+    write_sheets(orders, options, ["o_orderkey"], path, clustered=True)
+    cells = spark.read.parquet(f"{path}/grid_cells")
+    sheets = [r["sheet_name"] for r in spark.read.parquet(f"{path}/grid_sheets").orderBy("sheet_name").collect()]
+    pages = [page_cells(cells, "orders", sheet, 11 * (i + 1), 10) for i, sheet in enumerate(sheets)]
+    return reduce(DataFrame.unionByName, pages).select("sheet_name", "row_idx", "col_idx", "user_num")
+
+
+CLUSTERED_PAGES = """
+WITH o AS (SELECT o_orderkey, o_custkey, o_orderpriority AS sheet_name, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS row_idx,
+                  dense_rank() OVER (ORDER BY o_orderpriority) AS i FROM orders)
+SELECT sheet_name, row_idx, c::INT AS col_idx, CASE c WHEN 0 THEN o_orderkey ELSE o_custkey END::DOUBLE AS user_num
+FROM o, range(2) r(c) WHERE row_idx BETWEEN 11 * i - 1 AND 11 * i + 8
+"""
+
+
 def null_group_offsets(spark, sf_dir) -> DataFrame:
     """Running quantities where the largest group has no name."""
     lines = table(spark, sf_dir, "lineitem").select(
@@ -175,6 +197,7 @@ QUERIES = {
     "nested_listing": (nested_listing, NESTED_LISTING),
     "ingested_runs": (ingested_runs, INGESTED_RUNS),
     "flushed_twice": (flushed_twice, FLUSHED_TWICE),
+    "clustered_pages": (clustered_pages, CLUSTERED_PAGES),
     "sheets_read_back": (sheets_read_back, WRITTEN_CELLS),
     "null_group_offsets": (null_group_offsets, NULL_GROUP_OFFSETS),
     "large_record_batches": (large_record_batches, LARGE_RECORD_BATCHES),

@@ -121,12 +121,6 @@ def number_cell(col: int, value: str, fmt: str | None = None) -> str:
     return cell(col, f"CAST(floor({value}) AS string)", value, fmt=fmt)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a scan with fewer splits than cores, dealt out; larger scans as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def in_sheets(df: DataFrame, key: str, first_row: int, rows_per_sheet: int, sheets_per_book: int = 4) -> DataFrame:
     """Place rows by their dense key: books of sheets of `rows_per_sheet` keys, with a blank
     row after every ten rows. Grid positions are an expression of the key."""
@@ -182,7 +176,7 @@ def event_grid(spark: SparkSession, sf_dir: str):
     """(sheets, cells) of the events: one title row, seven typed columns."""
     placed = in_sheets(table(spark, sf_dir, "events"), "event_id", 1, EVENT_ROWS)
     ts = F.date_trunc("MILLISECOND", "ts")
-    events = spread(placed).withColumns(
+    events = placed.withColumns(
         {
             "ts_serial": timestamp_to_serial(ts),
             "time_serial": time_to_serial(F.pmod(F.unix_micros(ts), F.lit(86_400_000_000))),
@@ -212,7 +206,7 @@ ORDER_MERGES = [(0, 1, 0, 2), (0, 1, 4, 6), (0, 2, 2, 3)]
 def order_grid(spark: SparkSession, sf_dir: str):
     """(sheets, cells, merges) of the orders: two title rows, two column groups."""
     placed = in_sheets(table(spark, sf_dir, "orders"), "o_orderkey", 2, ORDER_ROWS)
-    orders = spread(placed).withColumn("day_serial", date_to_serial(F.col("o_orderdate").cast("date")))
+    orders = placed.withColumn("day_serial", date_to_serial(F.col("o_orderdate").cast("date")))
     cells = long_cells(
         orders,
         number_cell(0, "o_orderkey"),
