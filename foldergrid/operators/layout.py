@@ -124,6 +124,9 @@ def running_totals(
     """
     if not order_by:
         raise ValueError("A running total needs an explicit order: name the columns in order_by.")
+    own = {"_row", "_range", "_key", *[f"_v_{t.name}" for t in totals], *[t.name for t in totals]}.intersection(df.columns)
+    if own:
+        raise ValueError(f"Rename the columns {sorted(own)}: running totals use these names themselves.")
     totals = sorted(totals, key=lambda t: len(t.group))
     for coarse, fine in zip(totals, totals[1:]):
         if fine.group[: len(coarse.group)] != coarse.group:

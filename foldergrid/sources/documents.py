@@ -77,8 +77,13 @@ def _grid_rows(documents: DataFrame) -> DataFrame:
 
 def cells_of(documents: DataFrame) -> DataFrame:
     """The long cells table."""
+    return cells_of_rows(_grid_rows(documents))
+
+
+def cells_of_rows(rows: DataFrame) -> DataFrame:
+    """The same of grid rows (row key, `_col` of the first cell, `_values`)."""
     return (
-        _grid_rows(documents)
+        rows
         .select("spreadsheet_id", "sheet_id", "row_idx", "_col", F.posexplode("_values").alias("_pos", "_raw"))
         .where(F.col("_raw").isNotNull())
         .select(*ROW_KEY, (F.col("_col") + F.col("_pos")).alias("col_idx"), parse_cell(F.col("_raw")).alias("_cell"))

@@ -1,4 +1,5 @@
 import json
+import random
 from dataclasses import replace
 
 import pytest
@@ -15,6 +16,7 @@ from foldergrid.operators.rows import build_rows, rows_from_arrays
 from foldergrid.operators.selection import missing_sheets, read_chunks, row_spine, sample_rows, select_sheets
 from foldergrid.operators.sheetmeta import address_pairs, address_table, metadata_problems, pair_problems, sheet_metadata
 from foldergrid.plans.sheet_source import infer_headers, read_sheets
+from foldergrid.sources.large_documents import read_large_documents
 from foldergrid.sources.documents import cells_of, merges_of, read_documents, row_arrays_of, sheets_of
 
 SHEET = {"spreadsheet_id": "b", "sheet_id": 0}
@@ -401,3 +403,36 @@ def test_the_share_read(spark):
     assert progress_share(seen.get["rows"], sheets, options, 1) == 0.5
     assert progress_share(0, sheets.limit(0), options, 1) == 1.0
     assert [r["share"] for r in read_progress(rows.limit(0), sheets, options, 1).collect()] == [0.0]
+
+
+def large_book(rng, pretty):
+    """A document with everything that may stand around rows, and its cells."""
+    tricky = ['say "values"', "values", '\\"values\\":', "]},{", '"rowData":[{', "{}", "ä\u2028b", "", "}" * 5, "[" * 5]
+    cell = lambda: {"formattedValue": rng.choice(tricky)} if rng.random() < 0.8 else {
+        "formattedValue": "x", "dataValidation": {"condition": {"type": "ONE_OF_LIST", "values": [{"userEnteredValue": "a]},{"}, {}]}}}
+    row = lambda: {} if rng.random() < 0.3 else {"values": [cell() for _ in range(rng.randrange(0, 4))]}
+    block = lambda: {**({"startRow": rng.randrange(50)} if rng.random() < 0.5 else {}), "rowData": [row() for _ in range(rng.randrange(0, 12))],
+                     **({"startColumn": 2} if rng.random() < 0.5 else {}), "rowMetadata": [{"pixelSize": 1}, {}]}
+    sheets = [{"data": [block() for _ in range(rng.randrange(0, 4))], "properties": {"sheetId": i, "title": "a\"]},{"}, "merges": [{"endRowIndex": 2, "endColumnIndex": 2}],
+               "conditionalFormats": [{"booleanRule": {"condition": {"type": "X", "values": [{"userEnteredValue": "1"}]}}}]} for i in range(rng.randrange(1, 4))]
+    return json.dumps({"spreadsheetId": f"book{rng.random()}", "sheets": sheets, "properties": {"title": "t"}}, indent=rng.choice([1, 4]) if pretty else None, ensure_ascii=rng.random() < 0.5)
+
+
+def test_large_documents_give_the_same_cells(spark, tmp_path):
+    rng = random.Random(4)
+    for i in range(24):
+        (tmp_path / f"{i}.json").write_text(large_book(rng, i % 2), encoding="utf-8")
+    (tmp_path / "none.json").write_text('{"spreadsheetId": "empty", "sheets": [{"properties": {"sheetId": 7}}]}')
+    small = read_documents(spark, str(tmp_path), whole_files=True)
+    compared = ["spreadsheet_id", "sheet_id", "row_idx", "col_idx", "formatted"]
+    want = sorted(map(tuple, cells_of(small).select(*compared).collect()), key=str)
+    bytes_ = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for split in ("128m", "700"):  # whole files, and files that many tasks read
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            large = read_large_documents(spark, str(tmp_path))
+            assert sorted(map(tuple, large.cells().select(*compared).collect()), key=str) == want and len(want) > 300
+            for part in (sheets_of, merges_of):
+                assert sorted(map(str, part(large.documents).collect())) == sorted(map(str, part(small).collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", bytes_)

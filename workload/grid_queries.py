@@ -23,7 +23,10 @@ from foldergrid.operators.rows import build_rows, rows_from_arrays
 from foldergrid.operators.selection import missing_sheets, read_chunks, read_progress, sample_rows, select_sheets
 from foldergrid.operators.sheetmeta import address_table, sheet_metadata
 from foldergrid.plans.sheet_source import read_sheets
+from foldergrid.session import shared_folder
+from foldergrid.sinks.files import file_rows, write_files
 from foldergrid.sources.documents import cells_of, documents_from_text, merges_of, row_arrays_of, sheets_of
+from foldergrid.sources.large_documents import read_large_documents
 from workload import tables as t
 from workload.tables import place_sql, table
 
@@ -426,7 +429,7 @@ UNION ALL SELECT c_custkey, 12, 28, 3, c_custkey + 1 FROM customer
 
 
 # ---------------------------------------------------------------- documents
-def _documents(spark, sf_dir) -> DataFrame:
+def _document_texts(spark, sf_dir) -> DataFrame:
     """Customers as spreadsheet documents in JSON, one sheet of at most 100 rows each: the
     first row holds titles, merged over the last two columns; every tenth row is missing."""
     customers = t.in_sheets(table(spark, sf_dir, "customer"), "c_custkey", 1, 100, 1)
@@ -459,7 +462,11 @@ def _documents(spark, sf_dir) -> DataFrame:
         F.lit('"merges":[{"endRowIndex":1,"startColumnIndex":2,"endColumnIndex":4}],"data":[{"rowData":['), F.lit(titles),
         F.lit("]},"), F.array_join(block, ","), F.lit("]}]}"),
     )
-    return documents_from_text(data.select(document.alias("json")), "json")
+    return data.select(document.alias("json"))
+
+
+def _documents(spark, sf_dir) -> DataFrame:
+    return documents_from_text(_document_texts(spark, sf_dir), "json")
 
 
 _DOCUMENT_HEADERS = [
@@ -551,6 +558,21 @@ FROM (SELECT *, {place_sql('event_id', 1, t.EVENT_ROWS)} FROM events) WHERE spre
 UNION ALL SELECT 0, {sum(title is not None for title in t.EVENT_TITLES)}, NULL, '{t.EVENT_TITLES[4]}'
 """
 
+def large_document_cells(spark, sf_dir) -> DataFrame:
+    """The same cells from files that are cut at their rows, as documents of any size are."""
+    texts = _document_texts(spark, sf_dir).select(F.encode("json", "UTF-8").alias("body"))
+    folder = shared_folder(spark, "documents")
+    write_files(file_rows(texts), folder)
+    cells = read_large_documents(spark, folder).cells()
+    return cells.groupBy("spreadsheet_id", "col_idx", "non_empty").agg(
+        F.count(F.lit(1)).alias("cells"), F.count("eff_num").alias("numbers"), F.count("user_str").alias("texts"),
+        F.sum("row_idx").alias("row_sum"),
+    )
+
+
+LARGE_DOCUMENT_CELLS = DOCUMENT_CELLS.replace("SELECT spreadsheet_id, c, c", "SELECT spreadsheet_id, row_idx, c, c").replace(
+    "SELECT DISTINCT spreadsheet_id, c, c", "SELECT DISTINCT spreadsheet_id, 0, c, c").replace("AS texts", "AS texts, sum(row_idx)::BIGINT AS row_sum")
+
 QUERIES = {
     "sheet_select": (sheet_select, SHEET_SELECT),
     "sheet_numbers": (sheet_numbers, SHEET_NUMBERS),
@@ -575,5 +597,6 @@ QUERIES = {
     "single_rows": (single_rows, SINGLE_ROWS),
     "document_rows": (document_rows, DOCUMENT_ROWS),
     "document_cells": (document_cells, DOCUMENT_CELLS),
+    "large_document_cells": (large_document_cells, LARGE_DOCUMENT_CELLS),
     "document_sheets": (document_sheets, DOCUMENT_SHEETS),
 }
