@@ -3,8 +3,8 @@
 A word's probability is that of its class given the words before, times that of the word in
 its class. Classes come from word endings: endings that keep the same company (the same
 neighbours over the whole corpus) are one class. The class model is a softmax whose features
-are the hashed word before, the one before that, the third before (skips) and the pair of the
-first two; weights live in one table of bounded size. Every round all training documents pass
+are the hashed ending of the word before, of the one before that and of the third before (skips), and the
+pair of the first two; weights live in one table of bounded size. Every round all training documents pass
 through the tasks, which sum up the expected feature counts under the present weights; the
 difference to the observed counts, scaled by their size, is the gradient step. Within a class
 words have add-0.1 relative frequencies, with one unknown word per class, so the model is
@@ -15,7 +15,8 @@ FREQUENT of them, are in a broadcast table, every other word is joined by itself
 
 Edge cases: a null or empty text is its end token alone. Rows without an id count as training
 rows. Without training documents all counts are zero and the model is the unknown word's.
-Repeated rows are counted and scored as often as they occur.
+Repeated rows are counted and scored as often as they occur. An empty table gives an empty result. Very long texts
+are read whole, a piece of tokens at a time. Other columns are not read and may have any names.
 """
 
 from __future__ import annotations

@@ -478,3 +478,79 @@ def test_pipeline_edges(spark, rows):
         if name != "byte_bpe":
             assert out.columns == frame.columns
         assert out.count() <= len(rows)
+
+
+# ------------------------------------------------------------- language model against plain loops
+def plain_rows(words, i):
+    """Weight rows of token i of one document, one word at a time."""
+    ending = lambda w: int(maxent.endings_of([w])[0])
+    back = [ending(words[i - k]) if i >= k else maxent.END_NUMBER for k in (1, 2, 3)]
+    pair = (back[0] * 40503 + back[1] * 9973) % maxent.PAIRS
+    return [back[0], maxent.ENDINGS + back[1], 2 * maxent.ENDINGS + back[2], 3 * maxent.ENDINGS + pair]
+
+
+def softmax(values):
+    top = max(values)
+    weights = [math.exp(v - top) for v in values]
+    return [w / sum(weights) for w in weights]
+
+
+def test_lm_scores_equal_plain_loops(spark, tables, monkeypatch):
+    seen = {}
+
+    def keep(name):
+        real = getattr(maxent, name)
+        monkeypatch.setattr(maxent, name, lambda *a, **k: seen.setdefault(name, real(*a, **k)))
+
+    for name in ("classes_by_company", "_train"):
+        keep(name)
+    frame = tables["documents"].orderBy("doc_id").limit(60)
+    got = {r["doc_id"]: r for r in maxent.score_documents(frame).collect()}
+    documents = {r["doc_id"]: [*r["text"].encode().lower().split(), b""] for r in frame.collect()}
+    counts = Counter(w for i, words in documents.items() if not got[i]["held_out"] for w in words)
+    class_of, weights = seen["classes_by_company"], seen["_train"]
+    kind = {w: int(class_of[maxent.endings_of([w])[0]]) for words in documents.values() for w in words}
+    mass = np.zeros(maxent.CLASSES)
+    for w, c in counts.items():
+        mass[kind[w]] += c + maxent.PSEUDO
+    mass += maxent.PSEUDO  # the unknown word of every class
+    bias = np.log(mass / mass.sum())
+    for i, words in documents.items():
+        total = 0.0
+        for at, w in enumerate(words):
+            rows = plain_rows(words, at)
+            chance = softmax([sum(float(weights[c, r]) for r in rows) + bias[c] for c in range(maxent.CLASSES)])
+            total += math.log10(chance[kind[w]] * (counts[w] + maxent.PSEUDO) / mass[kind[w]])
+        assert math.isclose(got[i]["score"], total, rel_tol=1e-5), i
+
+
+def test_lm_training_equals_plain_loops(spark):
+    rng = random.Random(2)
+    documents = [[rng.choice([b"aa", b"bb", b"cc", b"dd"]) for _ in range(rng.randrange(1, 12))] + [b""] for _ in range(30)]
+    class_of = np.ones(maxent.ENDINGS, np.int64)
+    for k, w in enumerate((b"aa", b"bb", b"cc", b"dd")):
+        class_of[maxent.endings_of([w])[0]] = 1 + k % 3
+    class_of[maxent.END_NUMBER] = 0
+    bias = np.log(np.full(maxent.CLASSES, 1 / maxent.CLASSES)).astype(np.float32)
+    rows = [(bytearray(maxent.endings_of(words).astype("<u2").tobytes()),) for words in documents]
+    got = maxent._train(spark.createDataFrame(rows, "endings binary").repartition(3), class_of, bias, 2)
+
+    observed, weights = np.zeros((maxent.ROWS, maxent.CLASSES)), None
+    tokens = [(plain_rows(words, i), int(class_of[maxent.endings_of([w])[0]])) for words in documents for i, w in enumerate(words)]
+    for own, kind in tokens:
+        for r in own:
+            observed[r, kind] += 1
+    share = np.exp(bias.astype(np.float64))
+    prior = maxent.SMOOTH * share
+    expected = observed.sum(1, keepdims=True) * share
+    weights = 0.25 * np.log((observed + prior) / (expected + prior))
+    start = sum(math.log(softmax(bias)[kind]) for _, kind in tokens)
+    for _ in range(2):
+        expected = np.zeros_like(observed)
+        for own, _ in tokens:
+            chance = softmax([weights[own, c].sum() + bias[c] for c in range(maxent.CLASSES)])
+            for r in own:
+                expected[r] += chance
+        weights += maxent.RATE * (observed - expected) / ((observed + expected) / 2 + 2 * prior)
+    assert np.allclose(got, weights.T, atol=1e-4)
+    assert sum(math.log(softmax([weights[own, c].sum() + bias[c] for c in range(maxent.CLASSES)])[kind]) for own, kind in tokens) > start
