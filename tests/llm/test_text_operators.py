@@ -554,3 +554,83 @@ def test_lm_training_equals_plain_loops(spark):
         weights += maxent.RATE * (observed - expected) / ((observed + expected) / 2 + 2 * prior)
     assert np.allclose(got, weights.T, atol=1e-4)
     assert sum(math.log(softmax([weights[own, c].sum() + bias[c] for c in range(maxent.CLASSES)])[kind]) for own, kind in tokens) > start
+
+
+# ------------------------------------------------------------- quality classifier and pipeline by brute force
+def plain_statistics(text):
+    text = text or ""
+    words, lines, raw = text.split(), text.split("\n"), text.encode()
+    n, size = max(len(words), 1), max(len(raw), 1)
+    share = lambda chars: sum(b in chars for b in raw) / size
+    pairs = list(zip(words, words[1:]))
+    return [
+        math.log1p(len(words)), sum(len(w) for w in words) / n, max([len(w) for w in words] or [0]),
+        share(b"#$%&*|!@^~<>=+_{}[]\\/`"), share(b".,;:?'\"()-"), share(bytes(range(65, 91))), share(b"0123456789"),
+        sum(b & 0xC0 == 0x80 for b in raw) / size, 1 - sum(len(w) for w in words) / max(len(text), 1),
+        len(set(words)) / n, max([words.count(w) for w in set(words)] or [0]) / n,
+        sum(a == b for a, b in pairs) / n, len(set(pairs)) / n, len(set(lines)) / len(lines),
+        sum(w.isalpha() for w in words) / n, sum(w.isupper() for w in words) / n,
+    ]
+
+
+def test_quality_statistics_equal_plain_ones(tables):
+    texts = [t for i, t in ODD if i != 5] + [r["text"] for r in tables["documents"].limit(60).collect()] + ["Ä ß 日本 <b>X</b>\n\n#1 #1"]
+    for text in texts:
+        assert np.allclose(quality.statistics(text), plain_statistics(text)), text
+
+
+def leaf_gain(model, g, h, low, high):
+    total, weight = sum(g[low:high]), sum(h[low:high])
+    return total * total / (weight + model.ridge)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_quality_trees_equal_all_splits_tried(seed):
+    rng, model = np.random.default_rng(seed), quality.AdditiveModel()
+    g, h = rng.normal(size=9), rng.random(9)
+    leaves = [(0, 9)]
+    for _ in range(2):  # greedily: of all splits of all leaves the one that gains most
+        options = [(leaf_gain(model, g, h, a, c) + leaf_gain(model, g, h, c, b) - leaf_gain(model, g, h, a, b), a, c, b) for a, b in leaves for c in range(a + 1, b)]
+        gain, a, c, b = max(options)
+        if gain <= 1e-9:
+            break
+        leaves.remove((a, b))
+        leaves += [(a, c), (c, b)]
+    want = np.zeros(9)
+    for a, b in leaves:
+        want[a:b] = g[a:b].sum() / (h[a:b].sum() + model.ridge)
+    assert np.allclose(model._tree(g, h), want)
+    grid, weight = rng.normal(size=(4, 5)), rng.random((4, 5))
+    value = lambda part, mass: part.sum() / (mass.sum() + model.ridge)
+    best = None
+    for i in range(1, 4):
+        for j in range(1, 5):
+            quarters = [(slice(a, b), slice(c, d)) for a, b in ((0, i), (i, 4)) for c, d in ((0, j), (j, 5))]
+            gain = sum(grid[q].sum() * value(grid[q], weight[q]) for q in quarters) - grid.sum() * value(grid, weight)
+            best = max(best or (-1, None), (gain, quarters), key=lambda found: found[0])
+    want = np.zeros((4, 5))
+    for q in best[1] if best[0] > 1e-9 else []:  # no split that gains is no step
+        want[q] = value(grid[q], weight[q])
+    gain, steps = model._quadrants(grid, weight)
+    assert math.isclose(gain, max(best[0], 0.0)) and np.allclose(steps, want)
+
+
+def test_pipeline_equals_its_stages_by_brute_force(spark, tables, reference):
+    at = "/root/testdata/sf0.01"  # the tables of the fixture
+    left = {r["doc_id"]: r for r in tables["documents"].collect()}
+    frame = lambda: spark.createDataFrame(list(left.values()), tables["documents"].schema)
+    good = quality.train(frame(), tables["labels"])
+    left = {i: r for i, r in left.items() if good.score(np.array([plain_statistics(r["text"])]))[0] >= 0.3}
+    toxic = toxicity.train(frame(), tables["labels"])
+    left = {i: r for i, r in left.items() if toxic.document(r["text"])[0] < 0.5}
+    ids = sorted(left)
+    label = plain_components(np.array([plain_fingerprint(left[i]["text"]) for i in ids], np.uint64), 4)
+    left = {i: left[i] for n, i in enumerate(ids) if label[n] == n}
+    items = [r["text"] for r in tables["benchmark"].collect()]
+    left = {i: r for i, r in left.items() if not any(item in r["text"] for item in items)}
+    got = {r["doc_id"]: r for r in corpus_pipeline.run(spark, at).collect()}
+    assert got.keys() == left.keys() and len(left) < tables["documents"].count()
+    for i, r in got.items():
+        tokens = reference.encode_ordinary(left[i]["text"])
+        assert r["n_tokens"] == len(tokens) and r["ids_sha256"] == hashlib.sha256(np.array(tokens, "<u4").tobytes()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(left[i]["text"].encode()).hexdigest()
