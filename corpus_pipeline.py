@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept.
 All but the last return rows of `documents` as they are. `run` writes every stage's result as
-Parquet to the shared folder (spark.checkpoint.dir) and reads it again for the next.
+Parquet to the shared folder (spark.checkpoint.dir) and reads it again for the next, which removes it when done.
 
 An empty table goes through every stage and comes out empty; null texts are scored and kept
 like empty ones. SQL cannot express the trained models, so there is no ORACLE_SQL.
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldergrid.llm import bpe, decontaminate, quality, simhash, toxicity
-from foldergrid.session import cut_lineage
+from foldergrid.session import cut_lineage, forget
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -57,7 +57,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, written = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for _, stage in STAGES:
         docs = cut_lineage(stage(spark, docs, sf_dir))
+        forget(*written)  # what this stage has read
+        written = [docs]
     return docs
