@@ -216,6 +216,36 @@ def raising_after(batch):
     raise RuntimeError("lost")
 
 
+RETRIED = """
+import os, sys
+from pyspark import TaskContext
+from pyspark.sql import SparkSession, functions as F
+sys.path.insert(0, {root!r})
+from foldergrid.sources.folder_files import FORMAT, use_folder_files
+spark = use_folder_files(SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false").getOrCreate())
+def bodies(batches):
+    for batch in batches:
+        yield batch
+    context = TaskContext.get()
+    if context.partitionId() == 1 and context.attemptNumber() < 2:
+        os._exit(1) if context.attemptNumber() else (_ for _ in ()).throw(RuntimeError("lost"))
+rows = spark.range(0, 60, 1, 3).select(F.concat(F.lit("f"), F.col("id") % 7).alias("name"), F.col("id").cast("string").cast("binary").alias("body"))
+rows.mapInArrow(bodies, "name string, body binary").write.format(FORMAT).mode("append").save({folder!r})
+"""
+
+
+def test_lost_tasks_lose_no_file(tmp_path):
+    """One task fails, then its worker dies, then it goes through: every record is one file, nothing else is left."""
+    import subprocess
+    import sys
+
+    root = str(Path(__file__).resolve().parents[1])
+    done = subprocess.run([sys.executable, "-c", RETRIED.format(root=root, folder=str(tmp_path / "out"))], capture_output=True, text=True, timeout=300, check=False)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert bodies(tmp_path / "out") == sorted(str(i).encode() for i in range(60))
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+
+
 @pytest.mark.parametrize("moves", [0, 1, 3])
 def test_a_commit_cut_short_is_resumed(tmp_path, monkeypatch, moves):
     from pyspark.sql.types import BinaryType, StringType
