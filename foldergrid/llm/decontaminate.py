@@ -8,7 +8,8 @@ some passage whole. The block maxima come first, for all passages of a batch at
 largest impacts that a passage's words have in a block of items add up to a bound for all of
 them, in two steps, wide blocks and then, where those pass, narrow ones. A long list of items
 makes several indexes under the statistics of all items, so scores and passages do not depend
-on how the list is cut. What is left is
+on how the list is cut. A list of more than MAX_BROADCAST_CHARS is not broadcast at all: the words that an item cannot reach the
+threshold without are joined to the words of the texts, and a text meets the indexes that it shares such a word with. What is left is
 searched with block-max WAND, which retrieves every item above the threshold. Then question and answer are verified: the share of their word n-grams that occur in the
 passage must reach the overlap asked for, in both. A part so short that one changed word may
 take it below the overlap counts the words that stand in the passage in its order as well.
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldergrid.llm.common import small_batches, texts_of
+from foldergrid.llm.common import free_name, small_batches, texts_of
 from foldergrid.session import cut_lineage
 
 RETRIEVE = 0.6       # weighted share of an item's words
@@ -44,6 +45,8 @@ MIN_PASSAGE = 64     # words that passages advance by, at least
 ITEMS_PER_BLOCK = 8
 ITEMS_PER_CELL = 2           # of a narrow block
 MAX_INDEX_CHARS = 1 << 18    # text of the items in one broadcast index; more items make more indexes
+MAX_BROADCAST_CHARS = 16 << 20   # text of the items in all broadcast indexes; longer lists are joined
+TEXTS_PER_TASK = 20_000      # that meet one index in one task
 _SLACK = 1e-4                # of bounds in single precision
 _BLANK = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _BATCH_CHARS = 1 << 19
@@ -276,32 +279,164 @@ def _words(question: str, answer: str) -> Column:
     return counted(F.col(question), F.col(answer))
 
 
+@dataclass
+class _Dealt:
+    """Items (_item, _q, _a, _w), each in a share (_part) of about MAX_INDEX_CHARS, the statistics of all, and the number of
+    items that have a word."""
+
+    items: DataFrame
+    parts: int
+    total: Statistics
+    df: DataFrame
+
+
+def _chosen(items: DataFrame, item_id: str, question: str, answer: str | None) -> tuple[DataFrame, int]:
+    """The columns that count, and how many bytes of text they hold."""
+    columns = [F.col(f"`{item_id}`").alias("_item"), F.col(f"`{question}`").alias("_q"), (F.col(f"`{answer}`") if answer else F.lit(None).cast("string")).alias("_a")]
+    chosen = items.select(*columns)
+    size_of = F.coalesce(F.octet_length("_q"), F.lit(0)) + F.coalesce(F.octet_length("_a"), F.lit(0))
+    return chosen, chosen.agg(F.sum(size_of.cast("bigint"))).first()[0] or 0
+
+
+def _deal(chosen: DataFrame, chars: int) -> _Dealt:
+    parts = -(-chars // MAX_INDEX_CHARS) or 1
+    dealt = cut_lineage(chosen.select("*", F.pmod(F.xxhash64("_item", "_q"), F.lit(parts)).cast("int").alias("_part"), _words("_q", "_a").alias("_w")))
+    total = dealt.where("_w.n > 0").agg(F.count(F.lit(1)).alias("items"), F.sum("_w.n").alias("words"), F.max("_w.n").alias("longest")).first()
+    each = dealt.select(F.explode("_w.words").alias("word"))
+    df = cut_lineage(each.groupBy("word").agg(F.count(F.lit(1)).alias("df")))
+    return _Dealt(dealt, parts, Statistics(total["items"], total["words"] or 0, total["longest"] or 0, {}), df)
+
+
+def _index_of(rows: list[tuple], split: bool, size: int, whole: Statistics | None) -> ItemIndex:
+    rows = [(i, *question_and_answer(q)) for i, q, _ in rows] if split else rows
+    return ItemIndex.build(sorted(rows, key=lambda r: (r[0] is None, str(r[0]), str(r[1]))), size, split, whole)
+
+
 def _indexes(items: DataFrame, item_id: str, question: str, answer: str | None, size: int) -> list:
     """Broadcast indexes of all items, each of a measured size: a long list of items makes
     several, collected one after the other."""
     spark = small_batches(items.sparkSession)
-    columns = [F.col(item_id).alias("_item"), F.col(question).alias("_q"), (F.col(answer) if answer else F.lit(None).cast("string")).alias("_a")]
-    chosen = items.select(*columns)
-    size_of = F.coalesce(F.octet_length("_q"), F.lit(0)) + F.coalesce(F.octet_length("_a"), F.lit(0))
-    chars = chosen.agg(F.sum(size_of.cast("bigint"))).first()[0] or 0
-    parts = -(-chars // MAX_INDEX_CHARS) or 1
-    shares, whole = [], None
-    if parts > 1:
-        dealt = cut_lineage(chosen.select("*", F.pmod(F.xxhash64("_item", "_q"), F.lit(parts)).alias("_part"), _words("_q", "_a").alias("_w")))
-        total = dealt.where("_w.n > 0").agg(F.count(F.lit(1)).alias("items"), F.sum("_w.n").alias("words"), F.max("_w.n").alias("longest")).first()
-        each = dealt.select("_part", F.explode("_w.words").alias("word"))
-        df = cut_lineage(each.groupBy("word").agg(F.count(F.lit(1)).alias("df")))
-    for part in range(parts):
-        own = (dealt.where(F.col("_part") == part) if parts > 1 else chosen).select("_item", "_q", "_a").collect()
-        if parts > 1:
-            known = df.join(each.where(F.col("_part") == part), "word", "left_semi").collect()
-            whole = Statistics(total["items"], total["words"] or 0, total["longest"] or 0, {bytes(r["word"]): r["df"] for r in known})
-        rows = [(r["_item"], r["_q"], r["_a"]) if answer else (r["_item"], *question_and_answer(r["_q"])) for r in own]
-        rows.sort(key=lambda r: (r[0] is None, str(r[0]), str(r[1])))
-        shares.append(spark.sparkContext.broadcast(ItemIndex.build(rows, size, answer is None, whole)))
+    chosen, chars = _chosen(items, item_id, question, answer)
+    if chars <= MAX_INDEX_CHARS:
+        return [spark.sparkContext.broadcast(_index_of([tuple(r) for r in chosen.collect()], answer is None, size, None))]
+    dealt, shares = _deal(chosen, chars), []
+    for part in range(dealt.parts):
+        own = dealt.items.where(F.col("_part") == part)
+        known = dealt.df.join(own.select(F.explode("_w.words").alias("word")), "word", "left_semi").collect()
+        whole = Statistics(dealt.total.items, dealt.total.words, dealt.total.longest, {bytes(r["word"]): r["df"] for r in known})
+        rows = [tuple(r) for r in own.select("_item", "_q", "_a").collect()]
+        shares.append(spark.sparkContext.broadcast(_index_of(rows, answer is None, size, whole)))
     return shares
 
 
+def signature(index: ItemIndex, threshold: float) -> set[bytes]:
+    """Words of which every passage has one that can reach the threshold for any item: of each item those of most weight,
+    until the others stay below it together."""
+    of_item: dict[int, list] = defaultdict(list)
+    for word, term in index.terms.items():
+        for item, impact in zip(*index.postings[term]):
+            of_item[item].append((impact, word))
+    found = set()
+    for weights in of_item.values():
+        rest = sum(impact for impact, _ in weights)
+        for impact, word in sorted(weights, reverse=True):
+            if rest < threshold - _SLACK:
+                break
+            found.add(word)
+            rest -= impact
+    return found
+
+
+def _joined(
+    docs: DataFrame, text: str, items: DataFrame, chars: int, split: bool, threshold: float, overlap: float, size: int
+) -> DataFrame:
+    """`docs` rows with `_hits`, for those that share a signature word with an index. No index is broadcast:
+    its words and items are read by the task that its texts are dealt to, before them."""
+    dealt = _deal(items, chars)
+    kind = items.schema["_item"].dataType
+    words = dealt.items.select("_part", F.explode("_w.words").alias("word")).distinct().join(dealt.df, "word")
+    none = lambda t: F.lit(None).cast(t)
+    heads = words.select("_part", F.lit(0).alias("_kind"), "word", "df", none(kind).alias("_item"), none("string").alias("_q"), none("string").alias("_a")).unionByName(
+        dealt.items.select("_part", F.lit(1).alias("_kind"), none("binary").alias("word"), none("bigint").alias("df"), "_item", "_q", "_a"))
+    heads = cut_lineage(heads)
+    stream = _Stream(dealt.total, split, threshold, overlap, size)
+    signs = heads.repartition("_part").sortWithinPartitions("_part", "_kind").mapInArrow(stream.signatures, "word binary, _part int").distinct()
+
+    @F.arrow_udf("array<binary>")
+    def distinct_words(column: pa.Array) -> pa.Array:
+        return pa.array([list(dict.fromkeys(words_of(t))) for t in texts_of(column)], pa.list_(pa.binary()))
+
+    numbered = cut_lineage(docs.select(
+        F.monotonically_increasing_id().alias("_number"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(f"`{text}`").alias("_text")
+    ))
+    pairs = numbered.select("_number", F.explode(distinct_words("_text")).alias("word")).join(signs, "word").select("_number", "_part").distinct()
+    pairs = cut_lineage(pairs)
+    salts = pairs.groupBy("_part").agg(F.ceil(F.count(F.lit(1)) / TEXTS_PER_TASK).cast("int").alias("_salts"))
+    asked = (
+        pairs.join(salts, "_part").withColumn("_salt", F.pmod(F.xxhash64("_number"), F.col("_salts")).cast("int"))
+        .join(numbered.select("_number", "_text"), "_number").select("_part", "_salt", F.lit(2).alias("_kind"), "_number", "_text")
+    )
+    # every task that texts of an index are dealt to reads its words and items
+    copies = heads.join(salts, "_part").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
+    both = copies.unionByName(asked, allowMissingColumns=True).repartition("_part", "_salt").sortWithinPartitions("_part", "_salt", "_kind")
+    both = both.select("_part", "_salt", "_kind", "word", "df", "_item", "_q", "_a", "_number", "_text")
+    hit = f"struct<item: {kind.simpleString()}, score: double, question: double, answer: double, word: bigint>"
+    found = both.mapInArrow(stream.hits, f"_number bigint, _hits array<{hit}>")
+    return numbered.select("_number", "_doc").join(found, "_number").select("_doc.*", "_hits")
+
+
+class _Stream:
+    """Reads shares of items one after the other, and their texts after them."""
+
+    def __init__(self, total: Statistics, split: bool, threshold: float, overlap: float, size: int):
+        self.total, self.split, self.threshold, self.overlap, self.size = total, split, threshold, overlap, size
+
+    def _build(self, df: dict, rows: list) -> ItemIndex:
+        whole = Statistics(self.total.items, self.total.words, self.total.longest, df)
+        return _index_of(rows, self.split, self.size, whole)
+
+    def signatures(self, batches):
+        now, df, rows = None, {}, []
+
+        def words() -> pa.RecordBatch:
+            found = sorted(signature(self._build(df, rows), self.threshold))
+            return pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array([now] * len(found), pa.int32())], names=["word", "_part"])
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["_part"] != now:
+                    if now is not None:
+                        yield words()
+                    now, df, rows = row["_part"], {}, []
+                if row["_kind"] == 0:
+                    df[row["word"]] = row["df"]
+                else:
+                    rows.append((row["_item"], row["_q"], row["_a"]))
+        if now is not None:
+            yield words()
+
+    def hits(self, batches):
+        now, df, rows, index = None, {}, [], None
+        for batch in batches:
+            numbers, found = [], []
+            for row in batch.to_pylist():
+                if (row["_part"], row["_salt"]) != now:
+                    now, df, rows, index = (row["_part"], row["_salt"]), {}, [], None
+                if row["_kind"] == 0:
+                    df[row["word"]] = row["df"]
+                elif row["_kind"] == 1:
+                    rows.append((row["_item"], row["_q"], row["_a"]))
+                else:
+                    index = index or self._build(df, rows)
+                    [own] = index.match([row["_text"]], self.threshold, self.overlap, self.size)
+                    if own:
+                        numbers.append(row["_number"])
+                        found.append([{k: v for k, v in hit.items() if k != "overlap"} for hit in own])
+            if numbers:
+                item = pa.struct([("item", batch.schema.field("_item").type), ("score", pa.float64()), ("question", pa.float64()), ("answer", pa.float64()), ("word", pa.int64())])
+                yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(found, pa.list_(item))], names=["_number", "_hits"])
+
+
 def matches(
     text: Column, items: DataFrame, item_id: str = "item_id", question: str = "text", answer: str | None = None,
     threshold: float = RETRIEVE, overlap: float = OVERLAP, size: int = NGRAM,
@@ -338,9 +473,18 @@ def _matcher(shared, kind: str, threshold: float, overlap: float, size: int):
     return match
 
 
+def _found(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """`docs` with `_hits`, the items that each text holds; those without any may be missing."""
+    chosen, chars = _chosen(items, "item_id", "text", None)
+    if chars <= MAX_BROADCAST_CHARS:
+        return docs.withColumn("_hits", matches(F.col("text"), items))
+    small_batches(docs.sparkSession)
+    return _joined(docs, "text", chosen, chars, True, RETRIEVE, OVERLAP, NGRAM)
+
+
 def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """One row for every document and test item found in it."""
-    found = docs.select("doc_id", F.explode(matches(F.col("text"), items)).alias("m"))
+    found = _found(docs.select("doc_id", "text"), items).select("doc_id", F.explode("_hits").alias("m"))
     return found.select(
         "doc_id", F.col("m.item").alias("item_id"), F.col("m.score").alias("score"), F.col("m.question").alias("question_overlap"),
         F.col("m.answer").alias("answer_overlap"), F.col("m.word").alias("first_word"),
@@ -349,4 +493,10 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of `docs` in which no test item is found, with their columns as they are."""
-    return docs.where(F.size(matches(F.col("text"), items)) == 0)
+    chosen, chars = _chosen(items, "item_id", "text", None)
+    if chars <= MAX_BROADCAST_CHARS:
+        return docs.where(F.size(matches(F.col("text"), items)) == 0)
+    number = free_name(docs, "row")
+    numbered = cut_lineage(docs.withColumn(number, F.monotonically_increasing_id()))
+    leaked = _found(numbered.select(F.col(number), "text"), items).where(F.size("_hits") > 0).select(number).distinct()
+    return numbered.join(leaked, number, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

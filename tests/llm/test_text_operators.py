@@ -335,6 +335,21 @@ def test_leaks_equal_containment(spark, tables):
     assert want and got == want
 
 
+def test_joined_lists_find_what_broadcast_ones_find(spark, tables, monkeypatch):
+    rows = lambda: sorted(tuple(r) for r in decontaminate.leaks(tables["documents"], tables["benchmark"]).collect())
+    want = rows()
+    kept = sorted(r["doc_id"] for r in decontaminate.drop_leaks(tables["documents"], tables["benchmark"]).collect())
+    monkeypatch.setattr(decontaminate, "MAX_INDEX_CHARS", 900)
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST_CHARS", 0)
+    monkeypatch.setattr(decontaminate, "TEXTS_PER_TASK", 3)
+    got = rows()
+    assert [r[:2] for r in got] == [r[:2] for r in want] and np.allclose([r[2:] for r in got], [r[2:] for r in want])
+    left = decontaminate.drop_leaks(tables["documents"], tables["benchmark"])
+    assert left.columns == tables["documents"].columns and sorted(r["doc_id"] for r in left.collect()) == kept
+    odd = decontaminate.drop_leaks(docs(spark, [*ODD, (9, tables["benchmark"].first()["text"])]), tables["benchmark"])
+    assert sorted(str(r["doc_id"]) for r in odd.collect()) == sorted(str(i) for i, _ in ODD)
+
+
 def test_leak_edges(spark, monkeypatch):
     question, answer = "how many small stones did the old river carry down to the sea that year", "about seven thousand of them in a wet season"
     items = spark.createDataFrame(
