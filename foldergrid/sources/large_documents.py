@@ -64,7 +64,8 @@ def read_large_documents(spark: SparkSession, path: str) -> LargeDocuments:
     )
     numbered = running_totals(listed, [Running("block_no", ("file",), 1)], ["_at", "_in"])
     first = rows.where("row_no > 0").groupBy("file", "block_no").agg(F.min("weight_before").alias("_first"))
-    blocks = numbered.withColumn("block_no", F.col("block_no") + 1).join(first, ["file", "block_no"])
+    # as many rows as there are blocks on both sides, from files that are small: not to be broadcast by their size
+    blocks = numbered.withColumn("block_no", F.col("block_no") + 1).join(first.hint("merge"), ["file", "block_no"])
     placed = lookup_join(rows.where("row_no > 0"), blocks, ["file", "block_no"], ["row_no"], "inner")
     values = F.from_json(F.concat(F.lit("{" + KEY), "text"), "values array<string>")["values"]
     return LargeDocuments(documents, placed.select(

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foldergrid.model import CELLS_DDL, MERGES_DDL, SHEETS_DDL, SheetSourceOptions
+from foldergrid.operators import lookup
 from foldergrid.operators.headers import (
     Header, check_unique, default_headers, duplicate_titles, header_list, invalid_header_merges, resolve_headers,
     schema_mismatches,
@@ -323,6 +324,21 @@ def test_salted_lookup_equals_broadcast(spark):
         assert sorted(map(str, near.collect())) == sorted(map(str, far.collect()))
 
 
+def test_lookup_beyond_the_bound_is_shuffled_and_only_busy_keys_are_copied(spark, monkeypatch):
+    big = spark.range(400).selectExpr("CASE WHEN id < 300 THEN 1 WHEN id < 330 THEN null ELSE id END AS k", "id")
+    small = spark.range(1000).selectExpr("nullif(id, 999) AS k", "'v' || id AS v")
+    for busy_rows in (10_000, 50):  # one key has more than 50
+        monkeypatch.setattr(lookup, "BUSY_ROWS", busy_rows)
+        for how in ("left", "inner", "left_semi"):
+            near, far = (lookup_join(big, small, ["k"], ["id"], how, **bound) for bound in ({}, {"max_rows": 0}))
+            assert near.columns == far.columns and sorted(map(str, near.collect())) == sorted(map(str, far.collect()))
+            # the lookup table is a small file, but broadcast are no more than the busy keys
+            plan = far._jdf.queryExecution()
+            assert plan.sparkPlan().toString().count("BroadcastHashJoin") == (0 if busy_rows == 10_000 else 2)
+            # copies are made of the lookup rows of busy keys alone
+            assert ("explode([0])" in plan.optimizedPlan().toString()) == (busy_rows == 10_000)
+
+
 # ---------------------------------------------------------------- documents
 DOCUMENT = {
     "spreadsheetId": "b", "properties": {"title": "Book"},
@@ -418,6 +434,16 @@ def large_book(rng, pretty):
     return json.dumps({"spreadsheetId": f"book{rng.random()}", "sheets": sheets, "properties": {"title": "t"}}, indent=rng.choice([1, 4]) if pretty else None, ensure_ascii=rng.random() < 0.5)
 
 
+def test_blocks_of_large_documents_are_not_broadcast(spark, tmp_path, plans_of):
+    """A document may have as many blocks as rows: what is known of each is joined by a shuffle."""
+    (tmp_path / "a.json").write_text(json.dumps({"spreadsheetId": "b", "sheets": [{"data": [
+        {"startRow": 3 * i, "rowData": [{"values": [{"formattedValue": str(i)}]}]} for i in range(50)]}]}))
+    large, plans = plans_of(lambda: read_large_documents(spark, str(tmp_path)))
+    joins = [plan for plan in plans if "_leading" in plan and "Join" in plan]
+    assert joins and all("SortMergeJoin" in plan and "BroadcastHashJoin" not in plan for plan in joins)
+    assert sorted((r["row_idx"], r["formatted"]) for r in large.cells().collect()) == [(3 * i, str(i)) for i in range(50)]
+
+
 def test_large_documents_give_the_same_cells(spark, tmp_path):
     rng = random.Random(4)
     for i in range(24):
