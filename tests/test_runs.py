@@ -175,6 +175,28 @@ def test_a_record_waits_no_longer(spark, tmp_path):
     assert sorted(r["id"] for r in read_runs(spark, out, "grid_records").collect()) == list(range(10))
 
 
+def test_counted_flushes_end_when_no_batch_leaves_a_pause(spark, tmp_path, monkeypatch):
+    """Batches without records that take as long as the trigger follow each other: none of them keeps the query from ending."""
+    from pyspark.sql.streaming import StreamingQuery
+
+    from workload import folder_queries
+
+    spark.sql("""SELECT id AS p_partkey, 'a b' AS p_name, 'x#y' AS p_brand, if(id % 2 = 0, 'SMALL', 'LARGE') AS p_type,
+                        CAST(9 AS int) AS p_size, 1.0D AS p_retailprice FROM range(330)""").write.parquet(f"{tmp_path}/part.parquet")
+    end = time.time() + 150
+
+    def status(query):
+        assert time.time() < end, "the query does not end"
+        return {"isTriggerActive": True}
+
+    monkeypatch.setattr(StreamingQuery, "status", property(status))
+    got = folder_queries.counted_flushes(spark, str(tmp_path)).collect()
+    # two lanes a sheet, of 82 or 83 records each
+    assert {(r["sheet_name"], r["reason"], r["records"], r["n_rows"], r["rows_end"]) for r in got} == {
+        ("SMALL", "count", 160, 165 * 2, 331), ("SMALL", "time", 5, 165 * 2, 331),
+        ("LARGE", "count", 160, 165 * 4, 661), ("LARGE", "time", 5, 165 * 4, 661)}
+
+
 def test_buffers_are_checked(spark, tmp_path):
     for bad in ((0, 1), (1, 0)):
         with pytest.raises(ValueError):

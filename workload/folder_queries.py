@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from foldergrid.operators.bodies import read_bodies
 from foldergrid.operators.catalogue import not_a_folder, of_types
-from foldergrid.session import path_exists, shared_folder
+from foldergrid.session import path_exists, shared_folder, shuffle_width
 from foldergrid.sinks.files import write_files
 from foldergrid.sources.folder_files import FORMAT, read_folder, use_folder_files
 from foldergrid.streaming.flush import flush_sheets
@@ -156,20 +156,26 @@ def counted_flushes(spark, sf_dir) -> DataFrame:
     """The parts as a stream into buffers of their sheet: full ones are flushed at once, what is left when its time is up."""
     parts = _parts(spark, sf_dir)
     source, out, checkpoint = (shared_folder(spark, name) for name in ("parts", "sheets", "flush"))
-    parts.coalesce(1).write.parquet(source)
+    parts.repartition(shuffle_width(spark)).write.parquet(source)  # all of it is there when the stream starts: one batch
     total = spark.read.parquet(source).count()
     stream = spark.readStream.schema(parts.schema).parquet(source)
     query = flush_sheets(
         stream, _ROUTED, ["p_partkey"], out, checkpoint, interval_seconds=3, max_records=_PER_BUFFER, lane=F.col("p_partkey") % _BUFFERS
     )
-    log = RunLog(spark, out, "flush_id")
+    log, full, written = RunLog(spark, out, "flush_id"), -1, 0
     try:
-        while log.full(log.last()) < 0 or read_runs(spark, out, "grid_records").count() < total:
+        while written < total:
             if query.exception() is not None:
                 raise query.exception()
             time.sleep(0.5)
+            last, full = full, log.full(log.last())
+            if full > last:  # a flush with records has ended
+                written = read_runs(spark, out, "grid_records").count()
     finally:
-        while query.isActive and query.status["isTriggerActive"]:  # not in the middle of a batch
+        # not in the middle of a batch; one that takes longer than the trigger is followed by the next without a
+        # pause, so what is waited for is the end of this one
+        ended = log.last()
+        while query.isActive and query.status["isTriggerActive"] and log.last() == ended:
             time.sleep(0.05)
         query.stop()
     flushed = read_runs(spark, out, "grid_flushes").groupBy("sheet_name", "reason").agg(F.sum("records").alias("records"))
